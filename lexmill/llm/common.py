@@ -29,10 +29,21 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a lost executor recomputes nothing before it."""
+    return written(df, name)[0]
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``cut`` with the path, for ``drop`` once all that reads it is written as well."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table of our own that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def arrow_pass(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import drop, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,9 +35,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     ignored. No links give no rows. Raises if ``rounds`` were too few (each halves the distances, at least).
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(f"{a} is not null and {b} is not null and {a} <> {b}").distinct()
-    e, before = cut(e, "links"), None
+    (e, path), before = written(e, "links"), None
     for _ in range(rounds):
-        e = cut(_small_star(_large_star(e)), "links")
+        (e, new), old = written(_small_star(_large_star(e)), "links"), path
+        drop(e.sparkSession, old)
+        path = new
         # Both stars are fixed points exactly when every node hangs on its component's least node: the sums then stay.
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)"))).first()
         if now == before:
