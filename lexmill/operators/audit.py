@@ -72,7 +72,7 @@ def events(nodes: DataFrame) -> DataFrame:
     rows = heads.select("doc_key", F.col("node_id").alias("pos"), F.when(number.isNotNull(), "H").otherwise("B").alias("kind"), number.alias("val")).where(F.col("val").isNotNull() | (F.length("text_sp") > 0))
     marks = nodes.where("kind = 'element'").select("doc_key", F.col("node_id").alias("pos"), F.explode(F.array_distinct(F.array_compact(F.array(attr("id"), attr("name"))))).alias("val"))
     # An anchor inside a heading is asked as if it stood just before it.
-    return rows.select("doc_key", (F.col("pos") * 2 + 1).alias("pos"), "kind", "val").unionByName(marks.select("doc_key", F.col("pos") * 2, F.lit("A").alias("kind"), "val"))
+    return rows.select("doc_key", (F.col("pos") * 2 + 1).alias("pos"), "kind", "val").unionByName(marks.select("doc_key", (F.col("pos") * 2).alias("pos"), F.lit("A").alias("kind"), "val"))
 
 
 def claimed(text: Column, prev: Column) -> Column:

@@ -62,7 +62,7 @@ RULES = [
 ]
 #: After an article list: a bare number behind a separator, unless a date, a fraction or a point follows or goes before.
 BARE = _p(rf"(?<=(?:,|;|\sи)\s){NUM}(?![\d-]|[.,]\d|\s*(?:янв|фев|мар|апр|ма[яй]|июн|июл|авг|сен|окт|ноя|дек|год|г\.|пункт|част|процент|%))")
-RANGE = rf"{IU}{ART}\s+(\d+(?:-\d+)?)\s*[-–—]\s*(\d+)"
+RANGE = rf"{IU}{ART}\s+(\d+(?:-\d+)?)(?:\s+[-–—]\s*|\s*[–—]\s*)(\d+)"
 
 
 def context(nodes: DataFrame) -> DataFrame:
@@ -94,6 +94,13 @@ def numbers(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"({NUM})"), 1)
 
 
+def _known(number: Column) -> Column:
+    """An article of the map: the number itself, or the first of a range ``N-K`` that is no article; else null."""
+    ends = F.split(number, "-")
+    low, high = F.get(ends, F.lit(0)), F.get(ends, F.lit(1))
+    return F.when(F.element_at("articles", number).isNotNull(), number).when((low.try_cast("int") <= high.try_cast("int")) & F.element_at("articles", low).isNotNull(), low)
+
+
 def _lookup(rule: Rule) -> Callable[[Column], Column]:
     """The anchor a match of ``rule`` points to, by the document's maps and the text's context."""
     first = lambda t: F.try_element_at(numbers(t), F.lit(1))
@@ -103,6 +110,8 @@ def _lookup(rule: Rule) -> Callable[[Column], Column]:
             return F.element_at("chapters", first(t))
         if rule.target == "article":
             number = article_in(t)
+            if rule.name == "articles":
+                return F.element_at("articles", _known(number))
             if rule.name == "subpoint":
                 n = numbers(t)
                 key = F.concat_ws("_", number, F.try_element_at(n, F.lit(-2)), F.try_element_at(n, F.lit(1)))
@@ -130,10 +139,12 @@ def find_references(nodes: DataFrame, maps: DataFrame, include_notes: bool = Fal
     texts = nodes.where(eligible_text() & ~in_heading())
     if not include_notes:
         texts = texts.join(in_note(nodes), ["doc_key", "node_id"], "left_anti")
-    rows = texts.join(context(nodes), ["doc_key", "node_id"], "left").join(maps, "doc_key").withColumn("segments", whole(F.col("text")))
+    rows = texts.join(context(nodes), ["doc_key", "node_id"], "left").join(maps, "doc_key")
+    segments = whole(F.col("text"))
     for rule in RULES:
         find = _lookup(rule)
-        rows = rows.withColumn("segments", mark(F.col("segments"), rule.name, rule.pattern, lambda t, f=find: f(t).isNotNull()))
+        segments = mark(segments, rule.name, rule.pattern, lambda t, f=find: f(t).isNotNull())
+    rows = rows.withColumn("segments", segments)
     if bare:
         said = F.exists("segments", lambda s: s["rule"].isin("articles", "article"))
         found = mark(F.col("segments"), "bare", BARE, lambda t: F.element_at("articles", t).isNotNull())
@@ -152,7 +163,8 @@ def references(found: DataFrame, doc: str = "") -> DataFrame:
     for rule in RULES:
         anchor = F.when(F.col("s.rule") == rule.name, _lookup(rule)(text)).otherwise(anchor)
     listed = F.col("s.rule") == "articles"
-    n = F.when(listed & ~text.rlike(RANGE), numbers(text)).when(listed | F.col("s.rule").isin("article", "subpoint", "point_article", "points_article", "subpoints_article"), F.array(article_in(text))).when(F.col("s.rule") == "bare", F.array(text)).otherwise(F.array(F.lit(None).cast("string")))
+    each_known = F.array_compact(F.transform(numbers(text), _known))
+    n = F.when(listed & ~text.rlike(RANGE), each_known).when(listed, F.array(_known(article_in(text)))).when(F.col("s.rule").isin("article", "subpoint", "point_article", "points_article", "subpoints_article"), F.array(article_in(text))).when(F.col("s.rule") == "bare", F.array(text)).otherwise(F.array(F.lit(None).cast("string")))
     rows = each.select("*", F.explode(n).alias("number")).withColumn("anchor", F.when(listed | (F.col("s.rule") == "bare"), F.element_at("articles", F.col("number"))).otherwise(anchor)).where("anchor is not null")
     around = collapse(F.substring(F.col("text"), F.greatest(F.lit(1), F.col("s.start") - 39), F.length(text) + 80))
     return rows.select("doc_key", "node_id", F.col("s.ord").alias("ord"), F.col("s.rule").alias("rule"), text.alias("original"), F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.coalesce("number", "article").alias("article"), "anchor", F.concat(F.lit(doc), F.lit("#"), "anchor").alias("href"), around.alias("context"))

@@ -138,14 +138,14 @@ def chains(sibs: DataFrame) -> DataFrame:
     At least two units, and all to one target; a plain end is taken for internal chains only.
     """
     found = _runs(sibs, "chain", "R(?:CR)+C?[AP]")
-    end = F.element_at("run", -1)
+    end = F.try_element_at("run", F.lit(-1))
     plain = end["letter"] == "P"
     units = F.slice("run", F.lit(1), F.size("run") - 1)
     targets = F.when(plain, _targets(units)).otherwise(_targets(F.col("run")))
-    found = found.where((F.size(targets) == 1) & (~plain | (targets[0] == "#")))
+    found = found.where((F.size(targets) == 1) & (~plain | (F.get(targets, F.lit(0)) == "#")))
     words = F.transform("run", lambda s: F.when(s["letter"] == "P", F.regexp_extract(s["text"], PLAIN, 0)).otherwise(s["text"]))
     hrefs = F.transform(F.filter("run", lambda s: s["href"].isNotNull()), lambda s: s["href"])
-    return found.select("doc_key", "parent_id", F.element_at("run", 1)["node_id"].alias("node_id"), collapse(F.array_join(words, "")).alias("text"), hrefs[0].alias("keep"), F.slice(hrefs, F.lit(2), F.size(hrefs)).alias("dropped"), F.when(plain, "plain").otherwise("link").alias("terminal"), F.transform("run", lambda s: s["node_id"]).alias("members"))
+    return found.select("doc_key", "parent_id", F.try_element_at("run", F.lit(1))["node_id"].alias("node_id"), collapse(F.array_join(words, "")).alias("text"), F.get(hrefs, F.lit(0)).alias("keep"), F.slice(hrefs, F.lit(2), F.size(hrefs)).alias("dropped"), F.when(plain, "plain").otherwise("link").alias("terminal"), F.transform("run", lambda s: s["node_id"]).alias("members"))
 
 
 TRAILING_UNIT = rf"{IU}((?:(?:{PART}|абзац\p{{L}}*)\s+(?:{'|'.join(ORDINALS)}){ENDING}\s+|{SUB}\s+{PNUM}(?:{SEP}{PNUM})*\s+)?{PUNKT}\s+{NUM}\s*)$"
@@ -157,7 +157,7 @@ def full_spans(sibs: DataFrame) -> DataFrame:
     (doc_key, parent_id, node_id, kind, text, keep, dropped)
     """
     def first(c: str, i: int) -> Column:
-        return F.element_at("run", i)[c]
+        return F.try_element_at("run", F.lit(i))[c]
 
     forward = _runs(sibs, "forward", "(?<![RC])RP").select("doc_key", "parent_id", first("node_id", 1).alias("node_id"), "kind", F.concat(first("text", 1), F.regexp_extract(first("text", 2), PLAIN, 0)).alias("text"), first("href", 1).alias("keep"), F.array().cast("array<string>").alias("dropped"))
     merge = _runs(sibs, "merge", "(?<!RC)RC?A").where(F.size(F.filter("run", lambda s: (s["letter"] == "C") & s["text"].rlike(rf"{U}\S"))) == 0)
@@ -180,7 +180,7 @@ def merged_chains(nodes: DataFrame) -> DataFrame:
     """
     found = chains(siblings(nodes)).select("doc_key", "node_id", "text", "terminal", "members")
     first = found.select("doc_key", "node_id", F.col("text").alias("__text"))
-    inside = found.select("doc_key", F.explode("members").alias("__top"), F.col("node_id").alias("__first"), "terminal", F.element_at("members", -1).alias("__last"))
+    inside = found.select("doc_key", F.explode("members").alias("__top"), F.col("node_id").alias("__first"), "terminal", F.try_element_at("members", F.lit(-1)).alias("__last"))
     top = F.explode(F.concat("path", F.array("node_id"))).alias("__top")
     hit = nodes.select("doc_key", "node_id", top).join(inside, ["doc_key", "__top"])
     joined = nodes.join(hit, ["doc_key", "node_id"], "left").join(first, ["doc_key", "node_id"], "left")

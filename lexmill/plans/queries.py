@@ -19,7 +19,7 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.parse_nodes(_t(spark, sf_dir, "pages"), "page_id", "html")
+    return html.kept_nodes(_t(spark, sf_dir, "pages"), "page_id", "html")
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,8 +47,8 @@ def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def content_root(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = dom.content_root(_pages(spark, sf_dir)).select("doc_key", "node_id")
-    texts = dom.element_texts(_pages(spark, sf_dir), root)
+    nodes = _pages(spark, sf_dir)
+    texts = dom.element_texts(nodes, dom.content_root(nodes).select("doc_key", "node_id"))
     return texts.select("doc_key", F.length("text_raw").alias("n_chars"), F.md5("text_raw").alias("digest"))
 
 
@@ -64,7 +64,7 @@ def eligible_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def serialized_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written from their nodes and parsed again: the links are the same."""
-    again = html.parse_nodes(html.serialize(_pages(spark, sf_dir)), "doc_key", "html")
+    again = html.kept_nodes(html.serialize(_pages(spark, sf_dir)), "doc_key", "html")
     rank = F.row_number().over(Window.partitionBy("doc_key").orderBy("node_id"))
     return dom.links(again).select("doc_key", rank.alias("ord"), "href", "text")
 
@@ -106,29 +106,29 @@ def line_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def act_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = html.parse_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")
+    nodes = html.kept_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")
     return structure.level_counts(structure.blocks(nodes))
 
 
 def act_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = html.parse_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")
+    nodes = html.kept_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")
     rows = structure.structured(nodes).select("doc_key", "pos", "type", "number", "title", "wrapper", "parent_pos")
     up = rows.select("doc_key", F.col("pos").alias("parent_pos"), F.col("number").alias("chapter"))
     return rows.where("type = 'article'").join(up, ["doc_key", "parent_pos"], "left").select("doc_key", "number", "title", "wrapper", "chapter")
 
 
 def article_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = html.parse_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")
+    nodes = html.kept_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")
     return anchors.article_anchors(nodes).select("doc_key", "article", "anchor", "method")
 
 
 def subpoint_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = html.parse_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")
+    nodes = html.kept_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")
     return anchors.subpoint_anchors(nodes).select("doc_key", "key", "anchor")
 
 
 def chapter_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anchors.chapter_anchors(html.parse_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html"))
+    return anchors.chapter_anchors(html.kept_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html"))
 
 
 def article_map_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,8 +138,8 @@ def article_map_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def act_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw acts to structured pages to articles to chunks."""
-    pages = structure.structured_html(structure.structured(html.parse_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")))
-    nodes = html.parse_nodes(pages, "doc_key", "html")
+    pages = structure.structured_html(structure.structured(html.kept_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")))
+    nodes = html.kept_nodes(pages, "doc_key", "html")
     registered = _t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("doc_id"))
     made = chunks.chunks(*chunks.parse_articles(nodes, registered))
     return made.select("id", "text", F.col("meta.hier_id").alias("hier_id"), F.col("meta.doc_id").alias("doc_id"), F.col("meta.unit_type").alias("unit_type"), F.col("meta.char_len").alias("char_len"))
@@ -165,16 +165,16 @@ def anchor_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def found_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = acts.reference_pages(spark, sf_dir)
-    found = references.find_references(html.parse_nodes(pages, "doc_key", "html"), acts.reference_maps(pages))
+    found = references.find_references(html.kept_nodes(pages, "doc_key", "html"), acts.reference_maps(pages))
     return references.references(found).groupBy("doc_key", "rule", "article", "anchor").agg(F.count("*").alias("n"))
 
 
 def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with their references linked: how many links each has, and its text's length, which stays."""
     pages = acts.reference_pages(spark, sf_dir)
-    nodes = html.parse_nodes(pages, "doc_key", "html")
+    nodes = html.kept_nodes(pages, "doc_key", "html")
     found = references.find_references(nodes, acts.reference_maps(pages))
-    again = html.parse_nodes(html.serialize(references.linked_nodes(nodes, found)), "doc_key", "html")
+    again = html.kept_nodes(html.serialize(references.linked_nodes(nodes, found)), "doc_key", "html")
     links = F.count(F.when(F.col("tag") == "a", 1)).alias("n_links")
     return again.groupBy("doc_key").agg(links, F.sum(F.length("text")).alias("n_chars"))
 
@@ -184,21 +184,21 @@ def top_references(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = html.parse_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
+    nodes = html.kept_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
     found = spans.chains(spans.siblings(nodes))
     return found.groupBy("doc_key", "text", "keep", "terminal").agg(F.count("*").alias("n"), F.max(F.size("dropped")).alias("dropped"))
 
 
 def full_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = html.parse_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
+    nodes = html.kept_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
     return spans.full_spans(spans.siblings(nodes)).groupBy("doc_key", "kind").agg(F.count("*").alias("n"))
 
 
 def chain_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merging chains keeps every page's text and drops just the logged hrefs."""
-    nodes = html.parse_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
+    nodes = html.kept_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
     dropped = spans.chains(spans.siblings(nodes)).select("doc_key", "dropped")
-    again = html.parse_nodes(html.serialize(spans.merged_chains(nodes)), "doc_key", "html")
+    again = html.kept_nodes(html.serialize(spans.merged_chains(nodes)), "doc_key", "html")
     return audit.gates(nodes, again, dropped).groupBy("gate", "ok").agg(F.count("*").alias("n"))
 
 
@@ -270,7 +270,7 @@ def remapped_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cross_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    registered = spark.createDataFrame([(str(i), f"K1500000{i:04d}") for i in range(5)], "code string, doc_id string")
+    registered = spark.createDataFrame([(str(i), f"K15000{i:05d}") for i in range(5)], "code string, doc_id string")
     articles = spark.range(5).select(F.col("id").cast("string").alias("code"), F.explode(F.sequence(F.lit(1), F.lit(6))).alias("k")).where("code <> '4'").select("code", F.col("k").cast("string").alias("key"), F.concat(F.lit("z"), "k").alias("anchor"))
     subpoints = articles.where("key = '2'").select("code", F.lit("2_1").alias("key"), F.lit("z7").alias("anchor"))
     rows = acts.hrefs(spark, sf_dir).where(~F.col("href").rlike(spans.ODD_HREF))
@@ -312,18 +312,18 @@ def sample_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def act_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = html.parse_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")
+    nodes = html.kept_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")
     return audit.events(nodes).groupBy("kind").agg(F.count("*").alias("n"), F.count_distinct("val").alias("vals"))
 
 
 def link_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of the chain pages have no targets: all of them are broken; the six checks count the same."""
-    nodes = html.parse_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
+    nodes = html.kept_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
     return audit.correctness(nodes).groupBy("doc_key", "kind", "verdict").agg(F.count("*").alias("n"))
 
 
 def six_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = html.parse_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
+    nodes = html.kept_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
     return audit.six_checks(nodes).select("doc_key", F.col("check").alias("name"), "n")
 
 

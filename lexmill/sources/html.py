@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,6 +96,11 @@ def parse_nodes(df: DataFrame, key: str, html: str) -> DataFrame:
     return df.select(F.col(key).cast("string"), F.col(html).cast("string")).mapInArrow(run, NODE)
 
 
+def kept_nodes(df: DataFrame, key: str, html: str) -> DataFrame:
+    """``parse_nodes``, kept in memory and on disk: operators read the nodes many times, the parser runs once."""
+    return parse_nodes(df, key, html).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def read_html(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as (doc_key, form, html): the key is the file's name, a form its ending ``_ready`` or ``_structured``."""
     files = spark.read.text(path, wholetext=True).select(F.regexp_extract("_metadata.file_path", r"([^/]+?)(?:\.html?)?$", 1).alias("name"), F.col("value").alias("html"))
