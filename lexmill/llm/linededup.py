@@ -120,5 +120,7 @@ def line_dedup(documents: DataFrame, min_sites: int = MIN_SITES, sent: int = SEN
 
 def strip_boilerplate(documents: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """The columns of ``documents``, boilerplate lines removed and n_chars counted anew."""
-    done = line_dedup(documents, min_sites)
-    return done.select(*(F.length("text").cast(t).alias(n) if n == "n_chars" else F.col(f"`{n}`") for n, t in documents.dtypes))
+    kept = documents.select(F.struct("*").alias("__row"), "text", "source")  # no column name can clash with n_lines or n_removed
+    done = line_dedup(kept, min_sites)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast(dict(documents.dtypes).get("n_chars", "int"))}
+    return done.select(*(new[n].alias(n) if n in new else F.col("__row").getField(n).alias(n) for n in documents.columns))
