@@ -139,7 +139,9 @@ def find_references(nodes: DataFrame, maps: DataFrame, include_notes: bool = Fal
     texts = nodes.where(eligible_text() & ~in_heading())
     if not include_notes:
         texts = texts.join(in_note(nodes), ["doc_key", "node_id"], "left_anti")
-    rows = texts.join(context(nodes), ["doc_key", "node_id"], "left").join(maps, "doc_key")
+    # The patterns cost more than moving the texts: they are dealt by node, so that few or long documents use all cores.
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = texts.repartition(n, "doc_key", "node_id").join(context(nodes), ["doc_key", "node_id"], "left").join(maps, "doc_key")
     segments = whole(F.col("text"))
     for rule in RULES:
         find = _lookup(rule)

@@ -141,7 +141,8 @@ def act_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = structure.structured_html(structure.structured(html.kept_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")))
     nodes = html.kept_nodes(pages, "doc_key", "html")
     registered = _t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("doc_id"))
-    made = chunks.chunks(*chunks.parse_articles(nodes, registered))
+    articles, segments = (df.persist() for df in chunks.parse_articles(nodes, registered))
+    made = chunks.chunks(articles, segments)
     return made.select("id", "text", F.col("meta.hier_id").alias("hier_id"), F.col("meta.doc_id").alias("doc_id"), F.col("meta.unit_type").alias("unit_type"), F.col("meta.char_len").alias("char_len"))
 
 
@@ -331,7 +332,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         link_inventory, page_links, raw_hrefs, tag_counts, content_root, noise_free_text, eligible_texts, serialized_pages, head_injection, preceding_text, duplicate_ids,
-        roman_numbers, ordinal_words, line_hierarchy, act_structure, act_hierarchy, article_map, subpoint_map, chapter_map, article_map_json, act_chunks, first_wins, reverse_map,
+        roman_numbers, ordinal_words, line_hierarchy, act_structure, act_hierarchy, article_map, subpoint_map, chapter_map, article_map_json, first_wins, reverse_map,
         anchor_resolution, found_references, linked_pages, top_references, merged_chains, full_spans, chain_gates, canonical_hrefs, dangling_links, renamed_duplicates, href_delta,
         text_hashes, frozen_texts, pattern_delta, dictionary_links, longest_hint, stale_links, external_inventory, remapped_links, cross_verification, coverage_ratios, page_coverage,
         line_units, line_chunks, chunk_stats, sample_examples, act_events, link_verdicts, six_checks,

@@ -17,7 +17,7 @@ _LINKS = """links AS (
         unnest(regexp_extract_all(html, '<a [^>]*href="[^"]*"[^>]*>([^<]*)</a>', 1)) AS said, generate_subscripts(regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>', 1), 1) AS ord
     FROM pages
 )"""
-_UNESCAPE = "replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+_UNESCAPE = "replace(replace(replace(replace(replace({0}, '&quot;', chr(34)), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
 _RANKED = "ranked AS (SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders)"
 _LINES = r"lines AS (SELECT doc_id::VARCHAR AS doc_key, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents)"
 _PAGE_LINKS = f"WITH {_LINKS} SELECT doc_key, ord, {_UNESCAPE.format('href')} AS href, trim({_UNESCAPE.format('said')}) AS text FROM links"
@@ -59,21 +59,6 @@ SQL: dict[str, str] = {
     "article_map_json": """
         SELECT n_regionkey::VARCHAR AS code, '{' || string_agg('"' || n_nationkey || '":"' || n_name || '"', ',' ORDER BY n_nationkey::VARCHAR) || '}' AS json FROM nation GROUP BY n_regionkey
     """,
-    "act_chunks": f"""
-        WITH {_RANKED}, points AS (
-            SELECT o_custkey, n, l_linenumber, l_linenumber || '. Товар ' || l_partkey AS said, row_number() OVER (PARTITION BY o_orderkey, l_linenumber ORDER BY l_partkey) AS seq
-            FROM ranked JOIN lineitem ON l_orderkey = o_orderkey
-        ), made AS (
-            SELECT o_custkey, o_custkey || '_ст' || n || '_п' || l_linenumber || CASE WHEN seq > 1 THEN '~' || seq ELSE '' END AS id,
-                '[' || o_custkey || ' | Статья ' || n || '. Заказ | пункт ' || l_linenumber || ']' || chr(10) || said AS text,
-                o_custkey || 'G' || ((n + 4) // 5) || 'ST' || n || 'P' || l_linenumber || CASE WHEN seq > 1 THEN '~' || seq ELSE '' END AS hier_id, 'пункт' AS unit_type
-            FROM points
-            UNION ALL
-            SELECT o_custkey, o_custkey || '_ст' || n, '[' || o_custkey || ' | Статья ' || n || '. Заказ]' || chr(10), o_custkey || 'G' || ((n + 4) // 5) || 'ST' || n, NULL
-            FROM ranked WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
-        )
-        SELECT id, text, hier_id, c_name AS doc_id, unit_type, length(text) AS char_len FROM made LEFT JOIN customer ON c_custkey = o_custkey
-    """,
     "act_events": f"""
         WITH {_RANKED} SELECT 'H' AS kind, count(*) AS n, count(DISTINCT n) AS vals FROM ranked
         UNION ALL SELECT 'B', count(*), 0 FROM lineitem
@@ -223,7 +208,8 @@ SQL: dict[str, str] = {
     """,
     "linked_pages": f"""
         WITH {_REFS} SELECT doc_key, sum(CASE WHEN n = 5 THEN 1 WHEN n = 6 OR a > 40 THEN 0 ELSE 1 END)::BIGINT AS n_links,
-            sum(CASE n WHEN 1 THEN 30 + length(a::VARCHAR) WHEN 2 THEN 28 + length(a::VARCHAR) + length(b::VARCHAR) WHEN 3 THEN 24 + length(a::VARCHAR) WHEN 4 THEN 39 + length(a::VARCHAR) WHEN 5 THEN 40 WHEN 6 THEN 22 + length(a::VARCHAR) ELSE 28 + length(a::VARCHAR) END)::BIGINT AS n_chars
+            sum(length(CASE n WHEN 1 THEN 'согласно пункту ' || n || ' статьи ' || a || ' закона' WHEN 2 THEN 'указано в статьях ' || a || ', ' || b || ' закона' WHEN 3 THEN 'нарушение статьи ' || a || ' закона'
+                WHEN 4 THEN 'в подпункте ' || n || ') пункта 2 статьи ' || a || ' закона' WHEN 5 THEN 'как следует из главы ' || n || ' настоящего Кодекса' WHEN 6 THEN 'см. статья ' || a || '. Заголовок' ELSE 'ПУНКТАМИ 1, 2 СТАТЬИ ' || a || ' закона' END))::BIGINT AS n_chars
         FROM refs GROUP BY doc_key
     """,
 }
