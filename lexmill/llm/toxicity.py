@@ -33,8 +33,9 @@ THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
 #: What may stand for letters in obfuscated spellings.
 LEET = str.maketrans("0134578@$!", "oieastbasi")
-MASKED = re.compile(r"(?<!\w)\w+(?:[*@$#!.\-]+\w+)+|(?<!\w)(?:\w[ .\-]){3,}\w(?!\w)")
-MIXED = re.compile(r"(?<![\w@.])(?=\w*[^\W\d_])(?=\w*\d)\w{3,}(?![\w@])")
+# Possessive where giving back can't help: the next character would be of the same class.
+MASKED = re.compile(r"(?<!\w)\w++(?:[*@$#!.\-]++\w++)++|(?<!\w)(?:\w[ .\-]){3,}\w(?!\w)")
+MIXED = re.compile(r"(?<![\w@.])(?=[^\W\d]*+\d)(?=[\d_]*+[^\W\d_])\w{3,}+(?![\w@])")
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine deinen ihr euch tu te toi ton ta tes vous votre vos usted ustedes tú ti tus vosotros".split())
 #: General insults and threats of the four languages.
 FIXED = frozenset(
