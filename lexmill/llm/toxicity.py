@@ -2,9 +2,11 @@
 
 Features of a whole text: densities of lexicon words, how near they stand to second-person words, shares of
 capitals and of punctuation, and rates of obfuscated spellings. The lexicon is a fixed list joined with words that
-labelled rows show to be telling: document counts over all rows that may be learned from, kept where they are far
-commoner among toxic rows. Trees are Spark ML's, fitted on a bounded sample of labelled rows (``SAMPLE``); a
-share of it is kept back for the isotonic fit. Scoring is row by row.
+labelled rows show to be telling: counts of distinct texts over all rows that may be learned from, kept where they
+are far commoner among toxic ones; the floor is fixed, so a language with few toxic rows is learned as well. A row
+that trees or calibration learn from sees the lexicon as it is without that row's text. Trees are Spark ML's, fitted
+on a bounded sample of labelled rows (``SAMPLE``), dealt by class and weighted back to the classes' sizes; a share of
+it is kept back for the isotonic fit. Scoring is row by row.
 
 Defined results: null, empty and wordless texts have features of zero and the score that follows from them;
 repeated labels of a document each count; labels that are null or without a document are left out; without both
@@ -21,14 +23,16 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from .common import arrow_pass, cut
 
-#: Bounds: rows learned from, learned lexicon words.
-SAMPLE, LEARNED = 20_000, 500
+#: Bounds: rows learned from, learned lexicon words (memory of the driver and the tasks).
+SAMPLE, LEARNED = 20_000, 50_000
+#: Distinct toxic texts that a learned word needs, and its least log odds.
+LEAST, ODDS = 5, 2.0
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
 #: What may stand for letters in obfuscated spellings.
@@ -39,7 +43,7 @@ MIXED = re.compile(r"(?<![\w@.])(?=[^\W\d]*+\d)(?=[\d_]*+[^\W\d_])\w{3,}+(?![\w@
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine deinen ihr euch tu te toi ton ta tes vous votre vos usted ustedes tú ti tus vosotros".split())
 #: General insults and threats of the four languages.
 FIXED = frozenset(
-    "idiot idiots stupid moron morons loser losers scum trash pathetic worthless disgusting clown dumb fool imbecile kill die hate "
+    "idiot idiots stupid moron morons loser losers scum trash pathetic worthless disgusting clown dumb fool imbecile kill hate "
     "dumm dummkopf trottel arschloch abschaum wertlos ekelhaft hasse idiote imbécile connard salaud débile nul ordure déteste "
     "estúpido tonto imbécil basura inútil asqueroso escoria odio payaso".split()
 )
@@ -78,19 +82,28 @@ def features(text: str | None, learned: frozenset[str]) -> list[float]:
     ]
 
 
-def add_features(df: DataFrame, learned: frozenset[str]) -> DataFrame:
+def add_features(df: DataFrame, learned: frozenset[str], without: tuple[frozenset[str], frozenset[str]] | None = None) -> DataFrame:
+    """``df`` with features; with ``without`` (lexicons less one clean or one toxic text), by the row's label ``toxic``."""
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [features(t.as_py(), learned) for t in b.column(names.index("text"))]
+            texts = b.column(names.index("text"))
+            if without is None:
+                rows = [features(t.as_py(), learned) for t in texts]
+            else:
+                rows = [features(t.as_py(), without[y.as_py()]) for t, y in zip(texts, b.column(names.index("toxic")), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, pa.list_(pa.float64()))], [*names, "features"])
 
     return arrow_pass(df, run, StructType([*df.schema.fields, StructField("features", ArrayType(DoubleType()))]))
 
 
-def learn_lexicon(labelled: DataFrame, most: int = LEARNED) -> frozenset[str]:
-    """Words of labelled rows (text, toxic) that are far commoner among toxic ones: smoothed log odds of at least 2."""
+def learn_lexicon(labelled: DataFrame, most: int = LEARNED) -> tuple[frozenset[str], frozenset[str], frozenset[str]]:
+    """Words of labelled rows (text, toxic) that are far commoner among toxic ones: smoothed log odds of at least ``ODDS``.
+
+    Distinct texts are counted (copies of one text are one), and ``LEAST`` toxic ones are needed. Also what would be
+    learned with one clean text less, and with one toxic text less, that has the word.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -100,13 +113,20 @@ def learn_lexicon(labelled: DataFrame, most: int = LEARNED) -> frozenset[str]:
                     seen.setdefault(w, [0, 0])[toxic.as_py()] += 1
             yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string()), "clean": pa.array([x[0] for x in seen.values()], pa.int64()), "toxic": pa.array([x[1] for x in seen.values()], pa.int64())})
 
-    counts = arrow_pass(labelled.select("text", "toxic"), run, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    size = labelled.agg(F.sum(1 - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic")).first()
+    texts = cut(labelled.select("text", "toxic", F.xxhash64("text").alias("h")).dropDuplicates(["h", "toxic"]).select("text", "toxic"), "distinct-labelled")
+    counts = arrow_pass(texts, run, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    size = texts.agg(F.sum(1 - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic")).first()
     if not size["clean"] or not size["toxic"]:
-        return frozenset()
-    odds = F.log((F.col("toxic") + 0.5) / (size["toxic"] + 1)) - F.log((F.col("clean") + 0.5) / (size["clean"] + 1))
-    least = max(3, size["toxic"] // 10)  # a tenth of the toxic rows: fewer may be copies of one text
-    return frozenset(r["word"] for r in counts.where((F.col("toxic") >= least) & (odds >= 2)).orderBy(F.desc("toxic"), "word").limit(most).collect())
+        return frozenset(), frozenset(), frozenset()
+
+    def passes(toxic: Column, clean: Column) -> Column:
+        return (toxic >= LEAST) & (F.log((toxic + 0.5) / (size["toxic"] + 1)) - F.log((clean + 0.5) / (size["clean"] + 1)) >= ODDS)
+
+    toxic, clean = F.col("toxic"), F.col("clean")
+    # Fewer clean texts only let more words pass, fewer toxic ones less.
+    found = counts.select("word", "toxic", passes(toxic, clean).alias("now"), passes(toxic, F.greatest(clean - 1, F.lit(0))).alias("less_clean"), passes(toxic - 1, clean).alias("less_toxic"))
+    rows = found.where("less_clean").orderBy(F.desc("toxic"), "word").limit(most).collect()
+    return tuple(frozenset(r["word"] for r in rows if r[n]) for n in ("now", "less_clean", "less_toxic"))
 
 
 class Scorer:
@@ -127,22 +147,29 @@ class Scorer:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Scorer:
-    """Learn from columns doc_id, text and toxic (0 or 1); at most about ``sample`` rows, those with the least hash."""
+    """Learn from columns doc_id, text and toxic (0 or 1).
+
+    Trees and calibration take at most about ``sample`` rows, those with the least hash: half of them of either
+    class, more where the other has fewer, each weighted by the rows of its class that it stands for.
+    """
     rows = labelled.where("toxic in (0, 1)").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     size = rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
     n, toxic = size["n"], size["toxic"] or 0
     if not toxic or toxic == n:
         return Scorer(frozenset(), None, None, toxic / n if n else 0.0)
-    learned = learn_lexicon(rows)
-    few = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < int(min(1.0, sample / n) * (1 << 30)))
+    learned, *without = learn_lexicon(rows)
+    share = {1: min(1.0, max(sample / 2, sample - (n - toxic)) / toxic), 0: min(1.0, max(sample / 2, sample - toxic) / (n - toxic))}
+    of_class = lambda x: F.when(F.col("toxic") == 1, F.lit(x[1])).otherwise(F.lit(x[0]))
+    few = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < of_class({y: int(p * (1 << 30)) for y, p in share.items()}))
     part = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(3)).alias("part")
-    x = cut(add_features(few.select("text", "toxic", part), learned).select(array_to_vector("features").alias("features"), "toxic", "part"), "toxic-sample")
+    weight = of_class({y: 1.0 / p for y, p in share.items()}).alias("weight")
+    x = cut(add_features(few.select("text", "toxic", part, weight), learned, tuple(without)).select(array_to_vector("features").alias("features"), "toxic", "part", "weight"), "toxic-sample")
     train, kept_back = x.where("part < 2"), x.where("part = 2")
     if train.select("toxic").distinct().count() < 2 or kept_back.isEmpty():
         return Scorer(frozenset(), None, None, toxic / n)
-    trees = GBTClassifier(labelCol="toxic", maxIter=20, maxDepth=4, stepSize=0.2, maxBins=64, minInstancesPerNode=5, seed=11).fit(train)
-    raw = trees.transform(kept_back).select(vector_to_array("probability")[1].alias("features"), F.col("toxic").cast("double").alias("label"))
-    return Scorer(learned, trees, IsotonicRegression().fit(raw), toxic / n)
+    trees = GBTClassifier(labelCol="toxic", weightCol="weight", maxIter=20, maxDepth=4, stepSize=0.2, maxBins=64, minInstancesPerNode=5, seed=11).fit(train)
+    raw = trees.transform(kept_back).select(vector_to_array("probability")[1].alias("features"), F.col("toxic").cast("double").alias("label"), "weight")
+    return Scorer(learned, trees, IsotonicRegression(weightCol="weight").fit(raw), toxic / n)
 
 
 HELD_OUT = "crc32(cast(cast(doc_id as string) as binary)) % 3 = 1"

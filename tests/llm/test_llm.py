@@ -106,6 +106,17 @@ def test_toxicity(spark):
     assert {r["score"] for r in none} == {0.0}
 
 
+def test_toxic_words_of_few_rows(spark):
+    """A language with less than a tenth of the toxic rows is learned; copies of one text are one."""
+    rows = [(f"common insult number {i}", 1) for i in range(200)] + [(f"seltenwort und die {i}", 1) for i in range(6)] + [("copied phrase", 1)] * 60 + [(f"plain text of {i} und die", 0) for i in range(400)]
+    now, less_clean, less_toxic = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert {"common", "insult", "number", "seltenwort"} == now & {"common", "insult", "number", "seltenwort", "copied", "phrase", "die", "und"}
+    assert less_toxic <= now <= less_clean and "die" not in toxicity.FIXED
+    some = [(f"seltenwort hier {i}", 1) for i in range(5)] + [(f"plain {i}", 0) for i in range(99)]
+    now, _, less_toxic = toxicity.learn_lexicon(spark.createDataFrame(some, "text string, toxic int"))
+    assert "seltenwort" in now and "seltenwort" not in less_toxic
+
+
 def brute_lines(rows, least=10):
     sites = collections.defaultdict(set)
     for _, text, source in rows:
