@@ -5,6 +5,9 @@ check digits, dates of two centuries, ...), permuted there (walking on while out
 same format, so pseudonyms are valid, distinct values stay distinct and equal values stay equal in all documents.
 Only values that pass their check are touched. Row by row, no shuffle; the key is a parameter and never stored.
 
+Cards and IBANs whose match fails its check are tried again by shorter ends (cards at each separator or end, down to 13
+digits; IBANs to their country's length, unknown countries at each token), and the search resumes after the number's own end.
+
 Defined results: null texts stay null with no finding; texts without findings stay as they are; overlapping
 findings go to the one that starts first, then to the earlier kind in ``KINDS``; extra columns stay.
 """
@@ -71,23 +74,69 @@ def _digits(value: str, key: bytes, tweak: str) -> str:
     return str(permuted(int(value), 10 ** len(value), key, f"{tweak}{len(value)}")).zfill(len(value))
 
 
-def _card(m: re.Match, key: bytes) -> str | None:
-    d = re.sub(r"\D", "", m[0])
+def _card(value: str, key: bytes) -> str | None:
+    d = re.sub(r"\D", "", value)
     if not 13 <= len(d) <= 19 or luhn(d[:-1]) != int(d[-1]) or len(set(d)) == 1:
         return None
     body = _digits(d[:-1], key, "card")
-    return _refill(m[0], body + str(luhn(body)))
+    return _refill(value, body + str(luhn(body)))
+
+
+#: Lengths of IBANs by country; one of another country may have any.
+IBAN_LENGTHS = {
+    c: int(n)
+    for n, cs in (x.split(":") for x in (
+        "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL "
+        "24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE "
+        "31:MT,SC 33:LC,RU"
+    ).split())
+    for c in cs.split(",")
+}
 
 
-def _iban(m: re.Match, key: bytes) -> str | None:
-    raw = m[0].replace(" ", "")
+def _iban(value: str, key: bytes) -> str | None:
+    raw = value.replace(" ", "")
     number = lambda s: int("".join(str(int(c, 36)) for c in s))
     if number(raw[4:] + raw[:4]) % 97 != 1:
         return None
     body = _classes(raw[4:], key, f"iban{raw[:2]}")
     check = 98 - number(body + raw[:2] + "00") % 97
     it = iter(f"{raw[:2]}{check:02d}{body}")
-    return "".join(c if c == " " else next(it) for c in m[0])
+    return "".join(c if c == " " else next(it) for c in value)
+
+
+def _iban_ends(value: str) -> list[int]:
+    """Ends of a match to be tried: the token's that gives the country's length, then its own; without a known length all."""
+    ends = [m.end() for m in re.finditer(r"[A-Z0-9](?![A-Z0-9])", value)][::-1]
+    if want := IBAN_LENGTHS.get(value[:2]):
+        return [*(e for e in ends if e < len(value) and len(value[:e].replace(" ", "")) == want), len(value)]
+    return [len(value), *(e for e in ends[1:] if len(value[:e].replace(" ", "")) >= 15)]
+
+
+def _card_ends(value: str) -> list[int]:
+    """Ends of a match to be tried, longest first: those of its runs of digits."""
+    ends = [m.end() for m in re.finditer(r"\d(?!\d)", value)]
+    return [e for e in reversed(ends) if 13 <= sum(map(str.isdigit, value[:e])) <= 19]
+
+
+def _found(kind: str, text: str, key: bytes) -> Iterator[tuple[int, int, str]]:
+    """(start, end, pseudonym) of what passes its check, from left to right."""
+    pattern, change = PATTERNS[kind]
+    if kind not in ENDS:
+        for m in pattern.finditer(text):
+            if (new := change(m, key)) is not None:
+                yield m.start(), m.end(), new
+        return
+    at = 0
+    while m := pattern.search(text, at):
+        for end in ENDS[kind](m[0]):
+            if (new := change(m[0][:end], key)) is not None:
+                yield m.start(), m.start() + end, new
+                at = m.start() + end
+                break
+        else:  # a number may begin at a later token of what failed
+            later = re.search(r"[^A-Za-z0-9]+", m[0])
+            at = m.start() + later.end() if later else m.end()
 
 
 def _classes(value: str, key: bytes, tweak: str) -> str:
@@ -159,7 +208,9 @@ def _email(m: re.Match, key: bytes) -> str | None:
     return f"{_classes(m[1], key, 'email' + m[2].lower())}@{m[2]}"
 
 
-PATTERNS: dict[str, tuple[re.Pattern, Callable[[re.Match, bytes], str | None]]] = {
+#: Kinds whose matches are also tried by shorter ends.
+ENDS = {"iban": _iban_ends, "card": _card_ends}
+PATTERNS: dict[str, tuple[re.Pattern, Callable[..., str | None]]] = {
     "iban": (re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), _iban),
     "card": (re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w])"), _card),
     "ssn": (re.compile(r"(?<![\w-])(\d{3})-(\d{2})-(\d{4})(?![\w-])"), _ssn),
@@ -177,10 +228,7 @@ def pseudonymized(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int,
         return text, []
     found = []
     for rank, kind in enumerate(KINDS):
-        pattern, change = PATTERNS[kind]
-        for m in pattern.finditer(text):
-            if (new := change(m, key)) is not None:
-                found.append((m.start(), rank, m.end(), new))
+        found += [(start, rank, end, new) for start, end, new in _found(kind, text, key)]
     out, findings, at = [], [], 0
     for start, rank, end, new in sorted(found):
         if start >= at:

@@ -213,6 +213,18 @@ def test_pseudonyms(spark):
     assert rows[1]["text"] == new and rows[2]["text"] is None and rows[3]["findings"] == []
 
 
+def test_pseudonyms_before_other_numbers():
+    """Cards and IBANs that other digits or capitals follow or precede are found whole."""
+    card, new = "4111 1111 1111 1111", pii.pseudonymized("4111 1111 1111 1111", b"k")[0]
+    for around in ("{} 12/26", "{} 123", "{} 12345 x", "pay 99 {} 100.50", "{0} {0}", "20240101 {}"):
+        assert pii.pseudonymized(around.format(card), b"k")[0] == around.format(new), around
+    for iban in ("ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "AT611904300234573201", "DE89 3704 0044 0532 0130 00"):
+        new = pii.pseudonymized(iban, b"k")[0]
+        assert new != iban
+        for around in ("{} EUR", "{} BIC", "{} 250 EUR", "REF AB12 ABCD EFGH {}", "{}, 1"):
+            assert pii.pseudonymized(around.format(iban), b"k")[0] == around.format(new), (around, iban)
+
+
 def test_language(spark, edge):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r["doc_id"]: r for r in langid.language_of(docs).collect()}
