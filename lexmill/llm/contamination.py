@@ -103,6 +103,16 @@ class Items:
         return found
 
 
+def contained(items: Items, text: str | None) -> Iterator[tuple[int, int]]:
+    """(place, shared shingles) of the items of a block that ``text`` contains."""
+    own = None
+    for i in sorted(items.candidates(shingle_hashes(word_hashes(text), items.k))):
+        wanted = items.items[i][1]
+        own = shingle_set(words(text), items.k) if own is None else own
+        if (shared := len(wanted & own)) >= items.threshold * len(wanted):
+            yield i, shared
+
+
 def find_items(documents: DataFrame, rows: list[tuple[int | None, str | None]], threshold: float, k: int) -> DataFrame:
     """(doc_id, item_id, shared, item_shingles, containment) for one block of items."""
     held = documents.sparkSession.sparkContext.broadcast(Items(rows, k, threshold))
@@ -112,12 +122,9 @@ def find_items(documents: DataFrame, rows: list[tuple[int | None, str | None]],
         for b in batches:
             out = []
             for doc_id, text in zip(b.column(0), b.column(1), strict=True):
-                text, own = text.as_py(), None
-                for i in sorted(items.candidates(shingle_hashes(word_hashes(text), k))):
+                for i, shared in contained(items, text.as_py()):
                     item_id, wanted = items.items[i]
-                    own = shingle_set(words(text), k) if own is None else own
-                    if (shared := len(wanted & own)) >= threshold * len(wanted):
-                        out.append((doc_id.as_py(), item_id, shared, len(wanted), shared / len(wanted)))
+                    out.append((doc_id.as_py(), item_id, shared, len(wanted), shared / len(wanted)))
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
             kinds = [b.schema.types[0], pa.int64(), pa.int32(), pa.int32(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "shared", "item_shingles", "containment"])
@@ -125,21 +132,40 @@ def find_items(documents: DataFrame, rows: list[tuple[int | None, str | None]],
     return arrow_pass(documents.select("doc_id", "text"), run, f"doc_id {dict(documents.dtypes)['doc_id']}, item_id long, shared int, item_shingles int, containment double")
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Every (doc_id, item_id) whose containment is at least ``threshold``, with shared, item_shingles, containment."""
+def without_items(documents: DataFrame, rows: list[tuple[int | None, str | None]], threshold: float, k: int) -> DataFrame:
+    """The rows of ``documents`` that contain none of one block of items; ids play no part."""
+    held = documents.sparkSession.sparkContext.broadcast(Items(rows, k, threshold))
+    at = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = held.value
+        for b in batches:
+            yield b.filter(pa.array([next(contained(items, t.as_py()), None) is None for t in b.column(at)], pa.bool_()))
+
+    return arrow_pass(documents, run, documents.schema)
+
+
+def blocks_of(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int | None, str | None]]]:
+    """The items in blocks; one block at least, which may be empty."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
-    out = None
     for n in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == n).collect()  # a block's bytes at most, on average
-        found = find_items(documents, [tuple(r) for r in rows], threshold, k)
+        yield [tuple(r) for r in rows]
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Every (doc_id, item_id) whose containment is at least ``threshold``, with shared, item_shingles, containment."""
+    out = None
+    for rows in blocks_of(benchmark, block_bytes):
+        found = find_items(documents, rows, threshold, k)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that contain no benchmark item. Rows with a null doc_id that contain one go as well."""
-    found = contaminated(documents, benchmark)
-    ids = found.select("doc_id").distinct().withColumn("__leak", F.lit(True))
-    return documents.join(ids, documents["doc_id"].eqNullSafe(ids["doc_id"]), "left_anti").select(*documents.columns)
+def decontaminate(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows that contain no benchmark item. Each is judged by its own text, whatever rows share its doc_id."""
+    for rows in blocks_of(benchmark, block_bytes):
+        documents = without_items(documents, rows, threshold, k)
+    return documents

@@ -177,26 +177,33 @@ def _compare_small(one: DataFrame, radius: int) -> DataFrame:
     return arrow_pass(ordered, run, "a long, b long")
 
 
+def _named(prints: DataFrame, radius: int) -> DataFrame:
+    """fp, least (smallest doc_id of the fingerprint), component (a fingerprint) of every distinct fingerprint."""
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    parts = connected_components(near_fingerprints(distinct, radius))
+    # Fingerprints without links are their own component.
+    return distinct.join(parts, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+
+
 def simhash_components(documents: DataFrame, k: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
     """doc_id, fingerprint (16 lowercase hex digits), component_id (smallest doc_id reachable) for every row."""
     prints = cut(fingerprints(documents, k, seed), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    distinct = cut(distinct, "distinct")
-    parts = connected_components(near_fingerprints(distinct, radius))
-    # A component's smallest doc_id, then each fingerprint's component; fingerprints without links are their own.
-    named = distinct.join(parts, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    named = _named(prints, radius)
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     member = named.select("fp", "component").join(smallest, "component").select("fp", "component_id")
     return prints.join(member, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(documents: DataFrame, k: int = 3, radius: int = 2) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id (of rows that repeat it, one).
+    """One row of each group stays: one with the smallest doc_id (null ids last), of those the one with the least key.
 
-    Rows whose doc_id is null can't be told apart by it and all stay.
+    A row's key is a 128-bit hash of all its columns, so repeated and null ids stay apart; of equal rows one stays.
     """
-    found = simhash_components(documents, k, radius)
-    stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    columns = documents.columns
-    kept = documents.join(stay, "doc_id", "left_semi").select(*columns).dropDuplicates(["doc_id"])
-    return kept.unionByName(documents.where("doc_id is null"))
+    names = [F.col(f"`{c}`") for c in documents.columns]
+    own = [*names, *(c.isNull() for c in names)]  # a null leaves the hash as it is
+    rows = documents.select(F.struct("*").alias("row"), "doc_id", "text", F.xxhash64(*own).alias("key"), F.xxhash64(F.lit("second"), *own).alias("key2"))
+    prints = cut(fingerprints(rows, k, keep=("doc_id", "key", "key2")), "fingerprints")
+    named = _named(prints, radius).select("fp", "component")
+    first = prints.join(named, "fp").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "key2")).alias("first"))
+    stay = first.select("first.key", "first.key2")
+    return rows.select("row", "key", "key2").join(stay, ["key", "key2"], "left_semi").dropDuplicates(["key", "key2"]).select("row.*")

@@ -91,6 +91,21 @@ def test_decontamination(spark, edge, docs):
     assert {r["doc_id"] for r in contamination.decontaminate(edge, own).collect()} == {3, 4, 5, 7}
 
 
+def test_rows_are_judged_by_themselves(spark):
+    """Null and repeated ids: a clean row stays whatever rows share its doc_id; of copies one stays."""
+    own = lambda s: " ".join(f"{s}{i * i % 1009}" for i in range(80))
+    item = " ".join(PROSE.split()[50:80])
+    rows = [(None, own("a"), "x"), (None, f"{own('b')} {item}", "x"), (None, own("c"), None), (7, own("d"), "x"), (7, f"{item} {own('e')}", "x"), (8, own("f"), "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    items = spark.createDataFrame([(1, item), (2, own("z")[:150])], "item_id long, text string")
+    clean = {r for r in rows if item not in r[1]}
+    assert {tuple(r) for r in contamination.decontaminate(table, items).collect()} == clean
+    assert {tuple(r) for r in contamination.decontaminate(table, items, block_bytes=100).collect()} == clean
+    more = [*rows, (None, own("c"), "other"), (None, own("a"), "x"), (9, own("f"), "x"), (7, own("d"), "x"), (None, own("f"), "x")]
+    kept = [tuple(r) for r in simhash.keep_one(spark.createDataFrame(more, table.schema)).collect()]
+    assert sorted(t for _, t, _ in kept) == sorted(t for _, t, _ in rows) and {i for i, t, _ in kept if t == own("f")} == {8}
+
+
 def test_toxicity(spark):
     bad = ["you are a stupid worthless idiot number {}", "hey YOU!!! 1d1ot loser {} pathetic", "trash you moron {} hate you"]
     good = ["the weather in town {} was fine today", "a report on item {} of the list", "we met at {} and had tea"]
