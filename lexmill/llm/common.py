@@ -18,10 +18,12 @@ BATCH_BYTES = 4 << 20
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below spark.checkpoint.dir, which driver and executors share.
 
-    Only where the session sets none (tests on one machine) is a folder of our own made.
+    Where the session sets none, a session on one machine (tests) gets a folder of its own; a cluster must set it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lexmill-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -46,10 +48,17 @@ def drop(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Set ``BATCH_BYTES`` for Arrow batches, the one session setting that the operators need; a smaller one of the user's stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(spark.conf.get(name)).rstrip("bB")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def arrow_pass(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` over batches that are bounded in bytes, so very long texts don't gather in one."""
-    conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    bound_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 

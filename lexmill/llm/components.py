@@ -28,15 +28,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Rows (node, component) for every node with a link to another; component is the least node reachable.
 
     Links may repeat, point either way or join a node to itself (ignored); those with a null end are
-    ignored. No links give no rows. Raises if ``rounds`` were too few (each halves the distances, at least).
+    ignored. No links give no rows. Rounds go on until nothing changes: each one takes a link's ends to no greater
+    ones and some to lesser ones until every node hangs on its component's least, so they end.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(f"{a} is not null and {b} is not null and {a} <> {b}").distinct()
     (e, path), before = written(e, "links"), None
-    for _ in range(rounds):
+    while True:
         (e, new), old = written(_small_star(_large_star(e)), "links"), path
         drop(e.sparkSession, old)
         path = new
@@ -45,7 +46,5 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

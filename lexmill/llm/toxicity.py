@@ -2,15 +2,17 @@
 
 Features of a whole text: densities of lexicon words, how near they stand to second-person words, shares of
 capitals and of punctuation, and rates of obfuscated spellings. The lexicon is a fixed list joined with words that
-labelled rows show to be telling: counts of distinct texts over all rows that may be learned from, kept where they
-are far commoner among toxic ones; the floor is fixed, so a language with few toxic rows is learned as well. A row
-that trees or calibration learn from sees the lexicon as it is without that row's text. Trees are Spark ML's, fitted
-on a bounded sample of labelled rows (``SAMPLE``), dealt by class and weighted back to the classes' sizes; a share of
-it is kept back for the isotonic fit. Scoring is row by row.
+labelled rows show to be telling: counts of distinct texts, kept where they are far commoner among toxic ones; the
+floor is fixed, so a language with few toxic rows is learned as well. A row that trees or calibration learn from sees
+the lexicon as it is without that row's text. All of it is fitted on a bounded sample of labelled rows (``SAMPLE``),
+dealt by class and weighted back to the classes' sizes; a share of it is kept back for the isotonic fit. The sample is
+drawn from the labels before they meet a text, so only its ids are sent to the documents and no text is shuffled.
+Trees are Spark ML's. Scoring is row by row and covers every document.
 
 Defined results: null, empty and wordless texts have features of zero and the score that follows from them;
-repeated labels of a document each count; labels that are null or without a document are left out; without both
-classes to learn from every score is the base rate (0 if there is none); null ids are scored, never learned from.
+repeated labels and repeated rows of a document each count; labels that are null or without a document are left out;
+without both classes to learn from every score is the base rate (0 if there is none); null ids are scored, never
+learned from; an empty table of documents gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from .common import arrow_pass, cut
 
-#: Bounds: rows learned from, learned lexicon words (memory of the driver and the tasks).
+#: Bounds: labels learned from, learned lexicon words (memory of the driver and the tasks).
 SAMPLE, LEARNED = 20_000, 50_000
 #: Distinct toxic texts that a learned word needs, and its least log odds.
 LEAST, ODDS = 5, 2.0
@@ -146,24 +148,32 @@ class Scorer:
         return self.calibration.transform(raw).select("row.*", F.least(F.lit(1.0), F.greatest(F.lit(0.0), "prediction")).alias("score"))
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Scorer:
-    """Learn from columns doc_id, text and toxic (0 or 1).
+def deal(marks: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """At most about ``sample`` of the labels (doc_id, toxic: 0 or 1) with weight, those with the least hash of the id.
 
-    Trees and calibration take at most about ``sample`` rows, those with the least hash: half of them of either
-    class, more where the other has fewer, each weighted by the rows of its class that it stands for.
+    Half are of either class, more where the other has fewer; a weight is the number of rows that one stands for.
     """
-    rows = labelled.where("toxic in (0, 1)").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    size = rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
-    n, toxic = size["n"], size["toxic"] or 0
+    size = marks.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
+    toxic = size["toxic"] or 0
+    clean = size["n"] - toxic
+    share = {1: min(1.0, max(sample / 2, sample - clean) / max(toxic, 1)), 0: min(1.0, max(sample / 2, sample - toxic) / max(clean, 1))}
+    of_class = lambda x: F.when(F.col("toxic") == 1, F.lit(x[1])).otherwise(F.lit(x[0]))
+    dealt = marks.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < of_class({y: int(p * (1 << 30)) for y, p in share.items()}))
+    return dealt.withColumn("weight", of_class({y: 1.0 / p for y, p in share.items()}))
+
+
+def fit(documents: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Scorer:
+    """Learn from ``documents`` (doc_id, text) and ``marks`` (doc_id and toxic, 0 or 1), a sample of at most about ``sample`` labels."""
+    few = cut(deal(marks.select("doc_id", F.col("toxic").cast("int").alias("toxic")), sample), "sampled-labels")
+    # At most about ``sample`` ids and weights: the one broadcast, whatever the tables' sizes.
+    rows = cut(documents.select("doc_id", "text").join(F.broadcast(few), "doc_id"), "labelled-sample")
+    size = rows.agg(F.sum("weight").alias("n"), F.sum(F.col("toxic") * F.col("weight")).alias("toxic")).first()
+    n, toxic = size["n"] or 0.0, size["toxic"] or 0.0
     if not toxic or toxic == n:
         return Scorer(frozenset(), None, None, toxic / n if n else 0.0)
     learned, *without = learn_lexicon(rows)
-    share = {1: min(1.0, max(sample / 2, sample - (n - toxic)) / toxic), 0: min(1.0, max(sample / 2, sample - toxic) / (n - toxic))}
-    of_class = lambda x: F.when(F.col("toxic") == 1, F.lit(x[1])).otherwise(F.lit(x[0]))
-    few = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < of_class({y: int(p * (1 << 30)) for y, p in share.items()}))
     part = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(3)).alias("part")
-    weight = of_class({y: 1.0 / p for y, p in share.items()}).alias("weight")
-    x = cut(add_features(few.select("text", "toxic", part, weight), learned, tuple(without)).select(array_to_vector("features").alias("features"), "toxic", "part", "weight"), "toxic-sample")
+    x = cut(add_features(rows.select("text", "toxic", part, "weight"), learned, tuple(without)).select(array_to_vector("features").alias("features"), "toxic", "part", "weight"), "toxic-features")
     train, kept_back = x.where("part < 2"), x.where("part = 2")
     if train.select("toxic").distinct().count() < 2 or kept_back.isEmpty():
         return Scorer(frozenset(), None, None, toxic / n)
@@ -178,6 +188,5 @@ HELD_OUT = "crc32(cast(cast(doc_id as string) as binary)) % 3 = 1"
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document; learned from labels of rows that are not held out."""
     marks = labels.where(f"toxic in (0, 1) and not ({HELD_OUT})").select("doc_id", "toxic")
-    labelled = cut(documents.select("doc_id", "text").join(marks, "doc_id"), "labelled")
     rows = documents.select("doc_id", F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held_out"), "text")
-    return fit(labelled).score(rows).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return fit(documents, marks).score(rows).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
