@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of one Arrow batch handed to Python. Long texts make a batch of few rows.
 BATCH_BYTES = 4 << 20
@@ -62,6 +63,13 @@ def arrow_pass(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(fn, schema)
 
 
+def row_keys(df: DataFrame) -> tuple[Column, Column]:
+    """key and key2: a 128-bit hash of all columns of a row, so that repeated and null ids stay apart; equal rows have equal ones."""
+    names = [F.col(f"`{c}`") for c in df.columns]
+    own = [*names, *(c.isNull() for c in names)]  # a null leaves the hash as it is
+    return F.xxhash64(*own).alias("key"), F.xxhash64(F.lit("second"), *own).alias("key2")
+
+
 def batch(**columns: pa.Array | list | np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 

@@ -1,33 +1,27 @@
 """Line dedup by distinct-site spread: lines that many sites share are boilerplate and are removed.
 
-A HyperLogLog sketch of the sites of each line hash is built by partial aggregation and merged by line hash. Lines
-whose estimate is clearly above the threshold are boilerplate, those clearly below are not, and those within the
-sketch's error get exact distinct counts. Lines that occur fewer times than the threshold are left out before the
-sketches: they cannot reach it.
+One aggregation by line hash counts its occurrences and builds a HyperLogLog sketch of its sites; both are built before
+the shuffle, so a line that a third of all rows have reaches the shuffle as one row a task. Lines whose estimate is
+clearly above the threshold are boilerplate, those clearly below are not, and those within the sketch's error get exact
+distinct counts. Lines of a document that are boilerplate are found by a join on the line hash and are handed to their
+row by a join on a 128-bit hash of all its columns; Spark broadcasts either small side if it is small.
 
 A line's key is its text without blanks, tabs and carriage returns at the ends; blank lines are never removed.
 Defined results: null texts stay null; null sites count as one site; empty tables give empty results; every row
-stays, perhaps with an empty text; repeated rows count once for each site, like other lines of that site.
+stays, perhaps with an empty text; repeated rows count once for each site, like other lines of that site; null and
+repeated ids play no part; columns of the input that are named like the added ones are replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import arrow_pass, cut
+from .common import cut, row_keys
 
 #: Sites from which a line is boilerplate.
 MIN_SITES = 10
 LG_K = 11
-#: Line hashes up to which the boilerplate set is sent to all executors (8 bytes each); beyond, it is joined.
-SENT = 1_000_000
 BLANK = " \t\r"
 
 
@@ -40,82 +34,37 @@ def line_spread(documents: DataFrame, min_sites: int = MIN_SITES, site: str = "s
     where = F.coalesce(F.col(site), F.lit("")) if dict(documents.dtypes)[site] == "string" else F.coalesce(F.col(site).cast("string"), F.lit(""))
     lines = documents.select(where.alias("site"), F.explode(F.split("text", "\n")).alias("line")).select("site", _key(F.col("line")).alias("line")).where("line <> ''")
     lines = cut(lines.select("site", F.xxhash64("line").alias("line")), "lines")
-    often = lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("line")
-    sketches = lines.join(often, "line", "left_semi").groupBy("line").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"))
-    estimates = cut(sketches.select("line", F.hll_sketch_estimate("sketch").alias("sites")), "spread")
+    counted = lines.groupBy("line").agg(F.count("*").alias("n"), F.hll_sketch_agg("site", LG_K).alias("sketch")).where(F.col("n") >= min_sites)
+    estimates = cut(counted.select("line", F.hll_sketch_estimate("sketch").alias("sites")), "spread")
     error = 3 * 1.04 / (2**LG_K) ** 0.5
     low, high = min_sites * (1 - error), min_sites * (1 + error)
     sure = estimates.where(F.col("sites") > high).select("line")
     near = estimates.where((F.col("sites") >= low - 1) & (F.col("sites") <= high)).select("line")
-    exact = lines.join(near, "line", "left_semi").groupBy("line", "site").count().groupBy("line").agg(F.count("*").alias("sites"))
+    # Distinct pairs first, unless the few lines can be broadcast: the optimizer then puts the join first by itself.
+    exact = lines.distinct().join(near, "line", "left_semi").groupBy("line").agg(F.count("*").alias("sites"))
     return sure.union(exact.where(F.col("sites") >= min_sites).select("line"))
 
 
-def remove_lines(documents: DataFrame, lines: DataFrame, sent: int = SENT) -> DataFrame:
-    """``documents`` with the lines whose hash is in ``lines`` removed from text; adds n_lines and n_removed.
-
-    A set of up to ``sent`` hashes goes to all executors; a larger one is joined by line hash, which moves hashes
-    and row numbers first and the texts once.
-    """
-    return _remove_sent(documents, lines) if lines.limit(sent + 1).count() <= sent else _remove_joined(documents, lines)
-
-
-def _kind(documents: DataFrame) -> StructType:
-    return StructType([*documents.schema.fields, StructField("n_lines", LongType()), StructField("n_removed", LongType())])
-
-
-def _remove_sent(documents: DataFrame, lines: DataFrame) -> DataFrame:
-    spark, names = documents.sparkSession, documents.columns
-    found = np.sort(np.array([r[0] for r in lines.collect()], np.int64))  # at most ``sent`` longs, checked above
-    held = spark.sparkContext.broadcast(found)
-    at = names.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gone = set(held.value.tolist())
-        digest = xxhash.xxh64_intdigest
-        for b in batches:
-            texts, total, removed = [], [], []
-            for t in b.column(at):
-                text = t.as_py()
-                if text is None:
-                    texts.append(None), total.append(0), removed.append(0)
-                    continue
-                ls = text.split("\n")
-                kept = []
-                for line in ls:
-                    key = line.strip(BLANK)
-                    if key:
-                        h = digest(key.encode("utf-8", "surrogatepass"), 42)
-                        if (h - (1 << 64) if h >> 63 else h) in gone:
-                            continue
-                    kept.append(line)
-                texts.append(text if len(kept) == len(ls) else "\n".join(kept)), total.append(len(ls)), removed.append(len(ls) - len(kept))
-            columns = [*b.columns]
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(removed, pa.int64())], [*names, "n_lines", "n_removed"])
-
-    return arrow_pass(documents, run, _kind(documents))
-
-
-def _remove_joined(documents: DataFrame, lines: DataFrame) -> DataFrame:
-    # A row's own key: repeated doc_ids and null ids stay apart, and no column name can clash.
-    own = F.xxhash64(*(F.col(f"`{c}`") for c in documents.columns))
-    rows = documents.withColumn("__row", own)
-    parts = rows.select("__row", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), lambda x: F.xxhash64(_key(x))))).alias("line"))
-    hit = parts.join(lines, "line", "left_semi").groupBy("__row").agg(F.collect_set("line").alias("__gone"))
+def remove_lines(documents: DataFrame, lines: DataFrame) -> DataFrame:
+    """``documents`` with the lines whose hash is in ``lines`` removed from text; adds n_lines and n_removed."""
+    documents = documents.drop("n_lines", "n_removed")
     split = F.split("text", "\n")
-    joined = rows.join(hit, "__row", "left").withColumn("__gone", F.coalesce("__gone", F.array().cast("array<bigint>")))
-    kept = F.filter(split, lambda x: (_key(x) == "") | ~F.array_contains("__gone", F.xxhash64(_key(x))))
-    counted = joined.withColumn("__kept", kept).withColumn("n_lines", F.coalesce(F.size(split), F.lit(0)).cast("long"))
-    counted = counted.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).cast("long"))
-    counted = counted.withColumn("n_removed", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines") - F.size("__kept")).cast("long"))
-    text = F.array_join("__kept", "\n")
-    return counted.select(*(text.alias("text") if c == "text" else F.col(f"`{c}`") for c in documents.columns), "n_lines", "n_removed")
-
-
-def line_dedup(documents: DataFrame, min_sites: int = MIN_SITES, sent: int = SENT) -> DataFrame:
+    rows = documents.select(F.struct("*").alias("row"), "text", *row_keys(documents))
+    parts = rows.select("key", "key2", F.explode(F.array_distinct(F.transform(split, lambda x: F.xxhash64(_key(x))))).alias("line"))
+    hits = cut(parts.join(lines, "line", "left_semi").groupBy("key", "key2").agg(F.collect_set("line").alias("gone")), "boilerplate-of-rows")  # a row's own lines
+    joined = rows.join(hits, ["key", "key2"], "left")
+    kept = F.filter(split, lambda x: (_key(x) == "") | ~F.array_contains("gone", F.xxhash64(_key(x))))
+    left = joined.select("row", "text", "gone", F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"), F.when(F.col("gone").isNotNull(), kept).alias("kept"))
+    hit = F.col("kept").isNotNull()
+    new = F.when(hit, F.array_join("kept", "\n")).otherwise(F.col("text")).alias("text")
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).cast("long")
+    n_removed = F.when(hit, F.col("n_lines") - F.size("kept")).otherwise(0).cast("long")
+    return left.select(*(new if c == "text" else F.col("row").getField(c).alias(c) for c in documents.columns), n_lines.alias("n_lines"), n_removed.alias("n_removed"))
+
+
+def line_dedup(documents: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """All documents without cross-site boilerplate lines; adds n_lines and n_removed."""
-    return remove_lines(documents, cut(line_spread(documents, min_sites), "boilerplate"), sent)
+    return remove_lines(documents, cut(line_spread(documents, min_sites), "boilerplate"))
 
 
 def strip_boilerplate(documents: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_pass, cut
+from .common import arrow_pass, cut, row_keys
 from .components import connected_components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -199,9 +199,7 @@ def keep_one(documents: DataFrame, k: int = 3, radius: int = 2) -> DataFrame:
 
     A row's key is a 128-bit hash of all its columns, so repeated and null ids stay apart; of equal rows one stays.
     """
-    names = [F.col(f"`{c}`") for c in documents.columns]
-    own = [*names, *(c.isNull() for c in names)]  # a null leaves the hash as it is
-    rows = documents.select(F.struct("*").alias("row"), "doc_id", "text", F.xxhash64(*own).alias("key"), F.xxhash64(F.lit("second"), *own).alias("key2"))
+    rows = documents.select(F.struct("*").alias("row"), "doc_id", "text", *row_keys(documents))
     prints = cut(fingerprints(rows, k, keep=("doc_id", "key", "key2")), "fingerprints")
     named = _named(prints, radius).select("fp", "component")
     first = prints.join(named, "fp").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "key2")).alias("first"))

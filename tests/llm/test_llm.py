@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lexmill.llm import audio, bpe, contamination, langid, linededup, paradedup, pii, simhash, toxicity, warc
+from lexmill.llm.common import shared_folder
 from lexmill.llm.components import connected_components
 
 SMALL = "/root/testdata/sf0.001"
@@ -146,9 +147,17 @@ def brute_lines(rows, least=10):
 def test_lines(spark, edge, docs):
     rows = [(100 * n + s, f"shared by {n}\nown {n} {s}\n\n", f"s{s}") for n in (8, 9, 10, 11, 12) for s in range(n)]
     table = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    for sent in (1_000_000, 0):
-        got = {r["doc_id"]: r["text"] for r in linededup.line_dedup(table, sent=sent).collect()}
+    for threshold in ("10485760", "-1"):  # the small sides broadcast, and joined
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        got = {r["doc_id"]: r["text"] for r in linededup.line_dedup(table).collect()}
         assert got == dict(brute_lines(rows))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    odd = spark.createDataFrame([(None, "shared by 12\nkept", "s1", 7, "x"), (None, None, None, None, None), (5, "", "s2", 1, "y"), (5, "shared by 12", "s3", 1, "y")], "doc_id long, text string, source string, n_lines int, key string")
+    both = table.select("*", F.lit(0).alias("n_lines"), F.lit("z").alias("key")).unionByName(odd)
+    done = linededup.line_dedup(both).where("key <> 'z' or key is null")
+    assert sorted(map(str, done.select("doc_id", "text", "n_lines", "n_removed", "key").collect())) == sorted(
+        map(str, spark.createDataFrame([(None, "kept", 2, 1, "x"), (None, None, 0, 0, None), (5, "", 1, 0, "y"), (5, "", 1, 1, "y")], "doc_id long, text string, n_lines long, n_removed long, key string").collect())
+    )
     stripped = linededup.strip_boilerplate(edge)
     assert stripped.columns == edge.columns and stripped.count() == edge.count()
     assert linededup.line_dedup(edge.limit(0).select("doc_id", "text", "source")).count() == 0
@@ -175,6 +184,16 @@ def test_warc(spark):
         assert (got[i]["payload_bytes"], got[i]["payload_digest"]) == (len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode())
         assert (got[i]["record_type"], got[i]["refers_to"]) == (("response", None) if first == i else ("revisit", first))
     assert warc.warc_round_trip(pages.limit(0)).count() == 0
+    # Repeated and null ids: one record a row, no payload lost.
+    rows = [(1, "A"), (2, "A"), (2, "B"), (3, "C"), (3, "C"), (0, "C"), (-1, "D"), (3, "D"), (None, "A"), (None, None)]
+    folder = shared_folder(spark, "warc-test")
+    table = spark.createDataFrame([(i, None, h) for i, h in rows], "page_id long, url string, html string")
+    read = warc.read_warc(warc.write_warc(table, folder), folder).collect()
+    assert len(read) == len(rows) and {r["payload"].decode() for r in read if r["payload"] is not None} == {"A", "B", "C", "D", ""}
+    got = sorted((r["id"] if r["id"] is not None else 99, r["record_type"], r["refers_to"]) for r in read)
+    key = lambda i, h: min(j for j, g in rows if g == h and j is not None) if h else None
+    want = sorted((99 if i is None else i, *(("response", None) if i is None or i == key(i, h) else ("revisit", key(i, h)))) for i, h in rows)
+    assert got == want
     assert list(warc.coalesced([(0, 10), (12, 5), (1000, 5)], gap=10)) == [(0, 17, [(0, 10), (12, 5)]), (1000, 1005, [(1000, 5)])]
 
 
