@@ -10,8 +10,9 @@ Of records with equal payloads of at least ``least`` bytes, the one with the sma
 others revisit it. Only ids and digests are grouped, after partial aggregation, so a payload that a third of all
 pages share costs no more than any other.
 
-Defined results: a null payload counts as empty; a null url is written as an empty one; rows with null ids can
-neither be referred to nor be revisits; repeated ids with equal payloads are both responses (neither is smaller).
+Defined results: every row is one record; a null payload counts as empty; a null url is written as an empty one; rows
+with null ids can neither be referred to nor be revisits; repeated ids are told apart by their payloads, and with equal
+payloads both are responses (neither is smaller); an empty table writes no archive and returns no rows.
 """
 
 from __future__ import annotations
@@ -48,10 +49,10 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def revisits(rows: DataFrame, least: int = 0) -> DataFrame:
-    """(id, refers_to) of the rows that revisit another; ``rows`` has id and payload (binary)."""
-    keyed = rows.where(F.length("payload") >= least).select("id", F.sha1("payload").alias("sha"), F.length("payload").alias("n"))
+    """(id, sha, n, refers_to) of the rows that revisit another, once each; ``rows`` has id, sha and n (digest and bytes of the payload)."""
+    keyed = rows.where(F.col("n") >= least).select("id", "sha", "n")
     first = keyed.groupBy("sha", "n").agg(F.min("id").alias("refers_to"), F.count("*").alias("copies")).where("copies > 1")
-    return keyed.join(first.drop("copies"), ["sha", "n"]).where("id > refers_to").select("id", "refers_to").distinct()
+    return keyed.join(first.drop("copies"), ["sha", "n"]).where("id > refers_to").distinct()
 
 
 def _record(id_: int | None, url: str, payload: bytes, refers_to: int | None) -> tuple[bytes, str]:
@@ -81,8 +82,9 @@ def gzip_member(data: bytes, level: int = 6) -> bytes:
 def write_warc(pages: DataFrame, folder: str, id_: str = "page_id", url: str = "url", payload: str = "html", least: int = 0) -> DataFrame:
     """Write every row as a record below ``folder`` (a URI that all executors reach) and return the index."""
     rows = pages.select(F.col(id_).cast("long").alias("id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(payload), F.lit("")).cast("binary").alias("payload"))
+    rows = rows.withColumn("sha", F.sha1("payload")).withColumn("n", F.length("payload"))
     again = cut(revisits(rows, least), "revisits")
-    dealt = rows.join(again, "id", "left")
+    dealt = rows.join(again, ["id", "sha", "n"], "left").select("id", "url", "payload", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = filesystem(folder)
