@@ -2,11 +2,15 @@
 
 Document frequencies of hashed 1- to 3-grams are counted over all documents that may be learned from. The weights
 are fitted by follow-the-regularised-leader with elastic-net penalties (proximal, per-coordinate rates) on a bounded
-sample of them (``SAMPLE`` rows of each language, those with the least hash), then a temperature is fitted on rows
-of the sample kept back. Prediction is row by row in Arrow batches, over whole texts.
+sample of them (``SAMPLE`` distinct texts of each language, those with the least hash), then a temperature is fitted on
+rows of the sample kept back. Whole texts become n-gram counts in the tasks, so a row of the sample has at most ``DIM``
+entries however long its text. Every language that has a text with a letter is learned; the weights take ``DIM``
+numbers for each. Prediction is row by row in Arrow batches, over whole texts.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; ties go to the language that
-sorts first; with no row to learn from every text is ``und``; null languages are never learned.
+sorts first; with no row to learn from every text is ``und``; null languages are never learned; repeated texts of a
+language are learned once and count in the frequencies each; columns of the input that are named like the added ones
+are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,17 +20,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import arrow_pass, mix
+from .common import arrow_pass
 
 #: Hashed features, n-gram lengths, characters handled at a time.
 DIM, GRAMS, PIECE = 1 << 15, (1, 2, 3), 1 << 18
-#: Bounds of what is learned from: rows of each language, of all, characters of a row, languages.
-SAMPLE, SAMPLE_ROWS, SAMPLE_CHARS, LANGUAGES = 1500, 8000, 20_000, 64
+#: Bounds of what is learned from: distinct texts of each language and of all, n-gram entries of all; one text of each
+#: language is always taken.
+SAMPLE, SAMPLE_ROWS, SAMPLE_ENTRIES = 1500, 8000, 1 << 24
 UNKNOWN = "und"
+#: The elastic net: what a sum of gradients must exceed for a weight, and the shrinkage of weights.
+L1, L2 = 0.1, 1e-3
 
 
 def gram_counts(text: str) -> np.ndarray:
@@ -51,28 +58,48 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def document_frequencies(labelled: DataFrame) -> tuple[np.ndarray, dict[str, int]]:
-    """Document frequency of every hashed n-gram and rows of each language, over all rows of text and lang."""
+def document_frequencies(labelled: DataFrame) -> tuple[np.ndarray, int]:
+    """Document frequency of every hashed n-gram and the number of rows, over all rows of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, rows = np.zeros(DIM, np.int64), Counter()
+        df, rows = np.zeros(DIM + 1, np.int64), 0
         for b in batches:
-            for t, lang in zip(b.column(0), b.column(1), strict=True):
-                df += gram_counts(t.as_py()) > 0
-                rows[lang.as_py()] += 1
+            for t in b.column(0):
+                df[:DIM] += gram_counts(t.as_py()) > 0
+                rows += 1
+        df[DIM] = rows
         used = np.flatnonzero(df)
-        langs = [*rows, *[None] * len(used)]
-        yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()), "feature": pa.array([*[None] * len(rows), *used.tolist()], pa.int32()), "n": pa.array([*rows.values(), *df[used].tolist()], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"feature": pa.array(used, pa.int32()), "n": pa.array(df[used], pa.int64())})
 
-    total, rows = np.zeros(DIM, np.int64), {}
-    counts = arrow_pass(labelled.select("text", "lang"), run, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
-    # DIM rows and the commonest languages at most
-    for r in counts.where("feature is null").orderBy(F.desc("n"), "lang").limit(LANGUAGES).union(counts.where("feature is not null")).collect():
-        if r["feature"] is None:
-            rows[r["lang"]] = r["n"]
-        else:
-            total[r["feature"]] = r["n"]
-    return total, rows
+    total = np.zeros(DIM + 1, np.int64)
+    for r in arrow_pass(labelled.select("text"), run, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect():  # DIM + 1 rows at most
+        total[r["feature"]] = r["n"]
+    return total[:DIM], int(total[DIM])
+
+
+def learning_rows(labelled: DataFrame, sample: int) -> list[tuple[np.ndarray, np.ndarray, str]]:
+    """(n-grams, counts, lang) of the sample, in the order of its hashes."""
+    h = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 40))
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()}  # one row a language
+    if not sizes:
+        return []
+    each, entries = max(1, min(sample, SAMPLE_ROWS // len(sizes))), max(1, SAMPLE_ENTRIES // len(sizes))
+    known = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, (1.5 * each + 20) / n) * (1 << 40)))])
+    # A share by hash with room to spare, so that no sort of all rows is needed.
+    some = labelled.where(h < F.element_at(known, F.col("lang"))).groupBy("lang", "text").count().select("lang", "text", h.alias("h"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts = [gram_counts(t.as_py()) for t in b.column(1)]
+            at = [np.flatnonzero(c) for c in counts]
+            columns = [b.column(0), b.column(2), pa.array([x.tolist() for x in at], pa.list_(pa.int32())), pa.array([c[x].tolist() for c, x in zip(counts, at, strict=True)], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "h", "at", "counts"])
+
+    rows = arrow_pass(some, run, "lang string, h long, at array<int>, counts array<int>")
+    w = Window.partitionBy("lang").orderBy("h", F.size("at"), F.xxhash64("at", "counts"))  # the share of a language: some thousand rows
+    ranked = rows.withColumn("k", F.row_number().over(w)).withColumn("sum", F.sum(F.size("at")).over(w))
+    taken = ranked.where((F.col("k") == 1) | ((F.col("k") <= each) & (F.col("sum") <= entries))).orderBy("h", "lang", "k")
+    return [(np.array(r["at"], np.int64), np.array(r["counts"], np.int64), r["lang"]) for r in taken.select("lang", "at", "counts").collect()]
 
 
 class Model:
@@ -84,20 +111,20 @@ class Model:
         self.bias = np.zeros(len(languages))
         self.temperature = 1.0
 
-    def features(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        counts = gram_counts(text)
-        at = np.flatnonzero(counts)
-        x = np.log1p(counts[at]) * self.idf[at]
-        return at, x / max(float(np.sqrt(x @ x)), 1e-12)
+    def weighted(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """TF-IDF of the n-grams ``at``, of length one."""
+        x = np.log1p(counts) * self.idf[at]
+        return x / max(float(np.sqrt(x @ x)), 1e-12)
 
-    def logits(self, text: str) -> np.ndarray:
-        at, x = self.features(text)
-        return x @ self.w[at] + self.bias
+    def logits(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return self.weighted(at, counts) @ self.w[at] + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
-        p = softmax(self.logits(text) / self.temperature)
+        counts = gram_counts(text)
+        at = np.flatnonzero(counts)
+        p = softmax(self.logits(at, counts[at]) / self.temperature)
         k = int(np.argmax(p))
         return self.languages[k], float(p[k])
 
@@ -107,11 +134,11 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit_ftrl(model: Model, rows: list[tuple[str, str]], alpha: float = 0.5, beta: float = 1.0, l1: float = 1e-3, l2: float = 1e-3, epochs: int = 4) -> None:
+def fit_ftrl(model: Model, rows: list[tuple[np.ndarray, np.ndarray, str]], alpha: float = 0.5, beta: float = 1.0, l1: float = L1, l2: float = L2, epochs: int = 4) -> None:
     """Follow the (proximally) regularised leader: accumulated gradients with elastic-net shrinkage."""
     k = len(model.languages)
     z, n = np.zeros((DIM + 1, k)), np.zeros((DIM + 1, k))
-    data = [(*model.features(t), model.languages.index(lang)) for t, lang in rows]
+    data = [(at, model.weighted(at, counts), model.languages.index(lang)) for at, counts, lang in rows]
     rng = np.random.default_rng(7)
 
     def weights(at: np.ndarray) -> np.ndarray:
@@ -132,49 +159,42 @@ def fit_ftrl(model: Model, rows: list[tuple[str, str]], alpha: float = 0.5, beta
     model.w, model.bias = w[:DIM], w[DIM]
 
 
-def fit_temperature(model: Model, rows: list[tuple[str, str]]) -> None:
+def fit_temperature(model: Model, rows: list[tuple[np.ndarray, np.ndarray, str]]) -> None:
     """The temperature with the least log loss on rows kept back, from a fixed grid."""
     if not rows:
         return
-    z = np.stack([model.logits(t) for t, _ in rows])
-    y = np.array([model.languages.index(lang) for _, lang in rows])
+    z = np.stack([model.logits(at, counts) for at, counts, _ in rows])
+    y = np.array([model.languages.index(lang) for _, _, lang in rows])
     grid = np.geomspace(0.02, 20, 121)
     loss = [-np.mean(np.log(np.maximum(softmax(z / t)[np.arange(len(y)), y], 1e-12))) for t in grid]
     model.temperature = float(grid[int(np.argmin(loss))])
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from columns text and lang.
+    """Learn from columns text and lang: ``sample`` distinct texts of each language at most (see the bounds above).
 
-    ``sample`` distinct texts of each language at most, of up to ``SAMPLE_CHARS`` characters, and no more than
-    ``SAMPLE_ROWS`` in all are gathered: those with the least hash.
+    Every fifth text of a language is kept back for the temperature, its first ones never.
     """
-    usable = labelled.where("lang is not null and text is not null").select("text", F.col("lang").cast("string").alias("lang"))
-    df, sizes = document_frequencies(usable)
-    languages = sorted(sizes)
-    model = Model(languages, np.log((1 + sum(sizes.values())) / (1 + df)) + 1)
-    if not languages:
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", F.col("lang").cast("string").alias("lang"))
+    df, n = document_frequencies(usable)
+    rows = learning_rows(usable, sample)
+    model = Model(sorted({lang for _, _, lang in rows}), np.log((1 + n) / (1 + df)) + 1)
+    if not rows:
         return model
-    each = max(1, min(sample, SAMPLE_ROWS // len(languages)))
-    h = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 40))
-    wanted = F.lit(False)
-    for lang, n in sizes.items():  # a share by hash with room to spare, so that no sort of all rows is needed
-        wanted = wanted | ((F.col("lang") == lang) & (h < int(min(1.0, (1.5 * each + 20) / n) * (1 << 40))))
-    some = usable.where(wanted & (F.length("text") <= SAMPLE_CHARS)).groupBy("lang", "text").count().orderBy(h, "lang", "text").limit(2 * SAMPLE_ROWS)
-    rows, seen = [], Counter()
-    for r in some.collect():
-        seen[r["lang"]] += 1
-        if seen[r["lang"]] <= each and has_letter(r["text"]):
-            rows.append((r["text"], r["lang"]))
-    fit_ftrl(model, [x for i, x in enumerate(rows) if i % 5 != 4])
-    fit_temperature(model, [x for i, x in enumerate(rows) if i % 5 == 4])
+    seen, own, kept_back = Counter(), [], []
+    for row in rows:
+        seen[row[2]] += 1
+        (own if seen[row[2]] % 5 else kept_back).append(row)
+    fit_ftrl(model, own)
+    fit_temperature(model, kept_back)
     return model
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
-    """Add lang_pred and score (calibrated probability of that language)."""
+    """Add lang_pred and score (calibrated probability of that language), in place of columns of these names."""
+    documents = documents.drop("lang_pred", "score")
     names = documents.columns
-    held = documents.sparkSession.sparkContext.broadcast(model)  # DIM x 64 weights at most
+    held = documents.sparkSession.sparkContext.broadcast(model)  # DIM weights a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
