@@ -1,28 +1,27 @@
 """SimHash near-duplicates: 64-bit fingerprints, and exact comparison of them in tiles.
 
-Comparing every fingerprint with every other is quadratic, so tiles are cut inside buckets that lose no link:
-of ``BLOCKS`` parts of two fingerprints that differ in ``radius`` bits, at least ``BLOCKS - radius`` are equal,
-so every choice of that many parts keys a bucket. In a bucket, distinct fingerprints are ordered by population
-count and cut into tiles of ``TILE``; a pair of tiles is skipped when their population counts differ beyond the
-radius, else numpy takes the exclusive-or of all and counts the bits. A large bucket is spread: each pair of tiles
-is a group of its own. A comparison returns a spanning forest of the links it found (at most one link for each
-fingerprint), which has the same components as all the links.
+Comparing every fingerprint with every other is quadratic, so tiles are cut inside buckets that lose no link: of
+``radius + 1`` parts of two fingerprints that differ in ``radius`` bits at least one is equal, so every part keys a
+bucket. In each bucket, whatever its size, distinct fingerprints are ordered by population count and cut into tiles of
+about ``TILE``; a pair of tiles is a group of its own, so a large bucket is spread over tasks, and pairs of tiles whose
+population counts differ beyond the radius are never made. In a group numpy takes the exclusive-or of neighbours at
+growing distances in that order and counts the bits; a row leaves when its neighbour's population count is beyond the
+radius. Links that close a ring are left out, so a group gives fewer links than it has fingerprints.
 
 Defined results: null, empty and wordless texts have fingerprint zero and are linked like any other; a null
-doc_id is kept with its fingerprint's component; an empty table gives no rows; repeated rows are kept.
+doc_id is kept with its fingerprint's component (null if no row of it has an id); an empty table gives no rows;
+repeated rows are kept.
 """
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_pass, cut, row_keys
@@ -30,7 +29,6 @@ from .components import connected_components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-BLOCKS = 4
 TILE = 2048
 #: Shingles whose bits are counted at a time.
 CHUNK = 1 << 15
@@ -73,108 +71,88 @@ def fingerprints(documents: DataFrame, k: int = 3, seed: int = 42, keep: tuple[s
     return arrow_pass(df, run, f"{kind}, fp long")
 
 
-def _forest(left: np.ndarray, right: np.ndarray, radius: int, same: bool) -> list[tuple[int, int]]:
-    """Links between two tiles, less those that close a ring."""
-    label = np.arange(len(left) + (0 if same else len(right)))
-    shift = 0 if same else len(left)
-    out = []
-    for i, x in enumerate(left):
-        at = i + 1 if same else 0
-        near = np.flatnonzero(np.bitwise_count(right[at:] ^ x) <= radius) + at
-        near = near[label[near + shift] != label[i]]
-        while len(near):
-            j = int(near[0])
-            label[label == label[j + shift]] = label[i]
-            out.append((int(x), int(right[j])))
-            near = near[label[near + shift] != label[i]]
-    return out
-
-
-def near_fingerprints(distinct: DataFrame, radius: int = 2, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
+def near_links(fp: np.ndarray, ones: np.ndarray, ends: np.ndarray, side: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of groups laid end to end, each ordered by population count (``ones``), less those that close a ring.
+
+    ``ends`` is where a row's group ends. Rows of different ``side`` are compared; side 0 is compared with itself too
+    where the whole group has it.
+    """
+    label, out = np.arange(len(fp)), []
+    active, d = np.arange(len(fp)), 0
+    while len(active):
+        d += 1
+        active = active[active + d < ends[active]]
+        active = active[ones[active + d] - ones[active] <= radius]  # in order: what is beyond now stays beyond
+        other = active + d
+        meet = (side[active] != side[other]) | (side[active] == 2)
+        i, j = active[meet], other[meet]
+        near = np.bitwise_count(fp[i] ^ fp[j]) <= radius
+        i, j = i[near], j[near]
+        new = label[i] != label[j]
+        if not new.any():
+            continue
+        top: dict[int, int] = {}  # of the labels that meet in this step
+
+        def find(x: int, top: dict[int, int] = top) -> int:
+            while top.get(x, x) != x:
+                x = top[x]
+            return x
+
+        for x, y in zip(i[new].tolist(), j[new].tolist(), strict=True):
+            u, v = find(int(label[x])), find(int(label[y]))
+            if u != v:
+                top[max(u, v)] = min(u, v)
+                out.append((x, y))
+        olds = np.array(sorted(top))
+        moved = np.isin(label, olds)
+        label[moved] = np.array([find(int(x)) for x in olds])[np.searchsorted(olds, label[moved])]
+    pairs = np.array(out, np.int64).reshape(-1, 2)
+    return fp[pairs[:, 0]], fp[pairs[:, 1]]
+
+
+def near_fingerprints(distinct: DataFrame, radius: int = 2, tile: int = TILE) -> DataFrame:
     """Links (a, b) of distinct fingerprints (column fp) that span all pairs within ``radius`` bits."""
-    if not radius < blocks <= 16:
-        raise ValueError("radius < blocks <= 16 is needed")
-    bounds = [64 * i // blocks for i in range(blocks + 1)]
-    masks = []
-    for kept in itertools.combinations(range(blocks), blocks - radius):
-        mask = 0
-        for i in kept:
-            mask |= ((1 << (bounds[i + 1] - bounds[i])) - 1) << bounds[i]
-        masks.append(signed(mask))
-    keyed = distinct.select(
-        "fp",
-        F.bit_count("fp").alias("ones"),
-        F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks))).alias("part", "key"),
-    )
-    # Sizes by key and population count; a running sum places each population count in its tiles. The groups
-    # are at most 65 a key, whatever the key's size.
-    sizes = keyed.groupBy("part", "key", "ones").agg(F.count("*").alias("n"))
-    levels = sizes.groupBy("part", "key").agg(F.sort_array(F.collect_list(F.struct("ones", "n"))).alias("levels"), F.sum("n").alias("total")).where("total > 1")
-    # Keys of one tile: one group. Others: a tile is (population count, hash share); its pairs are keyed groups.
-    small = keyed.join(levels.where(F.col("total") <= tile).select("part", "key"), ["part", "key"])
-    one = small.select("fp", "part", "key", F.lit(0).alias("p"), F.lit(0).alias("q"), F.lit(0).alias("side"))
-    shares = F.transform("levels", lambda x: F.struct(x.ones.alias("ones"), F.ceil(x.n / tile).cast("int").alias("shares")))
-    large = keyed.join(levels.where(F.col("total") > tile).select("part", "key", shares.alias("levels")), ["part", "key"])
-    own = F.filter("levels", lambda x: x.ones == F.col("ones"))[0].shares
-    large = large.withColumn("share", F.pmod(F.xxhash64("fp"), own).cast("int"))
-    # A tile's id is ones * 2**20 + share; it meets every tile of population counts within the radius.
-    me = F.col("ones") * (1 << 20) + F.col("share")
-    others = F.flatten(
-        F.transform(
-            F.filter("levels", lambda x: F.abs(x.ones - F.col("ones")) <= radius),
-            lambda x: F.transform(F.sequence(F.lit(0), x.shares - 1), lambda s: x.ones * (1 << 20) + s),
-        )
-    )
-    spread = large.select("fp", "part", "key", me.alias("me"), F.explode(others).alias("other")).select(
-        "fp", "part", "key", F.least("me", "other").alias("p"), F.greatest("me", "other").alias("q"), (F.col("me") > F.col("other")).cast("int").alias("side")
-    )
-
-    def compare(df: pd.DataFrame) -> pd.DataFrame:
-        fp = df["fp"].to_numpy().astype(np.uint64)
-        if df["p"].iat[0] == df["q"].iat[0]:
-            links = _forest(fp, fp, radius, True)
-        else:
-            side = df["side"].to_numpy()
-            links = _forest(fp[side == 0], fp[side == 1], radius, False)
-        return pd.DataFrame([(signed(a), signed(b)) for a, b in links], columns=["a", "b"], dtype="int64")
-
-    tiles = spread.groupBy("part", "key", "p", "q").applyInPandas(compare, "a long, b long")
-    return _compare_small(one, radius).unionByName(tiles).distinct()
-
-
-def _compare_small(one: DataFrame, radius: int) -> DataFrame:
-    """Groups of one tile, many to a task: sorted by key inside a partition, so no call is made for each group."""
-    ordered = one.select("part", "key", "fp").repartition("part", "key").sortWithinPartitions("part", "key")
+    parts = radius + 1
+    if not 0 < parts <= 16:
+        raise ValueError("0 <= radius < 16 is needed")
+    bounds = [64 * i // parts for i in range(parts + 1)]
+    masks = [signed(((1 << (b - a)) - 1) << a) for a, b in zip(bounds, bounds[1:], strict=False)]
+    keyed = distinct.select("fp", F.bit_count("fp").alias("ones"), F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks))).alias("part", "key"))
+    # A bucket's sizes by population count, at most 65 rows; running sums place each population count in tiles.
+    bucket = Window.partitionBy("part", "key")
+    sizes = keyed.groupBy("part", "key", "ones").agg(F.count("*").alias("n")).withColumn("total", F.sum("n").over(bucket)).where("total > 1")
+    start = F.sum("n").over(bucket.orderBy("ones")) - F.col("n")
+    levels = sizes.withColumn("first", F.floor(start / tile).cast("int")).withColumn("shares", F.ceil(F.col("n") / tile).cast("int"))
+    reach = F.collect_list(F.struct("first", "shares")).over(bucket.orderBy("ones").rangeBetween(-radius, radius))
+    tiles = F.array_distinct(F.flatten(F.transform(reach, lambda x: F.sequence(x["first"], x["first"] + x["shares"] - 1))))
+    levels = levels.select("part", "key", "ones", "first", "shares", tiles.alias("tiles"))
+    dealt = keyed.join(levels, ["part", "key", "ones"]).withColumn("me", F.col("first") + F.pmod(F.xxhash64("fp"), F.col("shares")).cast("int"))
+    spread = dealt.select("fp", "ones", "part", "key", "me", F.explode("tiles").alias("other"))
+    side = F.when(F.col("me") == F.col("other"), 2).otherwise((F.col("me") > F.col("other")).cast("int"))
+    groups = spread.select("part", "key", F.least("me", "other").alias("p"), F.greatest("me", "other").alias("q"), "fp", "ones", side.alias("side"))
+    ordered = groups.repartition("part", "key", "p", "q").sortWithinPartitions("part", "key", "p", "q", "ones")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
-
-        def links(part: np.ndarray, key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-            edge = np.flatnonzero((part[1:] != part[:-1]) | (key[1:] != key[:-1])) + 1
-            edges = np.concatenate(([0], edge, [len(fp)]))
-            out: list[tuple[int, int]] = []
-            sizes = np.diff(edges)
-            pairs = edges[:-1][sizes == 2]  # by far the most
-            near = np.bitwise_count(fp[pairs] ^ fp[pairs + 1]) <= radius
-            out += list(zip(fp[pairs][near].tolist(), fp[pairs + 1][near].tolist(), strict=True))
-            for k in np.flatnonzero(sizes > 2).tolist():
-                group = fp[edges[k] : edges[k + 1]]
-                out += _forest(group, group, radius, True)
-            return pa.RecordBatch.from_pydict({"a": pa.array([signed(int(a)) for a, _ in out], pa.int64()), "b": pa.array([signed(int(b)) for _, b in out], pa.int64())})
+        rest: list[np.ndarray] | None = None  # the rows of the last group so far: two tiles at most
 
-        for b in batches:
-            part, key, fp = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy().astype(np.uint64)
+        def links(rows: list[np.ndarray], edges: np.ndarray) -> pa.RecordBatch:
+            ends = np.repeat(edges[1:], np.diff(edges))
+            a, b = near_links(rows[4].view(np.uint64), rows[5], ends, rows[6], radius)
+            return pa.RecordBatch.from_pydict({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
+
+        for batch in batches:
+            rows = [batch.column(i).to_numpy() for i in range(7)]
             if rest is not None:
-                part, key, fp = (np.concatenate(x) for x in zip(rest, (part, key, fp), strict=True))
-            last = np.flatnonzero((part[1:] != part[:-1]) | (key[1:] != key[:-1]))
-            at = int(last[-1]) + 1 if len(last) else 0
+                rows = [np.concatenate(x) for x in zip(rest, rows, strict=True)]
+            edges = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in rows[:4]])) + 1
+            at = int(edges[-1]) if len(edges) else 0
             if at:
-                yield links(part[:at], key[:at], fp[:at])
-            rest = part[at:], key[at:], fp[at:]
-        if rest is not None and len(rest[2]):
-            yield links(*rest)
+                yield links([x[:at] for x in rows], np.concatenate(([0], edges)))
+            rest = [x[at:] for x in rows]
+        if rest is not None and len(rest[0]):
+            yield links(rest, np.array([0, len(rest[0])]))
 
-    return arrow_pass(ordered, run, "a long, b long")
+    return arrow_pass(ordered, run, "a long, b long").distinct()
 
 
 def _named(prints: DataFrame, radius: int) -> DataFrame:
@@ -198,10 +176,17 @@ def keep_one(documents: DataFrame, k: int = 3, radius: int = 2) -> DataFrame:
     """One row of each group stays: one with the smallest doc_id (null ids last), of those the one with the least key.
 
     A row's key is a 128-bit hash of all its columns, so repeated and null ids stay apart; of equal rows one stays.
+    Keys of what goes, by far the fewer, are joined to the rows, so texts stay where they are while those keys can be
+    broadcast, and move once otherwise.
     """
     rows = documents.select(F.struct("*").alias("row"), "doc_id", "text", *row_keys(documents))
     prints = cut(fingerprints(rows, k, keep=("doc_id", "key", "key2")), "fingerprints")
     named = _named(prints, radius).select("fp", "component")
-    first = prints.join(named, "fp").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "key2")).alias("first"))
-    stay = first.select("first.key", "first.key2")
-    return rows.select("row", "key", "key2").join(stay, ["key", "key2"], "left_semi").dropDuplicates(["key", "key2"]).select("row.*")
+    own = prints.groupBy("fp", "doc_id", "key", "key2").agg(F.count("*").alias("n")).join(named, "fp")
+    first = own.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "key2", "n")).alias("first"))
+    stay = F.col("first.key").isNotNull() & (F.col("first.key") == F.col("key")) & (F.col("first.key2") == F.col("key2"))
+    judged = cut(own.join(first, "component").select("key", "key2", "n", stay.alias("stay")).where("not stay or n > 1"), "judged")
+    once = judged.where("stay").select("key", "key2")
+    keyed = rows.select("row", "key", "key2")
+    kept = keyed.join(judged.select("key", "key2"), ["key", "key2"], "left_anti")
+    return kept.unionByName(keyed.join(once, ["key", "key2"], "left_semi").dropDuplicates(["key", "key2"])).select("row.*")

@@ -216,10 +216,14 @@ def test_simhash(spark, edge, docs):
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 3, dtype=np.int64)
     near = {int(b) ^ (1 << int(i)) ^ (1 << int(j)) for b in base for i, j in rng.integers(0, 60, (60, 2))}
-    near |= {int(x) for x in base}
-    links = simhash.near_fingerprints(spark.createDataFrame([(x,) for x in near], "fp long"), tile=16).collect()
-    want = groups([(a, b) for a in near for b in near if a < b and (a ^ b).bit_count() <= 2], near)
-    assert groups([(r["a"], r["b"]) for r in links], near) == want
+    near |= {int(x) for x in base} | {int(x) for x in rng.integers(-(2**63), 2**63, 300, dtype=np.int64)} | {0, -1, 1, -(2**63)}
+    table = spark.createDataFrame([(x,) for x in near], "fp long")
+    bits = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count()
+    for radius, tile in ((2, 16), (2, 2048), (2, 1), (0, 8), (5, 40)):  # one way of comparison at every size
+        links = [(r["a"], r["b"]) for r in simhash.near_fingerprints(table, radius, tile=tile).collect()]
+        want = groups([(a, b) for a in near for b in near if a < b and bits(a, b) <= radius], near)
+        assert groups(links, near) == want and all(bits(a, b) <= radius for a, b in links)
+    assert simhash.near_fingerprints(table.limit(0)).count() == 0 and simhash.simhash_components(edge.limit(0)).count() == 0
     kept = simhash.keep_one(edge).collect()
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None)[:1] == [1] and sum(r["doc_id"] is None for r in kept) == 1
 
