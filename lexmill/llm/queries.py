@@ -70,14 +70,16 @@ SQL: dict[str, str] = {
             SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(text), '[a-z0-9_\\x{80}-\\x{10FFFF}]+') AS w FROM documents WHERE text IS NOT NULL
             UNION ALL
             SELECT 'i', item_id, regexp_extract_all(lower(text), '[a-z0-9_\\x{80}-\\x{10FFFF}]+') FROM benchmark WHERE text IS NOT NULL
+        ), lengths AS (
+            SELECT DISTINCT least(5, len(w)) AS k FROM words WHERE side = 'i' AND len(w) > 0
         ), shingles AS (
-            SELECT DISTINCT side, id, array_to_string(list_slice(w, k, k + 4), ' ') AS s
-            FROM (SELECT side, id, w, unnest(range(1, greatest(2, len(w) - 3))) AS k FROM words WHERE len(w) > 0)
+            SELECT DISTINCT side, id, k, array_to_string(list_slice(w, j, j + k - 1), ' ') AS s
+            FROM (SELECT side, id, w, k, unnest(range(1, len(w) - k + 2)) AS j FROM words JOIN lengths ON CASE side WHEN 'i' THEN k = least(5, len(w)) ELSE k <= len(w) END)
         ), items AS (
-            SELECT id AS item_id, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE side = 'i'
+            SELECT id AS item_id, k, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE side = 'i'
         )
         SELECT d.id AS doc_id, item_id, count(*)::INT AS shared, any_value(n)::INT AS item_shingles, count(*) / any_value(n) AS containment
-        FROM items JOIN shingles d ON d.side = 'd' AND d.s = items.s
+        FROM items JOIN shingles d ON d.side = 'd' AND d.k = items.k AND d.s = items.s
         GROUP BY d.id, item_id HAVING count(*) >= 0.8 * any_value(n)
     """,
     "op4_line_dedup": """

@@ -71,13 +71,13 @@ def test_audio(spark, edge):
 def brute_contained(docs, items, k=5, least=0.8):
     word = re.compile(r"[a-z0-9_\x80-\U0010ffff]+")
 
-    def shingles(t):
-        ws = word.findall((t or "").lower())
-        return {" ".join(ws[i : i + k]) for i in range(max(1, len(ws) - k + 1))} if ws else set()
+    def shingles(ws, n):
+        return {" ".join(ws[i : i + n]) for i in range(len(ws) - n + 1)}
 
-    own = [(i, shingles(t)) for i, t in docs]
-    wanted = [(i, shingles(t)) for i, t in items]
-    return sorted((d, i) for d, s in own for i, w in wanted if w and len(w & s) >= least * len(w))
+    own = [(i, word.findall((t or "").lower())) for i, t in docs]
+    own = [(i, {n: shingles(ws, n) for n in range(1, k + 1)}) for i, ws in own]
+    wanted = [(i, ws := word.findall((t or "").lower()), min(k, len(ws))) for i, t in items]
+    return sorted((d, i) for d, s in own for i, ws, n in wanted if ws and len((w := shingles(ws, n)) & s[n]) >= least * len(w))
 
 
 def test_decontamination(spark, edge, docs):
@@ -88,6 +88,13 @@ def test_decontamination(spark, edge, docs):
     own = spark.createDataFrame([(1, " ".join(PROSE.split()[50:80])), (2, None), (3, ""), (None, "no id here")], "item_id long, text string")
     found = pairs(edge, own)
     assert sorted(i for d, i in found if i == 1) == [1] * 4 and (None, None) in found
+    # Items of one to four words inside long texts, repeated items, and parts of an item that stand far apart.
+    ws = PROSE.split()
+    far = " ".join(ws[:200] + [f"q{i}" for i in range(3000)] + ws[200:])
+    texts = spark.createDataFrame([(1, PROSE * 30), (2, far), (3, ws[9]), (4, "nothing of it")], "doc_id long, text string")
+    short = [(n, " ".join(ws[40 : 40 + n])) for n in range(1, 6)] + [(9, " ".join(ws[180:220])), (9, " ".join(ws[180:220])), (10, ws[9].upper() + "!"), (11, "nothing"), (12, "absent here")]
+    items = spark.createDataFrame(short, "item_id long, text string")
+    assert sorted(pairs(texts, items)) == brute_contained(texts.collect(), short) and (2, 9) in pairs(texts, items)
     assert pairs(edge, own.limit(0)) == [] and pairs(edge.limit(0), own) == []
     assert {r["doc_id"] for r in contamination.decontaminate(edge, own).collect()} == {3, 4, 5, 7}
 
