@@ -5,11 +5,16 @@ check digits, dates of two centuries, ...), permuted there (walking on while out
 same format, so pseudonyms are valid, distinct values stay distinct and equal values stay equal in all documents.
 Only values that pass their check are touched. Row by row, no shuffle; the key is a parameter and never stored.
 
+Equal values are linked however they are written: separators are no part of a value; a phone number is its digits, those
+behind a country code apart from it, so ``+49 151 2345678`` and ``+491512345678`` get the same digits; capitals of an
+e-mail address are those of the pseudonym too, but don't change its letters.
+
 Cards and IBANs whose match fails its check are tried again by shorter ends (cards at each separator or end, down to 13
 digits; IBANs to their country's length, unknown countries at each token), and the search resumes after the number's own end.
 
 Defined results: null texts stay null with no finding; texts without findings stay as they are; overlapping
-findings go to the one that starts first, then to the earlier kind in ``KINDS``; extra columns stay.
+findings go to the one that starts first, then to the earlier kind in ``KINDS``; extra columns stay, one named like the
+column of findings is replaced; repeated rows and null ids are rows like others; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -195,17 +200,21 @@ def _ip(m: re.Match, key: bytes) -> str | None:
     return ".".join(map(str, x.to_bytes(4, "big")))
 
 
+#: Country codes of one and two digits (fixed values of the numbering plan); all others have three.
+COUNTRY = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
+
+
 def _phone(m: re.Match, key: bytes) -> str | None:
     d = re.sub(r"\D", "", m[0])
     if not 9 <= len(d) <= 15:
         return None
-    keep = len(re.match(r"\+?(\d*)", m[0])[1]) if m[0].startswith("+") else 0  # the country code
-    keep = keep if keep <= 3 else 0
+    keep = COUNTRY.match(d).end() if m[0].startswith("+") else 0
     return _refill(m[0], d[:keep] + _digits(d[keep:], key, f"phone{d[:keep]}"))
 
 
 def _email(m: re.Match, key: bytes) -> str | None:
-    return f"{_classes(m[1], key, 'email' + m[2].lower())}@{m[2]}"
+    new = _classes(m[1].lower(), key, "email" + m[2].lower())
+    return f"{''.join(n.upper() if c.isupper() else n for c, n in zip(m[1], new, strict=True))}@{m[2]}"
 
 
 #: Kinds whose matches are also tried by shorter ends.
@@ -243,6 +252,7 @@ FINDING = StructType([StructField("kind", StringType()), StructField("start", In
 
 def pseudonymize(documents: DataFrame, key: bytes, text: str = "text", findings: str = "findings") -> DataFrame:
     """``documents`` with pseudonyms in ``text``; adds ``findings``: array of (kind, start, end, pseudonym)."""
+    documents = documents.drop(findings)
     names = documents.columns
     at = names.index(text)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("pseudonym", pa.string())]))

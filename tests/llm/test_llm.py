@@ -253,9 +253,17 @@ def test_pseudonyms(spark):
     assert cards[0] == cards[1] != "4111111111111111" and pii.luhn(cards[0][:-1]) == int(cards[0][-1])
     dt.date.fromisoformat(found[1][3])
     assert "4111 1111 1111 1112" in new and "2024-02-31" in new and len(new) == len(text)
-    table = spark.createDataFrame([(1, text, "x"), (2, None, None), (3, "", None)], "doc_id long, text string, kind string")
-    rows = {r["doc_id"]: r for r in pii.pseudonymize(table, key).collect()}
-    assert rows[1]["text"] == new and rows[2]["text"] is None and rows[3]["findings"] == []
+    table = spark.createDataFrame([(1, text, "x"), (1, text, "x"), (2, None, None), (3, "", None), (None, text * 999, "y")], "doc_id long, text string, findings string")
+    done = pii.pseudonymize(table, key)
+    rows = {r["doc_id"]: r for r in done.collect()}
+    assert rows[1]["text"] == new and rows[2]["text"] is None and rows[3]["findings"] == [] and len(rows[None]["findings"]) == 3 * 999
+    assert done.count() == 5 and done.columns == table.columns and pii.pseudonymize(table.limit(0), key).count() == 0
+    # The same value in other notations: the same pseudonym in them.
+    same = lambda *xs, f=lambda x: re.sub(r"\D", "", x): len({f(pii.pseudonymized(x, key)[0]) for x in xs}) == 1
+    assert same("+49 151 2345678", "+491512345678", "+49-151-234-5678") and same("(212) 555-0123", "212-555-0123", "212 555 0123")
+    assert same("John.Doe@x.org", "john.doe@x.org", "JOHN.DOE@X.ORG", f=str.lower) and pii.pseudonymized("John.Doe@x.org", key)[0][0].isupper()
+    assert same("DE89 3704 0044 0532 0130 00", "DE89370400440532013000", f=lambda x: x.replace(" ", ""))
+    assert pii.pseudonymized("+49 151 2345678", key)[0].startswith("+49 ") and pii.pseudonymized("+1 212 555 0123", key)[0].startswith("+1 ")
 
 
 def test_pseudonyms_before_other_numbers():
