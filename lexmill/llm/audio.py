@@ -1,13 +1,15 @@
 """Telephony audio: mu-law and A-law by lookup tables, IMA ADPCM blocks by numpy across blocks, resampled PCM.
 
-``store_telephony`` packs sample bytes into WAV; ``decode_telephony`` reads the stored bytes back, decodes them
-and adds 16-bit PCM resampled to the wanted rate with a few measurements. Work is row by row inside Arrow
-batches: no shuffle, and memory is bounded by ``CHUNK_BYTES`` of stored samples at a time (one longer medium is
-decoded in pieces of whole blocks).
+``store_telephony`` packs sample bytes into WAV; ``add_pcm`` decodes them into 16-bit PCM resampled to the wanted rate.
+Both are columns of one table, which is written to the shared folder and read back before anything is measured. PCM is
+kept in lifted form (``lift``): lossless, and what interpolation added costs next to nothing on disk. Work is row by row
+inside Arrow batches: no shuffle, and memory is bounded by ``CHUNK_BYTES`` of stored samples at a time (one longer
+medium is decoded in pieces of whole blocks).
 
 Defined results: null or empty media give null PCM and zero measurements; bytes that are no WAV of a known codec
 give codec null; ADPCM step indices beyond 88 are read as 88; a trailing part of a block is ignored by the
-decoder but kept in the samples, so storage is always lossless.
+decoder but kept in the samples, so storage is always lossless; columns of the input that are named like the added
+ones are replaced; repeated rows and null ids are rows like others; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import arrow_pass
+from .common import arrow_pass, cut
 
 #: WAV format tags (fixed values of RIFF WAVE).
 FORMATS = {"alaw": 6, "mulaw": 7, "ima_adpcm": 17}
@@ -31,6 +33,8 @@ NAMES = {v: k for k, v in FORMATS.items()}
 #: Bytes of an ADPCM block: a 4-byte header, then two samples a byte.
 BLOCK = 144
 CHUNK_BYTES = 1 << 20
+#: zstd level of the table of media and PCM: smaller by a tenth than the usual one.
+LEVEL = 6
 #: Index adjustment by the low three bits of an ADPCM code (fixed values of IMA ADPCM).
 INDEX_STEP = np.array([-1, -1, -1, -1, 2, 4, 6, 8], np.int32)
 
@@ -90,17 +94,43 @@ def decode_adpcm(blocks: np.ndarray) -> np.ndarray:
 
 
 def resample(pcm: np.ndarray, rate: int, to: int) -> np.ndarray:
-    """Linear interpolation at the new instants, rounded to 16 bits. Equal rates change nothing."""
+    """Samples at the new instants, rounded to the nearest (halves up). Equal rates change nothing.
+
+    Raising the rate interpolates linearly; lowering it takes the mean of the samples each new one stands for, which is
+    the low-pass.
+    """
     if rate == to or len(pcm) == 0:
         return pcm
-    if to == 2 * rate:  # the usual telephone case: the midpoints
-        out = np.empty(2 * len(pcm), np.int16)
-        out[::2], out[-1] = pcm, pcm[-1]
-        out[1:-1:2] = (pcm[:-1].astype(np.int32) + pcm[1:]) >> 1
-        return out
-    count = max(1, len(pcm) * to // rate)
-    at = np.minimum(np.arange(count) * (rate / to), len(pcm) - 1)
-    return np.rint(np.interp(at, np.arange(len(pcm)), pcm)).astype(np.int16)
+    x = pcm.astype(np.int64)
+    count = max(1, len(x) * to // rate)
+    at = np.arange(count, dtype=np.int64) * rate
+    if to > rate:
+        i, part = at // to, at % to
+        return ((x[i] * (to - part) + x[np.minimum(i + 1, len(x) - 1)] * part + to // 2) // to).astype(np.int16)
+    edge = np.append(at // to, len(x))
+    size = np.diff(edge)
+    sums = np.concatenate(([0], np.cumsum(x)))
+    return ((2 * (sums[edge[1:]] - sums[edge[:-1]]) + size) // (2 * size)).astype(np.int16)
+
+
+def lift(pcm: np.ndarray) -> bytes:
+    """PCM as its even samples, then what odd ones differ from the mean of their neighbours: the first step of a lifting scheme."""
+    even, odd = pcm[::2], pcm[1::2]
+    return even.astype("<i2").tobytes() + (odd - _between(even, len(odd))).astype("<i2").tobytes()
+
+
+def unlift(data: bytes) -> np.ndarray:
+    """The PCM of ``lift``."""
+    both = np.frombuffer(data, "<i2").astype(np.int16)
+    even = both[: (len(both) + 1) // 2]
+    out = np.empty(len(both), np.int16)
+    out[::2], out[1::2] = even, both[len(even) :] + _between(even, len(both) - len(even))
+    return out
+
+
+def _between(even: np.ndarray, n: int) -> np.ndarray:
+    after = np.append(even[1:], even[-1:])
+    return ((even[:n].astype(np.int32) + after[:n] + 1) >> 1).astype(np.int16)
 
 
 def wav(codec: str, samples: bytes, rate: int = 8000) -> bytes:
@@ -130,6 +160,7 @@ def unwav(data: bytes) -> tuple[str | None, int, bytes]:
 
 def store_telephony(df: DataFrame, payload: str, codec: str, out: str = "media") -> DataFrame:
     """Add ``out``: the bytes of column ``payload`` as WAV of the codec named in column ``codec``; null stays null."""
+    df = df.drop(out)
     kind = StructType([*df.schema.fields, StructField(out, BinaryType())])
     names = df.columns
 
@@ -162,44 +193,58 @@ def _decoded(stored: list[tuple[str | None, int, bytes]]) -> list[np.ndarray | N
     return out
 
 
-def decode_telephony(df: DataFrame, media: str = "media", rate: int = 16000, keep_pcm: bool = True) -> DataFrame:
-    """Add codec, samples (the stored bytes), pcm (16-bit little-endian at ``rate``), peak, rms, crossings.
-
-    ``keep_pcm=False`` still resamples and measures the PCM but leaves its bytes out.
-    """
+def add_pcm(df: DataFrame, media: str = "media", rate: int = 16000, out: str = "pcm") -> DataFrame:
+    """Add ``out``: 16-bit PCM of the WAV bytes in column ``media`` at ``rate``, lifted; null where there is none."""
+    df = df.drop(out)
     names = df.columns
-    fields = [("codec", StringType()), ("samples", BinaryType()), ("pcm", BinaryType()), ("pcm_length", LongType()), ("pcm_crc32", LongType()), ("peak", IntegerType()), ("rms", DoubleType()), ("crossings", LongType())]
-    kind = StructType([*df.schema.fields, *(StructField(n, t) for n, t in fields)])
+    kind = StructType([*df.schema.fields, StructField(out, BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[tuple] = []
+            made: list[bytes | None] = []
             size, group = 0, []
-            cells = [x.as_py() for x in b.column(names.index(media))]
+            cells = b.column(names.index(media))
             for k, cell in enumerate(cells):
-                group.append(unwav(cell or b""))
+                group.append(unwav(cell.as_py() or b""))
                 size += len(group[-1][2])
                 if size >= CHUNK_BYTES or k == len(cells) - 1:
-                    for (codec, at, samples), pcm in zip(group, _decoded(group), strict=True):
-                        if pcm is None or len(pcm) == 0:
-                            rows.append((codec, samples, None, 0, 0, 0, 0.0, 0))
-                            continue
-                        pcm = resample(pcm, at, rate).astype("<i2", copy=False)
-                        raw = pcm.tobytes()
-                        rows.append((codec, samples, raw if keep_pcm else None, len(pcm), zlib.crc32(raw), *_measures(pcm)))
+                    made += [lift(resample(pcm, at, rate)) if pcm is not None and len(pcm) else None for (_, at, _), pcm in zip(group, _decoded(group), strict=True)]
                     size, group = 0, []
-            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in fields]
-            kinds = [pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True))], [*names, *(n for n, _ in fields)])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made, pa.binary())], [*names, out])
+
+    return arrow_pass(df, run, kind)
+
+
+#: Added by ``measure``.
+MEASURES = [("codec", StringType()), ("samples", BinaryType()), ("pcm_length", LongType()), ("pcm_crc32", LongType()), ("peak", IntegerType()), ("rms", DoubleType()), ("crossings", LongType())]
+
+
+def measure(df: DataFrame, media: str = "media", pcm: str = "pcm") -> DataFrame:
+    """Add codec and samples (the bytes in the WAV), and length, CRC-32, peak, rms and zero crossings of the PCM."""
+    df = df.drop(*(n for n, _ in MEASURES))
+    names = df.columns
+    kind = StructType([*df.schema.fields, *(StructField(n, t) for n, t in MEASURES)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for cell, kept in zip(b.column(names.index(media)), b.column(names.index(pcm)), strict=True):
+                codec, _, samples = unwav(cell.as_py() or b"")
+                x = unlift(kept.as_py() or b"").astype("<i2", copy=False)
+                rows.append((codec, samples, len(x), zlib.crc32(x.tobytes()), *_measures(x)))
+            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in MEASURES]
+            kinds = [pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True))], [*names, *(n for n, _ in MEASURES)])
 
     return arrow_pass(df, run, kind)
 
 
-def telephony_digests(documents: DataFrame, pad: int = 576) -> DataFrame:
+def telephony_digests(documents: DataFrame, pad: int = 576, rate: int = 16000) -> DataFrame:
     """Each text as UTF-8, padded with bytes 255 to a positive multiple of ``pad``, stored, read back and measured.
 
     The codec follows from the payload alone (its length in units of ``pad``, modulo 3), so equal texts give equal
-    values. Columns: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
+    values. Media and PCM at ``rate`` are written to the shared folder, where they stay; what is returned comes from the
+    bytes read back. Columns: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
     Null texts count as empty. Other columns of the input are left out.
     """
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -211,7 +256,7 @@ def telephony_digests(documents: DataFrame, pad: int = 576) -> DataFrame:
         F.element_at(F.array(*(F.lit(c) for c in FORMATS)), units % 3 + 1).alias("as_codec"),
         F.concat("raw", F.unhex(F.repeat(F.lit("FF"), (units * pad - F.col("n_bytes")).cast("int")))).alias("payload"),
     )
-    read = decode_telephony(store_telephony(base, "payload", "as_codec").drop("payload", "as_codec"), keep_pcm=False)
+    read = measure(cut(add_pcm(store_telephony(base, "payload", "as_codec").drop("payload", "as_codec"), rate=rate), "telephony", LEVEL)).drop("pcm")
     names = read.columns
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,16 +30,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a lost executor recomputes nothing before it."""
-    return written(df, name)[0]
+def cut(df: DataFrame, name: str, level: int = 3) -> DataFrame:
+    """Write ``df`` to the shared folder (zstd at ``level``) and read it back: a lost executor recomputes nothing before it."""
+    return written(df, name, level)[0]
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def written(df: DataFrame, name: str, level: int = 3) -> tuple[DataFrame, str]:
     """``cut`` with the path, for ``drop`` once all that reads it is written as well."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

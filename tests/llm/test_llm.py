@@ -3,8 +3,11 @@
 import base64
 import collections
 import datetime as dt
+import fractions
 import hashlib
+import math
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -53,19 +56,85 @@ def groups(links, nodes):
     return {n: find(n) for n in nodes}
 
 
+def brute_pcm(codec, samples):
+    """One sample after the other, from the recommendations' own words."""
+    out = []
+    if codec == "mulaw":
+        for c in samples:
+            c = ~c & 255
+            size = ((2 * (c & 15) + 33) << (c >> 4 & 7)) - 33
+            out.append(4 * (-size if c & 128 else size))
+    elif codec == "alaw":
+        for c in samples:
+            c ^= 0x55
+            segment = c >> 4 & 7
+            size = 2 * (c & 15) + 1 if segment == 0 else (2 * (c & 15) + 33) << (segment - 1)
+            out.append(8 * (size if c & 128 else -size))
+    else:
+        for at in range(0, len(samples) // audio.BLOCK * audio.BLOCK, audio.BLOCK):
+            block = samples[at : at + audio.BLOCK]
+            value, index = struct.unpack_from("<h", block)[0], min(block[2], 88)
+            out.append(value)
+            for byte in block[4:]:
+                for code in (byte & 15, byte >> 4):
+                    step = int(audio.STEPS[index])
+                    diff = (step >> 3) + (step if code & 4 else 0) + (step >> 1 if code & 2 else 0) + (step >> 2 if code & 1 else 0)
+                    value = max(-32768, min(32767, value - diff if code & 8 else value + diff))
+                    index = max(0, min(88, index + [-1, -1, -1, -1, 2, 4, 6, 8][code & 7]))
+                    out.append(value)
+    return out
+
+
+def brute_resampled(x, rate, to):
+    n = max(1, len(x) * to // rate)
+    if to < rate:
+        edge = [k * rate // to for k in range(n)] + [len(x)]
+        return [math.floor(fractions.Fraction(sum(x[a:b]), b - a) + fractions.Fraction(1, 2)) for a, b in zip(edge, edge[1:])]
+    at = [fractions.Fraction(k * rate, to) for k in range(n)]
+    return [math.floor(x[int(t)] * (1 - t % 1) + x[min(int(t) + 1, len(x) - 1)] * (t % 1) + fractions.Fraction(1, 2)) for t in at]
+
+
 def test_audio(spark, edge):
     assert audio.TABLES["mulaw"][[0xFF, 0x7F, 0x00, 0x80]].tolist() == [0, 0, -32124, 32124]
     assert audio.TABLES["alaw"][[0xD5, 0x55, 0x2A]].tolist() == [8, -8, -32256]
-    got = audio.telephony_digests(edge).collect()
-    assert len(got) == edge.count()
-    text = {(r["doc_id"], r["text"]) for r in edge.collect()}
-    for r in got:
-        payloads = []
-        for t in (t for i, t in text if i == r["doc_id"]):
-            raw = (t or "").encode()
-            size = max(576, -(-len(raw) // 576) * 576)
-            payloads.append((len(raw), size, hashlib.sha256(p := raw.ljust(size, b"\xff")).hexdigest(), zlib.crc32(p[-32:])))
-        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) in payloads
+    rng = np.random.default_rng(3)
+    for codec in audio.FORMATS:
+        samples = rng.integers(0, 256, 3 * audio.BLOCK + 5, dtype=np.uint8).tobytes()
+        stored = audio.unwav(audio.wav(codec, samples))
+        assert stored == (codec, 8000, samples)
+        plain = brute_pcm(codec, samples)
+        assert audio._decoded([stored])[0].tolist() == plain
+        for to in (16000, 8000, 11025, 6000, 44100):
+            new = audio.resample(np.array(plain, np.int16), 8000, to)
+            assert new.tolist() == (plain if to == 8000 else brute_resampled(plain, 8000, to))
+            assert audio.unlift(audio.lift(new)).tolist() == new.tolist()
+    assert all(audio.unlift(audio.lift(x)).tolist() == x.tolist() for x in (np.array(v, np.int16) for v in ([], [7], [-32768, 32767], [32767, -32768, -32768])))
+    assert audio.unwav(b"RIFFxxxxWAVE") == (None, 0, b"") and audio.unwav(b"") == (None, 0, b"")
+    names = list(audio.FORMATS)
+    clash = edge.select("*", *(F.lit("x").alias(n) for n in ("media", "codec", "samples", "pcm", "payload")))
+    for table in (edge, clash):
+        got = audio.telephony_digests(table).collect()
+        assert len(got) == edge.count()
+        text = {(r["doc_id"], r["text"]) for r in edge.collect()}
+        for r in got:
+            want = []
+            for t in (t for i, t in text if i == r["doc_id"]):
+                raw = (t or "").encode()
+                size = max(576, -(-len(raw) // 576) * 576)
+                p = raw.ljust(size, b"\xff")
+                codec = names[size // 576 % 3]
+                media, x = audio.wav(codec, p), np.array(brute_pcm(codec, p), np.int64) if len(p) < 50_000 else None
+                feature = r["feature"]
+                if x is not None:
+                    y = np.array(brute_resampled(x.tolist(), 8000, 16000), np.int64)
+                    crossings = sum((a < 0) != (b < 0) for a, b in zip(y.tolist(), y.tolist()[1:]))
+                    feature = f"{codec};pcm={len(y)};crc={zlib.crc32(y.astype('<i2').tobytes()):08x};peak={np.abs(y).max()};rms={np.sqrt(np.mean(y.astype(float) ** 2)):.3f};crossings={crossings}"
+                want.append((len(raw), size, hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature))
+            assert tuple(r)[1:] in want
+    odd = spark.createDataFrame([(None,), (b"",), (b"no wav",), (audio.wav("mulaw", b""),)], "media binary")
+    rows = audio.measure(audio.add_pcm(odd)).collect()
+    assert [(r["codec"], r["pcm"], r["pcm_length"], r["peak"]) for r in rows] == [(None, None, 0, 0)] * 3 + [("mulaw", None, 0, 0)]
+    assert audio.telephony_digests(edge.limit(0)).count() == 0
 
 
 def brute_contained(docs, items, k=5, least=0.8):
