@@ -89,11 +89,16 @@ def _plain(text: str | None) -> bytes:
     return text.lower().encode("utf-8", "surrogatepass").translate(SEPARATORS) if text else b""
 
 
-@functools.lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base modulo 2**64, and those of its inverse."""
-    inverse = pow(BASE, -1, 1 << 64)
-    up = np.full(n, BASE, np.uint64)
+def powers_of(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``n`` powers of the odd ``base`` modulo 2**64, and those of its inverse."""
+    up, down = _powers(base, 1 << max(16, (n - 1).bit_length()))
+    return up[:n], down[:n]
+
+
+@functools.lru_cache(maxsize=16)
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    inverse = pow(base, -1, 1 << 64)
+    up = np.full(n, base, np.uint64)
     down = np.full(n, inverse, np.uint64)
     up[0] = down[0] = 1
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
@@ -105,14 +110,18 @@ def word_hashes(text: str | None) -> np.ndarray:
     Bytes are coefficients of a polynomial whose running sums give every word's own by a difference. Long texts are
     taken in pieces that end between words, so memory beyond the text stays bounded (but for words that are longer).
     """
-    raw, out, at = _plain(text), [], 0
+    return hashed_words(_plain(text))[0]
+
+
+def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of ``raw``, whose separators are blanks, and the places where they begin."""
+    out, places, at = [], [], 0
     while at < len(raw):
         end = at + PIECE
         if end >= len(raw) or (end := raw.find(b" ", end)) < 0:
             end = len(raw)
         b = np.frombuffer(raw, np.uint8, end - at, at)
-        n = 1 << max(16, int(len(b)).bit_length())
-        up, down = _powers(n)
+        up, down = powers_of(BASE, len(b))
         sums = np.zeros(len(b) + 1, np.uint64)
         np.cumsum(b * up[: len(b)], out=sums[1:])
         inside = np.zeros(len(b) + 2, np.int8)
@@ -120,8 +129,16 @@ def word_hashes(text: str | None) -> np.ndarray:
         edge = np.diff(inside)
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         out.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
+        places.append(starts + at)
         at = end
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+    return (np.concatenate(out), np.concatenate(places)) if out else (np.empty(0, np.uint64), np.empty(0, np.int64))
+
+
+def words_by_line(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes(text)`` and how many words precede each line but the first."""
+    low = text.lower().encode("utf-8", "surrogatepass") if text else b""
+    hashes, places = hashed_words(low.translate(SEPARATORS))
+    return hashes, np.searchsorted(places, np.flatnonzero(np.frombuffer(low, np.uint8) == 10))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -1,15 +1,17 @@
 """Substring dedup: paragraphs by MinHash banding, exact verification, and removal by connected components.
 
-A repeated passage may stand anywhere in a longer line, so paragraphs are cut where the content says: of every
-``WINDOW`` neighbouring 5-word shingles the one with the least hash is an anchor, and ``LENGTH`` words from an
-anchor on are a paragraph. Any passage of ``LENGTH + WINDOW - 1`` words (51) therefore gives the same paragraph in
-every document that has it. Bands of ``ROWS`` MinHash values are tuned for recall at the threshold. Equal paragraphs
-are one; distinct ones that collide in a band are joined in tiles, each pair is verified by the exact Jaccard
-similarity of the shingle sets, and components of verified links are classes. In a class that spans documents, what
-the smallest doc_id has stays and the rest is to be removed.
-
-Defined results: texts of fewer than ``SHORTEST`` words have no paragraph; between that and a full paragraph the
-whole text is one. Null texts have none. Rows with null ids are left alone. Repeated rows count as one document.
+Paragraphs of a text are its lines of at least ``LENGTH`` words (the whole text if no line has so many), and, as a
+repeated passage may stand anywhere in a longer line, ``LENGTH`` words from every anchor on: of every ``WINDOW``
+neighbouring 5-word shingles the one with the least hash is an anchor, so any passage of ``LENGTH + WINDOW - 1`` words
+(51) gives the same paragraph in every document that has it. Bands of ``ROWS`` MinHash values are tuned for recall at the
+threshold. Equal paragraphs (by 128 bits of hash) are one; distinct ones that collide in a band are joined in tiles, each
+pair is verified by the exact Jaccard similarity of the shingle sets, and components of verified links are classes.
+What the smallest doc_id of a class has stays and the rest is to be removed.
+
+Defined results: a text with fewer words than a shingle is one shingle of them all; null and wordless texts have no
+paragraph. Rows with null ids are left alone. Repeated rows count as one document. Repeats inside one document count
+only if asked for (``inside``): junk that repeats a word is full of them. An empty table gives no rows; extra columns
+play no part, one named like an added one is replaced.
 """
 
 from __future__ import annotations
@@ -22,18 +24,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from .common import arrow_pass, cut, drop, mix, permutations, shingle_hashes, word_hashes, words, written
+from .common import arrow_pass, cut, drop, mix, permutations, powers_of, shingle_hashes, words, words_by_line, written
 from .components import connected_components
 
 THRESHOLD, SHINGLE = 0.8, 5
-LENGTH, WINDOW, SHORTEST = 20, 32, 20
+LENGTH, WINDOW = 20, 32
 #: The words of ``words`` in the text as written.
 WORD = re.compile(r"[A-Za-z0-9_\x80-\U0010ffff]+")
 #: Wanted chance that a pair at the threshold collides in a band, and rows of a band.
-RECALL, ROWS = 0.98, 2
-#: Odd factors by place in a paragraph.
-ODD = mix(np.arange(1, LENGTH + 1, dtype=np.uint64)) | np.uint64(1)
+RECALL, ROWS = 0.95, 2
 #: Distinct paragraphs of a bucket that meet in one tile.
 TILE = 512
 
@@ -51,42 +52,72 @@ def anchors(h: np.ndarray, last: int, window: int = WINDOW) -> np.ndarray:
     return np.unique(np.concatenate(places))
 
 
+def places_of(n: int, h: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes (in words) of the paragraphs of a text of ``n`` words with shingles ``h`` and line starts ``lines``."""
+    edges = np.concatenate(([0], lines, [n]))
+    starts, sizes = edges[:-1], np.diff(edges)
+    long = sizes >= LENGTH
+    starts, sizes = (starts[long], sizes[long]) if long.any() else (np.array([0]), np.array([n]))
+    if n > LENGTH:
+        at = anchors(h, n - LENGTH)
+        starts, sizes = np.concatenate((starts, at)), np.concatenate((sizes, np.full(len(at), LENGTH)))
+        both, first = np.unique(np.stack((starts, sizes)), axis=1, return_index=True)
+        starts, sizes = both
+    return starts, sizes
+
+
+def minhashes(h: np.ndarray, starts: np.ndarray, counts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least permuted values (runs, permutations) of the runs of ``counts`` shingles from ``starts`` on."""
+    flat = np.repeat(starts - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
+    bounds = np.concatenate(([0], np.cumsum(counts)[:-1]))
+    x = h[flat]
+    out = np.empty((len(starts), len(a)), np.uint64)
+    for i, (p, q) in enumerate(zip(a, b, strict=True)):
+        y = x * p + q
+        out[:, i] = np.minimum.reduceat(y ^ (y >> np.uint64(29)), bounds)
+    return out
+
+
 def paragraphs(documents: DataFrame, bands: int | None = None) -> DataFrame:
-    """doc_id, start (word), size (words), h and h2 (96 bits of a hash of its words), keys (of bands) of every paragraph."""
+    """doc_id, start (word), size (words), h and h2 (128 bits of a hash of its words), keys (of bands) of every paragraph."""
     count = bands or bands_for()
     a, b = permutations(count * ROWS, seed=3)
     kind = dict(documents.dtypes)["doc_id"]
+    up = [np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, starts, sizes, hashes, keys = [], [], [], [], []
             for k, text in enumerate(batch.column(1)):
-                ws = word_hashes(text.as_py())
-                if len(ws) < SHORTEST:
+                ws, lines = words_by_line(text.as_py())
+                if len(ws) == 0:
                     continue
                 h = shingle_hashes(ws, SHINGLE)
-                size = min(LENGTH, len(ws))
-                at = anchors(h, len(ws) - size)
-                x = h[at[:, None] + np.arange(size - SHINGLE + 1)]
-                least = np.stack([((x * p + q) ^ ((x * p + q) >> np.uint64(29))).min(axis=1) for p, q in zip(a, b, strict=True)])
-                hashes.append(np.stack([mix((x * ODD[: x.shape[1]] ** np.uint64(n)).sum(axis=1, dtype=np.uint64)) for n in (1, 2)], axis=1))
-                own = [mix(least[i * ROWS : (i + 1) * ROWS].sum(axis=0, dtype=np.uint64) + np.uint64(i)) for i in range(count)]
-                ids.append(np.full(len(at), k)), starts.append(at), sizes.append(np.full(len(at), size)), keys.append(np.stack(own, axis=1))
+                at, size = places_of(len(ws), h, lines)
+                least = minhashes(h, at, np.maximum(size - SHINGLE + 1, 1), a, b)
+                # Polynomials over the words by differences of running sums, as for the words themselves.
+                pair = []
+                for base in up:
+                    powers, back = powers_of(int(base), len(ws))
+                    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(ws * powers, dtype=np.uint64)))
+                    pair.append(mix((sums[at + size] - sums[at]) * back[at] + size.astype(np.uint64)))
+                own = [mix(least[:, i * ROWS : (i + 1) * ROWS].sum(axis=1, dtype=np.uint64) + np.uint64(i)) for i in range(count)]
+                ids.append(np.full(len(at), k)), starts.append(at), sizes.append(size), keys.append(np.stack(own, axis=1)), hashes.append(np.stack(pair, axis=1))
             if not ids:
                 continue
-            flat, both = np.concatenate(keys).view(np.int64), np.concatenate(hashes)
+            flat, both = np.concatenate(keys).view(np.int64), np.concatenate(hashes).view(np.int64)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column(0).take(pa.array(np.concatenate(ids))),
                     "start": pa.array(np.concatenate(starts), pa.int32()),
                     "size": pa.array(np.concatenate(sizes), pa.int32()),
-                    "h": pa.array(both[:, 0].view(np.int64)),
-                    "h2": pa.array((both[:, 1] >> np.uint64(33)).astype(np.int32)),
+                    "h": pa.array(np.ascontiguousarray(both[:, 0])),
+                    "h2": pa.array(np.ascontiguousarray(both[:, 1])),
                     "keys": pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * count), pa.array(flat.ravel())),
                 }
             )
 
-    return arrow_pass(documents.where("doc_id is not null").select("doc_id", "text"), run, f"doc_id {kind}, start int, size int, h long, h2 int, keys array<long>")
+    return arrow_pass(documents.where("doc_id is not null").select("doc_id", "text"), run, f"doc_id {kind}, start int, size int, h long, h2 long, keys array<long>")
 
 
 def _similar(groups: DataFrame, threshold: float) -> DataFrame:
@@ -155,16 +186,18 @@ def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return arrow_pass(rows, run, "pid long, t string")
 
 
-def repeated_paragraphs(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def repeated_paragraphs(documents: DataFrame, threshold: float = THRESHOLD, inside: bool = False) -> DataFrame:
     """doc_id, start, size (in words), class_id (smallest doc_id of the class), kept of every repeated paragraph.
 
-    Only classes that span at least two documents are returned. Rows of a repeated document repeat.
+    Only classes that span at least two documents are returned; with ``inside`` also those of one document that repeat
+    in it, and then only the first place of the smallest document is kept. Rows of a repeated document repeat.
     """
     spark = documents.sparkSession
     whole, whole_at = written(paragraphs(documents), "paragraphs")
     # Equal paragraphs are one row: what is banded and compared are distinct ones, so copies cost no comparison.
-    distinct = whole.groupBy("h", "h2").agg(F.min(F.struct("doc_id", "start", "size")).alias("at"), F.max("doc_id").alias("last"), F.first("keys").alias("keys"))
-    distinct = cut(distinct.select("h", "h2", "at.*", "last", "keys").withColumn("pid", F.monotonically_increasing_id()), "distinct")
+    place = F.struct("doc_id", "start", "size")
+    distinct = whole.groupBy("h", "h2").agg(F.min(place).alias("at"), F.max(place).alias("end"), F.first("keys").alias("keys"))
+    distinct = cut(distinct.select("h", "h2", "at.*", F.col("end.doc_id").alias("last"), (F.col("at") < F.col("end")).alias("again"), "keys").withColumn("pid", F.monotonically_increasing_id()), "distinct")
     paras = cut(whole.drop("keys"), "places")
     drop(spark, whole_at)
     keyed = distinct.select("pid", F.explode("keys").alias("key"))
@@ -173,39 +206,35 @@ def repeated_paragraphs(documents: DataFrame, threshold: float = THRESHOLD) -> D
     places = distinct.select("pid", "doc_id", "start", "size").join(hits.select("pid").distinct(), "pid")
     texts = cut(_texts(documents, places), "paragraph-texts")
     near = _similar(_tiles(hits.withColumnRenamed("pid", "rep")).join(texts.select(F.col("pid").alias("rep"), "t"), "rep"), threshold)
-    linked = connected_components(near)
-    own = distinct.select("h", "h2", F.col("doc_id").alias("first"), "last", "pid")
+    linked = cut(connected_components(near), "paragraph-components")
+    own = distinct.select("h", "h2", place.alias("at"), "last", "again", "pid")
     members = own.join(linked, F.col("pid") == F.col("node"))
-    spans = members.groupBy("component").agg(F.min("first").alias("class_id"), F.max("last").alias("final")).where("class_id < final")
-    joined = members.join(spans, "component").select("h", "h2", "class_id")
-    alone = own.where("first < last").join(linked, F.col("pid") == F.col("node"), "left_anti").select("h", "h2", F.col("first").alias("class_id"))
+    spans = members.groupBy("component").agg(F.min("at").alias("first"), F.max("last").alias("final"))
+    spans = spans if inside else spans.where("first.doc_id < final")
+    joined = members.join(spans, "component").select("h", "h2", "first")
+    alone = own.where("again" if inside else "at.doc_id < last").join(linked, F.col("pid") == F.col("node"), "left_anti").select("h", "h2", F.col("at").alias("first"))
     classes = cut(joined.unionByName(alone), "classes")
-    return paras.join(classes, ["h", "h2"]).select("doc_id", "start", "size", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    stays = place == F.col("first") if inside else F.col("doc_id") == F.col("first.doc_id")
+    return paras.join(classes, ["h", "h2"]).select("doc_id", "start", "size", F.col("first.doc_id").alias("class_id"), stays.alias("kept"))
 
 
 def remove_repeats(documents: DataFrame, repeats: DataFrame) -> DataFrame:
     """``documents`` without the paragraphs of ``repeats`` that are not kept; adds n_cut (words removed)."""
-    gone = repeats.where("not kept").groupBy("doc_id").agg(F.collect_set(F.struct("start", "size")).alias("__gone"))  # a document's own
-    joined = documents.join(gone, "doc_id", "left").select(*documents.columns, "__gone")
-    names = documents.columns
-    at = names.index("text")
+    documents = documents.drop("n_cut")
+    gone = repeats.where("not kept").groupBy("doc_id").agg(F.collect_set(F.struct("start", "size")).alias("gone"))  # a document's own
+    joined = documents.select(F.struct("*").alias("row"), "doc_id", "text").join(gone, "doc_id", "left").select("row", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, counts = [], []
-            for text, own in zip(b.column(at), b.column(len(names)), strict=True):
+            for text, own in zip(b.column(1), b.column(2), strict=True):
                 t, spans = text.as_py(), own.as_py()
-                if t is None or not spans:
-                    texts.append(t), counts.append(0)
-                    continue
-                new, n = without_words(t, [(s["start"], s["start"] + s["size"]) for s in spans])
+                new, n = without_words(t, [(s["start"], s["start"] + s["size"]) for s in spans]) if t is not None and spans else (t, 0)
                 texts.append(new), counts.append(n)
-            columns = [*b.columns[: len(names)]]
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32())], [*names, "n_cut"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int32())], ["row", "text", "n_cut"])
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in documents.dtypes)
-    return arrow_pass(joined, run, f"{schema}, n_cut int")
+    done = arrow_pass(joined, run, StructType([joined.schema["row"], StructField("text", StringType()), StructField("n_cut", IntegerType())]))
+    return done.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in documents.columns), "n_cut")
 
 
 def without_words(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:
