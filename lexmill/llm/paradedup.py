@@ -4,7 +4,7 @@ Paragraphs of a text are its lines of at least ``LENGTH`` words (the whole text
 repeated passage may stand anywhere in a longer line, ``LENGTH`` words from every anchor on: of every ``WINDOW``
 neighbouring 5-word shingles the one with the least hash is an anchor, so any passage of ``LENGTH + WINDOW - 1`` words
 (51) gives the same paragraph in every document that has it. Bands of ``ROWS`` MinHash values are tuned for recall at the
-threshold. Equal paragraphs (by 128 bits of hash) are one; distinct ones that collide in a band are joined in tiles, each
+threshold, for lines one by one, for windows as a passage with several of them. Equal paragraphs (by 128 bits of hash) are one; distinct ones that collide in a band are joined in tiles, each
 pair is verified by the exact Jaccard similarity of the shingle sets, and components of verified links are classes.
 What the smallest doc_id of a class has stays and the rest is to be removed.
 
@@ -33,8 +33,8 @@ THRESHOLD, SHINGLE = 0.8, 5
 LENGTH, WINDOW = 20, 32
 #: The words of ``words`` in the text as written.
 WORD = re.compile(r"[A-Za-z0-9_\x80-\U0010ffff]+")
-#: Wanted chance that a pair at the threshold collides in a band, and rows of a band.
-RECALL, ROWS = 0.95, 2
+#: Wanted chance that a pair at the threshold collides in a band (lines, windows), and rows of a band.
+RECALL, RECALL_WINDOW, ROWS = 0.98, 0.85, 2
 #: Distinct paragraphs of a bucket that meet in one tile.
 TILE = 512
 
@@ -43,66 +43,85 @@ def bands_for(threshold: float = THRESHOLD, rows: int = ROWS, recall: float = RE
     return math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))
 
 
+def _sliding(x: np.ndarray, window: int, least: bool) -> np.ndarray:
+    """Minima (or maxima) of all runs of ``window`` values, by runs of doubled length."""
+    best = np.minimum if least else np.maximum
+    size = 1
+    while 2 * size <= window:
+        x = best(x[:-size], x[size:])
+        size *= 2
+    return best(x[: len(x) - (window - size)], x[window - size :]) if window > size else x
+
+
 def anchors(h: np.ndarray, last: int, window: int = WINDOW) -> np.ndarray:
-    """Places up to ``last`` that hold the least shingle hash of some run of ``window`` places."""
+    """Places up to ``last`` that hold the least shingle hash of some run of ``window`` places; of a repeated shingle's run the first."""
     h = h[: last + 1]
     window = min(window, len(h))
-    view = np.lib.stride_tricks.sliding_window_view(h, window)
-    places = [np.unique(view[at : at + 65536].argmin(axis=1) + np.arange(at, min(at + 65536, len(view)))) for at in range(0, len(view), 65536)]
-    return np.unique(np.concatenate(places))
+    least = _sliding(h, window, True)
+    pad = np.zeros(window - 1, h.dtype)
+    chosen = h == _sliding(np.concatenate((pad, least, pad)), window, False)
+    chosen[1:] &= h[1:] != h[:-1]
+    return np.flatnonzero(chosen)
 
 
-def places_of(n: int, h: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and sizes (in words) of the paragraphs of a text of ``n`` words with shingles ``h`` and line starts ``lines``."""
+def places_of(n: int, h: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Starts and sizes (in words) of the paragraphs of a text of ``n`` words with shingles ``h`` and line starts ``lines``; how many are no windows."""
     edges = np.concatenate(([0], lines, [n]))
     starts, sizes = edges[:-1], np.diff(edges)
     long = sizes >= LENGTH
     starts, sizes = (starts[long], sizes[long]) if long.any() else (np.array([0]), np.array([n]))
-    if n > LENGTH:
-        at = anchors(h, n - LENGTH)
-        starts, sizes = np.concatenate((starts, at)), np.concatenate((sizes, np.full(len(at), LENGTH)))
-        both, first = np.unique(np.stack((starts, sizes)), axis=1, return_index=True)
-        starts, sizes = both
-    return starts, sizes
-
-
-def minhashes(h: np.ndarray, starts: np.ndarray, counts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least permuted values (runs, permutations) of the runs of ``counts`` shingles from ``starts`` on."""
-    flat = np.repeat(starts - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-    bounds = np.concatenate(([0], np.cumsum(counts)[:-1]))
-    x = h[flat]
-    out = np.empty((len(starts), len(a)), np.uint64)
-    for i, (p, q) in enumerate(zip(a, b, strict=True)):
-        y = x * p + q
-        out[:, i] = np.minimum.reduceat(y ^ (y >> np.uint64(29)), bounds)
-    return out
+    if n <= LENGTH:
+        return starts, sizes, len(starts)
+    at = anchors(h, n - LENGTH)
+    at = at[~np.isin(at, starts[sizes == LENGTH])]
+    return np.concatenate((starts, at)), np.concatenate((sizes, np.full(len(at), LENGTH))), len(starts)
+
+
+def least_of(y: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Least values of the runs of ``counts`` values from ``starts`` on: windows of one size, or lines behind one another."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    if (counts == counts[0]).all():
+        return _sliding(y, int(counts[0]), True)[starts]
+    return np.minimum.reduceat(np.append(y, y[-1]), np.stack((starts, starts + counts), axis=1).ravel())[::2]
 
 
 def paragraphs(documents: DataFrame, bands: int | None = None) -> DataFrame:
     """doc_id, start (word), size (words), h and h2 (128 bits of a hash of its words), keys (of bands) of every paragraph."""
     count = bands or bands_for()
+    few = min(count, bands_for(recall=RECALL_WINDOW))
     a, b = permutations(count * ROWS, seed=3)
     kind = dict(documents.dtypes)["doc_id"]
     up = [np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, starts, sizes, hashes, keys = [], [], [], [], []
+            ids, starts, sizes, hashes, keys, counts = [], [], [], [], [], []
             for k, text in enumerate(batch.column(1)):
                 ws, lines = words_by_line(text.as_py())
                 if len(ws) == 0:
                     continue
                 h = shingle_hashes(ws, SHINGLE)
-                at, size = places_of(len(ws), h, lines)
-                least = minhashes(h, at, np.maximum(size - SHINGLE + 1, 1), a, b)
+                at, size, lines_n = places_of(len(ws), h, lines)
+                shingles = np.maximum(size - SHINGLE + 1, 1)
+                least: tuple[list, list] = ([], [])  # of lines and of windows, one array a permutation
+                for i in range(count * ROWS):
+                    y = h * a[i] + b[i]
+                    y ^= y >> np.uint64(29)
+                    least[0].append(least_of(y, at[:lines_n], shingles[:lines_n]))
+                    if i < few * ROWS:
+                        least[1].append(least_of(y, at[lines_n:], shingles[lines_n:]))
                 # Polynomials over the words by differences of running sums, as for the words themselves.
                 pair = []
                 for base in up:
                     powers, back = powers_of(int(base), len(ws))
                     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(ws * powers, dtype=np.uint64)))
                     pair.append(mix((sums[at + size] - sums[at]) * back[at] + size.astype(np.uint64)))
-                own = [mix(least[:, i * ROWS : (i + 1) * ROWS].sum(axis=1, dtype=np.uint64) + np.uint64(i)) for i in range(count)]
-                ids.append(np.full(len(at), k)), starts.append(at), sizes.append(size), keys.append(np.stack(own, axis=1)), hashes.append(np.stack(pair, axis=1))
+                for mins, n in zip(least, (count, few), strict=True):
+                    runs = np.stack(mins, axis=1).reshape(-1, n, ROWS)
+                    keys.append(mix(runs.sum(axis=2, dtype=np.uint64) + np.arange(n, dtype=np.uint64)).ravel())
+                    counts.append(np.full(len(runs), n))
+                ids.append(np.full(len(at), k)), starts.append(at), sizes.append(size), hashes.append(np.stack(pair, axis=1))
             if not ids:
                 continue
             flat, both = np.concatenate(keys).view(np.int64), np.concatenate(hashes).view(np.int64)
@@ -113,7 +132,7 @@ def paragraphs(documents: DataFrame, bands: int | None = None) -> DataFrame:
                     "size": pa.array(np.concatenate(sizes), pa.int32()),
                     "h": pa.array(np.ascontiguousarray(both[:, 0])),
                     "h2": pa.array(np.ascontiguousarray(both[:, 1])),
-                    "keys": pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * count), pa.array(flat.ravel())),
+                    "keys": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.concatenate(counts)))), pa.int32()), pa.array(flat)),
                 }
             )
 
@@ -198,7 +217,7 @@ def repeated_paragraphs(documents: DataFrame, threshold: float = THRESHOLD, insi
     place = F.struct("doc_id", "start", "size")
     distinct = whole.groupBy("h", "h2").agg(F.min(place).alias("at"), F.max(place).alias("end"), F.first("keys").alias("keys"))
     distinct = cut(distinct.select("h", "h2", "at.*", F.col("end.doc_id").alias("last"), (F.col("at") < F.col("end")).alias("again"), "keys").withColumn("pid", F.monotonically_increasing_id()), "distinct")
-    paras = cut(whole.drop("keys"), "places")
+    paras, paras_at = written(whole.drop("keys"), "places")
     drop(spark, whole_at)
     keyed = distinct.select("pid", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
