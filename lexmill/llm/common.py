@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of one Arrow batch handed to Python. Long texts make a batch of few rows.
 BATCH_BYTES = 4 << 20
+#: Bytes that a task gathers before it writes a row group of an intermediate table.
+ROW_GROUP = 32 << 20
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -39,7 +41,7 @@ def written(df: DataFrame, name: str, level: int = 3) -> tuple[DataFrame, str]:
     """``cut`` with the path, for ``drop`` once all that reads it is written as well."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
+    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
