@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of one Arrow batch handed to Python. Long texts make a batch of few rows.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: Bytes that a task gathers before it writes a row group of an intermediate table.
 ROW_GROUP = 32 << 20
 

@@ -92,14 +92,14 @@ def learning_rows(labelled: DataFrame, sample: int) -> list[tuple[np.ndarray, np
         for b in batches:
             counts = [gram_counts(t.as_py()) for t in b.column(1)]
             at = [np.flatnonzero(c) for c in counts]
-            columns = [b.column(0), b.column(2), pa.array([x.tolist() for x in at], pa.list_(pa.int32())), pa.array([c[x].tolist() for c, x in zip(counts, at, strict=True)], pa.list_(pa.int32()))]
+            columns = [b.column(0), b.column(2), pa.array([x.astype("<u2").tobytes() for x in at], pa.binary()), pa.array([c[x].astype("<u4").tobytes() for c, x in zip(counts, at, strict=True)], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "h", "at", "counts"])
 
-    rows = arrow_pass(some, run, "lang string, h long, at array<int>, counts array<int>")
-    w = Window.partitionBy("lang").orderBy("h", F.size("at"), F.xxhash64("at", "counts"))  # the share of a language: some thousand rows
-    ranked = rows.withColumn("k", F.row_number().over(w)).withColumn("sum", F.sum(F.size("at")).over(w))
+    rows = arrow_pass(some, run, "lang string, h long, at binary, counts binary")
+    w = Window.partitionBy("lang").orderBy("h", F.length("at"), F.xxhash64("at", "counts"))  # the share of a language: some thousand rows
+    ranked = rows.withColumn("k", F.row_number().over(w)).withColumn("sum", F.sum(F.length("at") / 2).over(w))
     taken = ranked.where((F.col("k") == 1) | ((F.col("k") <= each) & (F.col("sum") <= entries))).orderBy("h", "lang", "k")
-    return [(np.array(r["at"], np.int64), np.array(r["counts"], np.int64), r["lang"]) for r in taken.select("lang", "at", "counts").collect()]
+    return [(np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["counts"], "<u4"), r["lang"]) for r in taken.select("lang", "at", "counts").collect()]
 
 
 class Model:
