@@ -1,9 +1,4 @@
-"""Column functions of the legal-text vocabulary: numerals, ordinals, white space, spans found without offsets.
-
-Spark's pattern functions return no offsets, so spans are found by marking: a match is enclosed in two control
-characters and the text is split at them. A later pattern sees only what earlier ones left, which is the rule
-that an accepted span excludes every match overlapping it.
-"""
+"""Column functions of the legal-text vocabulary: numerals, ordinals, white space, escaping."""
 
 from __future__ import annotations
 
@@ -13,16 +8,20 @@ from pyspark.sql import functions as F
 #: Flags that make Java's classes and case folding cover Cyrillic and the no-break space.
 U = "(?U)"
 IU = "(?iuU)"
-MARK, NAME = "\u0001", "\u0002"
-
-#: Values of Roman numerals I to XXV, then XXX (fixed values); others count as 0.
-ROMAN = dict(
-    zip(
-        "I II III IV V VI VII VIII IX X XI XII XIII XIV XV XVI XVII XVIII XIX XX XXI XXII XXIII XXIV XXV XXX".split(),
-        [*range(1, 26), 30],
-        strict=True,
-    )
-)
+#: Parts runs of letters that a pattern found (never put into texts).
+MARK = "\u0001"
+
+
+def _roman(n: int) -> str:
+    out = ""
+    for value, sign in ((10, "X"), (9, "IX"), (5, "V"), (4, "IV"), (1, "I")):
+        while n >= value:
+            out, n = out + sign, n - value
+    return out
+
+
+#: Roman numerals that are known: I to XXV, and XXX; others count as 0.
+ROMAN = {_roman(n): n for n in [*range(1, 26), 30]}
 #: Stems of ordinal words one to twenty (fixed values), longest first where one begins another.
 ORDINALS = {
     "перв": 1, "втор": 2, "трет": 3, "четверт": 4, "пят": 5, "шест": 6, "седьм": 7, "восьм": 8, "девят": 9, "десят": 10,
@@ -60,38 +59,3 @@ def blank(c: Column) -> Column:
 def escape(c: Column) -> Column:
     """Text as HTML text."""
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-
-
-def whole(c: Column) -> Column:
-    """``c`` as one unlinked segment."""
-    return F.array(F.struct(F.lit(None).cast("string").alias("rule"), c.alias("text")))
-
-
-def mark(segments: Column, rule: str, pattern: str, accept=None) -> Column:
-    """``segments`` (array of rule, text) with matches of ``pattern`` in unlinked ones made segments of ``rule``.
-
-    ``accept`` is a function from the match's text to a condition; matches that fail it stay unlinked.
-    """
-
-    def piece(x: Column) -> Column:
-        text = F.substring_index(x, NAME, -1)
-        hit = x.startswith(rule + NAME)
-        good = hit if accept is None else hit & F.coalesce(accept(text), F.lit(False))
-        return F.struct(F.when(good, F.lit(rule)).alias("rule"), text.alias("text"))
-
-    def cut(s: Column) -> Column:
-        marked = F.regexp_replace(s["text"], pattern, f"{MARK}{rule}{NAME}$0{MARK}")
-        parts = F.filter(F.split(marked, MARK), lambda x: x != "")
-        return F.when(s["rule"].isNotNull(), F.array(s)).otherwise(F.transform(parts, piece))
-
-    return F.flatten(F.transform(segments, cut))
-
-
-def placed(segments: Column) -> Column:
-    """Segments with start and end (code points) and their place ord."""
-
-    def at(s: Column, i: Column) -> Column:
-        before = F.aggregate(F.slice(segments, 1, i), F.lit(0), lambda a, x: a + F.length(x["text"]))
-        return F.struct(s["rule"].alias("rule"), s["text"].alias("text"), before.alias("start"), (before + F.length(s["text"])).alias("end"), i.alias("ord"))
-
-    return F.transform(segments, at)

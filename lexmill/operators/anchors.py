@@ -1,12 +1,15 @@
-"""Anchor maps: articles, points and subpoints, parts, chapters, their reverse, and what stands near an anchor."""
+"""Anchor maps: articles, points and subpoints, parts, chapters, their reverse, and what stands near an anchor.
+
+Null attributes and texts name nothing; of equal keys one wins by a stated order; empty tables give empty maps.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import IU, U
-from .dom import attr, element_texts, ids, in_note
+from ..functions.text import IU, U, escape
+from .dom import attr, element_texts, host, in_note
 from .structure import anchor_in_text
 
 NATIVE = r"^z\d+"
@@ -99,7 +102,7 @@ def with_synthetic(nodes: DataFrame, articles: DataFrame) -> DataFrame:
     w = Window.partitionBy("doc_key", "parent_id").orderBy("sib_pos")
     first = nodes.where("kind = 'text'").withColumn("k", F.row_number().over(w)).where("k = 1").join(made, ["doc_key", "parent_id"]).select("doc_key", "node_id", "anchor")
     joined = nodes.join(first, ["doc_key", "node_id"], "left")
-    return joined.withColumn("render", F.when(F.col("anchor").isNotNull(), F.concat(F.lit('<a id="'), "anchor", F.lit('" name="'), "anchor", F.lit('"></a>'), "text"))).drop("anchor")
+    return joined.withColumn("render", F.when(F.col("anchor").isNotNull(), F.concat(F.lit('<a id="'), "anchor", F.lit('" name="'), "anchor", F.lit('"></a>'), escape(F.col("text"))))).drop("anchor")
 
 
 def ids_from_names(nodes: DataFrame) -> DataFrame:
@@ -140,5 +143,30 @@ def boundary(nodes: DataFrame, window: int = 600) -> DataFrame:
     return got.where(F.col("id").isNotNull() & (F.col("next_div.src_pos") - F.col("src_pos") <= window)).select("doc_key", "id", "next_div.number")
 
 
-def all_ids(nodes: DataFrame) -> DataFrame:
-    return ids(nodes)
+def article_headings(nodes: DataFrame) -> DataFrame:
+    """(doc_key, node_id, article, anchor): paragraphs whose bold text has an anchor and is an article's heading, and h3 with an id that are."""
+    start = rf"{U}^\s*Статья\s+(\d+(?:-\d+)?)\s*\."
+    a = nodes.where((F.col("tag") == "a") & (attr("name").isNotNull() | attr("id").isNotNull())).select("doc_key", F.explode("path").alias("of"), F.col("node_id").alias("at"), F.coalesce(attr("name"), attr("id")).alias("anchor"), attr("name").isNull().alias("no_name"))
+    a = a.groupBy("doc_key", "of").agg(F.min_by("anchor", F.struct("no_name", "at")).alias("anchor"))
+    bold = nodes.where((F.col("tag") == "b") & F.array_contains("tags", "p")).select("doc_key", "node_id", "block_id").join(a.withColumnRenamed("of", "node_id"), ["doc_key", "node_id"])
+    bold = element_texts(nodes, bold).select("doc_key", F.col("block_id").alias("node_id"), "text_sp", "anchor")
+    heads = element_texts(nodes, nodes.where((F.col("tag") == "h3") & attr("id").isNotNull()).select("doc_key", "node_id", attr("id").alias("anchor"))).select("doc_key", "node_id", "text_sp", "anchor")
+    return bold.union(heads).select("doc_key", "node_id", F.nullif(F.regexp_extract("text_sp", start, 1), F.lit("")).alias("article"), "anchor").where("article is not null")
+
+
+def with_point_ids(nodes: DataFrame, made: DataFrame) -> DataFrame:
+    """``nodes`` with the anchors of ``subpoint_anchors`` written: paragraphs without an id get an inner ``<a>`` in front."""
+    own = made.select("doc_key", "node_id", F.col("anchor").alias("__anchor"))
+    marks = nodes.where("kind = 'element'").join(own, ["doc_key", "node_id"]).where(attr("id").isNull()).select("doc_key", F.col("node_id").alias("parent_id"), "__anchor")
+    first = nodes.where("kind = 'text'").join(marks, ["doc_key", "parent_id"]).groupBy("doc_key", "parent_id").agg(F.min("node_id").alias("node_id"), F.first("__anchor").alias("__anchor")).drop("parent_id")
+    joined = nodes.join(first, ["doc_key", "node_id"], "left")
+    return joined.withColumn("render", F.when(F.col("__anchor").isNotNull(), F.concat(F.lit('<a id="'), "__anchor", F.lit('"></a>'), escape(F.col("text"))))).drop("__anchor")
+
+
+def heading_map(nodes: DataFrame) -> DataFrame:
+    """(doc_key, id, number): ids of headings by their own number, other ids by the nearest article div around them."""
+    heads = element_texts(nodes, nodes.where(F.col("tag").isin("h1", "h2", "h3", "h4", "h5", "h6") & attr("id").isNotNull()).select("doc_key", "node_id", attr("id").alias("id")))
+    heads = heads.select("doc_key", "id", "node_id", F.nullif(F.regexp_extract("text_sp", rf"{IU}^\s*[сcϲ]тать[яиею]\s+(\d+(?:-\d+)?)\s*\.", 1), F.lit("")).alias("number"), F.lit(1).alias("source")).where("number is not null")
+    rest = nodes.where("kind = 'element'").select("doc_key", "node_id", attr("id").alias("id")).where("id is not null").join(host(nodes).select("doc_key", "node_id", F.col("host_number").alias("number")), ["doc_key", "node_id"]).where("number is not null")
+    both = heads.union(rest.select("doc_key", "id", "node_id", "number", F.lit(2).alias("source")))
+    return first_wins(both, ["doc_key", "id"], ["source", "node_id"]).select("doc_key", "id", "number")

@@ -1,57 +1,79 @@
-"""Audits of links: coverage, correctness, independent verification, freshness, cross-document checks and gates."""
+"""Audits of links: coverage, correctness, independent verification, freshness, cross-document checks and gates.
+
+Links without an href and texts that are null are not counted; documents without what is counted give no rows (gates
+give a row for every document); empty tables give empty results.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import IU, MARK, U, collapse
-from .anchors import first_wins, resolve, reverse_anchors
-from .dom import attr, before, element_texts, host, ids, inside_link, lines, links
+from ..functions.phrases import phrase_spans
+from ..functions.text import IU, U, collapse
+from .anchors import first_wins, heading_map, resolve, reverse_anchors
+from .dom import attr, element_texts, host, ids, in_scope, inside_link, lines, links, preceding
 from .references import ART, NUM
-from .spans import ODD_HREF, dangling, doc_of, fragment_of, link_kind
+from .spans import ODD_HREF, SITE, dangling, doc_of, fragment_of, link_kind
 
 #: What counts as a reference in plain text, by class.
 UNLINKED = {
-    "internal:статья N": rf"{IU}(?<![\p{{L}}]){ART}\s+\d+",
-    "internal:настоящего Кодекса/статьи": rf"{IU}настоящ(?:его|ему|им|ем|ей)\s+(?:кодекс|стать)\p{{L}}*",
-    "external:<Прил> кодекс": rf"{U}(?!Настоящ)[А-ЯЁ]\p{{L}}+(?:ый|ого|ому|ым|ом)\s+кодекс\p{{L}}*",
-    "external:Закон РК (именован.)": rf"{U}Закон\p{{L}}*\s+Республики\s+Казахстан\s+(?:от\s+\d|[«\"])",
-    "external:Конституция": rf"{U}Конституци\p{{L}}+",
+    "article": rf"{IU}(?<![\p{{L}}]){ART}\s+{NUM}",
+    "self": rf"{IU}(?<![\p{{L}}])настоящ\p{{L}}+\s+(?:кодекс|стать|закон)\p{{L}}*",
+    "code": rf"{U}(?<![\p{{L}}])(?!Настоящ)[А-ЯЁ]\p{{L}}+(?:[иы]м|ого|ому|ом|ой|[иы]й)\s+кодекс\p{{L}}*",
+    "law": rf"{U}Закон\p{{L}}*\s+(?:Республики\s+Казахстан|РК)\s*(?:от\s+\d|[«\"„]\s*[А-ЯЁ])",
+    "constitution": rf"{IU}(?<![\p{{L}}])конституци(?:я|и|ю|ей|ею|е)(?![\p{{L}}])",
 }
 #: Words near a reference that show an editor's remark (fixed values).
-EDITORIAL = rf"{IU}(сноска|в редакции|введен\p{{L}}* в действие|исключен\p{{L}}*|дополнен\p{{L}}*|утратил\p{{L}}* силу|примечание|изменени\p{{L}}+ внесен\p{{L}}*)"
-#: Acts by the name in a link's text, in the order they are asked (fixed values).
-NAMED = [
-    (r"уголовно-процессуальн", ["K1400000231"]), (r"гражданск\p{L}*\s+процессуальн", ["K1500000377"]), (r"административн\p{L}*\s+правонаруш|коап", ["K1400000235"]),
-    (r"административн\p{L}*\s+процедур|аппк", ["K2000000350"]), (r"уголовн", ["K1400000226"]), (r"гражданск\p{L}*\s+кодекс", ["K940001000", "K990000409"]), (r"налогов", ["K2500000214"]),
-    (r"трудов", ["K1500000414"]), (r"предпринимательск", ["K1500000375"]), (r"эколог", ["K2100000400"]), (r"земельн", ["K030000442"]), (r"бюджетн", ["K2500000171"]),
-    (r"социальн", ["K2300000224"]), (r"о недрах|недропользован", ["K1700000125"]), (r"водн\p{L}*\s+кодекс", ["K030000481"]), (r"здоровь", ["K2000000360"]), (r"мфца", ["Z1500000438"]),
+EDITORIAL = [
+    "вводится в действие", "действует до", "в редакции", "Заголовок", "Сноска", "изложен", "исключен", "исключён", "дополнен", "внесен", "внесён", "предусматривается в редакции", "приостанов",
 ]
+#: Characters before and after a reference in which they count, by class (fixed values).
+AROUND = {"article": (45, 35), "law": (10, 45)}
+TITLE_LINE = rf"{U}^\s*[СCϹ]тать[яиею]\s+{NUM}\s*\."
 
 
 def coverage(nodes: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
-    """(doc_key, class, n): links by kind, and references in plain text of content by pattern."""
-    from .dom import without_noise
+    """(doc_key, class, n): links in content by kind, and references in the plain text of articles by class."""
+    linked = links(in_scope(nodes)).select("doc_key", F.concat(F.lit("linked:"), link_kind(F.col("href"))).alias("class"))
+    counted = unlinked(nodes, patterns).select("doc_key", "class")
+    return linked.unionByName(counted).groupBy("doc_key", "class").agg(F.count("*").alias("n"))
+
 
-    linked = links(nodes).select("doc_key", F.concat(F.lit("linked:"), link_kind(F.col("href"))).alias("class"))
-    text = without_noise(nodes).where((F.col("kind") == "text") & ~inside_link())
-    found = F.array(*(F.struct(F.lit(name).alias("class"), F.regexp_count("text", F.lit(p)).alias("n")) for name, p in (patterns or UNLINKED).items()))
-    counted = text.select("doc_key", F.explode(found).alias("f")).select("doc_key", "f.class", "f.n").where("n > 0")
-    return linked.withColumn("n", F.lit(1)).unionByName(counted).groupBy("doc_key", "class").agg(F.sum("n").cast("long").alias("n"))
+def class_totals(counts: DataFrame) -> DataFrame:
+    """(class, n) over all documents, the commonest first, then the total (class null)."""
+    total = counts.rollup("class").agg(F.sum("n").cast("long").alias("n"), F.grouping("class").alias("is_total"))
+    return total.orderBy("is_total", F.desc("n"), "class").select("class", "n")
 
 
-def unlinked(nodes: DataFrame, patterns: dict[str, str] | None = None, left: int = 45, right: int = 35) -> DataFrame:
-    """(doc_key, line, class, match, context, editorial): every reference in a line's plain text with what stands around it."""
-    rows, out = lines(nodes), None
+def unlinked(nodes: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
+    """(doc_key, line, class, match, context, editorial): every reference in plain lines of articles, with what stands around it.
+
+    Title lines are left out. An editor's remark is known by its words near the reference; a law's also needs a date.
+    """
+    inside = nodes.join(host(nodes).select("doc_key", "node_id"), ["doc_key", "node_id"], "left_semi")
+    rows = lines(inside).where(~F.col("text").rlike(TITLE_LINE))
+    found = []
     for name, pattern in (patterns or UNLINKED).items():
-        parts = F.split(F.regexp_replace("text", pattern, f"{MARK}$0{MARK}"), MARK)
-        each = rows.select("doc_key", "line", parts.alias("parts"), F.posexplode(parts).alias("k", "match")).where("k % 2 = 1")
-        head, tail = F.array_join(F.slice("parts", F.lit(1), F.col("k")), ""), F.array_join(F.slice("parts", F.col("k") + 2, F.size("parts")), "")
+        left, right = AROUND.get(name, (45, 35))
+        # What stands between the matches, so that every match has the text before and after it.
+        each = rows.where(F.col("text").rlike(pattern)).select("doc_key", "line", F.split("text", pattern).alias("rest"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("hits"))
+        each = each.select("doc_key", "line", "rest", "hits", F.posexplode("hits").alias("k", "match"))
+        mixed = F.transform(F.sequence(F.lit(0), F.size("hits")), lambda i: F.concat(F.get("rest", i), F.coalesce(F.get("hits", i), F.lit(""))))
+        head = F.concat(F.array_join(F.slice(mixed, F.lit(1), F.col("k")), ""), F.get("rest", F.col("k")))
+        tail = F.array_join(F.slice(mixed, F.col("k") + 2, F.size("hits") + 1), "")
         around = F.concat(F.right(head, F.lit(left)), "match", F.left(tail, F.lit(right)))
-        one = each.select("doc_key", "line", F.lit(name).alias("class"), "match", around.alias("context"), around.rlike(EDITORIAL).alias("editorial"))
-        out = one if out is None else out.unionByName(one)
-    return out
+        remark = reduce(lambda a, b: a | b, (around.contains(w) for w in EDITORIAL))
+        if name == "law":
+            remark = remark & F.col("match").rlike(r"от\s+\d")
+        elif name == "article":
+            remark = remark | F.concat("match", tail).rlike(rf"{IU}^стать[яиею]\s+{NUM}\s+(?:вводится|действует|приостан)")
+        elif name not in AROUND:
+            remark = F.lit(False)
+        found.append(each.select("doc_key", "line", F.lit(name).alias("class"), "match", collapse(around).alias("context"), remark.alias("editorial")))
+    return reduce(DataFrame.unionByName, found)
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -76,12 +98,15 @@ def events(nodes: DataFrame) -> DataFrame:
 
 
 def claimed(text: Column, prev: Column) -> Column:
-    """Struct (kind, number) of what a link says it points to: ARTICLE N, SELF or NONART."""
+    """Struct (kind, number) of what a link says it points to: ARTICLE N, SELF or NONART.
+
+    A bare number is an article's behind that word (or a list that begins with it); behind «настоящей статьи» it is this one.
+    """
     n = F.nullif(F.regexp_extract(text, rf"{IU}{ART}\s+({NUM})", 1), F.lit(""))
+    own = rf"{IU}настоящ\p{{L}}+\s+стать"
     bare = F.when(prev.rlike(rf"{IU}{ART}\s*(?:{NUM}\s*[,и]\s*)*$"), F.nullif(F.regexp_extract(text, rf"^\s*({NUM})\s*$", 1), F.lit("")))
-    self_ = text.rlike(rf"{IU}настоящ\p{{L}}+\s+стать") | prev.rlike(rf"{IU}настоящ\p{{L}}+\s*$")
-    number = F.coalesce(n, bare)
-    return F.struct(F.when(self_, "SELF").when(number.isNotNull(), "ARTICLE").otherwise("NONART").alias("kind"), number.alias("number"))
+    kind = F.when(text.rlike(own), "SELF").when(n.isNotNull(), "ARTICLE").when(F.right(prev, F.lit(25)).rlike(own) & ~F.lower(text).contains("стать"), "SELF").when(bare.isNotNull(), "ARTICLE").otherwise("NONART")
+    return F.struct(kind.alias("kind"), F.when(kind == "ARTICLE", F.coalesce(n, bare)).alias("number"))
 
 
 def correctness(nodes: DataFrame, source: DataFrame | None = None) -> DataFrame:
@@ -91,12 +116,12 @@ def correctness(nodes: DataFrame, source: DataFrame | None = None) -> DataFrame:
     its start if the dashed number is no article here); NONART otherwise. ``source`` (doc_key, href) tells which came
     with the source.
     """
-    where = before(nodes.where("kind <> 'comment'")).select("doc_key", "node_id", "prev_text")
-    rows = links(nodes).where(link_kind(F.col("href")) == "internal").withColumn("id", fragment_of(F.col("href"))).join(where, ["doc_key", "node_id"], "left").join(host(nodes), ["doc_key", "node_id"], "left")
+    rows = links(nodes).where(link_kind(F.col("href")) == "internal").withColumn("id", fragment_of(F.col("href"))).join(preceding(nodes), ["doc_key", "node_id"], "left").join(host(nodes), ["doc_key", "node_id"], "left")
     rows = rows.withColumn("c", claimed(F.col("text"), F.coalesce("prev_text", F.lit(""))))
     there = ids(nodes).withColumn("there", F.lit(True))
-    resolved = first_wins(resolve(events(nodes)), ["doc_key", "id"], ["pos"]).select("doc_key", "id", "article", "next_article")
-    known = events(nodes).where("kind = 'H'").select("doc_key", F.col("val").alias("number")).distinct().withColumn("known", F.lit(True))
+    marks = events(nodes)
+    resolved = first_wins(resolve(marks), ["doc_key", "id"], ["pos"]).select("doc_key", "id", "article", "next_article")
+    known = marks.where("kind = 'H'").select("doc_key", F.col("val").alias("number")).distinct().withColumn("known", F.lit(True))
     rows = rows.join(there, ["doc_key", "id"], "left").join(resolved, ["doc_key", "id"], "left").withColumn("number", F.col("c.number")).join(known, ["doc_key", "number"], "left")
     near = F.array_compact(F.array("article", "next_article"))
     n = F.when(F.col("number").contains("-") & F.col("known").isNull(), F.split("number", "-")[0]).otherwise(F.col("number"))
@@ -112,55 +137,93 @@ def correctness(nodes: DataFrame, source: DataFrame | None = None) -> DataFrame:
 def longest_hint(rows: DataFrame, hints: DataFrame, text: str = "text", key: str = "id") -> DataFrame:
     """For each row the longest hint that its text contains, with what it stands for: (key, hint, expected).
 
-    ``hints`` (hint, expected) is a fixed list of at most a few thousand rows.
+    ``hints`` (hint, expected) may have any size. Of equally long hints the one that sorts last is taken.
+    """
+    found = phrase_spans(rows.select(key, text), hints.select(F.col("hint").alias("phrase"), F.col("expected").alias("value")), text, words=False).where(F.size("spans") > 0)
+    best = F.array_max(F.transform("spans", lambda x: F.struct(F.length(x["phrase"]).alias("n"), x["phrase"].alias("hint"), x["value"].alias("expected"))))
+    return found.select(key, best.alias("b")).select(key, "b.hint", "b.expected")
+
+
+def hinted_mismatches(nodes: DataFrame, hints: DataFrame, known: DataFrame) -> DataFrame:
+    """Links of content to an act of ``known`` (doc_id) whose name says another: (doc_key, node_id, hint, expected, actual).
+
+    The name is the link's text, with what stands before it if the text is only a number or signs.
     """
-    few = F.broadcast(hints.limit(10_000))
-    got = rows.join(few, F.lower(F.col(text)).contains(F.lower("hint")))
-    best = got.groupBy(key).agg(F.max(F.struct(F.length("hint").alias("n"), "hint", "expected")).alias("b"))
-    return best.select(key, "b.hint", "b.expected")
+    rows = links(in_scope(nodes)).where(link_kind(F.col("href")) == "external").join(preceding(nodes), ["doc_key", "node_id"], "left")
+    bare = F.col("text").rlike(r"^[\s\d).,;№-]*$")
+    name = F.when(bare, F.concat_ws(" ", "prev_text", "text")).otherwise(F.col("text"))
+    rows = rows.select("doc_key", "node_id", doc_of(F.col("href")).alias("actual"), name.alias("name")).join(known.select(F.col("doc_id").alias("actual")).distinct(), "actual", "left_semi").withColumn("key", F.struct("doc_key", "node_id", "actual"))
+    best = longest_hint(rows.withColumnRenamed("name", "said"), hints, "said", "key")
+    return best.select("key.doc_key", "key.node_id", "hint", "expected", "key.actual").where("actual <> expected")
+
+
+#: One rule: words that must all stand in a name (one list an alternative), and the acts that it may mean.
+NameRule = tuple[list[list[str]], list[str]]
 
 
-def named_acts(text: Column) -> Column:
-    """The acts a text names by the first rule that matches; null if none does."""
-    out = F.lit(None).cast("array<string>")
-    for pattern, docs in reversed(NAMED):
-        out = F.when(text.rlike(f"{IU}{pattern}"), F.array(*map(F.lit, docs))).otherwise(out)
+def named_acts(text: Column, rules: list[NameRule]) -> Column:
+    """The acts a text names by the first rule that matches, null if none does; the caller's table of rules is part of the plan."""
+    low, out = F.lower(text), F.lit(None).cast("array<string>")
+    for alternatives, docs in reversed(rules):
+        hit = reduce(lambda a, b: a | b, (reduce(lambda a, b: a & b, (low.contains(w) for w in words)) for words in alternatives))
+        out = F.when(hit, F.array(*map(F.lit, docs))).otherwise(out)
     return out
 
 
-def external_mismatches(rows: DataFrame, known: DataFrame) -> DataFrame:
+def external_mismatches(rows: DataFrame, known: DataFrame, rules: list[NameRule]) -> DataFrame:
     """Links to an act of ``known`` (doc_id) that their text doesn't name; rows: doc_key, href, text."""
     bare = lambda c: F.rtrim(c, F.lit("_"))
-    got = rows.withColumn("actual", bare(doc_of(F.col("href")))).withColumn("expected", named_acts(F.col("text"))).where("actual is not null and expected is not null")
+    got = rows.withColumn("actual", bare(doc_of(F.col("href")))).withColumn("expected", named_acts(F.col("text"), rules)).where("actual is not null and expected is not null")
     return got.join(known.select(bare(F.col("doc_id")).alias("actual")).distinct(), "actual", "left_semi").where(~F.array_contains("expected", F.col("actual")))
 
 
 def independent(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Internal links against the number of the div around their target: match, range_base, boundary, mismatch, unresolved.
+    """Internal links against ``anchors.heading_map``: match, range_base, boundary, mismatch, unresolved.
 
     ``edges`` (doc_key, id, number) are articles that begin shortly after an anchor (``anchors.boundary``).
     """
-    marks = nodes.where("kind = 'element'").select("doc_key", "node_id", F.coalesce(attr("id"), attr("name")).alias("id"), F.when((F.col("tag") == "div") & (attr("data-type") == "статья"), attr("data-number")).alias("own")).where("id is not null")
-    at = first_wins(marks.join(host(nodes), ["doc_key", "node_id"], "left").select("doc_key", "id", "node_id", F.coalesce("own", "host_number").alias("target")), ["doc_key", "id"], ["node_id"])
     rows = links(nodes).where(F.col("href").startswith("#")).withColumn("id", fragment_of(F.col("href"))).withColumn("n", F.nullif(F.regexp_extract("text", rf"{IU}{ART}\s+({NUM})", 1), F.lit(""))).where("n is not null")
-    rows = rows.join(at.select("doc_key", "id", "target"), ["doc_key", "id"], "left").join(edges.groupBy("doc_key", "id").agg(F.min("number").alias("edge")), ["doc_key", "id"], "left")
+    target = heading_map(nodes).withColumnRenamed("number", "target")
+    rows = rows.join(target, ["doc_key", "id"], "left").join(edges.groupBy("doc_key", "id").agg(F.min("number").alias("edge")), ["doc_key", "id"], "left")
     base = F.split("n", "-")[0]
     verdict = F.when(F.col("target").isNull(), "unresolved").when(F.col("target") == F.col("n"), "match").when(F.col("n").contains("-") & (F.col("target") == base), "range_base").when(F.col("edge").isin(F.col("n"), base), "boundary").otherwise("mismatch")
     return rows.select("doc_key", "node_id", "href", "text", "n", "target", verdict.alias("verdict"))
 
 
-def six_checks(nodes: DataFrame, chrome: list[str] | None = None) -> DataFrame:
-    """(doc_key, check, n, contexts): nested, empty, odd external and dangling links, up to three contexts each.
+#: Plural forms, behind which a list of linked numbers is right (fixed values).
+PLURAL = ["статьями", "статьях", "статей"]
+ARCHIVED = r"/archive/|\?|\b\d{2}\.\d{2}\.\d{4}\b|/\d{8}/|[?&]ver="
 
-    Links in the tags of ``chrome`` are not counted as empty; documents without a defect give no rows.
+
+def six_checks(nodes: DataFrame, own: DataFrame | None = None, site: str = SITE, chrome: list[str] | None = None) -> DataFrame:
+    """(doc_key, check, n, contexts): what is wrong with a document's links, up to three contexts each.
+
+    unparsed: no element; nested: a link in a link; empty: no target; split: a singular «статья» in front of a linked
+    number; archive: another act's dated or archived form; dangling: a #z target that isn't there. Not defects, but
+    counted: list (a plural in front of a linked number), own (full links to the act itself), odd (other forms of another
+    act's link), elsewhere (links to no act). Links in the tags of ``chrome`` are not counted as empty. ``own`` (doc_key,
+    own) names each document's act. Documents without any give no rows.
     """
     all_links = links(nodes)
-    up = nodes.where("tag = 'a'").select("doc_key", "node_id", "tags")
-    nested = up.where(F.array_contains("tags", "a")).join(all_links, ["doc_key", "node_id"]).select("doc_key", F.lit("nested").alias("check"), "text")
-    empty = up.where(~F.arrays_overlap("tags", F.array(*map(F.lit, chrome or ["nav"])))).join(all_links, ["doc_key", "node_id"]).where("text = ''").select("doc_key", F.lit("empty").alias("check"), F.col("href").alias("text"))
-    odd = all_links.where(doc_of(F.col("href")).isNotNull() & F.col("href").rlike(ODD_HREF)).select("doc_key", F.lit("external_archive").alias("check"), F.col("href").alias("text"))
-    lost = dangling(all_links, ids(nodes)).select("doc_key", F.lit("dangling").alias("check"), F.col("href").alias("text"))
-    rows = nested.union(empty).union(odd).union(lost)
+    up = nodes.where("tag = 'a'").select("doc_key", "node_id", "parent_id", "sib_pos", "tags", attr("href").alias("href"))
+    said = up.join(all_links.select("doc_key", "node_id", "text"), ["doc_key", "node_id"], "left").withColumn("text", F.coalesce("text", F.lit("")))
+    href = F.trim("href")
+    nested = said.where(F.array_contains("tags", "a")).select("doc_key", F.lit("nested").alias("check"), "text")
+    empty = said.where(~F.arrays_overlap("tags", F.array(*map(F.lit, chrome or ["nav"]))) & href.isin("", "#")).select("doc_key", F.lit("empty").alias("check"), "text")
+    w = Window.partitionBy("doc_key", "parent_id").orderBy("sib_pos")
+    word = F.nullif(F.regexp_extract("text", rf"{IU}(стать\w+)\s+$", 1), F.lit(""))
+    fore = nodes.withColumn("next", F.lead(F.when(F.col("tag") == "a", F.col("node_id"))).over(w)).where("kind = 'text'").select("doc_key", F.col("next").alias("node_id"), word.alias("word")).where("word is not null and node_id is not null")
+    split = fore.join(all_links.where(F.col("text").rlike(r"^\d")), ["doc_key", "node_id"]).select("doc_key", F.when(F.lower("word").isin(PLURAL), "list").otherwise("split").alias("check"), F.concat_ws(" ", "word", "text").alias("text"))
+    full = all_links.where(F.trim("href").startswith("http"))
+    full = full.join(own, "doc_key", "left") if own is not None else full.withColumn("own", F.lit(None).cast("string"))
+    doc = F.nullif(F.regexp_extract("href", r"/docs/([A-Z][A-Z0-9]*)_?", 1), F.lit(""))
+    at_site = F.col("href").startswith(site)
+    right = F.col("href").rlike(r"/docs/[A-Z][A-Z0-9]{4,}_?(?:#z[\w.-]+)?$") & at_site
+    kind = F.when(~at_site | doc.isNull(), "elsewhere").when(F.rtrim(doc, F.lit("_")) == F.rtrim(F.coalesce("own", F.lit("")), F.lit("_")), "own").when(F.col("href").rlike(ARCHIVED), "archive").otherwise("odd")
+    others = full.where(~right).select("doc_key", kind.alias("check"), F.col("href").alias("text"))
+    lost = dangling(all_links.where(F.col("href").rlike(r"^#z[\w.-]+$")), ids(nodes)).select("doc_key", F.lit("dangling").alias("check"), F.col("href").alias("text"))
+    unparsed = nodes.groupBy("doc_key").agg(F.count_if(F.col("kind") == "element").alias("k")).where("k = 0").select("doc_key", F.lit("unparsed").alias("check"), F.lit("").alias("text"))
+    rows = nested.union(empty).union(split).union(others).union(lost).union(unparsed)
     k = F.row_number().over(Window.partitionBy("doc_key", "check").orderBy("text"))
     return rows.withColumn("k", k).groupBy("doc_key", "check").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.when(F.col("k") <= 3, F.col("text")))).alias("contexts"))
 
@@ -236,21 +299,24 @@ def round_robin(rows: DataFrame, kind: str, order: list[str], n: int = 20) -> Da
 
 
 def gates(before_: DataFrame, after: DataFrame, dropped: DataFrame | None = None) -> DataFrame:
-    """(doc_key, gate, ok) of an edit of node tables: text kept, no nested link, hrefs differ by ``dropped`` only."""
+    """(doc_key, gate, ok) of an edit of node tables: text kept, no nested link, no new dangling link, hrefs differ by ``dropped`` only."""
     from .spans import href_delta, text_hash
 
     def said(nodes: DataFrame) -> DataFrame:
-        roots = nodes.where("parent_id = -1 and kind = 'element'").groupBy("doc_key").agg(F.min("node_id").alias("node_id"))
-        texts = element_texts(nodes, roots.select("doc_key", "node_id"))
-        return text_hash(texts.select("doc_key", collapse(F.col("text_raw")).alias("text")))
+        texts = nodes.where("kind = 'text'").groupBy("doc_key").agg(F.array_sort(F.collect_list(F.struct("node_id", "text"))).alias("ts"))
+        return text_hash(texts.select("doc_key", collapse(F.array_join(F.transform("ts", lambda t: t["text"]), "")).alias("text")))
+
+    def lost(nodes: DataFrame, name: str) -> DataFrame:
+        return dangling(links(nodes), ids(nodes)).groupBy("doc_key").agg(F.count("*").alias(name))
 
     text = frozen(said(before_), said(after)).select("doc_key", F.lit("text").alias("gate"), F.col("same").alias("ok"))
+    docs = after.select("doc_key").distinct()
     nested = after.groupBy("doc_key").agg((F.count(F.when((F.col("tag") == "a") & inside_link(), 1)) == 0).alias("ok")).select("doc_key", F.lit("nested").alias("gate"), "ok")
+    hung = docs.join(lost(before_, "old"), "doc_key", "left").join(lost(after, "new"), "doc_key", "left").select("doc_key", F.lit("dangling").alias("gate"), (F.coalesce("new", F.lit(0)) <= F.coalesce("old", F.lit(0))).alias("ok"))
     delta = href_delta(links(before_), links(after)).withColumn("lost", F.col("old_n") - F.col("new_n"))
     if dropped is not None:
         logged = dropped.select("doc_key", F.explode("dropped").alias("href")).groupBy("doc_key", "href").agg(F.count("*").alias("logged"))
         delta = delta.join(logged, ["doc_key", "href"], "left").where("lost <> coalesce(logged, 0)")
     bad = delta.select("doc_key").distinct().withColumn("bad", F.lit(True))
-    hrefs = after.select("doc_key").distinct().join(bad, "doc_key", "left").select("doc_key", F.lit("hrefs").alias("gate"), F.col("bad").isNull().alias("ok"))
-    return text.unionByName(nested).unionByName(hrefs)
-
+    hrefs = docs.join(bad, "doc_key", "left").select("doc_key", F.lit("hrefs").alias("gate"), F.col("bad").isNull().alias("ok"))
+    return text.unionByName(nested).unionByName(hung).unionByName(hrefs)

@@ -1,19 +1,23 @@
-"""Projections and predicates over the node table. Rows of a document are only ever joined or windowed by doc_key."""
+"""Projections and predicates over the node table. Rows of a document are only ever joined or windowed by doc_key.
+
+Null texts and attributes meet no predicate; documents without what is asked for give no rows; empty tables give none.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import IU, U, blank, collapse
+from ..functions.text import U, blank, collapse
 
+#: Tags that are no content, tags whose texts are never linked, headings, tags that break a line (fixed values).
 NOISE = ["script", "style", "template", "veepn-lock-screen"]
 SKIPPED = ["a", "script", "style", "head", "title"]
 HEADINGS = ["h1", "h2", "h3", "h4", "h5", "h6"]
 BREAKS = ["br", "p", "div", "li", "tr", "td", "table", "h1", "h2", "h3", "h4", "h5", "h6", "article"]
-ARTICLE_START = rf"{IU}^\s*статья\s+\d+"
-#: Signs of an editor's note (fixed values).
-NOTE = rf"{IU}(сноска|примечание\s+ИЗПИ|примечание\s+РЦПИ|вниманию\s+пользовател)"
+ARTICLE_START = rf"{U}^\s*Статья\s+\d"
+#: Signs of an editor's note: in a text, at its begin, in a red font (fixed values).
+NOTE, NOTE_BEGINS, NOTE_RED = r"Сноска[. ]|Примечание\.", "Примечани", "Примечание (?:ИЗПИ|РЦПИ)"
 
 
 def attr(name: str, attrs: str = "attrs") -> Column:
@@ -38,9 +42,18 @@ def eligible_text(least: int = 3) -> Column:
     return (F.col("kind") == "text") & (F.length(collapse(F.col("text"))) >= least) & ~_tags_any(SKIPPED)
 
 
-def in_heading() -> Column:
-    """Whether a text is in a heading tag, or in bold text that begins like an article's heading."""
-    return _tags_any(HEADINGS) | (F.array_contains("tags", "b") & F.col("text").rlike(ARTICLE_START))
+def heading_texts(nodes: DataFrame) -> DataFrame:
+    """(doc_key, node_id) of the texts in a heading tag, or in bold text with an anchor or that begins like an article's heading.
+
+    Bold text counts only inside the text's own block.
+    """
+    texts = nodes.where("kind = 'text'")
+    bold = nodes.where("tag = 'b'").select("doc_key", "node_id")
+    anchored = nodes.where((F.col("tag") == "a") & F.array_contains("tags", "b") & (attr("name").isNotNull() | attr("id").isNotNull())).select("doc_key", F.explode("path").alias("node_id")).distinct().withColumn("anchored", F.lit(True))
+    marks = element_texts(nodes, bold).join(anchored, ["doc_key", "node_id"], "left").where(F.col("anchored") | F.col("text_sp").rlike(ARTICLE_START))
+    inside = texts.where(F.array_contains("tags", "b")).select("doc_key", "node_id", "block_id", F.explode("path").alias("of")).where("of > block_id")
+    inside = inside.join(marks.select("doc_key", F.col("node_id").alias("of")), ["doc_key", "of"], "left_semi").select("doc_key", "node_id")
+    return texts.where(_tags_any(HEADINGS)).select("doc_key", "node_id").union(inside).distinct()
 
 
 def element_texts(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -85,29 +98,55 @@ def in_scope(nodes: DataFrame) -> DataFrame:
 def in_note(nodes: DataFrame, wide: bool = True, block: int = 2000) -> DataFrame:
     """(doc_key, node_id) of texts in editors' notes.
 
-    Narrow: in ``span.note`` or a red font. Wide also: own text like a note's, an earlier sibling text like one, or
-    a paragraph of under ``block`` characters like one.
+    Narrow: in ``span.note``, or in a red font that says so. Wide also: own text like a note's, an earlier sibling that
+    holds such a text, or a parent (no article, body or div) of under ``block`` characters that does or begins like one.
     """
-    red = (F.col("tag") == "font") & (F.lower(F.coalesce(attr("color"), F.lit(""))).isin("red", "#ff0000"))
-    span = (F.col("tag") == "span") & F.array_contains(F.split(F.coalesce(attr("class"), F.lit("")), r"\s+"), "note")
-    narrow = ancestors(nodes.where("kind <> 'comment'"), red | span).select("doc_key", "node_id").distinct()
     texts = nodes.where("kind = 'text'")
-    narrow = narrow.join(texts.select("doc_key", "node_id"), ["doc_key", "node_id"], "left_semi")
+    span = (F.col("tag") == "span") & F.array_contains(F.split(F.coalesce(attr("class"), F.lit("")), r"\s+"), "note")
+    red = nodes.where((F.col("tag") == "font") & (F.upper(F.ltrim(F.trim(F.coalesce(attr("color"), F.lit(""))), F.lit("#"))) == "FF0000")).select("doc_key", "node_id")
+    red = element_texts(nodes, red).where(F.col("text_raw").rlike(NOTE_RED)).select("doc_key", F.col("node_id").alias("of"))
+    marked = nodes.where(span).select("doc_key", F.col("node_id").alias("of")).union(red)
+    below = texts.where(_tags_any(["span", "font"])).select("doc_key", "node_id", F.explode("path").alias("of"))
+    narrow = below.join(marked, ["doc_key", "of"], "left_semi").select("doc_key", "node_id").distinct()
     if not wide:
         return narrow
-    so_far = Window.partitionBy("doc_key", "parent_id").orderBy("sib_pos").rowsBetween(Window.unboundedPreceding, 0)
-    own = texts.withColumn("noted", F.max(F.col("text").rlike(NOTE)).over(so_far)).where("noted").select("doc_key", "node_id")
-    blocks = element_texts(nodes, nodes.where("kind = 'element' and tag = 'p'").select("doc_key", "node_id"))
-    blocks = blocks.where((F.length("text_raw") < block) & F.col("text_raw").rlike(NOTE)).select("doc_key", F.col("node_id").alias("of"))
-    inside = texts.select("doc_key", "node_id", F.explode("path").alias("of")).join(blocks, ["doc_key", "of"]).select("doc_key", "node_id")
-    return narrow.union(own).union(inside).distinct()
+    sign = F.col("text").rlike(NOTE) | F.left(F.trim("text"), F.lit(15)).contains(NOTE_BEGINS)
+    signs = texts.where(sign)
+    holders = signs.select("doc_key", F.explode(F.concat("path", F.array("node_id"))).alias("node_id")).distinct()
+    first = nodes.join(holders, ["doc_key", "node_id"], "left_semi").groupBy("doc_key", "parent_id").agg(F.min("sib_pos").alias("from"))
+    after = texts.join(first, ["doc_key", "parent_id"]).where("sib_pos > from").select("doc_key", "node_id")
+    parents = nodes.join(holders, ["doc_key", "node_id"], "left_semi").where((F.col("kind") == "element") & ~F.col("tag").isin("article", "body", "div", "html")).select("doc_key", "node_id")
+    said = element_texts(nodes, parents).where((F.length("text_raw") < block) & (F.col("text_raw").rlike("Сноска[. ]") | F.ltrim("text_raw").startswith("Примечание")))
+    inside = texts.join(said.select("doc_key", F.col("node_id").alias("parent_id")), ["doc_key", "parent_id"], "left_semi").select("doc_key", "node_id")
+    return narrow.union(signs.select("doc_key", "node_id")).union(after).union(inside).distinct()
 
 
 def before(nodes: DataFrame, n: int = 60) -> DataFrame:
-    """``nodes`` with prev_text: what siblings before say, white space collapsed, its last ``n`` characters."""
-    earlier = Window.partitionBy("doc_key", "parent_id").orderBy("sib_pos").rowsBetween(Window.unboundedPreceding, -1)
-    said = F.array_join(F.collect_list(F.when(F.col("kind") == "text", F.col("text"))).over(earlier), "")
-    return nodes.withColumn("prev_text", F.right(collapse(said), F.lit(n)))
+    """``nodes`` with prev_text: what siblings before say, white space collapsed, its last ``n`` characters.
+
+    Texts say their text, elements what a column ``said`` holds (nothing without one). Only so many siblings are looked
+    back at as give ``n`` characters: a range over the running length, so a row gathers no more than a few times that.
+    """
+    said = F.when(F.col("kind") == "text", F.col("text"))
+    if "said" in nodes.columns:
+        said = F.coalesce(said, F.col("said"))
+    parent = Window.partitionBy("doc_key", "parent_id")
+    own = F.right(F.regexp_replace(said, rf"{U}\s+", " "), F.lit(n + 1))
+    rows = nodes.withColumn("__s", own).withColumn("__b", blank(F.col("__s")))
+    last = F.last(F.when(F.length("__s") > 0, F.col("__b")), True).over(parent.orderBy("sib_pos").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("__last", last).withColumn("__s", F.when(F.col("__b") & F.coalesce("__last", F.lit(True)), None).otherwise(F.col("__s")))
+    rows = rows.withColumn("__end", F.sum(F.when(F.col("__b"), 0).otherwise(F.coalesce(F.length("__s"), F.lit(0)))).over(parent.orderBy("sib_pos").rowsBetween(Window.unboundedPreceding, 0)))
+    near = F.collect_list(F.when(F.length("__s") > 0, F.struct("sib_pos", "__s"))).over(parent.orderBy("__end").rangeBetween(-(2 * n + 2), 0))
+    joined = F.array_join(F.transform(F.filter(F.array_sort("__near"), lambda x: x["sib_pos"] < F.col("sib_pos")), lambda x: x["__s"]), "")
+    return rows.withColumn("__near", near).withColumn("prev_text", F.right(collapse(joined), F.lit(n))).drop("__s", "__b", "__last", "__end", "__near")
+
+
+def preceding(nodes: DataFrame, n: int = 60) -> DataFrame:
+    """(doc_key, node_id, prev_text) of every link: what its siblings before say, elements included."""
+    held = nodes.where("tag = 'a'").select("doc_key", "parent_id").distinct()
+    rows = nodes.where("kind <> 'comment'").join(held, ["doc_key", "parent_id"], "left_semi")
+    said = element_texts(nodes, rows.where("kind = 'element'").select("doc_key", "node_id")).select("doc_key", "node_id", F.col("text_raw").alias("said"))
+    return before(rows.join(said, ["doc_key", "node_id"], "left"), n).where("tag = 'a'").select("doc_key", "node_id", "prev_text")
 
 
 def neighbours(nodes: DataFrame) -> DataFrame:

@@ -1,21 +1,28 @@
-"""References in running text: an ordered list of phrase rules, looked up in anchor maps, written as links.
+"""References in running text: phrase rules found in one Arrow pass, looked up by joins, folded by priority, written as links.
 
-Rules run in order over what earlier ones left (``functions.text.mark``); a match counts only if its target is in the
-maps of its document, which come as one map column a document (an act has some thousand anchors at most).
-Not kept from the usual offset bookkeeping: where a match fails its lookup, later rules don't read across its ends.
+A pass over the texts (``find``) returns what each rule matches as offsets, with the keys that each link of a match may
+point to, best first. Keys meet the anchors of their document in an equi-join on (doc_key, key); then every text folds
+its own few matches: a match counts if its target is known and it overlaps none that a rule before it took. All state
+(current article and point, what follows a text) comes from windows over a document.
+
+Null texts match nothing; documents without maps get no links; repeated keys of a map count once (the least anchor);
+empty tables give empty results.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from typing import NamedTuple
+import re
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import IU, ORDINAL, collapse, escape, mark, ordinal, placed, whole
-from .anchors import part_anchors
-from .dom import eligible_text, in_heading, in_note
+from ..functions.text import ORDINALS, collapse, escape
+from ..sources.html import kept_nodes, serialize
+from ..sources.shared import written
+from .anchors import article_anchors, chapter_anchors, ids_from_names, part_anchors, subpoint_anchors
+from .dom import eligible_text, heading_texts, in_note, inside_link, links
 
 NUM = r"\d+(?:-\d+)?"
 ART = r"стат(?:ья|ьи|ье|ью|ьёй|ьей|ьями|ьям|ьях|ей)"
@@ -26,192 +33,314 @@ CHAPTER = r"глав(?:а|ы|е|у|ой|ами|ах)"
 SEP = r"\s*(?:,|;|\bи\b|\bили\b|[-–—])\s*"
 SELF = r"настоящ(?:ей|его|ему|им|ем)"
 PNUM = rf"{NUM}\s*\)"
-BOUND = r"(?<![\p{L}\d])"
+_LETTER = r"[^\W\d_]"
+_STEMS = "|".join(sorted(ORDINALS, key=len, reverse=True))
+_ORDINAL = rf"(?:{_STEMS})(?:ая|ой|ую|ый|ого|ому|ым|ом|ий|ья|ьей|ью|ье|ьего|ьему|ьим|ьем|ые|ых|ыми|ьи|ьих|ьими)\b"
 #: No digit follows, and no full stop with a capital (that would be a heading).
-TAIL = r"(?![\d-])(?!\.\s*\p{Lu})"
-
-
-class Rule(NamedTuple):
-    name: str
-    pattern: str
-    #: What the number is looked up in: chapter, article, part (of the current article) or subpoint.
-    target: str
-
-
-def _p(body: str) -> str:
-    return f"{IU}{BOUND}{body}"
-
-
-RULES = [
-    Rule("chapter", _p(rf"{CHAPTER}\s+{NUM}(?=\s+{SELF}\s+(?:кодекс|част))"), "chapter"),
-    Rule("subpoint", _p(rf"{SUB}\s+{PNUM}(?:{SEP}{PNUM})*,?\s+{PUNKT}\s+{NUM}(?:\s*,\s*{PUNKT}\s+{NUM})*\s+{ART}\s+{NUM}{TAIL}"), "article"),
-    Rule("point_article", _p(rf"{PUNKT}\s+{NUM}\)?(?:{SEP}{NUM}\))*(?:\s+{PART}\s+[\p{{L}}\d-]+)?\s+{ART}\s+{NUM}{TAIL}"), "article"),
-    Rule("points_article", _p(rf"{PUNKT}\s+{NUM}(?:{SEP}{NUM})*(?:\s+{PART}\s+[\p{{L}}\d-]+)?\s+{ART}\s+{NUM}{TAIL}"), "article"),
-    Rule("subpoints_article", _p(rf"{SUB}\s+{PNUM}(?:{SEP}{PNUM})*(?:\s+{PUNKT}\s+{NUM})?\s+{ART}\s+{NUM}{TAIL}"), "article"),
-    Rule("articles", _p(rf"{ART}\s+{NUM}(?:{SEP}{NUM})+{TAIL}"), "article"),
-    Rule("article", _p(rf"{ART}\s+{NUM}{TAIL}"), "article"),
-    Rule("self_points", _p(rf"{PUNKT}\s+{NUM}(?:{SEP}{NUM})+(?=\s+{SELF}\s+стат)"), "part"),
-    Rule("self_point", _p(rf"{PUNKT}\s+{NUM}(?=\s+{SELF}\s+стат)"), "part"),
-    Rule("self_dashed_part", _p(rf"{PART}\s+\d+-\d+"), "part"),
-    Rule("self_ordinal_part", _p(rf"{PART}\s+{ORDINAL}(?=\s+{SELF}\s+(?:стат|пункт))"), "ordinal"),
-    Rule("self_dashed", _p(rf"\d+-\d+(?=\s+{SELF}\s+стат)"), "part"),
-    Rule("self_parts", _p(rf"\d+-\d+(?=(?:\s*(?:,|и|или)\s*(?:{ORDINAL}|\d+-\d+))+\s+{SELF}\s+стат)"), "part"),
-    Rule("same_part_subpoints", _p(rf"{PUNKT}\s+{PNUM}(?:{SEP}{PNUM})*(?=\s+{SELF}\s+част)"), "subpoint"),
-    Rule("same_point_subpoints", _p(rf"{SUB}\s+{PNUM}(?:{SEP}{PNUM})*(?=(?:\s+{PART}\s+\S+)?\s+{SELF}\s+пункт)"), "subpoint"),
-    Rule("self_subpoint", _p(rf"{SUB}\s+{PNUM}\s+{PUNKT}\s+{NUM}(?=\s+{SELF}\s+(?:стат|част|пункт))"), "subpoint_of"),
-]
-#: After an article list: a bare number behind a separator, unless a date, a fraction or a point follows or goes before.
-BARE = _p(rf"(?<=(?:,|;|\sи)\s){NUM}(?![\d-]|[.,]\d|\s*(?:янв|фев|мар|апр|ма[яй]|июн|июл|авг|сен|окт|ноя|дек|год|г\.|пункт|част|процент|%))")
-RANGE = rf"{IU}{ART}\s+(\d+(?:-\d+)?)(?:\s+[-–—]\s*|\s*[–—]\s*)(\d+)"
+_TAIL = r"(?![\d-])(?!\.\s*(?-i:[A-ZА-ЯЁ]))"
+
+
+def _p(body: str) -> re.Pattern:
+    return re.compile(rf"(?<![^\W_]){body}", re.I)
+
+
+_LIST = rf"(?P<list>{PNUM}(?:{SEP}{PNUM})*)"
+#: The rules in the order in which they take text; what their groups mean is in ``_links``.
+RULES: dict[str, re.Pattern] = {
+    "chapter": _p(rf"(?P<unit>{CHAPTER}\s+(?P<n>{NUM}))(?=\s+{SELF}\s+(?:кодекс|част))"),
+    "subpoint": _p(rf"(?P<word>{SUB}\s+){_LIST},?\s+(?P<point>{PUNKT}\s+(?P<p>{NUM}))(?:\s*,\s*{PUNKT}\s+{NUM})*\s+(?P<art>{ART}\s+(?P<a>{NUM})){_TAIL}"),
+    "point_article": _p(rf"{PUNKT}\s+{NUM}\)?(?:{SEP}{NUM}\))*(?:\s+{PART}\s+[\w-]+)?\s+{ART}\s+(?P<a>{NUM}){_TAIL}"),
+    "points_article": _p(rf"{PUNKT}\s+{NUM}(?:{SEP}{NUM})*(?:\s+{PART}\s+[\w-]+)?\s+{ART}\s+(?P<a>{NUM}){_TAIL}"),
+    "subpoints_article": _p(rf"{SUB}\s+{PNUM}(?:{SEP}{PNUM})*(?:\s+{PUNKT}\s+{NUM})?\s+{ART}\s+(?P<a>{NUM}){_TAIL}"),
+    "articles": _p(rf"(?P<word>{ART}\s+)(?P<a>{NUM})(?P<rest>(?:{SEP}{NUM})+){_TAIL}"),
+    "article": _p(rf"{ART}\s+(?P<a>{NUM}){_TAIL}"),
+    "self_point": _p(rf"(?P<unit>{PUNKT}\s+(?P<n>{NUM}))\s+{SELF}\s+стат\w*"),
+    "self_points": _p(rf"(?P<word>{PUNKT}\s+)(?P<bare>{NUM}(?:{SEP}{NUM})+)\s+{SELF}\s+стат\w*"),
+    "self_dashed_part": _p(rf"(?P<unit>{PART}\s+(?P<n>\d+-\d+))"),
+    "self_ordinal_part": _p(rf"(?P<unit>{PART}\s+(?P<ordinal>{_ORDINAL}))(?=\s+{SELF}\s+(?:стат|пункт))"),
+    "self_dashed": _p(rf"(?P<unit>(?P<n>\d+-\d+))\s+{SELF}\s+стат\w*"),
+    "self_parts": _p(rf"(?P<unit>(?P<n>\d+-\d+))(?=(?:\s*(?:,|и|или)\s*(?:{_ORDINAL}|\d+-\d+))+\s+{SELF}\s+стат)"),
+    "same_part_subpoints": _p(rf"(?P<word>{PUNKT}\s+){_LIST}\s+{SELF}\s+част\w*"),
+    "same_point_subpoints": _p(rf"(?P<word>{SUB}\s+){_LIST}(?:\s+{PART}\s+\S+)?\s+{SELF}\s+пункт\w*"),
+    "self_subpoint": _p(rf"(?P<word>{SUB}\s+){_LIST}\s+(?P<point>{PUNKT}\s+(?P<p>{NUM}))\s+{SELF}\s+(?:стат|част|пункт)\w*"),
+}
+#: A bare number behind a separator that no digit precedes, where articles are spoken of.
+_BARE = re.compile(rf"(?:,\s*|;\s*|\s+и\s+)(?P<n>{NUM})(?=\s|,|;|\(| –| -|$)", re.I)
+#: What follows a number that is a date or a term (fixed values).
+_DATE = re.compile(r"\s+(?:янв|фев|мар|апр|мая|июн|июл|авг|сен|окт|ноя|дек|год|лет|месяц|раб|кален|процент)", re.I)
+_POINT = re.compile(rf"(?:под)?пункт(?:ами|ом|а|е|у)?\s+{NUM}\)", re.I)
+#: Characters before a bare number in which a point makes it a subpoint's.
+AROUND = 100
+_DASH = re.compile(rf"\s*[-–—]\s*({NUM})")
+
+MATCH = "rule string, s int, e int, mode string, require string, links array<struct<s:int,e:int,keys:array<string>>>"
+_LINK = pa.struct([("s", pa.int32()), ("e", pa.int32()), ("keys", pa.list_(pa.string()))])
+_MATCH = pa.struct([("rule", pa.string()), ("s", pa.int32()), ("e", pa.int32()), ("mode", pa.string()), ("require", pa.string()), ("links", pa.list_(_LINK))])
+Match = tuple[str, int, int, str, str | None, list[tuple[int, int, list[str]]]]
+
+
+def _listed(m: re.Match, group: str, keys: Callable[[str], list[str]], number: str = rf"({NUM})\s*\)") -> list[tuple[int, int, list[str]]]:
+    """A link for each number of a list; the first takes the word in front of it along."""
+    out, at = [], m.start(group)
+    for k, x in enumerate(re.finditer(number, m[group])):
+        out.append((m.start("word") if k == 0 else at + x.start(), at + x.end(), keys(x[1])))
+    return out
+
+
+def _links(rule: str, m: re.Match, article: str, part: str, detailed: bool) -> Match | None:
+    """What a match of ``rule`` would link: (rule, start, end, mode, required key, links)."""
+    g, whole = m.groupdict(), [(m.start(), m.end())]
+    if rule == "chapter":
+        return rule, m.start(), m.end(), "any", None, [(*m.span("unit"), [f"c:{g['n']}"])]
+    if rule == "subpoint" and detailed:
+        a, p = g["a"], g["p"]
+        own = _listed(m, "list", lambda n: [f"s:{a}_{p}_{n}", f"s:{a}_{n}", f"a:{a}"])
+        return rule, m.start(), m.end(), "any", f"a:{a}", [*own, (*m.span("point"), [f"s:{a}_{p}", f"a:{a}"]), (*m.span("art"), [f"a:{a}"])]
+    if rule == "articles":
+        only = _DASH.fullmatch(g["rest"])
+        if only:
+            named = f"a:{g['a']}-{only[1]}"  # an article of its own, or a range that counts by its start
+            absent = "-" not in only[1] and int(only[1]) < int(g["a"].split("-")[0])
+            return rule, m.start(), m.end(), "any", None, [(*whole[0], [named] if absent else [named, f"a:{g['a']}"])]
+        if _DASH.match(g["rest"]):
+            return rule, m.start(), m.end(), "any", None, [(*whole[0], [f"a:{g['a']}"])]
+        at = m.start("rest")
+        return rule, m.start(), m.end(), "any", None, [(m.start("word"), m.end("a"), [f"a:{g['a']}"]), *((at + x.start(), at + x.end(), [f"a:{x[0]}"]) for x in re.finditer(NUM, g["rest"]))]
+    if "a" in g:
+        return rule, m.start(), m.end(), "any", None, [(*whole[0], [f"a:{g['a']}"])]
+    if rule == "self_points":
+        return rule, m.start(), m.end(), "any", None, _listed(m, "bare", lambda n: [f"p:{article}_{n}"], f"({NUM})")
+    if rule in ("same_part_subpoints", "same_point_subpoints"):
+        return rule, m.start(), m.end(), "always", None, _listed(m, "list", lambda n: [f"s:{article}_{part}_{n}", f"s:{article}_{n}"])
+    if rule == "self_subpoint":
+        p = g["p"]
+        return rule, m.start(), m.end(), "always", None, [*_listed(m, "list", lambda n: [f"s:{article}_{p}_{n}", f"s:{article}_{n}"]), (*m.span("point"), [f"s:{article}_{p}"])]
+    number = g.get("n") or str(next(v for k, v in sorted(ORDINALS.items(), key=lambda x: -len(x[0])) if g["ordinal"].lower().startswith(k)))
+    return rule, m.start(), m.end(), "any", None, [(*m.span("unit"), [f"p:{article}_{number}"])]
+
+
+def matches_in(text: str | None, article: str | None, part: str | None, bare: bool, detailed: bool) -> list[Match]:
+    """Matches of all rules, in the order of the rules; ``article`` and ``part`` are the text's own, ``bare`` whether its block speaks of articles."""
+    out: list[Match] = []
+    low = (text or "").lower()
+    if not any(x in low for x in ("стат", "пункт", "част", "глав", "настоящ")) and not bare:
+        return out
+    for rule, pattern in RULES.items():
+        own, same = rule.startswith("self_"), rule.startswith("same_")
+        if (own and not article) or (same and not (article and part)) or ((same or rule == "self_subpoint") and not detailed):
+            continue
+        out += [x for m in pattern.finditer(text) if (x := _links(rule, m, article or "", part or "", detailed))]
+    if bare or "стать" in low:
+        for m in _BARE.finditer(text):
+            s, e = m.span("n")
+            if _DATE.match(text, e) or (m.start() and text[m.start() - 1].isdigit()):
+                continue
+            last = None
+            for last in _POINT.finditer(text, max(0, s - AROUND), s):
+                pass
+            if last and "стать" not in low[last.end() : s] and not re.match(r"\s+части", low[last.end() :]):
+                continue
+            out.append(("bare", s, e, "any", None, [(s, e, [f"a:{m['n']}"])]))
+    return out
+
+
+# Units that a text ends with, in front of a link to an article
+
+_ENDS_SUB = re.compile(rf"(?P<word>{SUB}\s+)(?P<list>{PNUM}(?:(?:\s*,\s*|\s*[–—-]\s*|\s+и\s+){PNUM})*)\s*$", re.I)
+_ENDS_POINT = re.compile(rf"(?:,\s*|^\s*)(?P<unit>{PUNKT}\s+(?P<n>{NUM}))\s*$", re.I)
+_ENDS_PART = re.compile(rf"(?P<unit>{PART}\s+(?P<n>\d+-\d+))\s*$", re.I)
+_ENDS_BOTH = re.compile(rf"(?P<word>{SUB}\s+)(?P<list>{PNUM}(?:(?:\s*,\s*|\s+и\s+){PNUM})*)\s+(?P<point>{PUNKT}\s+(?P<p>{NUM}))\s*$", re.I)
+#: Siblings within which a link to an article is looked for, and the next link to be widened.
+NEAR, NEXT = 5, 4
+
+
+def trailing_in(text: str | None, ahead: str | None, point: str | None, near: str | None) -> list[Match]:
+    """What ``text`` ends with: subpoints of the article ``ahead`` (and its ``point``), or points and parts of the article ``near``."""
+    text = text or ""
+    if ahead and (m := _ENDS_SUB.search(text)):
+        first = re.search(NUM, m["list"])[0]
+        deep = [f"s:{ahead}_{point}_{first}"] if point else []
+
+        def keys(n: str) -> list[str]:
+            return [*([f"s:{ahead}_{point}_{n}"] if point else []), f"s:{ahead}_{n}", f"s:{ahead}_1_{n}"]
+
+        return [("ends_subpoint", m.start(), m.end(), "first", None, _listed(m, "list", keys))] if deep or first else []
+    if near and (m := _ENDS_POINT.search(text)):
+        return [("ends_point", m.start(), m.end(), "any", f"a:{near}", [(*m.span("unit"), [f"s:{near}_{m['n']}", f"a:{near}"])])]
+    if near and (m := _ENDS_PART.search(text)):
+        return [("ends_part", m.start(), m.end(), "any", f"a:{near}", [(*m.span("unit"), [f"p:{near}_{m['n']}", f"s:{near}_{m['n']}", f"a:{near}"])])]
+    if near and (m := _ENDS_BOTH.search(text)):
+        own = _listed(m, "list", lambda n: [f"s:{near}_{m['p']}_{n}", f"s:{near}_{n}", f"a:{near}"])
+        return [("ends_subpoint_point", m.start(), m.end(), "any", f"a:{near}", [*own, (*m.span("point"), [f"s:{near}_{m['p']}", f"a:{near}"])])]
+    return []
+
+
+def _found(rows: DataFrame, fn: Callable[..., list[Match]], *columns: str) -> DataFrame:
+    """``rows`` (doc_key, node_id, text, …) with matches: what ``fn`` of ``columns`` returns; rows without one go."""
+    keep = rows.columns
+    at = [keep.index(c) for c in columns]
+    names = ("rule", "s", "e", "mode", "require", "links")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [fn(*(b.column(i)[k].as_py() for i in at)) for k in range(b.num_rows)]
+            hit = pa.array([bool(x) for x in found], pa.bool_())
+            made = [[dict(zip(names, (*m[:5], [dict(zip(("s", "e", "keys"), x, strict=True)) for x in m[5]]), strict=True)) for m in ms] for ms in found if ms]
+            yield pa.RecordBatch.from_arrays([*b.filter(hit).columns, pa.array(made, pa.list_(_MATCH))], [*keep, "matches"])
+
+    kind = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
+    # The patterns cost more than moving the texts: they are dealt by node, so that few or long documents use all cores.
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "doc_key", "node_id").mapInArrow(run, f"{kind}, matches array<struct<{', '.join(':'.join(x.split(' ', 1)) for x in re.split(r', (?=(?:s|e|mode|require|links) )', MATCH))}>>")
 
 
-def context(nodes: DataFrame) -> DataFrame:
-    """(doc_key, node_id, article, part): the current article and point of every text, carried forward."""
-    heading = F.nullif(F.regexp_extract("text", r"(?U)^\s*Статья\s+(\d+(?:-\d+)?)", 1), F.lit(""))
-    number = F.nullif(F.regexp_extract("text", r"(?U)^\s*(\d+(?:-\d+)?)\s*\.(?!\d)", 1), F.lit(""))
-    w = Window.partitionBy("doc_key").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
-    rows = nodes.where("kind = 'text'").withColumn("h", heading).withColumn("__g", F.count("h").over(w)).withColumn("article", F.last("h", True).over(w))
-    inside = Window.partitionBy("doc_key", "__g").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("part", F.last(F.when(F.col("h").isNull(), number), True).over(inside)).select("doc_key", "node_id", "article", "part")
+def accepted(found: DataFrame, maps: DataFrame) -> DataFrame:
+    """``found`` with ``links`` (array of s, e, anchor, key, rule, whole) of the matches that count, in the order of the text.
 
+    Also ``refused``: matches whose mode is first and whose first link has no target.
+    """
+    found = written(found, "matches")
+    asked = F.array_distinct(F.flatten(F.transform("matches", lambda m: F.concat(F.flatten(F.transform(m["links"], lambda x: x["keys"])), F.array_compact(F.array(m["require"]))))))
+    keys = found.select("doc_key", "node_id", F.explode(asked).alias("key"))
+    known = keys.join(maps, ["doc_key", "key"]).groupBy("doc_key", "node_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "anchor"))).alias("known"))
+    rows = found.join(known, ["doc_key", "node_id"], "left").withColumn("known", F.coalesce("known", F.create_map().cast("map<string,string>")))
 
-def doc_maps(**maps: DataFrame) -> DataFrame:
-    """One row a document with a map column for each of ``maps`` (doc_key, key, anchor)."""
-    rows = None
-    for name, m in maps.items():
-        one = m.select("doc_key", F.lit(name).alias("name"), F.col("key").cast("string").alias("key"), "anchor")
-        rows = one if rows is None else rows.unionByName(one)
-    entries = {n: F.map_from_entries(F.array_distinct(F.array_compact(F.collect_list(F.when(F.col("name") == n, F.struct("key", "anchor")))))) for n in maps}
-    return rows.dropDuplicates(["doc_key", "name", "key"]).groupBy("doc_key").agg(*(v.alias(n) for n, v in entries.items()))
+    def resolved(m: Column) -> Column:
+        def link(x: Column) -> Column:
+            key = F.try_element_at(F.filter(x["keys"], lambda k: F.map_contains_key("known", k)), F.lit(1))
+            whole = F.substring(F.col("text"), m["s"] + 1, m["e"] - m["s"])
+            return F.struct(x["s"].alias("s"), x["e"].alias("e"), F.element_at("known", key).alias("anchor"), key.alias("key"), m["rule"].alias("rule"), whole.alias("whole"))
 
+        return F.struct(m["s"].alias("s"), m["e"].alias("e"), m["rule"].alias("rule"), m["mode"].alias("mode"), m["require"].alias("require"), F.transform(m["links"], link).alias("links"))
 
-def article_in(text: Column) -> Column:
-    """The number behind the word «статья» in a match."""
-    return F.regexp_extract(text, rf"{IU}{ART}\s+({NUM})", 1)
+    rows = rows.withColumn("matches", F.transform("matches", resolved))
 
+    def counts(m: Column) -> Column:
+        hit = F.exists(m["links"], lambda x: x["anchor"].isNotNull())
+        good = F.when(m["mode"] == "always", True).when(m["mode"] == "first", m["links"][0]["anchor"].isNotNull()).otherwise(hit)
+        return good & (m["require"].isNull() | F.map_contains_key("known", F.coalesce(m["require"], F.lit(""))))
 
-def numbers(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(rf"({NUM})"), 1)
+    good = F.filter("matches", counts)
+    free = lambda taken, m: ~F.exists(taken, lambda t: (t["s"] < m["e"]) & (t["e"] > m["s"]))
+    folded = F.aggregate(good, F.filter(good, lambda m: F.lit(False)), lambda taken, m: F.when(free(taken, m), F.concat(taken, F.array(m))).otherwise(taken))
+    pieces = F.filter(F.flatten(F.transform(folded, lambda m: m["links"])), lambda x: x["anchor"].isNotNull())
+    refused = F.filter("matches", lambda m: (m["mode"] == "first") & m["links"][0]["anchor"].isNull())
+    return rows.withColumn("links", F.array_sort(pieces)).withColumn("refused", refused).drop("matches", "known")
 
 
-def _known(number: Column) -> Column:
-    """An article of the map: the number itself, or the first of a range ``N-K`` that is no article; else null."""
-    ends = F.split(number, "-")
-    low, high = F.get(ends, F.lit(0)), F.get(ends, F.lit(1))
-    return F.when(F.element_at("articles", number).isNotNull(), number).when((low.try_cast("int") <= high.try_cast("int")) & F.element_at("articles", low).isNotNull(), low)
+def rendered(text: Column, found: Column, doc: str = "") -> Column:
+    """The markup of ``text`` with its links; everything else escaped."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    between = lambda a, b: escape(F.substring(text, a + 1, b - a))
+    link = lambda x: F.concat(F.lit(f'<a href="{doc}#'), F.replace(escape(x["anchor"]), F.lit('"'), F.lit("&quot;")), F.lit('">'), between(x["s"], x["e"]), F.lit("</a>"))
+    step = lambda acc, x: F.struct(x["e"].alias("at"), F.concat(acc["out"], between(acc["at"], x["s"]), link(x)).alias("out"))
+    return F.aggregate(found, start, step, lambda acc: F.concat(acc["out"], between(acc["at"], F.length(text))))
 
 
-def _lookup(rule: Rule) -> Callable[[Column], Column]:
-    """The anchor a match of ``rule`` points to, by the document's maps and the text's context."""
-    first = lambda t: F.try_element_at(numbers(t), F.lit(1))
+# Context, maps and passes
 
-    def find(t: Column) -> Column:
-        if rule.target == "chapter":
-            return F.element_at("chapters", first(t))
-        if rule.target == "article":
-            number = article_in(t)
-            if rule.name == "articles":
-                return F.element_at("articles", _known(number))
-            if rule.name == "subpoint":
-                n = numbers(t)
-                key = F.concat_ws("_", number, F.try_element_at(n, F.lit(-2)), F.try_element_at(n, F.lit(1)))
-                return F.when(F.element_at("articles", number).isNotNull(), F.coalesce(F.element_at("subpoints", key), F.element_at("articles", number)))
-            return F.element_at("articles", number)
-        if rule.target == "part":
-            return F.element_at("parts", F.concat_ws("_", F.coalesce("article", F.lit("")), first(t)))
-        if rule.target == "ordinal":
-            word = F.regexp_extract(t, rf"{IU}{PART}\s+(\p{{L}}+)", 1)
-            return F.element_at("parts", F.concat_ws("_", F.coalesce("article", F.lit("")), ordinal(word).cast("string")))
-        here = F.coalesce("article", F.lit(""))
-        if rule.target == "subpoint_of":
-            n = numbers(t)
-            return F.element_at("subpoints", F.concat_ws("_", here, F.try_element_at(n, F.lit(2)), F.try_element_at(n, F.lit(1))))
-        return F.coalesce(F.element_at("subpoints", F.concat_ws("_", here, "part", first(t))), F.element_at("subpoints", F.concat_ws("_", here, first(t))))
 
-    return find
+def context(nodes: DataFrame) -> DataFrame:
+    """(doc_key, node_id, article, part, bare): the current article and point of every text, carried forward, and whether its block speaks of articles."""
+    heading = F.nullif(F.regexp_extract("text", r"(?U)^\s*Статья\s+(\d+(?:-\d+)?)", 1), F.lit(""))
+    number = F.nullif(F.regexp_extract("text", r"(?U)^\s*(\d+(?:-\d+)?)\s*\.(?!\d)", 1), F.lit(""))
+    w = Window.partitionBy("doc_key").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = nodes.where("kind = 'text'").withColumn("h", heading).withColumn("__g", F.count("h").over(w)).withColumn("article", F.last("h", True).over(w))
+    inside = Window.partitionBy("doc_key", "__g").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("part", F.last(F.when(F.col("h").isNull(), number), True).over(inside))
+    bare = F.max(F.lower("text").contains("стать")).over(Window.partitionBy("doc_key", "block_id"))
+    return rows.withColumn("bare", bare).select("doc_key", "node_id", "article", "part", "bare")
 
 
-def find_references(nodes: DataFrame, maps: DataFrame, include_notes: bool = False, bare: bool = True) -> DataFrame:
-    """``nodes`` that may hold references, with segments: array of (rule, text, start, end, ord).
+def link_keys(articles: DataFrame | None = None, subpoints: DataFrame | None = None, parts: DataFrame | None = None, chapters: DataFrame | None = None) -> DataFrame:
+    """(doc_key, key, anchor) of the maps (doc_key, key, anchor) that are given; keys tell the maps apart by a letter."""
+    named = [(n, m) for n, m in zip("aspc", (articles, subpoints, parts, chapters), strict=True) if m is not None]
+    rows = None
+    for n, m in named:
+        one = m.select("doc_key", F.concat(F.lit(f"{n}:"), F.col("key").cast("string")).alias("key"), "anchor")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.groupBy("doc_key", "key").agg(F.min("anchor").alias("anchor"))
 
-    ``maps`` has doc_key and the map columns articles, subpoints, parts, chapters.
-    """
-    texts = nodes.where(eligible_text() & ~in_heading())
+
+def act_keys(nodes: DataFrame) -> DataFrame:
+    """``link_keys`` of the documents' own anchors."""
+    parts = part_anchors(nodes).select("doc_key", F.concat_ws("_", "article", "part").alias("key"), "anchor")
+    return link_keys(article_anchors(nodes).select("doc_key", F.col("article").alias("key"), "anchor"), subpoint_anchors(nodes).select("doc_key", "key", "anchor"), parts, chapter_anchors(nodes).select("doc_key", F.col("chapter").alias("key"), "anchor"))
+
+
+def find_references(nodes: DataFrame, maps: DataFrame, include_notes: bool = False, bare: bool = True) -> DataFrame:
+    """Texts with references: (doc_key, node_id, text, article, part, links, …); ``maps`` is a ``link_keys`` table."""
+    texts = nodes.where(eligible_text()).join(heading_texts(nodes), ["doc_key", "node_id"], "left_anti")
     if not include_notes:
         texts = texts.join(in_note(nodes), ["doc_key", "node_id"], "left_anti")
-    # The patterns cost more than moving the texts: they are dealt by node, so that few or long documents use all cores.
-    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = texts.repartition(n, "doc_key", "node_id").join(context(nodes), ["doc_key", "node_id"], "left").join(maps, "doc_key")
-    segments = whole(F.col("text"))
-    for rule in RULES:
-        find = _lookup(rule)
-        segments = mark(segments, rule.name, rule.pattern, lambda t, f=find: f(t).isNotNull())
-    rows = rows.withColumn("segments", segments)
-    if bare:
-        said = F.exists("segments", lambda s: s["rule"].isin("articles", "article"))
-        found = mark(F.col("segments"), "bare", BARE, lambda t: F.element_at("articles", t).isNotNull())
-        rows = rows.withColumn("segments", F.when(said, found).otherwise(F.col("segments")))
-    return rows.withColumn("segments", placed(F.col("segments")))
+    has = maps.groupBy("doc_key").agg(F.max(F.col("key").startswith("s:")).alias("detailed"))
+    rows = texts.select("doc_key", "node_id", "text").join(context(nodes), ["doc_key", "node_id"], "left").join(has, "doc_key")
+    rows = rows.withColumn("bare", F.coalesce("bare", F.lit(False)) & F.lit(bare))
+    return accepted(_found(rows, matches_in, "text", "article", "part", "bare", "detailed"), maps).where(F.size("links") > 0)
 
 
 def references(found: DataFrame, doc: str = "") -> DataFrame:
-    """One row a link: (doc_key, node_id, ord, rule, original, start, end, article, anchor, href, context).
-
-    A list of articles gives one link for each that is known; a range one to its first article.
-    """
-    each = found.select("doc_key", "node_id", "article", "part", "articles", "subpoints", "parts", "chapters", "text", F.explode("segments").alias("s")).where("s.rule is not null")
-    text = F.col("s.text")
-    anchor = F.lit(None).cast("string")
-    for rule in RULES:
-        anchor = F.when(F.col("s.rule") == rule.name, _lookup(rule)(text)).otherwise(anchor)
-    listed = F.col("s.rule") == "articles"
-    each_known = F.array_compact(F.transform(numbers(text), _known))
-    n = F.when(listed & ~text.rlike(RANGE), each_known).when(listed, F.array(_known(article_in(text)))).when(F.col("s.rule").isin("article", "subpoint", "point_article", "points_article", "subpoints_article"), F.array(article_in(text))).when(F.col("s.rule") == "bare", F.array(text)).otherwise(F.array(F.lit(None).cast("string")))
-    rows = each.select("*", F.explode(n).alias("number")).withColumn("anchor", F.when(listed | (F.col("s.rule") == "bare"), F.element_at("articles", F.col("number"))).otherwise(anchor)).where("anchor is not null")
-    around = collapse(F.substring(F.col("text"), F.greatest(F.lit(1), F.col("s.start") - 39), F.length(text) + 80))
-    return rows.select("doc_key", "node_id", F.col("s.ord").alias("ord"), F.col("s.rule").alias("rule"), text.alias("original"), F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.coalesce("number", "article").alias("article"), "anchor", F.concat(F.lit(doc), F.lit("#"), "anchor").alias("href"), around.alias("context"))
+    """One row a link: (doc_key, node_id, ord, rule, original, whole, start, end, article, anchor, href, context)."""
+    each = found.select("doc_key", "node_id", "text", F.posexplode("links").alias("ord", "x"))
+    around = collapse(F.substring(F.col("text"), F.greatest(F.lit(1), F.col("x.s") - 39), F.col("x.e") - F.col("x.s") + 80))
+    said = F.substring(F.col("text"), F.col("x.s") + 1, F.col("x.e") - F.col("x.s"))
+    article = F.when(~F.col("x.key").startswith("c:"), F.regexp_extract("x.key", r"^[asp]:(\d+(?:-\d+)?)", 1))
+    return each.select("doc_key", "node_id", "ord", F.col("x.rule").alias("rule"), said.alias("original"), F.col("x.whole").alias("whole"), F.col("x.s").alias("start"), F.col("x.e").alias("end"), article.alias("article"), F.col("x.anchor").alias("anchor"), F.concat(F.lit(f"{doc}#"), "x.anchor").alias("href"), around.alias("context"))
 
 
 def linked_nodes(nodes: DataFrame, found: DataFrame, doc: str = "") -> DataFrame:
     """``nodes`` with ``render`` set where references were found: the text with its links, everything else escaped."""
-    links = references(found, doc).groupBy("doc_key", "node_id", "ord").agg(F.min("href").alias("href"))
-    pieces = found.select("doc_key", "node_id", F.explode("segments").alias("s")).select("doc_key", "node_id", F.col("s.ord").alias("ord"), F.col("s.text").alias("t"))
-    joined = pieces.join(links, ["doc_key", "node_id", "ord"], "left")
-    shown = F.when(F.col("href").isNotNull(), F.concat(F.lit('<a href="'), "href", F.lit('">'), escape(F.col("t")), F.lit("</a>"))).otherwise(escape(F.col("t")))
-    render = joined.groupBy("doc_key", "node_id").agg(F.array_sort(F.collect_list(F.struct("ord", shown.alias("x")))).alias("xs"), F.count("href").alias("n")).where("n > 0")
-    return nodes.join(render.select("doc_key", "node_id", F.array_join(F.transform("xs", lambda x: x["x"]), "").alias("render")), ["doc_key", "node_id"], "left")
-
-
-#: What a text may end with in front of a link to an article.
-TRAILING = _p(rf"(?:{SUB}\s+{PNUM}(?:{SEP}{PNUM})*(?:\s+{PUNKT}\s+{NUM})?|{PUNKT}\s+{NUM}|{PART}\s+(?:{NUM}|{ORDINAL}))\s*$")
-
-
-def orphan_prefixes(nodes: DataFrame, maps: DataFrame) -> DataFrame:
-    """(doc_key, node_id, prefix, link_id, link_text, article, href): units that end a text in front of an article's link.
-
-    The target is the subpoint if the maps have it, else the subpoint of the article alone, else the link's own.
+    shown = found.select("doc_key", "node_id", rendered(F.col("text"), F.col("links"), doc).alias("render"))
+    return nodes.join(shown, ["doc_key", "node_id"], "left")
+
+
+def trailing_units(nodes: DataFrame, maps: DataFrame) -> DataFrame:
+    """Texts that end with units of an article linked after them, with links and refused; also next_id, the link that may be widened."""
+    w = Window.partitionBy("doc_key", "parent_id").orderBy("sib_pos").rowsBetween(1, Window.unboundedFollowing)
+    said = links(nodes).select("doc_key", "node_id", "href", F.col("text").alias("said"))
+    rows = nodes.where("kind <> 'comment'").join(said, ["doc_key", "node_id"], "left")
+    is_a, is_text = F.col("said").isNotNull(), F.col("kind") == "text"
+    some = lambda c: F.nullif(c, F.lit(""))
+    of = lambda c, p: some(F.regexp_extract(c, rf"(?iuU){p}", 1))
+    speaks = is_a & F.lower("said").contains("стать")
+    by_text = of("text", rf"стать\w+\s+({NUM})")
+    article = F.when(speaks, F.coalesce(of("said", rf"стать\w*\s+({NUM})"), of("href", rf"#z({NUM})$"))).when(is_text, F.coalesce(by_text, F.when(F.col("text").rlike(r"(?iuU)настоящей\s+стать"), F.lit("self"))))
+    point = F.when(is_a & ~speaks, of("said", rf"пункт\w*\s+({NUM})")).when(is_text, of("text", rf"пункт\w*\s+({NUM})"))
+    last = F.when(speaks, of("said", rf"({NUM})\s*$"))
+    at = lambda value: F.first(F.when(value.isNotNull(), F.struct(F.col("sib_pos").alias("at"), value.alias("v"))), True).over(w)
+    significant = F.when(is_a | (is_text & F.col("text").rlike(r"(?U)\S")), F.when(is_a, F.col("node_id")).otherwise(-1))
+    rows = rows.select("doc_key", "node_id", "kind", "tags", "sib_pos", "text", at(article).alias("ahead"), at(point).alias("point"), at(last).alias("near"), at(significant).alias("next"))
+    own = rows.where((F.col("kind") == "text") & ~inside_link()).join(in_note(nodes), ["doc_key", "node_id"], "left_anti").join(context(nodes).select("doc_key", "node_id", "article"), ["doc_key", "node_id"], "left")
+    ahead = F.when(F.col("ahead.v") == "self", F.col("article")).otherwise(F.col("ahead.v"))
+    close = lambda c, n: F.col(f"{c}.at") - F.col("sib_pos") <= n
+    own = own.select(
+        "doc_key", "node_id", "text", ahead.alias("ahead"), F.when(F.col("point.at") <= F.col("ahead.at"), F.col("point.v")).alias("point"), F.when(close("near", NEAR), F.col("near.v")).alias("near"),
+        F.when(close("next", NEXT) & (F.col("next.v") >= 0), F.col("next.v")).alias("next_id"),
+    )
+    return accepted(_found(own, trailing_in, "text", "ahead", "point", "near"), maps)
+
+
+def with_trailing(nodes: DataFrame, found: DataFrame, doc: str = "") -> DataFrame:
+    """``nodes`` with what ``trailing_units`` found: links in the texts; a unit without a target moves into the link after it."""
+    moved = (F.size("links") == 0) & (F.size("refused") > 0) & F.col("next_id").isNotNull()
+    first = F.col("refused")[0]["s"]
+    shown = found.where((F.size("links") > 0) | moved).select("doc_key", "node_id", F.when(moved, escape(F.substring(F.col("text"), F.lit(1), first))).otherwise(rendered(F.col("text"), F.col("links"), doc)).alias("render"))
+    lead = found.where(moved).select("doc_key", F.col("next_id").alias("node_id"), F.substring(F.col("text"), first + 1, F.length("text")).alias("lead"))
+    return nodes.join(shown, ["doc_key", "node_id"], "left").join(lead, ["doc_key", "node_id"], "left")
+
+
+def linked_pages(pages: DataFrame, maps: DataFrame | None = None, doc: str = "", include_notes: bool = False) -> DataFrame:
+    """(doc_key, html): ``pages`` with all references linked: the rules, then units in front of links, then ids for named anchors.
+
+    ``maps`` is a ``link_keys`` table; without one the documents' own anchors serve.
     """
-    from .dom import links
-
-    w = Window.partitionBy("doc_key", "parent_id").orderBy("sib_pos")
-    ahead = nodes.withColumn("next_id", F.lead("node_id").over(w)).withColumn("next_tag", F.lead("tag").over(w)).where("kind = 'text' and next_tag = 'a'")
-    after = links(nodes).select("doc_key", F.col("node_id").alias("next_id"), "href", F.col("text").alias("link_text"))
-    prefix = F.nullif(F.regexp_extract("text", TRAILING, 0), F.lit(""))
-    rows = ahead.withColumn("prefix", prefix).where("prefix is not null").join(after, ["doc_key", "next_id"]).withColumn("article", article_in(F.col("link_text"))).where("article <> ''")
-    n = numbers(F.col("prefix"))
-    deep = F.when(F.size(n) >= 2, F.concat_ws("_", "article", F.try_element_at(n, F.lit(-1)), F.try_element_at(n, F.lit(1))))
-    flat = F.concat_ws("_", "article", F.try_element_at(n, F.lit(1)))
-    best = rows.join(maps, "doc_key", "left").withColumn("anchor", F.coalesce(F.element_at("subpoints", F.coalesce(deep, flat)), F.element_at("subpoints", flat)))
-    return best.select("doc_key", "node_id", "prefix", F.col("next_id").alias("link_id"), "link_text", "article", F.coalesce(F.concat(F.lit("#"), "anchor"), "href").alias("href"))
+    nodes = kept_nodes(pages, "doc_key", "html")
+    maps = written(act_keys(nodes) if maps is None else maps, "link-keys")
+    once = kept_nodes(serialize(linked_nodes(nodes, find_references(nodes, maps, include_notes), doc)), "doc_key", "html")
+    twice = with_trailing(once, trailing_units(once, maps), doc)
+    return serialize(ids_from_names(twice))
 
 
 def top_changes(changes: DataFrame, n: int = 10) -> DataFrame:
     """The articles linked to most often."""
     return changes.groupBy("article").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "article").limit(n)
-
-
-def act_maps(nodes: DataFrame, articles: DataFrame, subpoints: DataFrame, chapters: DataFrame) -> DataFrame:
-    """``doc_maps`` of a document's own anchors."""
-    parts = part_anchors(nodes).select("doc_key", F.concat_ws("_", "article", "part").alias("key"), "anchor")
-    return doc_maps(articles=articles.select("doc_key", F.col("article").alias("key"), "anchor"), subpoints=subpoints.select("doc_key", "key", "anchor"), parts=parts, chapters=chapters.select("doc_key", F.col("chapter").alias("key"), "anchor"))
-

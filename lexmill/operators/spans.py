@@ -1,19 +1,29 @@
 """Link spans: canonical hrefs, merging of neighbouring links, dictionary links to other acts, and the gates around them.
 
-Siblings are encoded as one letter each, so that a merge is a pattern over letters. Merges are taken leftmost first
-without overlap, in one pass; a second call merges what the first one made possible.
+Chains are found by a pattern over one letter a sibling; the other merges settle among the children of one parent, in a
+small Arrow pass over those parents that hold a candidate: the first one in the text is applied and the children are
+looked at again, until nothing is left to apply. Merges are edits of nodes (text in front and behind, new text, gone), so
+markup inside a link stays.
+
+Null hrefs are no links; rows without a match stay as they are; empty tables give empty results.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import ENDING, IU, MARK, ORDINALS, U, collapse, escape, mark, whole
-from .dom import attr, ids, links
+from ..functions.phrases import phrase_spans
+from ..functions.text import ENDING, IU, MARK, ORDINALS, U, collapse, escape
+from .dom import attr, element_texts, host, ids
 from .references import ART, NUM, PART, PNUM, PUNKT, SEP, SUB
 
-SITE = "https://adilet.zan.kz/rus/docs/"
+#: Where acts are published, unless the caller names another place.
+SITE = "https://example.org/docs/"
 DOC = r"[A-Z]\d{6,}_?"
 ODD_HREF = r"(?i)(/archive|/history|\?|/compare|\d{2}\.\d{2}\.\d{4})"
 
@@ -36,12 +46,12 @@ def link_kind(href: Column, own: Column | None = None) -> Column:
     return F.when(inside, F.lit("internal")).when(doc.isNotNull(), F.lit("external")).otherwise(F.lit("nav"))
 
 
-def canonical(href: Column, own: Column) -> Column:
-    """Links to the act itself as ``#fragment`` (``#`` without one), to others on the one site with z fragments only; else unchanged."""
+def canonical(href: Column, own: Column, site: str = SITE) -> Column:
+    """Links to the act itself as ``#fragment`` (``#`` without one), to others on the one ``site`` with z fragments only; else unchanged."""
     doc, frag = doc_of(href), fragment_of(href)
     anchor = F.when(frag.rlike(r"^\d"), F.concat(F.lit("z"), frag)).otherwise(frag)
     self_ = F.rtrim(doc, F.lit("_")) == F.rtrim(own, F.lit("_"))
-    elsewhere = F.concat(F.lit(SITE), doc, F.coalesce(F.concat(F.lit("#"), anchor), F.lit("")))
+    elsewhere = F.concat(F.lit(site), doc, F.coalesce(F.concat(F.lit("#"), anchor), F.lit("")))
     return F.when(href.rlike(ODD_HREF) | doc.isNull(), href).when(self_, F.concat(F.lit("#"), F.coalesce(anchor, F.lit("")))).otherwise(elsewhere)
 
 
@@ -66,9 +76,34 @@ def renamed_duplicates(rows: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def retargeted(rows: DataFrame, articles: DataFrame) -> DataFrame:
-    """Links whose whole text is «статья N» point to that article's anchor; rows: doc_key, node_id, href, text."""
+    """Links whose whole text is «статья N» point to that article's anchor; of equal links (href and text) only the first does.
+
+    rows: doc_key, node_id, href, text.
+    """
     number = F.regexp_extract("text", rf"{IU}^\s*{ART}\s+({NUM})\s*$", 1)
-    return rows.withColumn("article", F.nullif(number, F.lit(""))).join(articles.select("doc_key", "article", "anchor"), ["doc_key", "article"], "left").withColumn("href", F.coalesce(F.concat(F.lit("#"), "anchor"), "href")).drop("article", "anchor")
+    k = F.row_number().over(Window.partitionBy("doc_key", "href", "text").orderBy("node_id"))
+    got = rows.withColumn("article", F.nullif(number, F.lit(""))).withColumn("__k", k).join(articles.select("doc_key", "article", "anchor"), ["doc_key", "article"], "left")
+    own = F.col("href").startswith("#") & (F.col("__k") == 1)
+    return got.withColumn("href", F.when(own, F.coalesce(F.concat(F.lit("#"), "anchor"), "href")).otherwise(F.col("href"))).drop("article", "anchor", "__k")
+
+
+def canon_gates(nodes: DataFrame, own: DataFrame, site: str = SITE) -> DataFrame:
+    """(doc_key, gate, n): own #z links without a target, links to other acts in another form, full links to the act itself.
+
+    ``own`` (doc_key, own) names each document's act. The last two look at content only (inside a div with data-type).
+    """
+    a = nodes.where("tag = 'a'").select("doc_key", "node_id", attr("href").alias("href")).where("href is not null").join(own, "doc_key")
+    inside = a.join(host(nodes, None).select("doc_key", "node_id"), ["doc_key", "node_id"], "left_semi")
+    doc = doc_of(F.col("href"))
+    self_ = F.rtrim(doc, F.lit("_")) == F.rtrim("own", F.lit("_"))
+    shape = rf"^{re.escape(site)}[A-Z][A-Z0-9]{{4,}}_?(?:#z[\w.-]+)?$"
+    broken = dangling(a.where(F.col("href").startswith("#z")), ids(nodes, ["a"]))
+    found = [("broken", broken), ("not_canonical", inside.where(doc.isNotNull() & ~self_ & ~F.col("href").rlike(shape))), ("full_self", inside.where(self_))]
+    rows = nodes.select("doc_key").distinct()
+    for name, bad in found:
+        rows = rows.join(bad.groupBy("doc_key").agg(F.count("*").alias(name)), "doc_key", "left")
+    each = F.array(*(F.struct(F.lit(n).alias("gate"), F.coalesce(n, F.lit(0)).cast("long").alias("n")) for n, _ in found))
+    return rows.select("doc_key", F.explode(each).alias("g")).select("doc_key", "g.gate", "g.n")
 
 
 def dangling(rows: DataFrame, targets: DataFrame) -> DataFrame:
@@ -92,28 +127,32 @@ def text_hash(rows: DataFrame, text: str = "text") -> DataFrame:
 
 CONNECTOR = rf"{IU}^\s*(?:,|;|и|или)?\s*$"
 HAS_ARTICLE = rf"{IU}(?<![\p{{L}}]){ART}"
+UNIT_WORD = rf"{IU}^\s*(?:{SUB}|{PUNKT}|{PART}|абзац(?:а|е|у|ем|ами|ах|ев|ы)?)\s"
 UNIT = rf"{IU}^\s*(?:(?:{SUB}|{PUNKT}|{PART}|абзац(?:а|е|у|ем|ами|ах|ев|ы)?)\s+)?(?:{NUM}\)?|(?:{'|'.join(ORDINALS)}){ENDING})\s*$"
 PLAIN = rf"{IU}^\s*({ART}\s+{NUM})"
 
 
 def siblings(nodes: DataFrame) -> DataFrame:
-    """(doc_key, parent_id, sibs): the children of every element with a link, as letter, node_id, text and href.
+    """(doc_key, parent_id, sibs): the children of every element with a link, as letter, node_id, kind, text and href.
 
-    R is a link to a unit, A one to an article, C a connector or blank text, P a text that begins with an article, X
-    anything else. A parent's own children are gathered, nothing more.
+    R is a link to a unit, B one that is only a number or an ordinal, A one to an article, C a connector or blank text,
+    P a text that begins with an article, X anything else. A parent's own children are gathered, nothing more.
     """
-    held = nodes.where("tag = 'a'").select("doc_key", "parent_id").distinct()
+    a = nodes.where("tag = 'a'").select("doc_key", "node_id", "parent_id", attr("href").alias("href")).where("href is not null")
+    held = a.select("doc_key", "parent_id").distinct()
     rows = nodes.join(held, ["doc_key", "parent_id"], "left_semi").where("kind <> 'comment'")
-    rows = rows.join(links(nodes).select("doc_key", "node_id", "href", F.col("text").alias("said")), ["doc_key", "node_id"], "left")
+    said = element_texts(nodes, a.select("doc_key", "node_id", "href")).select("doc_key", "node_id", "href", F.col("text_raw").alias("said"))
+    rows = rows.join(said, ["doc_key", "node_id"], "left")
     own = F.when(F.col("kind") == "text", F.col("text")).otherwise(F.col("said"))
     letter = (
         F.when(F.col("href").isNotNull() & own.rlike(HAS_ARTICLE), "A")
-        .when(F.col("href").isNotNull() & own.rlike(UNIT), "R")
+        .when(F.col("href").isNotNull() & own.rlike(UNIT) & own.rlike(UNIT_WORD), "R")
+        .when(F.col("href").isNotNull() & own.rlike(UNIT), "B")
         .when((F.col("kind") == "text") & own.rlike(CONNECTOR), "C")
         .when((F.col("kind") == "text") & own.rlike(PLAIN), "P")
         .otherwise("X")
     )
-    cell = F.struct("sib_pos", "node_id", letter.alias("letter"), own.alias("text"), "href")
+    cell = F.struct("sib_pos", "node_id", letter.alias("letter"), F.when(F.col("href").isNotNull(), "a").when(F.col("kind") == "text", "text").otherwise("other").alias("kind"), own.alias("text"), "href")
     return rows.groupBy("doc_key", "parent_id").agg(F.array_sort(F.collect_list(cell)).alias("sibs"))
 
 
@@ -122,134 +161,251 @@ def _targets(sibs: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(sibs, lambda s: s["href"].isNotNull()), lambda s: F.coalesce(doc_of(s["href"]), F.when(s["href"].startswith("#"), F.lit("#")).otherwise(s["href"]))))
 
 
-def _runs(sibs: DataFrame, name: str, pattern: str) -> DataFrame:
-    """The runs of siblings whose letters match ``pattern``: (doc_key, parent_id, run, first, rest)."""
+def _runs(sibs: DataFrame, pattern: str) -> DataFrame:
+    """The runs of siblings whose letters match ``pattern``: (doc_key, parent_id, run)."""
     letters = F.array_join(F.transform("sibs", lambda s: s["letter"]), "")
     pieces = F.filter(F.split(F.regexp_replace(letters, pattern, f"{MARK}$0!{MARK}"), MARK), lambda p: p != "")
-    rows = sibs.withColumn("pieces", pieces).select("*", F.posexplode("pieces").alias("k", "piece")).where(F.col("piece").endswith("!"))
+    rows = sibs.where(letters.rlike(pattern)).withColumn("pieces", pieces).select("*", F.posexplode("pieces").alias("k", "piece")).where(F.col("piece").endswith("!"))
     start = F.aggregate(F.slice("pieces", F.lit(1), F.col("k")), F.lit(0), lambda a, p: a + F.length(F.rtrim(p, F.lit("!"))))
-    run = F.slice("sibs", start + 1, F.length("piece") - 1)
-    return rows.select("doc_key", "parent_id", F.lit(name).alias("kind"), run.alias("run"))
+    return rows.select("doc_key", "parent_id", F.slice("sibs", start + 1, F.length("piece") - 1).alias("run"))
 
 
 def chains(sibs: DataFrame) -> DataFrame:
-    """Unit links joined by connectors, ended by an article (a link, or plain text): (…, text, keep, dropped, terminal).
+    """Unit links joined by connectors, ended by an article (a link, or plain text): (…, text, keep, dropped, terminal, members).
 
-    At least two units, and all to one target; a plain end is taken for internal chains only.
+    At least two units, the first with its word, and all to one target; a plain end is taken for internal chains only.
     """
-    found = _runs(sibs, "chain", "R(?:CR)+C?[AP]")
+    found = _runs(sibs, "R(?:C*[RB])+C*[AP]")
     end = F.try_element_at("run", F.lit(-1))
     plain = end["letter"] == "P"
-    units = F.slice("run", F.lit(1), F.size("run") - 1)
-    targets = F.when(plain, _targets(units)).otherwise(_targets(F.col("run")))
+    targets = F.when(plain, _targets(F.slice("run", F.lit(1), F.size("run") - 1))).otherwise(_targets(F.col("run")))
     found = found.where((F.size(targets) == 1) & (~plain | (F.get(targets, F.lit(0)) == "#")))
     words = F.transform("run", lambda s: F.when(s["letter"] == "P", F.regexp_extract(s["text"], PLAIN, 0)).otherwise(s["text"]))
     hrefs = F.transform(F.filter("run", lambda s: s["href"].isNotNull()), lambda s: s["href"])
-    return found.select("doc_key", "parent_id", F.try_element_at("run", F.lit(1))["node_id"].alias("node_id"), collapse(F.array_join(words, "")).alias("text"), F.get(hrefs, F.lit(0)).alias("keep"), F.slice(hrefs, F.lit(2), F.size(hrefs)).alias("dropped"), F.when(plain, "plain").otherwise("link").alias("terminal"), F.transform("run", lambda s: s["node_id"]).alias("members"))
+    members = F.transform("run", lambda s: F.struct(s["node_id"].alias("node_id"), s["kind"].alias("kind"), s["text"].alias("text"), s["letter"].alias("letter")))
+    first = F.try_element_at("run", F.lit(1))["node_id"]
+    return found.select(
+        "doc_key", "parent_id", first.alias("node_id"), collapse(F.array_join(words, "")).alias("text"), F.get(hrefs, F.lit(0)).alias("keep"), F.slice(hrefs, F.lit(2), F.size(hrefs)).alias("dropped"),
+        F.when(plain, "plain").otherwise("link").alias("terminal"), F.array_join(F.slice(words, F.lit(2), F.size(words)), "").alias("tail"), members.alias("members"),
+    )
 
 
-TRAILING_UNIT = rf"{IU}((?:(?:{PART}|абзац\p{{L}}*)\s+(?:{'|'.join(ORDINALS)}){ENDING}\s+|{SUB}\s+{PNUM}(?:{SEP}{PNUM})*\s+)?{PUNKT}\s+{NUM}\s*)$"
+def chain_edits(found: DataFrame) -> DataFrame:
+    """``chains`` as edits (doc_key, node_id, lead, tail, new_text, gone): the first link takes the rest in, a plain end loses what it took."""
+    none = F.lit(None).cast("string")
+    first = found.select("doc_key", "node_id", none.alias("lead"), "tail", none.alias("new_text"), F.lit(False).alias("gone"))
+    rest = found.select("doc_key", F.explode(F.slice("members", F.lit(2), F.size("members"))).alias("m"))
+    left = F.regexp_replace("m.text", PLAIN, "")
+    plain = F.col("m.letter") == "P"
+    return first.unionByName(rest.select("doc_key", "m.node_id", none.alias("lead"), none.alias("tail"), F.when(plain, left).alias("new_text"), (~plain).alias("gone")))
 
 
-def full_spans(sibs: DataFrame) -> DataFrame:
-    """Candidates to widen or merge: forward, backward, merge, range and (reported only) complex.
-
-    (doc_key, parent_id, node_id, kind, text, keep, dropped)
-    """
-    def first(c: str, i: int) -> Column:
-        return F.try_element_at("run", F.lit(i))[c]
-
-    forward = _runs(sibs, "forward", "(?<![RC])RP").select("doc_key", "parent_id", first("node_id", 1).alias("node_id"), "kind", F.concat(first("text", 1), F.regexp_extract(first("text", 2), PLAIN, 0)).alias("text"), first("href", 1).alias("keep"), F.array().cast("array<string>").alias("dropped"))
-    merge = _runs(sibs, "merge", "(?<!RC)RC?A").where(F.size(F.filter("run", lambda s: (s["letter"] == "C") & s["text"].rlike(rf"{U}\S"))) == 0)
-    merge = merge.select("doc_key", "parent_id", first("node_id", 1).alias("node_id"), "kind", F.array_join(F.transform("run", lambda s: s["text"]), "").alias("text"), first("href", 1).alias("keep"), F.array(first("href", -1)).alias("dropped"))
-    backward = _runs(sibs, "backward", "XA").where(first("href", 1).isNull()).withColumn("unit", F.regexp_extract(first("text", 1), TRAILING_UNIT, 1)).where("unit <> ''")
-    backward = backward.select("doc_key", "parent_id", first("node_id", 2).alias("node_id"), "kind", F.concat("unit", first("text", 2)).alias("text"), first("href", 2).alias("keep"), F.array().cast("array<string>").alias("dropped"))
-    dash = rf"{U}^\s*[-–—]\s*"
-    ranges = _runs(sibs, "range", "[RA]X[RA]?").where(first("href", 1).isNotNull() & first("text", 1).rlike(r"\d$") & first("text", 2).rlike(dash))
-    closed = (F.size("run") == 3) & first("text", 2).rlike(dash + "$")
-    ranges = ranges.where(closed | first("text", 2).rlike(dash + r"\d+"))
-    ranges = ranges.select("doc_key", "parent_id", first("node_id", 1).alias("node_id"), "kind", F.when(closed, F.array_join(F.transform("run", lambda s: s["text"]), "")).otherwise(F.concat(first("text", 1), F.regexp_extract(first("text", 2), dash + NUM, 0))).alias("text"), first("href", 1).alias("keep"), F.when(closed, F.array(F.try_element_at("run", F.lit(3))["href"])).otherwise(F.array().cast("array<string>")).alias("dropped"))
-    complex_ = _runs(sibs, "complex", "R(?:CR)+C?A").select("doc_key", "parent_id", first("node_id", 1).alias("node_id"), "kind", F.array_join(F.transform("run", lambda s: s["text"]), "").alias("text"), first("href", 1).alias("keep"), F.array().cast("array<string>").alias("dropped"))
-    return forward.unionByName(merge).unionByName(backward).unionByName(ranges).unionByName(complex_)
+def edited(nodes: DataFrame, edits: DataFrame) -> DataFrame:
+    """``nodes`` with edits applied: what is gone goes with all inside it, new text replaces a text, lead and tail stand inside an element."""
+    gone = edits.where("gone").select("doc_key", F.col("node_id").alias("of"))
+    below = nodes.where(F.array_contains("tags", "a")).select("doc_key", "node_id", F.explode("path").alias("of")).join(gone, ["doc_key", "of"], "left_semi").select("doc_key", "node_id")
+    out = gone.select("doc_key", F.col("of").alias("node_id")).union(below).distinct()
+    kept = nodes.join(out, ["doc_key", "node_id"], "left_anti").join(edits.where("not gone"), ["doc_key", "node_id"], "left")
+    return kept.withColumn("text", F.coalesce("new_text", "text")).drop("new_text", "gone")
 
 
 def merged_chains(nodes: DataFrame) -> DataFrame:
-    """``nodes`` with every chain as one link: the first keeps its href and gets the whole text, the others go.
+    """``nodes`` with every chain as one link: the first keeps its href and gets the whole text, the others go."""
+    return edited(nodes, chain_edits(chains(siblings(nodes))))
+
 
-    Texts stay the same in sum: a plain end loses what the link took over.
+_WORDS = rf"(?:{SUB}|{PUNKT}|{PART}|абзац\w*)"
+_ORD = rf"(?:{'|'.join(ORDINALS)})\w*"
+_QUALIFIER = rf"(?:(?:{PART}|абзац\w*)\s+{_ORD}(?:\s*(?:,|и|или)\s*{_ORD})*|{SUB}\s+{PNUM}(?:{SEP}{PNUM})*)"
+#: What a link or a text is: begins with a unit, ends with a number, begins with an article, is a number, begins with a point.
+_UNIT, _NUMBER, _ARTICLE, _ONLY, _POINT = (re.compile(p, re.I) for p in (rf"\s*{_WORDS}\b", r"\d\)?\s*$", rf"\s*{ART}\s+\d", r"\s*\d+\s*$", rf"\s*(?:{SUB}|{PUNKT})\s+\d"))
+_TAKES_ARTICLE, _TAKES_NUMBER, _DASH = re.compile(rf"\s*{ART}\s+{NUM}", re.I), re.compile(r"\s*[–-]\s*\d+"), re.compile(r"\s*[-–]\s*$")
+_ENDS_UNIT = re.compile(rf"(?P<unit>(?:{_QUALIFIER}\s+)?(?:{SUB}|{PUNKT})\s+\d+\)?)\s*$", re.I)
+_ENDS_QUALIFIER = re.compile(rf"(?P<unit>{_QUALIFIER})\s*$", re.I)
+
+
+def next_edit(cells: list[dict], start: int = 0) -> tuple[str, int, int, int] | None:
+    """The first merge among ``cells`` from ``start`` on: (kind, link, other cell, characters of the other that are taken).
+
+    forward: a unit's link takes the article after it; backward: a link takes the unit before it; merge: a unit's link and
+    an article's become one; range: a number takes the dash and number (or link) after it; complex: seen, not applied.
     """
-    found = chains(siblings(nodes)).select("doc_key", "node_id", "text", "terminal", "members")
-    first = found.select("doc_key", "node_id", F.col("text").alias("__text"))
-    inside = found.select("doc_key", F.explode("members").alias("__top"), F.col("node_id").alias("__first"), "terminal", F.try_element_at("members", F.lit(-1)).alias("__last"))
-    top = F.explode(F.concat("path", F.array("node_id"))).alias("__top")
-    hit = nodes.select("doc_key", "node_id", top).join(inside, ["doc_key", "__top"])
-    joined = nodes.join(hit, ["doc_key", "node_id"], "left").join(first, ["doc_key", "node_id"], "left")
-    tail = (F.col("terminal") == "plain") & (F.col("__top") == F.col("__last"))
-    shown = F.when(tail, escape(F.regexp_replace("text", PLAIN, ""))).when(F.col("__text").isNotNull(), F.concat(F.lit('<a href="'), attr("href"), F.lit('">'), escape(F.col("__text")), F.lit("</a>")))
-    kept = joined.where(F.col("__top").isNull() | tail | F.col("__text").isNotNull())
-    as_text = F.col("__text").isNotNull()
-    return kept.withColumn("render", shown).withColumn("kind", F.when(as_text, "text").otherwise(F.col("kind"))).drop("__top", "__first", "__last", "terminal", "__text")
+    live = [i for i, c in enumerate(cells) if not c["gone"] and c["text"] != ""]
+    for k, i in enumerate(live):
+        if i < start or cells[i]["kind"] != "a":
+            continue
+        said = cells[i]["text"]
+        back = next((j for j in reversed(live[:k]) if cells[j]["kind"] != "text" or cells[j]["text"].strip()), None)
+        ahead = live[k + 1] if k + 1 < len(live) else None
+        unit = bool(_UNIT.match(said) and _NUMBER.search(said))
+        if _ARTICLE.match(said):
+            if back is None:
+                continue
+            if cells[back]["kind"] == "a":
+                own = cells[back]["text"]
+                if _UNIT.match(own) and _NUMBER.search(own):
+                    before = next((j for j in reversed(live[: live.index(back)]) if cells[j]["kind"] != "text" or cells[j]["text"].strip()), None)
+                    if before is not None and cells[before]["kind"] == "a" and _UNIT.match(cells[before]["text"]):
+                        return "complex", i, back, 0
+                    return "merge", back, i, 0
+            elif cells[back]["kind"] == "text" and (m := _ENDS_UNIT.search(cells[back]["text"])):
+                return "backward", i, back, len(cells[back]["text"]) - m.start("unit")
+            continue
+        if _POINT.match(said) and back is not None and cells[back]["kind"] == "text":
+            m = _ENDS_QUALIFIER.search(cells[back]["text"])
+            if m and "пункт" not in m["unit"].lower():
+                return "backward", i, back, len(cells[back]["text"]) - m.start("unit")
+        if ahead is None or cells[ahead]["kind"] != "text":
+            continue
+        after = cells[ahead]["text"]
+        if unit and (m := _TAKES_ARTICLE.match(after)):
+            return "forward", i, ahead, m.end()
+        if _NUMBER.search(said):
+            if m := _TAKES_NUMBER.match(after):
+                return "range", i, ahead, m.end()
+            following = live[k + 2] if k + 2 < len(live) else None
+            if _DASH.fullmatch(after) and following is not None and cells[following]["kind"] == "a" and _ONLY.match(cells[following]["text"]):
+                return "range", i, following, 0
+    return None
+
+
+def settle(cells: list[dict]) -> list[tuple[str, str, str, str | None]]:
+    """Apply ``next_edit`` to ``cells`` in place until nothing is left; (kind, text, kept href, dropped href) of each."""
+    log, start = [], 0
+    while found := next_edit(cells, start):
+        kind, i, j, n = found
+        one, other = cells[i], cells[j]
+        if kind == "complex":
+            log.append((kind, "".join(c["text"] for c in cells[j : i + 1] if not c["gone"]), other["href"], None))
+            start = i + 1
+            continue
+        if kind == "backward":
+            cut = len(other["text"]) - n
+            one["lead"], one["text"], other["text"] = other["text"][cut:] + one["lead"], other["text"][cut:] + one["text"], other["text"][:cut]
+        elif n:
+            taken = other["text"][:n]
+            one["tail"], one["text"], other["text"] = one["tail"] + taken, one["text"] + taken, other["text"][n:]
+        else:
+            taken = "".join(c["text"] for c in cells[i + 1 : j + 1] if not c["gone"])
+            one["tail"], one["text"] = one["tail"] + taken, one["text"] + taken
+            for c in cells[i + 1 : j + 1]:
+                c["gone"] = True
+        log.append((kind, one["text"], one["href"], None if n else other["href"]))
+        start = max((k for k in range(i) if cells[k]["kind"] == "a"), default=0)  # what stands before that cannot have changed
+    return log
+
+
+_EDITS = pa.list_(pa.struct([("node_id", pa.int32()), ("lead", pa.string()), ("tail", pa.string()), ("new_text", pa.string()), ("gone", pa.bool_())]))
+_LOG = pa.list_(pa.struct([("kind", pa.string()), ("text", pa.string()), ("keep", pa.string()), ("dropped", pa.string())]))
+
+
+def full_spans(sibs: DataFrame) -> DataFrame:
+    """(doc_key, parent_id, edits, log) of the parents whose links are widened or merged, or have a chain to report."""
+    letters = F.array_join(F.transform("sibs", lambda s: s["letter"]), "")
+    rows = sibs.where(letters.rlike("[RAB].|.[RAB]"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hit, edits, logs = [], [], []
+            for own in b.column(2):
+                cells = [{**c, "text": c["text"] or "", "lead": "", "tail": "", "gone": False, "was": c["text"] or ""} for c in own.as_py()]
+                log = settle(cells)
+                hit.append(bool(log))
+                if log:
+                    logs.append([dict(zip(("kind", "text", "keep", "dropped"), x, strict=True)) for x in log])
+                    changed = [c for c in cells if c["gone"] or c["lead"] or c["tail"] or (c["kind"] == "text" and c["text"] != c["was"])]
+                    edits.append([{"node_id": c["node_id"], "lead": c["lead"] or None, "tail": c["tail"] or None, "new_text": c["text"] if c["kind"] == "text" else None, "gone": c["gone"]} for c in changed])
+            kept = b.filter(pa.array(hit, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array(edits, _EDITS), pa.array(logs, _LOG)], ["doc_key", "parent_id", "edits", "log"])
+
+    kind = "doc_key string, parent_id int, edits array<struct<node_id:int,lead:string,tail:string,new_text:string,gone:boolean>>, log array<struct<kind:string,text:string,keep:string,dropped:string>>"
+    return rows.select("doc_key", "parent_id", "sibs").mapInArrow(run, kind)
+
+
+def span_log(found: DataFrame) -> DataFrame:
+    """One row a merge of ``full_spans``: (doc_key, parent_id, ord, kind, text, keep, dropped)."""
+    return found.select("doc_key", "parent_id", F.posexplode("log").alias("ord", "x")).select("doc_key", "parent_id", "ord", "x.*")
+
+
+def merged_spans(nodes: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """``nodes`` with all widening and merging applied; texts stay the same in sum."""
+    found = full_spans(siblings(nodes)) if found is None else found
+    return edited(nodes, found.select("doc_key", F.explode("edits").alias("x")).select("doc_key", "x.*"))
 
 
 # Dictionary links and overrides
 
 
-def phrase_links(texts: DataFrame, phrases: list[tuple[str, str]], least: int = 16, text: str = "text") -> DataFrame:
-    """``texts`` with segments in which dictionary phrases are marked by their act, longest first, white space flexible.
+def phrase_links(texts: DataFrame, phrases: DataFrame, least: int = 16, text: str = "text") -> DataFrame:
+    """``texts`` with links: places (s, e, phrase, value) of dictionary phrases, longest first, none across another.
 
-    The dictionary (some hundred phrases) is part of the plan, not of the data; a phrase shorter than ``least`` is left out.
+    ``phrases`` (phrase, doc_id) may have any size; a phrase shorter than ``least`` is left out. White space is flexible.
     """
-    import re
+    wanted = phrases.where(F.length("phrase") >= least).select("phrase", F.col("doc_id").alias("value"))
+    found = phrase_spans(texts, wanted, text)
+    ordered = F.array_sort(F.transform("spans", lambda x: F.struct((-(x["e"] - x["s"])).alias("n"), x["s"].alias("s"), x["e"].alias("e"), x["phrase"].alias("phrase"), x["value"].alias("value"))))
+    free = lambda taken, x: ~F.exists(taken, lambda t: (t["s"] < x["e"]) & (t["e"] > x["s"]))
+    folded = F.aggregate(ordered, F.filter(ordered, lambda x: F.lit(False)), lambda taken, x: F.when(free(taken, x), F.concat(taken, F.array(x))).otherwise(taken))
+    return found.withColumn("links", F.array_sort(F.transform(folded, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["phrase"].alias("phrase"), x["value"].alias("value"))))).drop("spans")
+
 
-    rows = texts.withColumn("segments", whole(F.col(text)))
-    for phrase, doc in sorted((p for p in phrases if len(p[0]) >= least), key=lambda p: (-len(p[0]), p[0])):
-        pattern = rf"{IU}(?<![\p{{L}}\d])" + r"\s+".join(re.escape(w) for w in phrase.split()) + r"(?![\p{L}\d])"
-        rows = rows.withColumn("segments", mark(F.col("segments"), doc, pattern))
-    return rows
+def phrase_hits(found: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+    """One row a place: ``keep``, ord, doc_id and phrase as it stands there."""
+    said = F.substring(F.col(text), F.col("x.s") + 1, F.col("x.e") - F.col("x.s"))
+    return found.select(*keep, text, F.posexplode("links").alias("ord", "x")).select(*keep, "ord", F.col("x.value").alias("doc_id"), said.alias("phrase"))
 
 
-def phrase_hits(found: DataFrame, *keep: str) -> DataFrame:
-    return found.select(*keep, F.posexplode("segments").alias("ord", "s")).where("s.rule is not null").select(*keep, "ord", F.col("s.rule").alias("doc_id"), F.col("s.text").alias("phrase"))
+def phrase_markup(text: Column, found: Column, site: str = SITE) -> Column:
+    """``text`` with links to the acts' own pages, everything else escaped."""
+    between = lambda a, b: escape(F.substring(text, a + 1, b - a))
+    link = lambda x: F.concat(F.lit(f'<a href="{site}'), x["value"], F.lit('">'), between(x["s"], x["e"]), F.lit("</a>"))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    step = lambda acc, x: F.struct(x["e"].alias("at"), F.concat(acc["out"], between(acc["at"], x["s"]), link(x)).alias("out"))
+    return F.aggregate(found, start, step, lambda acc: F.concat(acc["out"], between(acc["at"], F.length(text))))
 
 
-def phrase_markup(segments: Column) -> Column:
-    """The text with links to the acts' own pages."""
-    return F.array_join(F.transform(segments, lambda s: F.when(s["rule"].isNotNull(), F.concat(F.lit(f'<a href="{SITE}'), s["rule"], F.lit('">'), escape(s["text"]), F.lit("</a>"))).otherwise(escape(s["text"]))), "")
+def linked_phrases(nodes: DataFrame, phrases: DataFrame, least: int = 16, site: str = SITE) -> DataFrame:
+    """``nodes`` with a ``render`` for the texts outside links, scripts and titles that hold a phrase."""
+    from .dom import eligible_text
 
+    found = phrase_links(nodes.where(eligible_text(1)).select("doc_key", "node_id", "text"), phrases, least).where(F.size("links") > 0)
+    return nodes.join(found.select("doc_key", "node_id", phrase_markup(F.col("text"), F.col("links"), site).alias("render")), ["doc_key", "node_id"], "left")
 
-def partial_phrases(blocks: DataFrame, own_links: DataFrame, phrases: DataFrame, n: int | None = 200) -> DataFrame:
+
+def partial_phrases(blocks: DataFrame, own_links: DataFrame, phrases: DataFrame, n: int | None = None) -> DataFrame:
     """(doc_key, phrase, link_text): blocks with a phrase of which only a part is linked. ``n`` caps the report."""
-    near = blocks.join(F.broadcast(phrases.limit(10_000)), F.lower("text").contains(F.lower("phrase")))  # the dictionary is a fixed list
+    found = phrase_spans(blocks.select("doc_key", "block_id", "text"), phrases.select("phrase", F.col("phrase").alias("value")), words=False)
+    near = found.select("doc_key", "block_id", F.explode(F.array_distinct(F.transform("spans", lambda x: x["phrase"]))).alias("phrase"))
     got = near.join(own_links.select("doc_key", "block_id", F.col("text").alias("link_text")), ["doc_key", "block_id"])
-    got = got.where(F.lower("phrase").contains(F.lower("link_text")) & (F.length("link_text") > 0)).select("doc_key", "phrase", "link_text").distinct()
+    got = got.where(F.lower("phrase").contains(F.lower("link_text")) & (F.length("link_text") > 0) & (F.lower("phrase") != F.lower("link_text"))).select("doc_key", "phrase", "link_text").distinct()
     return got if n is None else got.orderBy("doc_key", "phrase", "link_text").limit(n)
 
 
-def overridden(pages: DataFrame, overrides: DataFrame) -> DataFrame:
-    """``pages`` (code, html) with each override's anchor phrase linked where its find phrase stands.
+def overridden(pages: DataFrame, overrides: DataFrame, site: str = SITE) -> DataFrame:
+    """``pages`` (code, html) with each override's anchor phrase linked in the first place of its find phrase.
 
-    An override with a context marker needs it in the page; a phrase that is linked already stays. A page's
-    overrides are folded in the order of their ids.
+    An override with a context marker needs it in the page; a find phrase whose anchor phrase is already linked there
+    (a link's text ends in front of it or holds it) stays. A page's overrides are folded in the order of their ids.
     """
     mine = overrides.groupBy("code").agg(F.array_sort(F.collect_list(F.struct("id", "find_phrase", "anchor_phrase", "doc_id", "anchor", "context_marker"))).alias("__o"))
 
+    def once(text: Column, old: Column, new: Column) -> Column:
+        at = F.instr(text, old)
+        return F.when(at > 0, F.concat(F.substring(text, F.lit(1), at - 1), new, F.substring(text, at + F.length(old), F.length(text)))).otherwise(text)
+
     def put(html: Column, o: Column) -> Column:
-        href = F.concat(F.when(F.coalesce(o["doc_id"], F.lit("")) == "", F.lit("")).otherwise(F.concat(F.lit(SITE), o["doc_id"])), F.coalesce(F.concat(F.lit("#"), F.nullif(o["anchor"], F.lit(""))), F.lit("")))
-        link = F.concat(F.lit('<a href="'), href, F.lit('">'), o["anchor_phrase"], F.lit("</a>"))
-        ok = html.contains(o["find_phrase"]) & (o["context_marker"].isNull() | html.contains(o["context_marker"])) & ~html.contains(F.concat(F.lit(">"), o["anchor_phrase"], F.lit("</a>")))
-        return F.when(ok, F.replace(html, o["find_phrase"], F.replace(o["find_phrase"], o["anchor_phrase"], link))).otherwise(html)
+        href = F.concat(F.when(F.coalesce(o["doc_id"], F.lit("")) == "", F.lit("")).otherwise(F.concat(F.lit(site), o["doc_id"])), F.coalesce(F.concat(F.lit("#"), F.nullif(o["anchor"], F.lit(""))), F.lit("")))
+        link = F.concat(F.lit('<a href="'), F.replace(escape(href), F.lit('"'), F.lit("&quot;")), F.lit('">'), o["anchor_phrase"], F.lit("</a>"))
+        linked = F.replace(o["find_phrase"], o["anchor_phrase"], F.concat(o["anchor_phrase"], F.lit("</a>")))
+        ok = (o["context_marker"].isNull() | html.contains(o["context_marker"])) & ~html.contains(linked) & ~html.contains(F.concat(F.lit(">"), o["anchor_phrase"], F.lit("</a>")))
+        return F.when(ok, once(html, o["find_phrase"], once(o["find_phrase"], o["anchor_phrase"], link))).otherwise(html)
 
     joined = pages.join(mine, "code", "left")
     return joined.withColumn("html", F.when(F.col("__o").isNull(), F.col("html")).otherwise(F.aggregate("__o", F.col("html"), put))).drop("__o")
 
 
-def remapped(rows: DataFrame, remap: DataFrame, href: str = "href") -> DataFrame:
+def remapped(rows: DataFrame, remap: DataFrame, href: str = "href", site: str = SITE) -> DataFrame:
     """Links to a deprecated act point to the one that took its place (``was`` keeps the old id); a fragment goes."""
     doc = doc_of(F.col(href))
     joined = rows.withColumn("old_id", doc).join(remap, "old_id", "left")
-    return joined.withColumn(href, F.when(F.col("new_id").isNotNull(), F.concat(F.lit(SITE), "new_id")).otherwise(F.col(href))).withColumn("was", F.when(F.col("new_id").isNotNull(), F.col("old_id"))).drop("old_id", "new_id")
-
-
-def own_ids(nodes: DataFrame) -> DataFrame:
-    return ids(nodes, ["a"])
-
+    return joined.withColumn(href, F.when(F.col("new_id").isNotNull(), F.concat(F.lit(site), "new_id")).otherwise(F.col(href))).withColumn("was", F.when(F.col("new_id").isNotNull(), F.col("old_id"))).drop("old_id", "new_id")

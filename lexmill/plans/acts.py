@@ -48,12 +48,12 @@ def reference_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reference_maps(pages: DataFrame) -> DataFrame:
-    """Each page's act has articles 1 to ``KNOWN``, point 2's fourth subpoint in even ones, and chapter 5."""
+    """(doc_key, key, anchor): each page's act has articles 1 to ``KNOWN``, point 2's fourth subpoint in even ones, and chapter 5."""
     number = F.sequence(F.lit(1), F.lit(KNOWN))
-    articles = F.map_from_entries(F.transform(number, lambda i: F.struct(i.cast("string").alias("k"), F.concat(F.lit("z"), i).alias("v"))))
-    subpoints = F.map_from_entries(F.transform(F.filter(number, lambda i: i % 2 == 0), lambda i: F.struct(F.concat(i, F.lit("_2_4")).alias("k"), F.concat(F.lit("z"), i, F.lit("_2_4")).alias("v"))))
-    empty = F.create_map().cast("map<string,string>")
-    return pages.select("doc_key", articles.alias("articles"), subpoints.alias("subpoints"), empty.alias("parts"), F.create_map(F.lit("5"), F.lit("c5")).alias("chapters"))
+    articles = F.transform(number, lambda i: F.struct(F.concat(F.lit("a:"), i).alias("key"), F.concat(F.lit("z"), i).alias("anchor")))
+    subpoints = F.transform(F.filter(number, lambda i: i % 2 == 0), lambda i: F.struct(F.concat(F.lit("s:"), i, F.lit("_2_4")).alias("key"), F.concat(F.lit("z"), i, F.lit("_2_4")).alias("anchor")))
+    chapter = F.array(F.struct(F.lit("c:5").alias("key"), F.lit("c5").alias("anchor")))
+    return pages.select("doc_key", F.explode(F.concat(articles, subpoints, chapter)).alias("x")).select("doc_key", "x.key", "x.anchor")
 
 
 def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit('<a href="'), href, F.lit('">'), text if not isinstance(text, str) else F.lit(text), F.lit("</a>"))
 
     inner = lambda k: F.concat(F.lit(f"#p{k}_"), a)
-    art, out = F.concat(F.lit("статьи "), a), F.lit("https://adilet.zan.kz/rus/docs/K1500000377#z9")
+    art, out = F.concat(F.lit("статьи "), a), F.lit("https://example.org/docs/K1500000377#z9")
     markup = (
         F.when(n == 1, F.concat(link("пунктами 1", inner(1)), F.lit(" и "), link("2", inner(2)), F.lit(" "), link(art, inner(0)), F.lit(" кодекса")))
         .when(n == 2, F.concat(link("пункт 1", inner(1)), F.lit(" "), link(art, inner(0)), F.lit(" кодекса")))
@@ -82,11 +82,11 @@ def hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.concat(F.lit("K15000"), F.lpad((F.col("user_id") % 7).cast("string"), 5, "0"))
     number = (e % 9 + 1).cast("string")
     href = (
-        F.when(e % 6 == 0, F.concat(F.lit("https://adilet.zan.kz/rus/docs/"), doc, F.lit("#z"), number))
-        .when(e % 6 == 1, F.concat(F.lit("/rus/docs/"), doc, F.lit("#"), number))
-        .when(e % 6 == 2, F.concat(F.lit("http://zan.kz/docs/"), doc))
+        F.when(e % 6 == 0, F.concat(F.lit("https://example.org/docs/"), doc, F.lit("#z"), number))
+        .when(e % 6 == 1, F.concat(F.lit("/docs/"), doc, F.lit("#"), number))
+        .when(e % 6 == 2, F.concat(F.lit("http://example.com/docs/"), doc))
         .when(e % 6 == 3, F.concat(F.lit("#z"), number))
-        .when(e % 6 == 4, F.concat(F.lit("https://adilet.zan.kz/rus/docs/"), doc, F.lit("/history")))
+        .when(e % 6 == 4, F.concat(F.lit("https://example.org/docs/"), doc, F.lit("/history")))
         .otherwise(F.concat(F.lit("/search/"), number))
     )
     return _read(spark, sf_dir, "events").select((F.col("user_id") % 3).cast("string").alias("doc_key"), e.alias("ord"), href.alias("href"), F.concat(F.lit("статьи "), (e % 4 + 1).cast("string")).alias("text"), F.lit("").alias("prev_text"))

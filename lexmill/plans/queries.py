@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.text import ORDINALS, ordinal, roman
 from ..operators import anchors, audit, chunks, dom, references, spans, structure
 from ..sources import html, registry, sinks
-from . import acts
+from ..sources.shared import written
+from . import acts, cases
 from .sql import SQL
 
 
@@ -29,8 +30,9 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def link_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = dom.links(_pages(spark, sf_dir))
-    return links.groupBy("doc_key", spans.link_kind(F.col("href")).alias("kind")).agg(F.count("*").alias("n"))
+    href = dom.attr("href")
+    links = html.parse_nodes(_t(spark, sf_dir, "pages"), "page_id", "html").where((F.col("tag") == "a") & href.isNotNull())
+    return links.groupBy("doc_key", spans.link_kind(href).alias("kind")).agg(F.count("*").alias("n"))
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +60,8 @@ def noise_free_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eligible_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _pages(spark, sf_dir).where(dom.eligible_text() & ~dom.in_heading())
+    nodes = _pages(spark, sf_dir)
+    rows = nodes.where(dom.eligible_text()).join(dom.heading_texts(nodes), ["doc_key", "node_id"], "left_anti")
     return rows.groupBy("doc_key").agg(F.count("*").alias("n"))
 
 
@@ -138,10 +141,9 @@ def article_map_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def act_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw acts to structured pages to articles to chunks."""
-    pages = structure.structured_html(structure.structured(html.kept_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")))
-    nodes = html.kept_nodes(pages, "doc_key", "html")
+    nodes = html.kept_nodes(structure.structured_html(html.kept_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")), "doc_key", "html")
     registered = _t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("doc_id"))
-    articles, segments = (df.persist() for df in chunks.parse_articles(nodes, registered))
+    articles, segments = (written(df, "articles") for df in chunks.parse_articles(nodes, registered))
     made = chunks.chunks(articles, segments)
     return made.select("id", "text", F.col("meta.hier_id").alias("hier_id"), F.col("meta.doc_id").alias("doc_id"), F.col("meta.unit_type").alias("unit_type"), F.col("meta.char_len").alias("char_len"))
 
@@ -192,7 +194,7 @@ def merged_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def full_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = html.kept_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
-    return spans.full_spans(spans.siblings(nodes)).groupBy("doc_key", "kind").agg(F.count("*").alias("n"))
+    return spans.span_log(spans.full_spans(spans.siblings(nodes))).groupBy("doc_key", "kind").agg(F.count("*").alias("n"))
 
 
 def chain_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,9 +247,9 @@ PHRASES = [("of the", "D1"), ("of the and", "D2"), ("in la", "D3"), ("der und",
 
 
 def dictionary_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = spans.phrase_links(_t(spark, sf_dir, "documents").select("doc_id", "text"), PHRASES, least=5)
-    hits = found.select(F.col("doc_id").alias("document"), "segments")
-    return spans.phrase_hits(hits, "document").groupBy("document", "doc_id").agg(F.count("*").alias("n"))
+    phrases = spark.createDataFrame(PHRASES, "phrase string, doc_id string")
+    found = spans.phrase_links(_t(spark, sf_dir, "documents").select(F.col("doc_id").alias("document"), "text"), phrases, least=5)
+    return spans.phrase_hits(found, "document").groupBy("document", "doc_id").agg(F.count("*").alias("n"))
 
 
 def longest_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,6 +330,73 @@ def six_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.six_checks(nodes).select("doc_key", F.col("check").alias("name"), "n")
 
 
+def _ranked_links(nodes: DataFrame) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("doc_key").orderBy("node_id")) - 1
+    return dom.links(nodes).select("doc_key", rank.alias("ord"), "text", "href")
+
+
+def _nodes_of(spark: SparkSession, sf_dir: str, own: list[cases.Case]) -> DataFrame:
+    return html.kept_nodes(cases.pages(spark, sf_dir, own), "doc_key", "html")
+
+
+def linked_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw acts with all references linked by their own anchors, every rule with a phrase that it takes and one that it leaves."""
+    done = references.linked_pages(cases.pages(spark, sf_dir, cases.LINKED))
+    return _ranked_links(html.kept_nodes(done, "doc_key", "html"))
+
+
+def act_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kind of heading, split, virtual and merged ones among them, with its place in the hierarchy."""
+    return structure.structured(_nodes_of(spark, sf_dir, cases.SECTIONS)).select("doc_key", "pos", "kind", "type", "number", "anchor", "parent_pos")
+
+
+def structured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wrappers of pages written with their hierarchy and read again, each with the one around it."""
+    again = html.kept_nodes(structure.structured_html(_nodes_of(spark, sf_dir, cases.WRAPPERS)), "doc_key", "html")
+    divs = again.where((F.col("tag") == "div") & dom.attr("data-type").isNotNull())
+    around = dom.host(divs, None).select("doc_key", "node_id", "host").join(divs.select("doc_key", F.col("node_id").alias("host"), dom.attr("data-type").alias("around")), ["doc_key", "host"])
+    rank = F.row_number().over(Window.partitionBy("doc_key").orderBy("node_id")) - 1
+    rows = divs.select("doc_key", "node_id", dom.attr("data-type").alias("type"), dom.attr("data-number").alias("number"), dom.attr("id").alias("id"), rank.alias("ord"))
+    return rows.join(around.drop("host"), ["doc_key", "node_id"], "left").drop("node_id")
+
+
+def structured_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What structured pages keep of the markup: links, anchors, tables, what stands outside the root."""
+    again = html.kept_nodes(structure.structured_html(_nodes_of(spark, sf_dir, cases.KEPT)), "doc_key", "html")
+    name = F.coalesce(dom.attr("href"), dom.attr("id"), dom.attr("name"))
+    wanted = F.col("tag").isin("a", "table", "td", "i", "nav", "title", "span", "h4") | name.isin("a6", "a9", "a9_chapter9")
+    return again.where(wanted).groupBy("doc_key", "tag", name.alias("name")).agg(F.count("*").alias("n"))
+
+
+def span_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Widened and merged links by kind, in the order in which they were applied."""
+    found = spans.full_spans(spans.siblings(_nodes_of(spark, sf_dir, cases.MERGES)))
+    return spans.span_log(found).select("doc_key", "ord", "kind", "text", "keep", "dropped")
+
+
+def merged_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of pages after all merges, written and read again."""
+    done = html.serialize(spans.merged_spans(_nodes_of(spark, sf_dir, cases.MERGED)))
+    return _ranked_links(html.kept_nodes(done, "doc_key", "html"))
+
+
+def chained_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spans.chains(spans.siblings(_nodes_of(spark, sf_dir, cases.CHAINED)))
+    return found.select("doc_key", "text", "keep", "terminal", F.size("dropped").alias("dropped"))
+
+
+def span_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gates of merges as they were logged, and of the same with a log that leaves out what was dropped: these must fail."""
+    nodes = _nodes_of(spark, sf_dir, cases.MERGES)
+    found = written(spans.full_spans(spans.siblings(nodes)), "spans")
+    again = html.kept_nodes(html.serialize(spans.merged_spans(nodes, found)), "doc_key", "html")
+    dropped = spans.span_log(found).groupBy("doc_key").agg(F.collect_list("dropped").alias("dropped"))
+    told = audit.gates(nodes, again, dropped).withColumn("log", F.lit("whole"))
+    untold = audit.gates(nodes, again).withColumn("log", F.lit("none"))
+    other = audit.gates(nodes, again.withColumn("text", F.replace("text", F.lit("закона"), F.lit("кодекса"))), dropped).withColumn("log", F.lit("changed text"))
+    return told.unionByName(untold).unionByName(other).groupBy("log", "gate", "ok").agg(F.count("*").alias("n"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -335,6 +404,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         roman_numbers, ordinal_words, line_hierarchy, act_structure, act_hierarchy, article_map, subpoint_map, chapter_map, article_map_json, first_wins, reverse_map,
         anchor_resolution, found_references, linked_pages, top_references, merged_chains, full_spans, chain_gates, canonical_hrefs, dangling_links, renamed_duplicates, href_delta,
         text_hashes, frozen_texts, pattern_delta, dictionary_links, longest_hint, stale_links, external_inventory, remapped_links, cross_verification, coverage_ratios, page_coverage,
+        linked_acts, act_sections, structured_pages, structured_markup, span_merges, merged_links, chained_links, span_gates, act_chunks,
         line_units, line_chunks, chunk_stats, sample_examples, act_events, link_verdicts, six_checks,
     )
 }

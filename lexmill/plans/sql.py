@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from . import cases
+
 _HREFS = """hrefs AS (
     SELECT event_id AS ord, event_id, user_id, user_id % 3 AS own, 'K15000' || lpad((user_id % 7)::VARCHAR, 5, '0') AS doc, (event_id % 9 + 1)::VARCHAR AS num, event_id % 6 AS k,
-        CASE event_id % 6 WHEN 0 THEN 'https://adilet.zan.kz/rus/docs/K15000' || lpad((user_id % 7)::VARCHAR, 5, '0') || '#z' || (event_id % 9 + 1)
+        CASE event_id % 6 WHEN 0 THEN 'https://example.org/docs/K15000' || lpad((user_id % 7)::VARCHAR, 5, '0') || '#z' || (event_id % 9 + 1)
             WHEN 1 THEN '/rus/docs/K15000' || lpad((user_id % 7)::VARCHAR, 5, '0') || '#' || (event_id % 9 + 1)
-            WHEN 2 THEN 'http://zan.kz/docs/K15000' || lpad((user_id % 7)::VARCHAR, 5, '0')
+            WHEN 2 THEN 'http://example.com/docs/K15000' || lpad((user_id % 7)::VARCHAR, 5, '0')
             WHEN 3 THEN '#z' || (event_id % 9 + 1)
-            WHEN 4 THEN 'https://adilet.zan.kz/rus/docs/K15000' || lpad((user_id % 7)::VARCHAR, 5, '0') || '/history'
+            WHEN 4 THEN 'https://example.org/docs/K15000' || lpad((user_id % 7)::VARCHAR, 5, '0') || '/history'
             ELSE '/search/' || (event_id % 9 + 1) END AS href
     FROM events
 )"""
@@ -115,7 +117,7 @@ SQL: dict[str, str] = {
         WITH {_HREFS}
         SELECT ord, CASE WHEN k IN (3, 4, 5) THEN href
                 WHEN user_id % 7 = own THEN CASE k WHEN 2 THEN '#' ELSE '#z' || num END
-                ELSE 'https://adilet.zan.kz/rus/docs/' || doc || CASE k WHEN 2 THEN '' ELSE '#z' || num END END AS href,
+                ELSE 'https://example.org/docs/' || doc || CASE k WHEN 2 THEN '' ELSE '#z' || num END END AS href,
             CASE WHEN k = 5 THEN 'nav' WHEN k = 3 OR (k IN (0, 1) AND user_id % 7 = own) THEN 'internal' ELSE 'external' END AS kind
         FROM hrefs
     """,
@@ -125,7 +127,7 @@ SQL: dict[str, str] = {
     """,
     "external_inventory": f"WITH {_HREFS} SELECT doc AS doc_id, count(*) AS n FROM hrefs WHERE k NOT IN (3, 5) AND doc NOT IN ('K1500000000', 'K1500000002') GROUP BY 1",
     "remapped_links": f"""
-        WITH {_HREFS} SELECT ord, CASE WHEN k NOT IN (3, 5) AND user_id % 7 IN (1, 3) THEN 'https://adilet.zan.kz/rus/docs/K25000' || lpad((user_id % 7)::VARCHAR, 5, '0') ELSE href END AS href,
+        WITH {_HREFS} SELECT ord, CASE WHEN k NOT IN (3, 5) AND user_id % 7 IN (1, 3) THEN 'https://example.org/docs/K25000' || lpad((user_id % 7)::VARCHAR, 5, '0') ELSE href END AS href,
             CASE WHEN k NOT IN (3, 5) AND user_id % 7 IN (1, 3) THEN doc END AS was FROM hrefs
     """,
     "cross_verification": f"""
@@ -212,4 +214,11 @@ SQL: dict[str, str] = {
                 WHEN 4 THEN 'в подпункте ' || n || ') пункта 2 статьи ' || a || ' закона' WHEN 5 THEN 'как следует из главы ' || n || ' настоящего Кодекса' WHEN 6 THEN 'см. статья ' || a || '. Заголовок' ELSE 'ПУНКТАМИ 1, 2 СТАТЬИ ' || a || ' закона' END))::BIGINT AS n_chars
         FROM refs GROUP BY doc_key
     """,
+    "linked_acts": cases.sql(cases.LINKED, "ord INT, text VARCHAR, href VARCHAR"),
+    "act_sections": cases.sql(cases.SECTIONS, "pos INT, kind VARCHAR, type VARCHAR, number VARCHAR, anchor VARCHAR, parent_pos INT"),
+    "structured_pages": cases.sql(cases.WRAPPERS, "ord INT, type VARCHAR, number VARCHAR, id VARCHAR, around VARCHAR"),
+    "structured_markup": cases.sql(cases.KEPT, "tag VARCHAR, name VARCHAR, n BIGINT").replace("v(name, tag, name, n)", "v(c, tag, name, n)").replace("'-' || name AS", "'-' || c AS"),
+    "span_merges": cases.sql(cases.MERGES, "ord INT, kind VARCHAR, text VARCHAR, keep VARCHAR, dropped VARCHAR"),
+    "merged_links": cases.sql(cases.MERGED, "ord INT, text VARCHAR, href VARCHAR"),
+    "chained_links": cases.sql(cases.CHAINED, "text VARCHAR, keep VARCHAR, terminal VARCHAR, dropped INT"),
 }

@@ -1,8 +1,11 @@
 """HTML to a node table, and back.
 
 Only tokenizing a page is Python (the standard parser, in Arrow batches); what the other operators do with the
-nodes are joins, windows and aggregates over (doc_key, node_id). The tree rule: no implied end tags, so unclosed
-paragraphs nest; an end tag closes the nearest open tag of its name or is ignored; void tags close at once.
+nodes are joins, windows and aggregates over (doc_key, node_id). The tree rule: a block's start tag closes an open
+paragraph, and list items, cells, rows and options close their like (as browsers do, so unclosed paragraphs don't nest);
+otherwise an end tag closes the nearest open tag of its name or is ignored; void tags close at once.
+
+Null and empty pages have no nodes; repeated keys must be told apart by the caller; an empty table gives no nodes.
 """
 
 from __future__ import annotations
@@ -11,28 +14,37 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import escape
+from .shared import written
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Start tags that close an open paragraph, and those that close their like up to a holder.
+CLOSES_P = frozenset("address article aside blockquote center details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
+CLOSES_LIKE = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "td": ({"td", "th"}, {"table"}), "th": ({"td", "th"}, {"table"}), "tr": ({"tr"}, {"table"}), "option": ({"option"}, {"select"})}
+#: Tags whose paragraphs are their own, and tags that hold a block of text.
+SCOPES = frozenset("body html table td th caption button object".split())
+BLOCKS = frozenset("p li td th div h1 h2 h3 h4 h5 h6 article body".split())
 KIND = pa.schema(
     [
         ("doc_key", pa.string()), ("node_id", pa.int32()), ("parent_id", pa.int32()), ("end_id", pa.int32()), ("depth", pa.int32()), ("sib_pos", pa.int32()),
         ("kind", pa.string()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()),
-        ("path", pa.list_(pa.int32())), ("tags", pa.list_(pa.string())), ("src_pos", pa.int32()),
+        ("path", pa.list_(pa.int32())), ("tags", pa.list_(pa.string())), ("block_id", pa.int32()), ("src_pos", pa.int32()),
     ]
 )
 NODE = (
     "doc_key string, node_id int, parent_id int, end_id int, depth int, sib_pos int, kind string, tag string, attrs map<string,string>, "
-    "text string, path array<int>, tags array<string>, src_pos int"
+    "text string, path array<int>, tags array<string>, block_id int, src_pos int"
 )
 
 
 class _Tree(HTMLParser):
-    """Nodes in document order, each [node_id, parent_id, end_id, depth, sib_pos, kind, tag, attrs, text, path, tags, src_pos]."""
+    """Nodes in document order, each [node_id, parent_id, end_id, depth, sib_pos, kind, tag, attrs, text, path, tags, block_id, src_pos].
+
+    ``path`` are the open elements, ``tags`` their different names, ``block_id`` is the innermost of ``BLOCKS``.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -44,11 +56,26 @@ class _Tree(HTMLParser):
         n, parent = len(self.nodes), self.open[-1] if self.open else -1
         k = self.children[parent] = self.children.get(parent, -1) + 1
         held = list(self.open)
+        names = dict.fromkeys(self.nodes[i][6] for i in held)
+        block = next((i for i in reversed(held) if self.nodes[i][6] in BLOCKS), -1)
         line, column = self.getpos()
-        self.nodes.append([n, parent, n, len(held), k, kind, tag, [(a, v or "") for a, v in dict(attrs).items()], text, held, [self.nodes[i][6] for i in held], self.starts[line - 1] + column])
+        self.nodes.append([n, parent, n, len(held), k, kind, tag, [(a, v or "") for a, v in dict(attrs).items()], text, held, list(names), block, self.starts[line - 1] + column])
         return n
 
+    def close_like(self, like: set[str], stop: set[str] | frozenset[str]) -> None:
+        for k in range(len(self.open) - 1, -1, -1):
+            name = self.nodes[self.open[k]][6]
+            if name in like:
+                self.close_to(k)
+                return
+            if name in stop:
+                return
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag in CLOSES_P:
+            self.close_like({"p"}, SCOPES)
+        elif tag in CLOSES_LIKE:
+            self.close_like(*CLOSES_LIKE[tag])
         n = self.add("element", tag, attrs, None)
         if tag not in VOID:
             self.open.append(n)
@@ -97,8 +124,8 @@ def parse_nodes(df: DataFrame, key: str, html: str) -> DataFrame:
 
 
 def kept_nodes(df: DataFrame, key: str, html: str) -> DataFrame:
-    """``parse_nodes``, kept in memory and on disk: operators read the nodes many times, the parser runs once."""
-    return parse_nodes(df, key, html).persist(StorageLevel.MEMORY_AND_DISK)
+    """``parse_nodes``, written to the shared folder: operators read the nodes many times, the parser runs once."""
+    return written(parse_nodes(df, key, html), "nodes")
 
 
 def read_html(spark: SparkSession, path: str) -> DataFrame:
@@ -120,18 +147,28 @@ def opening(tag: Column, attrs: Column) -> Column:
     return F.concat(F.lit("<"), tag, F.array_join(written, ""), F.lit(">"))
 
 
-def serialize(nodes: DataFrame) -> DataFrame:
-    """(doc_key, html) of a node table. Where a column ``render`` is set it stands for a text's markup.
+def pieces(nodes: DataFrame) -> Column:
+    """Markup of a node as an array of (a, b, c, s): its opening and closing piece, in order by a, b, c.
 
-    Every node gives its opening and its closing piece with a sort key; only a document's own pieces are gathered.
+    Where a column ``render`` is set it stands for a text's markup, ``lead`` and ``tail`` (texts) go in front of and
+    behind what an element holds.
     """
     raw = F.exists("tags", lambda t: t.isin("script", "style"))
     text = F.when(raw, F.col("text")).otherwise(escape(F.col("text")))
     if "render" in nodes.columns:
         text = F.coalesce("render", text)
-    first = F.when(F.col("kind") == "element", opening(F.col("tag"), F.col("attrs"))).when(F.col("kind") == "comment", F.concat(F.lit("<!--"), "text", F.lit("-->"))).otherwise(text)
+    opened, closed = opening(F.col("tag"), F.col("attrs")), F.concat(F.lit("</"), "tag", F.lit(">"))
+    if "lead" in nodes.columns:
+        opened = F.concat(opened, F.coalesce(escape(F.col("lead")), F.lit("")))
+    if "tail" in nodes.columns:
+        closed = F.concat(F.coalesce(escape(F.col("tail")), F.lit("")), closed)
+    first = F.when(F.col("kind") == "element", opened).when(F.col("kind") == "comment", F.concat(F.lit("<!--"), "text", F.lit("-->"))).otherwise(text)
     begin = F.struct(F.col("node_id").alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c"), first.alias("s"))
-    end = F.struct(F.col("end_id").alias("a"), F.lit(1).alias("b"), (-F.col("node_id")).alias("c"), F.concat(F.lit("</"), "tag", F.lit(">")).alias("s"))
-    both = F.when((F.col("kind") == "element") & ~F.col("tag").isin(*VOID), F.array(begin, end)).otherwise(F.array(begin))
-    pieces = nodes.select("doc_key", F.explode(both).alias("p"))
-    return pieces.groupBy("doc_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["s"]), "").alias("html"))
+    end = F.struct(F.col("end_id").alias("a"), F.lit(1).alias("b"), (-F.col("node_id")).alias("c"), closed.alias("s"))
+    return F.when((F.col("kind") == "element") & ~F.col("tag").isin(*VOID), F.array(begin, end)).otherwise(F.array(begin))
+
+
+def serialize(nodes: DataFrame) -> DataFrame:
+    """(doc_key, html) of a node table, with what ``pieces`` says of added columns. Only a document's own pieces are gathered."""
+    each = nodes.select("doc_key", F.explode(pieces(nodes)).alias("p"))
+    return each.groupBy("doc_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["s"]), "").alias("html"))

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Folders that pages are dealt to by a hash of their key, whatever their number.
+BUCKETS = 64
 
-def write_pages(pages: DataFrame, path: str, by: str = "doc_key") -> None:
-    """One row of ``html`` a document, partitioned by ``by``; fails if the folder exists (the old one is the backup)."""
-    pages.select(by, "html").write.mode("errorifexists").partitionBy(by).option("lineSep", "\u0000").text(path)
+
+def write_pages(pages: DataFrame, path: str, version: int, by: str = "doc_key", buckets: int = BUCKETS) -> None:
+    """(by, html) as a version below ``path``; fails if that version is there. Earlier versions are the backups."""
+    dealt = pages.select(by, "html", F.pmod(F.xxhash64(by), F.lit(buckets)).alias("bucket"))
+    dealt.repartition("bucket").write.mode("errorifexists").partitionBy("bucket").parquet(f"{path}/version={version}")
+
+
+def read_pages(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """(by, html) of a version of ``write_pages``, the latest unless told otherwise."""
+    rows = spark.read.parquet(path)
+    chosen = F.lit(version) if version is not None else F.lit(rows.agg(F.max("version")).first()[0])
+    return rows.where(F.col("version") == chosen).drop("bucket", "version")
 
 
 def map_json(anchors: DataFrame, key: str = "key") -> DataFrame:
