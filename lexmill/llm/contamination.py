@@ -21,7 +21,6 @@ by itself, repeated items as often as they stand there; empty tables match nothi
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
@@ -40,6 +39,8 @@ BLOCK_BYTES = 16 << 20
 CHUNK = 1 << 13
 #: Bits of the bitmap that is asked before a size's key table.
 LOW = 1 << 20
+#: Items whose shingles a task keeps.
+KEPT = 4096
 
 
 def bands_for(threshold: float, recall: float) -> int:
@@ -62,6 +63,7 @@ class Items:
         by_size: dict[int, list] = {}
         short: dict[int, list] = {}
         self.items: list[tuple[int | None, str, int]] = []
+        self.seen: dict[int, frozenset[str]] = {}
         for item_id, text, times in rows:
             if len(ws := word_hashes(text)):
                 h = np.unique(shingle_hashes(ws, k))
@@ -92,10 +94,14 @@ class Items:
         for a, b in zip(np.searchsorted(values, keys, "left").tolist(), np.searchsorted(values, keys, "right").tolist(), strict=True):
             found.update(whose[a:b].tolist())
 
-    @functools.lru_cache(maxsize=4096)  # noqa: B019: lives as long as the block
     def shingles(self, i: int) -> frozenset[str]:
-        ws = words(self.items[i][1])
-        return frozenset(shingle_set(ws, min(self.k, len(ws))))
+        """The shingles of an item; the last ones asked for are kept."""
+        if i not in self.seen:
+            if len(self.seen) >= KEPT:
+                self.seen.clear()
+            ws = words(self.items[i][1])
+            self.seen[i] = frozenset(shingle_set(ws, min(self.k, len(ws))))
+        return self.seen[i]
 
     def minima(self, h: np.ndarray, starts: list[int] | np.ndarray) -> np.ndarray:
         """Least permuted values (runs, bands) of the runs of ``h`` that begin at ``starts``."""

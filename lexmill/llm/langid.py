@@ -90,9 +90,12 @@ def learning_rows(labelled: DataFrame, sample: int) -> list[tuple[np.ndarray, np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            counts = [gram_counts(t.as_py()) for t in b.column(1)]
-            at = [np.flatnonzero(c) for c in counts]
-            columns = [b.column(0), b.column(2), pa.array([x.astype("<u2").tobytes() for x in at], pa.binary()), pa.array([c[x].astype("<u4").tobytes() for c, x in zip(counts, at, strict=True)], pa.binary())]
+            at, counts = [], []
+            for t in b.column(1):
+                found = gram_counts(t.as_py())  # DIM counts of one text at a time
+                used = np.flatnonzero(found)
+                at.append(used.astype("<u2").tobytes()), counts.append(found[used].astype("<u4").tobytes())
+            columns = [b.column(0), b.column(2), pa.array(at, pa.binary()), pa.array(counts, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "h", "at", "counts"])
 
     rows = arrow_pass(some, run, "lang string, h long, at binary, counts binary")
