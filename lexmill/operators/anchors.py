@@ -46,10 +46,10 @@ def article_anchors(nodes: DataFrame) -> DataFrame:
     return first_wins(found, ["doc_key", "article"], ["method", "node_id"]).select("doc_key", "article", "anchor", "method", "node_id")
 
 
-def by_number(articles: DataFrame, n: int | None = None) -> DataFrame:
-    """Articles by number, then suffix."""
+def by_number(articles: DataFrame, n: int | None = None, *ties: str) -> DataFrame:
+    """Articles by number, then suffix, then ``ties``; the first ``n`` if given (a preview)."""
     number = F.split("article", "-")
-    got = articles.orderBy(F.try_element_at(number, F.lit(1)).try_cast("int"), F.coalesce(F.try_element_at(number, F.lit(2)).try_cast("int"), F.lit(0)), "article")
+    got = articles.orderBy(F.try_element_at(number, F.lit(1)).try_cast("int"), F.coalesce(F.try_element_at(number, F.lit(2)).try_cast("int"), F.lit(0)), "article", *ties)
     return got if n is None else got.limit(n)
 
 
@@ -59,7 +59,7 @@ def points(nodes: DataFrame) -> DataFrame:
     A number with a point begins a point of the current article, one with a bracket a subpoint of the current point.
     """
     blocks = element_texts(nodes, nodes.where(F.col("tag").isin("p", "h3", "div") & (F.col("kind") == "element")).select("doc_key", "node_id", "tag", "end_id", attr("id").alias("id")))
-    notes = in_note(nodes, wide=False).join(nodes.where("kind = 'text'").select("doc_key", "node_id", "parent_id"), ["doc_key", "node_id"]).select("doc_key", F.col("parent_id").alias("node_id")).distinct()
+    notes = in_note(nodes, wide=False).join(nodes.where("kind = 'text'").select("doc_key", "node_id", "block_id"), ["doc_key", "node_id"]).select("doc_key", F.col("block_id").alias("node_id")).distinct()
     blocks = blocks.where(F.col("tag").isin("p", "h3")).join(notes, ["doc_key", "node_id"], "left_anti")
     heading = F.regexp_extract("text_sp", rf"{U}^[Сс]татья\s+(\d+(?:-\d+)?)", 1)
     rows = blocks.withColumn("heading", F.nullif(heading, F.lit(""))).withColumn("n", F.nullif(F.regexp_extract("text_sp", rf"{U}^(\d+(?:-\d+)?)\s*\.(?!\d)", 1), F.lit("")))

@@ -261,7 +261,7 @@ def inventory(hrefs: DataFrame, own: DataFrame) -> DataFrame:
 
 def strict_gate(stale: DataFrame, mapping: DataFrame) -> DataFrame:
     """One row, ok: false if a root link or a dictionary row is stale."""
-    a = stale.where("kind = 'root' and status = 'confirmed'").agg(F.count("*").alias("links"))
+    a = stale.where("kind = 'root' and status = 'confirmed'").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("links"))
     b = mapping.where("status = 'confirmed'").agg(F.count("*").alias("rows"))
     return a.join(b, F.lit(True)).select("links", "rows", ((F.col("links") == 0) & (F.col("rows") == 0)).alias("ok"))  # two single rows
 

@@ -22,7 +22,7 @@ from ..functions.text import ORDINALS, collapse, escape
 from ..sources.html import kept_nodes, serialize
 from ..sources.shared import written
 from .anchors import article_anchors, chapter_anchors, ids_from_names, part_anchors, subpoint_anchors
-from .dom import eligible_text, heading_texts, in_note, inside_link, links
+from .dom import eligible_text, heading_texts, in_note, inside_link, links, without_noise
 
 NUM = r"\d+(?:-\d+)?"
 ART = r"стат(?:ья|ьи|ье|ью|ьёй|ьей|ьями|ьям|ьях|ей)"
@@ -270,7 +270,7 @@ def act_keys(nodes: DataFrame) -> DataFrame:
 
 def find_references(nodes: DataFrame, maps: DataFrame, include_notes: bool = False, bare: bool = True) -> DataFrame:
     """Texts with references: (doc_key, node_id, text, article, part, links, …); ``maps`` is a ``link_keys`` table."""
-    texts = nodes.where(eligible_text()).join(heading_texts(nodes), ["doc_key", "node_id"], "left_anti")
+    texts = without_noise(nodes).where(eligible_text()).join(heading_texts(nodes), ["doc_key", "node_id"], "left_anti")
     if not include_notes:
         texts = texts.join(in_note(nodes), ["doc_key", "node_id"], "left_anti")
     has = maps.groupBy("doc_key").agg(F.max(F.col("key").startswith("s:")).alias("detailed"))

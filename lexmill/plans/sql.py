@@ -86,9 +86,10 @@ SQL: dict[str, str] = {
         WITH {_REFS}, found AS (
             SELECT doc_key, 'point_article' AS rule, a AS article, 'z' || a AS anchor FROM refs WHERE n = 1 AND a <= 40
             UNION ALL SELECT doc_key, 'articles', a, 'z' || a FROM refs WHERE n = 2 AND a <= 40
-            UNION ALL SELECT doc_key, CASE WHEN a <= 40 THEN 'articles' ELSE NULL END, b, 'z' || b FROM refs WHERE n = 2 AND b <= 40 AND a <= 40
+            UNION ALL SELECT doc_key, 'articles', b, 'z' || b FROM refs WHERE n = 2 AND b <= 40
             UNION ALL SELECT doc_key, 'article', a, 'z' || a FROM refs WHERE n = 3 AND a <= 40
             UNION ALL SELECT doc_key, 'subpoint', a, CASE WHEN a % 2 = 0 THEN 'z' || a || '_2_4' ELSE 'z' || a END FROM refs WHERE n = 4 AND a <= 40
+            UNION ALL SELECT doc_key, 'subpoint', a, 'z' || a FROM refs CROSS JOIN range(2) WHERE n = 4 AND a <= 40
             UNION ALL SELECT doc_key, 'chapter', NULL, 'c5' FROM refs WHERE n = 5
             UNION ALL SELECT doc_key, 'points_article', a, 'z' || a FROM refs WHERE n = 7 AND a <= 40
         )
@@ -101,18 +102,13 @@ SQL: dict[str, str] = {
             CASE n WHEN 1 THEN 'link' ELSE 'plain' END AS terminal, count(*) AS n, max(CASE n WHEN 1 THEN 2 ELSE 1 END)::INT AS dropped
         FROM refs WHERE n IN (1, 4) GROUP BY doc_key, refs.n, a
     """,
-    "full_spans": f"""
-        WITH {_REFS} SELECT doc_key, kind, count(*) AS n FROM (
-            SELECT doc_key, unnest(CASE n WHEN 1 THEN ['complex'] WHEN 2 THEN ['merge'] WHEN 3 THEN ['complex'] ELSE [] END) AS kind FROM refs
-        ) GROUP BY ALL
-    """,
-    "chain_gates": "SELECT gate, true AS ok, (SELECT count(DISTINCT l_suppkey) FROM lineitem) AS n FROM (VALUES ('text'), ('nested'), ('hrefs')) g(gate)",
+    "full_spans": f"WITH {_REFS} SELECT doc_key, 'merge' AS kind, count(*) AS n FROM refs WHERE n = 2 GROUP BY doc_key",
+    "chain_gates": "SELECT gate, true AS ok, (SELECT count(DISTINCT l_suppkey) FROM lineitem) AS n FROM (VALUES ('text'), ('nested'), ('hrefs'), ('dangling')) g(gate)",
     "link_verdicts": f"""
         WITH {_REFS}, said AS (
             SELECT doc_key, unnest(CASE n WHEN 1 THEN ['NONART', 'NONART', 'ARTICLE'] WHEN 2 THEN ['NONART', 'ARTICLE'] WHEN 3 THEN ['NONART', 'ARTICLE'] WHEN 4 THEN ['NONART', 'NONART'] ELSE ['ARTICLE'] END) AS kind FROM refs
         ) SELECT doc_key, kind, 'BROKEN' AS verdict, count(*) AS n FROM said GROUP BY ALL
     """,
-    "six_checks": f"WITH {_REFS} SELECT doc_key, 'dangling' AS name, sum(CASE n WHEN 1 THEN 3 WHEN 2 THEN 2 WHEN 3 THEN 2 WHEN 4 THEN 2 ELSE 1 END)::BIGINT AS n FROM refs GROUP BY doc_key",
     "canonical_hrefs": f"""
         WITH {_HREFS}
         SELECT ord, CASE WHEN k IN (3, 4, 5) THEN href
@@ -209,16 +205,127 @@ SQL: dict[str, str] = {
         SELECT event_id, event_type, turn::INT AS turn FROM (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS turn FROM events) ORDER BY turn, event_type LIMIT 20
     """,
     "linked_pages": f"""
-        WITH {_REFS} SELECT doc_key, sum(CASE WHEN n = 5 THEN 1 WHEN n = 6 OR a > 40 THEN 0 ELSE 1 END)::BIGINT AS n_links,
+        WITH {_REFS} SELECT doc_key, sum(CASE n WHEN 2 THEN (a <= 40)::INT + (b <= 40)::INT WHEN 4 THEN 3 * (a <= 40)::INT WHEN 5 THEN 1 WHEN 6 THEN 0 ELSE (a <= 40)::INT END)::BIGINT AS n_links,
             sum(length(CASE n WHEN 1 THEN 'согласно пункту ' || n || ' статьи ' || a || ' закона' WHEN 2 THEN 'указано в статьях ' || a || ', ' || b || ' закона' WHEN 3 THEN 'нарушение статьи ' || a || ' закона'
                 WHEN 4 THEN 'в подпункте ' || n || ') пункта 2 статьи ' || a || ' закона' WHEN 5 THEN 'как следует из главы ' || n || ' настоящего Кодекса' WHEN 6 THEN 'см. статья ' || a || '. Заголовок' ELSE 'ПУНКТАМИ 1, 2 СТАТЬИ ' || a || ' закона' END))::BIGINT AS n_chars
         FROM refs GROUP BY doc_key
     """,
+    "act_chunks": f"""
+        WITH {_RANKED}, points AS (
+            SELECT o_custkey, n, l_linenumber AS k, l_linenumber || '. Товар ' || l_partkey AS body, row_number() OVER (PARTITION BY o_orderkey, l_linenumber ORDER BY l_partkey) AS seq FROM ranked JOIN lineitem ON l_orderkey = o_orderkey
+        ), bare AS (
+            SELECT o_custkey, n FROM ranked WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
+        ), made AS (
+            SELECT o_custkey, o_custkey || '_ст' || n || '_п' || k || CASE WHEN seq > 1 THEN '~' || seq ELSE '' END AS id, '[' || o_custkey || ' | Статья ' || n || '. Заказ | пункт ' || k || ']' || chr(10) || body AS text,
+                o_custkey || 'G' || ((n + 4) // 5) || 'ST' || n || 'P' || k || CASE WHEN seq > 1 THEN '~' || seq ELSE '' END AS hier_id, 'пункт' AS unit_type FROM points
+            UNION ALL SELECT o_custkey, o_custkey || '_ст' || n, '[' || o_custkey || ' | Статья ' || n || '. Заказ]' || chr(10), o_custkey || 'G' || ((n + 4) // 5) || 'ST' || n, NULL FROM bare
+        )
+        SELECT id, text, hier_id, (SELECT c_name FROM customer WHERE c_custkey = o_custkey) AS doc_id, unit_type, length(text) AS char_len FROM made
+    """,
     "linked_acts": cases.sql(cases.LINKED, "ord INT, text VARCHAR, href VARCHAR"),
     "act_sections": cases.sql(cases.SECTIONS, "pos INT, kind VARCHAR, type VARCHAR, number VARCHAR, anchor VARCHAR, parent_pos INT"),
     "structured_pages": cases.sql(cases.WRAPPERS, "ord INT, type VARCHAR, number VARCHAR, id VARCHAR, around VARCHAR"),
-    "structured_markup": cases.sql(cases.KEPT, "tag VARCHAR, name VARCHAR, n BIGINT").replace("v(name, tag, name, n)", "v(c, tag, name, n)").replace("'-' || name AS", "'-' || c AS"),
+    "structured_markup": cases.sql(cases.KEPT, "tag VARCHAR, name VARCHAR, n BIGINT"),
     "span_merges": cases.sql(cases.MERGES, "ord INT, kind VARCHAR, text VARCHAR, keep VARCHAR, dropped VARCHAR"),
     "merged_links": cases.sql(cases.MERGED, "ord INT, text VARCHAR, href VARCHAR"),
     "chained_links": cases.sql(cases.CHAINED, "text VARCHAR, keep VARCHAR, terminal VARCHAR, dropped INT"),
+    "note_texts": cases.sql(cases.NOTES, "text VARCHAR, narrow BOOLEAN, wide BOOLEAN"),
+    "content_texts": cases.sql(cases.TEXTS, "text VARCHAR, noise_free BOOLEAN, in_link BOOLEAN, eligible BOOLEAN, in_heading BOOLEAN"),
+    "broken_lines": cases.sql(cases.LINES, "ord INT, text VARCHAR"),
+    "link_neighbours": cases.sql(cases.AROUND, "text VARCHAR, before VARCHAR, after VARCHAR, gap VARCHAR"),
+    "link_hosts": cases.sql(cases.HOSTS, "text VARCHAR, in_scope BOOLEAN, article VARCHAR"),
+    "element_anchors": cases.sql(cases.ANCHORS, "tag VARCHAR, anchor VARCHAR"),
+    "id_inventory": cases.sql(cases.IDS, "id VARCHAR, of_links BOOLEAN"),
+    "link_context": cases.sql(cases.BEFORE, "text VARCHAR, prev_text VARCHAR"),
+    "anchor_methods": cases.sql(cases.METHODS, "article VARCHAR, anchor VARCHAR, method INT"),
+    "synthetic_anchors": cases.sql(cases.SYNTHETIC, "id VARCHAR, text VARCHAR"),
+    "article_headings": cases.sql(cases.DETECTED, "article VARCHAR, anchor VARCHAR"),
+    "point_anchors": cases.sql(cases.POINTS, "key VARCHAR, anchor VARCHAR"),
+    "written_points": cases.sql(cases.WRITTEN_POINTS, "id VARCHAR, text VARCHAR"),
+    "part_map": cases.sql(cases.PARTS, "article VARCHAR, part VARCHAR, anchor VARCHAR"),
+    "chapter_sources": cases.sql(cases.CHAPTERS, "chapter VARCHAR, anchor VARCHAR"),
+    "named_ids": cases.sql(cases.NAMED_IDS, "name VARCHAR, id VARCHAR"),
+    "heading_numbers": cases.sql(cases.NUMBERED, "id VARCHAR, number VARCHAR"),
+    "boundary_marks": cases.sql(cases.EDGES, "id VARCHAR, number VARCHAR"),
+    "chunked_acts": cases.sql(cases.CHUNKED, "id VARCHAR, text VARCHAR, hier_id VARCHAR, unit_type VARCHAR, unit_number VARCHAR, status VARCHAR, split_from VARCHAR"),
+    "discrepancy_log": cases.sql(cases.DISCREPANT, "kind VARCHAR, number VARCHAR, own_number VARCHAR"),
+    "tree_records": cases.sql(cases.TREES, "ord INT, article VARCHAR, units INT, children INT"),
+    "title_numbers": cases.sql(cases.TITLES, "text VARCHAR, bold VARCHAR, plain VARCHAR, title VARCHAR", key=False),
+    "unit_words": cases.sql(cases.UNIT_WORDS, "code VARCHAR, article VARCHAR, special BOOLEAN, word VARCHAR", key=False),
+    "unlinked_references": cases.sql(cases.UNLINKED, "class VARCHAR, match VARCHAR, context VARCHAR, editorial BOOLEAN"),
+    "page_coverage": cases.sql(cases.COVERAGE, "class VARCHAR, n BIGINT"),
+    "coverage_totals": "WITH n AS (SELECT count(*) AS k FROM supplier) SELECT class, (n * k)::BIGINT AS n FROM n, (VALUES ('article', 2), ('linked:external', 1), ('linked:internal', 1), ('linked:nav', 1), ('self', 1), (NULL, 6)) v(class, n)",
+    "claimed_verdicts": cases.sql(cases.VERDICTS, "kind VARCHAR, claimed VARCHAR, article VARCHAR, verdict VARCHAR, inherited BOOLEAN"),
+    "independent_checks": cases.sql(cases.INDEPENDENT, "n VARCHAR, target VARCHAR, verdict VARCHAR"),
+    "hinted_mismatches": cases.sql(cases.HINTED, "hint VARCHAR, expected VARCHAR, actual VARCHAR"),
+    "named_acts": cases.sql(cases.NAMES, "text VARCHAR, expected VARCHAR", key=False),
+    "external_names": f"""
+        WITH {_HREFS}, n AS (SELECT *, event_id % 4 + 1 AS said FROM hrefs WHERE k NOT IN (3, 5) AND user_id % 7 < 5)
+        SELECT ord, doc AS actual, CASE WHEN said < 3 THEN 'K1500000001,K1500000002' ELSE 'K1500000003' END AS expected FROM n
+        WHERE said < 4 AND CASE WHEN said < 3 THEN user_id % 7 NOT IN (1, 2) ELSE user_id % 7 <> 3 END
+    """,
+    "all_checks": cases.sql(cases.SIX, '"check" VARCHAR, n BIGINT, contexts VARCHAR'),
+    "canon_gates": cases.sql(cases.GATES, "gate VARCHAR, n BIGINT"),
+    "retargeted_links": cases.sql(cases.RETARGETED, "ord INT, href VARCHAR"),
+    "dropped_letters": cases.sql(cases.DROPPED, "ord INT, href VARCHAR"),
+    "odd_hrefs": cases.sql(cases.ODD, "href VARCHAR"),
+    "meant_articles": cases.sql(cases.MEANT, "text VARCHAR, prev VARCHAR, articles VARCHAR", key=False),
+    "phrase_places": cases.sql(cases.PHRASED, "ord INT, phrase VARCHAR, doc_id VARCHAR"),
+    "phrase_pages": cases.sql(cases.PHRASED_LINKS, "ord INT, text VARCHAR, href VARCHAR"),
+    "partial_phrases": cases.sql(cases.PARTIAL, "phrase VARCHAR, link_text VARCHAR"),
+    "overridden_pages": cases.sql(cases.OVERRIDDEN, "html VARCHAR"),
+    "span_gates": """
+        WITH n AS (SELECT count(*) AS k FROM supplier)
+        SELECT log, gate, ok, (c * k)::BIGINT AS n FROM n, (VALUES
+            ('whole', 'text', true, 10), ('whole', 'nested', true, 10), ('whole', 'dangling', true, 10), ('whole', 'hrefs', true, 10),
+            ('none', 'text', true, 10), ('none', 'nested', true, 10), ('none', 'dangling', true, 10), ('none', 'hrefs', true, 8), ('none', 'hrefs', false, 2),
+            ('changed text', 'text', true, 4), ('changed text', 'text', false, 6), ('changed text', 'nested', true, 10), ('changed text', 'dangling', true, 10), ('changed text', 'hrefs', true, 10)
+        ) v(log, gate, ok, c)
+    """,
+    "noise_free_text": f"""
+        WITH p AS (SELECT page_id::VARCHAR AS doc_key, unnest(list_filter(regexp_split_to_array(regexp_replace(html, '<(script|style)[^>]*>.*?</(script|style)>', '<x>', 'gs'), '<[^>]*>'), lambda x: x <> '')) AS t FROM pages)
+        SELECT doc_key, sum(length({_UNESCAPE.format("replace(replace(t, '&copy;', '©'), '&middot;', '·')")}))::BIGINT AS n_chars, count(*) AS n_texts FROM p GROUP BY doc_key
+    """,
+    "eligible_texts": f"""
+        WITH p AS (
+            SELECT page_id::VARCHAR AS doc_key, unnest(regexp_split_to_array(regexp_replace(html, '<(script|style|head|a|h[1-6])( [^>]*)?>.*?</(script|style|head|a|h[1-6])>', '<x>', 'gs'), '<[^>]*>')) AS t FROM pages
+        )
+        SELECT doc_key, count(*) AS n FROM p WHERE length(trim(regexp_replace({_UNESCAPE.format('t')}, '\\s+', ' ', 'g'))) >= 3 GROUP BY doc_key
+    """,
+    "dictionary_links": r"""
+        WITH t AS (SELECT doc_id AS document, regexp_replace(' ' || lower(text) || ' ', '([^\p{L}\p{N}])', '\1\1', 'g') AS t FROM documents WHERE text IS NOT NULL),
+        c AS (
+            SELECT document, unnest([
+                {'doc_id': 'D2', 'n': len(regexp_extract_all(t, '[^\p{L}\p{N}]of\s+the\s+and[^\p{L}\p{N}]'))},
+                {'doc_id': 'D1', 'n': len(regexp_extract_all(t, '[^\p{L}\p{N}]of\s+the[^\p{L}\p{N}]')) - len(regexp_extract_all(t, '[^\p{L}\p{N}]of\s+the\s+and[^\p{L}\p{N}]'))},
+                {'doc_id': 'D3', 'n': len(regexp_extract_all(t, '[^\p{L}\p{N}]in\s+la[^\p{L}\p{N}]'))},
+                {'doc_id': 'D4', 'n': len(regexp_extract_all(t, '[^\p{L}\p{N}]der\s+und[^\p{L}\p{N}]'))},
+                {'doc_id': 'D5', 'n': len(regexp_extract_all(t, '[^\p{L}\p{N}]de\s+la[^\p{L}\p{N}]'))}
+            ]) AS x FROM t
+        )
+        SELECT document, x.doc_id AS doc_id, x.n AS n FROM c WHERE x.n > 0
+    """,
+    "first_articles": """
+        SELECT article, p_partkey FROM (SELECT CASE p_size % 3 WHEN 0 THEN (p_partkey % 50)::VARCHAR ELSE (p_partkey % 50) || '-' || p_size END AS article, p_partkey, p_partkey % 50 AS a, CASE p_size % 3 WHEN 0 THEN 0 ELSE p_size END AS b FROM part)
+        ORDER BY a, b, article, p_partkey LIMIT 10
+    """,
+    "stale_phrases": "SELECT p_name AS phrase, 'D' || p_size AS doc_id, CASE WHEN p_size = 7 THEN 'confirmed' ELSE 'review' END AS status, CASE WHEN p_size = 7 THEN 'D107' END AS candidate FROM part WHERE p_size IN (7, 8)",
+    "strict_gates": f"""
+        WITH {_HREFS}, c AS (SELECT count(*) FILTER (WHERE doc = 'K1500000001' AND k IN (2, 4)) AS n FROM hrefs), p AS (SELECT count(*) FILTER (WHERE p_size = 7) AS m FROM part)
+        SELECT 'all' AS name, n AS links, m AS "rows", n = 0 AND m = 0 AS ok FROM c, p
+        UNION ALL SELECT 'no links', 0, m, m = 0 FROM p UNION ALL SELECT 'no rows', n, 0, n = 0 FROM c UNION ALL SELECT 'none', 0, 0, true
+    """,
+    "registry_files": """
+        SELECT 's' || s_suppkey AS code, CASE WHEN s_suppkey % 2 = 0 THEN 'K' || (1000000 + s_suppkey) ELSE 'K' || (1000000 + s_suppkey) || '_' END AS doc_id, s_name AS title,
+            CASE WHEN s_suppkey % 3 = 0 THEN 'alias' || s_suppkey ELSE 's' || s_suppkey END AS source_name FROM supplier
+    """,
+    "remap_file": "SELECT 'K' || (1000000 + s_suppkey) AS old_id, 'K' || (2000000 + s_suppkey) AS new_id FROM supplier",
+    "map_files": "SELECT n_regionkey::VARCHAR AS code, n_nationkey::VARCHAR AS key, n_name AS anchor FROM nation",
+    "phrase_file": "SELECT phrase, 'D' || max(p_partkey) AS doc_id, length(phrase) AS size FROM (SELECT p_type || ' ' || p_brand || ' ' || p_size AS phrase, p_partkey FROM part) WHERE length(phrase) >= 16 GROUP BY phrase",
+    "override_file": "SELECT s_suppkey::VARCHAR AS id, 's' || s_suppkey % 5 AS code, s_name AS find_phrase, 'anchor ' || s_suppkey AS anchor_phrase, 'K' || (1000000 + s_suppkey) AS doc_id, 'z' || s_suppkey AS anchor, CASE WHEN s_suppkey % 2 = 0 THEN 'mark' END AS context_marker FROM supplier",
+    "preferred_forms": "SELECT 'act' || s_suppkey AS doc_key, CASE s_suppkey % 3 WHEN 0 THEN 'source' WHEN 1 THEN 'structured' ELSE 'ready' END AS form, '<p>' || CASE s_suppkey % 3 WHEN 0 THEN 'source' WHEN 1 THEN 'structured' ELSE 'ready' END || ' ' || s_suppkey || '</p>' AS html FROM supplier WHERE s_suppkey <= 30",
+    "page_versions": "SELECT version, page_id::VARCHAR AS doc_key, length(html) + CASE version WHEN 2 THEN 1 ELSE 0 END AS n_chars FROM pages CROSS JOIN (VALUES (1), (2)) v(version)",
+    "chunk_lines": "SELECT n_nationkey::VARCHAR AS id, n_name AS text, CASE WHEN n_regionkey > 1 THEN n_regionkey::VARCHAR END AS unit_type, CASE WHEN n_regionkey > 1 THEN 4 ELSE 4 END AS n_fields FROM nation",
+    "change_files": "SELECT n_nationkey::VARCHAR AS original, n_name AS article, 'z' || n_regionkey AS anchor, true AS was_written, false AS empty_written FROM nation",
+    "report_lines": "SELECT n_nationkey || ': ' || n_name AS line FROM nation",
 }

@@ -25,7 +25,10 @@ def act_remap(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 
 def anchor_maps(spark: SparkSession, path: str, prefix: str = "article_map_") -> DataFrame:
-    """(code, key, anchor) of map files ``<prefix><code>.json`` at a path or glob."""
+    """(code, key, anchor) of map files ``<prefix><code>.json`` at a path or glob, or of the folders ``sinks.write_maps`` writes."""
+    if "*" not in path and not path.endswith(".json"):
+        rows = spark.read.schema("code string, json string").json(path)
+        return rows.select("code", F.explode(F.from_json("json", "map<string,string>")).alias("key", "anchor"))
     code = F.regexp_extract("_metadata.file_path", rf"{prefix}(.+)\.json$", 1)
     return _file(spark, path).select(code.alias("code"), F.explode(F.from_json("value", "map<string,string>")).alias("key", "anchor"))
 
@@ -52,7 +55,6 @@ def code_of(links: DataFrame, registry: DataFrame, doc: str = "target_doc") -> D
     return links.join(registry.select(F.col("doc_id").alias(doc), "code"), doc, "left")
 
 
-def source_name(codes: DataFrame, alias: dict[str, str]) -> DataFrame:
-    """The file name of each code: its alias or itself."""
-    known = F.create_map(*[F.lit(x) for kv in alias.items() for x in kv]) if alias else F.create_map().cast("map<string,string>")
-    return codes.withColumn("source_name", F.coalesce(F.element_at(known, F.col("code")), "code"))
+def source_name(codes: DataFrame, alias: DataFrame) -> DataFrame:
+    """The file name of each code: its alias (code, alias) or itself."""
+    return codes.join(alias.dropDuplicates(["code"]), "code", "left").withColumn("source_name", F.coalesce("alias", "code")).drop("alias")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +32,26 @@ def map_json(anchors: DataFrame, key: str = "key") -> DataFrame:
     return anchors.groupBy("code").agg(F.to_json(F.map_from_entries(entries)).alias("json"))
 
 
+def write_maps(maps: DataFrame, path: str) -> None:
+    """``map_json`` rows as JSON lines."""
+    maps.select("code", "json").write.mode("errorifexists").json(path)
+
+
+def write_files(rows: DataFrame, path: str) -> None:
+    """One file a row (name, html) below ``path``, written by the tasks; for a few files that other tools read."""
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        store.create_dir(base, recursive=True)
+        for b in batches:
+            for name, html in zip(b.column(0), b.column(1), strict=True):
+                with store.open_output_stream(f"{base}/{name.as_py()}") as out:
+                    out.write((html.as_py() or "").encode())
+        yield pa.RecordBatch.from_pydict({"done": pa.array([True])})
+
+    rows.select("name", "html").mapInArrow(put, "done boolean").count()
+
+
 def write_lines(rows: DataFrame, path: str, keep_nulls: bool = True) -> None:
     """JSON lines, with explicit nulls unless told otherwise."""
     rows.write.mode("errorifexists").option("ignoreNullFields", str(not keep_nulls).lower()).json(path)
