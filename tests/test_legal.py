@@ -1,187 +1,173 @@
-"""The operators on small Russian acts written for these tests."""
+"""The operators on small Russian acts written for these tests, and their queries against SQL."""
 
+import collections
+import random
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import ordinal, roman
+from lexmill.functions import phrases
+from lexmill.functions.text import ROMAN, ordinal, roman
 from lexmill.operators import anchors, audit, chunks, dom, references, spans, structure
+from lexmill.plans import cases
 from lexmill.sources import html, registry, sinks
 
-CHAINS = {
-    "canonical": '<p>в <a href="#z1">пунктами 4</a> и <a href="#z2">6</a> <a href="#z3">статьи 167</a> настоящего Кодекса.</p>',
-    "cross": '<p><a href="#z132">пункте 2 статьи 132</a> и <a href="#z2649">пункте 3</a> <a href="#z143">статьи 143</a></p>',
-    "mixed": '<p><a href="#z48">подпунктом 3)</a> <a href="/rus/docs/K1500000375#z9">пункта 1</a> <a href="/rus/docs/K1500000375#z4">статьи 4 Закона</a></p>',
-    "external": '<p><a href="/rus/docs/K1500000375#z48">подпунктом 3)</a> <a href="/rus/docs/K1500000375#z9">пункта 1</a> <a href="/rus/docs/K1500000375#z4">статьи 4 Закона</a></p>',
-    "plain": '<p><a href="#z106">пунктами 3</a> и <a href="#z107">4</a> статьи 722 настоящего Кодекса.</p>',
-    "single": '<p><a href="#z851">пункта 1</a> <a href="#z201">статьи 201</a></p>',
-    "comma": '<p><a href="#z1">пунктами 2</a>, <a href="#z2">3</a> и <a href="#z3">4</a> <a href="#z9">статьи 50</a></p>',
-    "semicolon": '<p><a href="#z1">пунктами 2</a>; <a href="#z2">3</a> <a href="#z9">статьи 70</a></p>',
-    "or": '<p><a href="#z1">пунктами 2</a> или <a href="#z2">3</a> <a href="#z9">статьи 5</a></p>',
-}
+TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
+SMALL = "/root/testdata/sf0.001"
 
 
 def _nodes(spark, pages):
     return html.parse_nodes(spark.createDataFrame(list(pages.items()), "k string, h string"), "k", "h")
 
 
-def test_chains(spark):
-    nodes = _nodes(spark, CHAINS).cache()
-    got = {r["doc_key"]: r for r in spans.chains(spans.siblings(nodes)).collect()}
-    assert set(got) == {"canonical", "external", "plain", "comma", "semicolon", "or"}
-    assert (got["canonical"]["text"], got["canonical"]["keep"], got["canonical"]["dropped"]) == ("пунктами 4 и 6 статьи 167", "#z1", ["#z2", "#z3"])
-    assert (got["plain"]["text"], got["plain"]["terminal"]) == ("пунктами 3 и 4 статьи 722", "plain")
-    assert got["external"]["keep"].endswith("#z48")
-    merged = html.parse_nodes(html.serialize(spans.merged_chains(nodes)), "doc_key", "html").cache()
-    gates = audit.gates(nodes, merged, spans.chains(spans.siblings(nodes)).select("doc_key", "dropped")).collect()
-    assert all(r["ok"] for r in gates) and len(gates) == 3 * len(CHAINS)
-    said = {r["doc_key"]: r["text"] for r in dom.links(merged).where("doc_key = 'plain'").collect()}
-    assert said == {"plain": "пунктами 3 и 4 статьи 722"}
-
-
-def test_full_spans(spark):
-    pages = {
-        "forward": '<p><a href="#z1">пункт 2</a> статьи 7 закона</p>',
-        "merge": '<p><a href="#z1">пункт 2</a> <a href="#z7">статьи 7</a></p>',
-        "backward": '<p>согласно пункту 3 <a href="#z7">статьи 7</a></p>',
-        "range": '<p><a href="#z7">статьи 7</a>-9 закона</p>',
-        "complex": CHAINS["canonical"],
-    }
-    got = {r["doc_key"]: (r["kind"], r["text"]) for r in spans.full_spans(spans.siblings(_nodes(spark, pages))).collect()}
-    assert got["forward"] == ("forward", "пункт 2 статьи 7")
-    assert got["merge"] == ("merge", "пункт 2 статьи 7")
-    assert got["backward"] == ("backward", "пункту 3 статьи 7")
-    assert got["range"] == ("range", "статьи 7-9")
-    assert got["complex"][0] == "complex"
-
-
-REFS = {
-    "chapter": ("главой 5 настоящего Кодекса", [("chapter", "c5")]),
-    "chapter_law": ("главой 5 этого закона", []),
-    "subpoint": ("подпунктом 1) пункта 2 статьи 7 закона", [("subpoint", "z7_2_1")]),
-    "subpoint_fallback": ("подпунктами 3), 4) пункта 2 статьи 7 закона", [("subpoint", "z7")]),
-    "point_article": ("пункта 2 части второй статьи 7 закона", [("point_article", "z7")]),
-    "points_article": ("ПУНКТАХ 1, 2 – 4 СТАТЬИ 7 закона", [("points_article", "z7")]),
-    "subpoints_article": ("подпунктах 1), 2) статьи 7 закона", [("subpoints_article", "z7")]),
-    "articles": ("статьями 7, 8 и 99 закона", [("articles", "z7"), ("articles", "z8")]),
-    "range": ("статьями 7-9 закона", [("articles", "z7")]),
-    "article": ("по статье 7 закона", [("article", "z7")]),
-    "unknown": ("по статье 77 закона", []),
-    "heading": ("см. статья 7. Заголовок", []),
-    "dashed": ("статьи 7-1 закона", [("articles", "z71")]),
-}
-
-
-def test_references(spark):
-    nodes = _nodes(spark, {k: f"<p>{t}</p>" for k, (t, _) in REFS.items()}).cache()
-    entries = {"articles": {"7": "z7", "8": "z8", "7-1": "z71"}, "subpoints": {"7_2_1": "z7_2_1"}, "parts": {"7_2": "zp"}, "chapters": {"5": "c5"}}
-    maps = spark.createDataFrame([(k, *entries.values()) for k in REFS], "doc_key string, articles map<string,string>, subpoints map<string,string>, parts map<string,string>, chapters map<string,string>")
-    found = references.find_references(nodes, maps).cache()
-    rows = references.references(found).orderBy("doc_key", "start", "anchor").collect()
-    got = {k: [(r["rule"], r["anchor"]) for r in rows if r["doc_key"] == k] for k in REFS}
-    assert got == {k: v for k, (_, v) in REFS.items()}
-    for r in rows:
-        assert REFS[r["doc_key"]][0][r["start"] : r["end"]] == r["original"]
-    linked = html.serialize(references.linked_nodes(nodes, found)).where("doc_key = 'article'").first()["html"]
-    assert linked == '<p>по <a href="#z7">статье 7</a> закона</p>'
-
-
-def test_self_references(spark):
-    page = "<h3>Статья 7. Общее</h3><p id='p1'>1. Первое.</p><p>согласно пункту 1 настоящей статьи; частью первой настоящей статьи; подпунктом 2) настоящего пункта</p>"
-    nodes = _nodes(spark, {"a": page}).cache()
-    entries = ({}, {"7_1_2": "zs"}, {"7_1": "p1"}, {})
-    maps = spark.createDataFrame([("a", *entries)], "doc_key string, articles map<string,string>, subpoints map<string,string>, parts map<string,string>, chapters map<string,string>")
-    rows = references.references(references.find_references(nodes, maps)).orderBy("start").collect()
-    assert [(r["rule"], r["anchor"]) for r in rows] == [("self_point", "p1"), ("self_ordinal_part", "p1"), ("same_point_subpoints", "zs")]
-
-
-def test_headings_and_hierarchy(spark):
-    page = "<article><p>ОБЩАЯ ЧАСТЬ</p><p>РАЗДЕЛ I. Начало</p><p>Глава 1. Основы</p><p>Статья 1. Первая</p><p>текст</p><p>Подраздел 2. Далее</p><p>Глава 2. Ещё</p><p>РАЗДЕЛ II. Второй Глава 3. Третья</p></article>"
-    rows = structure.structured(_nodes(spark, {"a": page})).orderBy("pos").collect()
-    types = [r["type"] for r in rows]
-    assert types == ["part", "section", "chapter", "article", None, "subsection", "chapter", "section", "chapter"]
-    assert [r["parent_pos"] for r in rows] == [None, 0, 1, 2, 3, 1, 5, 0, 7]
-    assert [r["kind"] for r in rows][-2:] == ["structural", "virtual"]
-    got = spark.createDataFrame([("IV",), ("xxx",), ("XXVI",)], "r string").select(roman(F.col("r"))).collect()
-    assert [r[0] for r in got] == [4, 30, 0]
-    got = spark.createDataFrame([("первой",), ("двадцатая",), ("третьего",), ("слово",)], "w string").select(ordinal(F.col("w"))).collect()
-    assert [r[0] for r in got] == [1, 20, 3, None]
-
-
-def test_anchor_maps(spark):
-    page = "<p><a name='z1'></a>Статья 1. Раз</p><h3 id='z2'>Статья 2. Два</h3><p>1. Пункт</p><p>1) подпункт</p><p id='z9'>2. Второй</p><p><b>Статья 3. Три</b></p><p>1) прямой</p>"
-    nodes = _nodes(spark, {"a": page}).cache()
-    got = {r["article"]: (r["anchor"], r["method"]) for r in anchors.article_anchors(nodes).collect()}
-    assert got == {"1": ("z1", 1), "2": ("z2", 2), "3": ("z3h", 4)}
-    assert {r["key"]: r["anchor"] for r in anchors.subpoint_anchors(nodes).collect()} == {"2_1": "z2_p1", "2_1_1": "z2_1_1", "2_2": "z9", "3_1": "z3_1"}
-    assert [(r["article"], r["part"], r["anchor"]) for r in anchors.part_anchors(nodes).collect()] == [("2", "2", "z9")]
-    back = anchors.reverse_anchors(spark.createDataFrame([("t", "167", "z353")], "code string, key string, anchor string"), spark.createDataFrame([("t", "9_1", "z353"), ("t", "8_2", "z8")], "code string, key string, anchor string"))
-    assert {r["anchor"]: r["article"] for r in back.collect()} == {"z353": "167", "z8": "8"}
-
-
-def test_dictionary(spark):
-    texts = spark.createDataFrame([(1, 'Законом Республики  Казахстан "О нотариате" и Законом Республики Казахстан'), (2, "Закон")], "id int, text string")
-    phrases = [("Законом Республики Казахстан", "D2"), ('Законом Республики Казахстан "О нотариате"', "D1"), ("Закон", "SHORT")]
-    found = spans.phrase_links(texts, phrases)
-    assert [(r["id"], r["ord"], r["doc_id"]) for r in spans.phrase_hits(found, "id").orderBy("ord").collect()] == [(1, 0, "D1"), (1, 2, "D2")]
-
-
-def test_freshness_and_cross(spark):
-    hrefs = spark.createDataFrame([("a", "/rus/docs/K1700000120"), ("a", "/rus/docs/K1700000120#z1498"), ("a", "/rus/docs/K2500000214#z1")], "doc_key string, href string")
-    status = spark.createDataFrame([("K1700000120", "confirmed", "K2500000214")], "doc_id string, status string, candidate string")
-    stale = audit.stale_links(hrefs, status)
-    assert {r["kind"]: r["n"] for r in stale.collect()} == {"root": 1, "art": 1}
-    mapping = audit.stale_phrases(spark.createDataFrame([("p", "K1700000120"), ("q", "K2500000214")], "phrase string, doc_id string"), status)
-    assert mapping.count() == 1 and audit.strict_gate(stale, mapping).first()["ok"] is False
-    rows = spark.createDataFrame([("src", "/rus/docs/T1500000000#z353", t, "") for t in ("статьи 167", "статьи 999", "текст")], "doc_key string, href string, text string, prev_text string")
-    registered = spark.createDataFrame([("src", "S1500000000"), ("tgt", "T1500000000")], "code string, doc_id string")
-    maps = spark.createDataFrame([("tgt", "167", "z353")], "code string, key string, anchor string")
-    got = audit.cross_verify(rows, registered, maps, maps.limit(0)).collect()
-    assert {r["text"]: r["verdict"] for r in got} == {"статьи 167": "OK", "статьи 999": "MISMATCH", "текст": "NO_ART_TEXT"}
-
-
-def test_canonical(spark):
-    cases = {"https://adilet.zan.kz/rus/docs/K1500000377#z5": "#z5", "/rus/docs/K1500000377_": "#", "http://zan.kz/docs/K1400000226#12": "https://adilet.zan.kz/rus/docs/K1400000226#z12", "/rus/docs/K1400000226/history": "/rus/docs/K1400000226/history", "/x": "/x"}
-    rows = spark.createDataFrame([(k,) for k in cases], "href string").select("href", spans.canonical(F.col("href"), F.lit("K1500000377")).alias("c")).collect()
-    assert {r["href"]: r["c"] for r in rows} == cases
-    dropped = spans.with_dropped_z(spark.createDataFrame([("a", "#5"), ("a", "#6")], "doc_key string, href string"), spark.createDataFrame([("a", "z5")], "doc_key string, id string"))
-    assert {r["href"] for r in dropped.collect()} == {"#z5", "#6"}
-
-
-def test_chunks(spark):
-    article = ("a", "1", "koap", "K1", "7", "Т", "пункт", "active", "2", None, "3", None, False, False)
-    gone = ("a", "2", "koap", "K1", "8", "И", "пункт", "repealed", None, None, None, None, False, False)
-    bare = ("a", "3", "x", "K1", "9", "Б", "пункт", "active", None, None, None, None, True, True)
+def _plain(v):
+    if hasattr(v, "item"):
+        v = v.item()
+    return None if v is None or v != v else int(v) if isinstance(v, float) and v == int(v) else v
+
+
+#: Queries that run all hand-written cases of their operators, and the quick ones over the tables.
+CHECKED = (
+    "linked_acts act_sections structured_pages structured_markup span_merges merged_links chained_links span_gates note_texts content_texts broken_lines link_neighbours link_hosts element_anchors id_inventory "
+    "link_context anchor_methods synthetic_anchors article_headings point_anchors written_points part_map chapter_sources named_ids heading_numbers boundary_marks first_articles chunked_acts discrepancy_log "
+    "tree_records title_numbers unit_words unlinked_references page_coverage claimed_verdicts independent_checks hinted_mismatches named_acts external_names all_checks canon_gates retargeted_links dropped_letters "
+    "odd_hrefs meant_articles phrase_places phrase_pages partial_phrases overridden_pages strict_gates registry_files remap_file map_files phrase_file override_file preferred_forms page_versions chunk_lines "
+    "change_files report_lines link_inventory line_units first_wins dictionary_links longest_hint"
+).split()
+
+
+@pytest.mark.parametrize("name", CHECKED)
+def test_query_against_sql(spark, name):
+    import __spark_entry__
+
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    want = con.execute(__spark_entry__.oracle_sql()[name])
+    columns = [d[0] for d in want.description]
+    rows = want.fetchall()
+    got = __spark_entry__.queries()[name](spark, SMALL)
+    assert sorted(got.columns) == sorted(columns)
+    count = lambda rs: collections.Counter(tuple(_plain(v) for v in r) for r in rs)
+    assert count(tuple(r) for r in got.select(*columns).collect()) == count(rows)
+
+
+def test_empty_tables(spark):
+    """Every case query's operators on no page at all."""
+    nodes = _nodes(spark, {"a": "<p>x</p>"}).where("false")
+    maps = references.act_keys(nodes)
+    assert structure.structured_html(nodes).count() == 0 and structure.structured(nodes).count() == 0 and maps.count() == 0
+    assert references.references(references.find_references(nodes, maps)).count() == 0 and references.trailing_units(nodes, maps).count() == 0
+    assert spans.merged_spans(nodes).count() == 0 and spans.chains(spans.siblings(nodes)).count() == 0
+    assert audit.six_checks(nodes).count() == 0 and audit.correctness(nodes).count() == 0 and audit.unlinked(nodes).count() == 0
+    assert [df.count() for df in chunks.parse_articles(nodes, nodes.select(F.col("doc_key").alias("code"), F.lit("d").alias("doc_id")))] == [0, 0]
+
+
+def test_null_and_odd_pages(spark):
+    pages = {"null": None, "empty": "", "text": "nur Text", "open": "<p>a<p>b<p>c <b>d<i>e", "signs": "<p>ab\u0001cd\u0002ef по статье 5 <a href='#q\"x'>&lt;</a></p><h3 id='z5'>Статья 5. Имя</h3>"}
+    rows = spark.createDataFrame(list(pages.items()), "doc_key string, html string")
+    nodes = html.parse_nodes(rows, "doc_key", "html").cache()
+    assert {r["doc_key"]: r["n"] for r in nodes.groupBy("doc_key").agg(F.max("depth").alias("n")).collect()} == {"text": 0, "open": 3, "signs": 2}
+    done = {r["doc_key"]: r["html"] for r in references.linked_pages(rows).collect()}
+    assert done["signs"] == '<p>ab\u0001cd\u0002ef по <a href="#z5">статье 5</a> <a href="#q&quot;x">&lt;</a></p><h3 id="z5">Статья 5. Имя</h3>'
+    assert done["text"] == "nur Text" and done["open"] == "<p>a</p><p>b</p><p>c <b>d<i>e</i></b></p>"
+
+
+def test_many_open_paragraphs(spark):
+    """Unclosed paragraphs don't nest, so a page of many costs no more than its length."""
+    n = 20_000
+    nodes = _nodes(spark, {"a": "<p>x " * n, "b": "<ul>" + "<li>y" * n, "c": "<table>" + "<tr><td>1<td>2" * n}).cache()
+    assert nodes.count() == 2 * n + 2 * n + 1 + 5 * n + 1 and nodes.agg(F.max(F.size("path"))).first()[0] <= 3
+    assert dom.before(nodes.where("doc_key = 'a'"), 20).count() == 2 * n
+
+
+def test_preceding_text_looks_no_further_than_it_must(spark):
+    rng = random.Random(4)
+    rows, want = [], {}
+    for doc in range(30):
+        said = ""
+        for k in range(40):
+            text = rng.choice(["", " ", "  \n", "слово", "a  b ", " конец. ", None])
+            kind = "text" if text is not None else "element"
+            want[doc, k] = " ".join(said.split())[-12:]
+            rows.append((str(doc), 0, k, kind, text))
+            said += text or ""
+    table = spark.createDataFrame(rows, "doc_key string, parent_id int, sib_pos int, kind string, text string")
+    assert {(int(r["doc_key"]), r["sib_pos"]): r["prev_text"] for r in dom.before(table, 12).collect()} == want
+
+
+def test_phrases_of_any_number(spark):
+    """A dictionary beyond a block takes several passes and loses nothing; longest first, none across another."""
+    own = [(f"phrase number {i} of many", f"D{i}") for i in range(10_050)]
+    texts = spark.createDataFrame([(i, f"see Phrase  number {i}\nof many, not phrase number {i} of manyx") for i in (0, 7, 9_999, 10_049)] + [(-1, None), (-2, "")], "id int, text string")
+    wanted = spark.createDataFrame(own, "phrase string, doc_id string")
+    found = spans.phrase_hits(spans.phrase_links(texts, wanted), "id").collect()
+    assert sorted((r["id"], r["ord"], r["doc_id"]) for r in found) == [(i, 0, f"D{i}") for i in (0, 7, 9_999, 10_049)]
+    spread = phrases.phrase_spans(texts, wanted.withColumnRenamed("doc_id", "value"), block=500)
+    assert {r["id"]: [x["value"] for x in r["spans"]] for r in spread.collect()} == {0: ["D0"], 7: ["D7"], 9_999: ["D9999"], 10_049: ["D10049"], -1: [], -2: []}
+    hints = spark.createDataFrame([(f"h{i}", f"E{i}") for i in range(10_050)], "hint string, expected string")
+    rows = spark.createDataFrame([(1, "..h1004x"), (2, "H10049"), (3, "none")], "id int, text string")
+    assert {(r["id"], r["hint"], r["expected"]) for r in audit.longest_hint(rows, hints).collect()} == {(1, "h1004", "E1004"), (2, "h10049", "E10049")}
+
+
+def test_merges_settle(spark):
+    """Merging again changes nothing, and texts stay."""
+    pages = {c.name: c.html.replace("{n}", "3") for c in cases.MERGES + cases.CHAINED}
+    nodes = _nodes(spark, pages).cache()
+    for change in (spans.merged_spans, spans.merged_chains):
+        once = html.parse_nodes(html.serialize(change(nodes)), "doc_key", "html").cache()
+        twice = html.serialize(change(once))
+        assert {tuple(r) for r in html.serialize(once).collect()} == {tuple(r) for r in twice.collect()}
+        said = lambda df: {r["doc_key"]: r["sha"] for r in spans.text_hash(df.where("kind = 'text'").groupBy("doc_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node_id", "text"))), lambda x: x["text"]), "").alias("text"))).collect()}
+        assert said(once) == said(nodes)
+
+
+def test_numbers(spark):
+    assert [k for k, v in ROMAN.items() if v in (4, 9, 14, 25, 30)] == ["IV", "IX", "XIV", "XXV", "XXX"] and len(ROMAN) == 26
+    got = spark.createDataFrame([("IV",), ("xxx",), ("XXVI",), (None,)], "r string").select(roman(F.col("r"))).collect()
+    assert [r[0] for r in got] == [4, 30, 0, 0]
+    got = spark.createDataFrame([("первой",), ("двадцатая",), ("третьего",), ("слово",), (None,)], "w string").select(ordinal(F.col("w"))).collect()
+    assert [r[0] for r in got] == [1, 20, 3, None, None]
+
+
+def test_reverse_and_canonical(spark):
+    kind = "code string, key string, anchor string"
+    back = anchors.reverse_anchors(spark.createDataFrame([("x", "40", "z9")], kind), spark.createDataFrame([("x", "3_1", "z9"), ("x", "2_2", "z4")], kind))
+    assert {r["anchor"]: r["article"] for r in back.collect()} == {"z9": "40", "z4": "2"}
+    site = "https://example.net/acts/docs/"
+    want = {f"{site}K1500000011#z5": "#z5", "/docs/K1500000011_": "#", "/docs/K1400000022#12": f"{site}K1400000022#z12", "/docs/K1400000022/history": "/docs/K1400000022/history", "/x": "/x", None: None}
+    rows = spark.createDataFrame([(k,) for k in want], "href string").select("href", spans.canonical(F.col("href"), F.lit("K1500000011"), site).alias("c")).collect()
+    assert {r["href"]: r["c"] for r in rows} == want
+
+
+def test_chunks_of_parts(spark):
     kind = "doc_key string, inst string, code string, doc_id string, article string, title string, unit_type string, status string, code_part string, section string, chapter string, paragraph string, partial boolean, orphan boolean"
-    said = ["вступление", "1. Первый", "продолжение", "1) под", "1.1. вложен", "2. Второй", "1. Снова"]
-    rows = [("a", "1", i, None, t) for i, t in enumerate(said)] + [("a", "3", 0, None, "только текст")]
+    articles = [("a", "1", "koap", "K1", "7", "Т", "часть", "active", "2", None, "3", None, False, False), ("a", "3", "x", "K1", "9", "Б", "пункт", "active", None, None, None, None, True, True)]
+    rows = [("a", "1", 0, None, "1. Раз"), ("a", "1", 1, None, "1. Снова"), ("a", "3", 0, None, "только текст")]
     segments = spark.createDataFrame(rows, "doc_key string, inst string, pos int, anchor string, text string")
-    made = chunks.chunks(spark.createDataFrame([article, gone, bare], kind), segments).orderBy("inst", "ord").collect()
-    assert [r["id"] for r in made] == ["koap_ст7_п1", "koap_ст7_п2", "koap_ст7_п1~2", "koap_ст8", "x_ст9"]
-    assert made[0]["text"] == "[intro]\nвступление\n\n[КоАП | Статья 7. Т | пункт 1]\n1. Первый\nпродолжение\n1) под\n1.1. вложен"
-    assert made[0]["meta"]["hier_id"] == "KOAPCH2G3ST7P1" and made[2]["meta"]["hier_dup_seq"] == 2
-    assert made[3]["text"] == "[КоАП | Статья 8. И | СТАТЬЯ ИСКЛЮЧЕНА]" and made[4]["meta"]["orphan_pickup"] is True
-    split = chunks.chunks(spark.createDataFrame([article], kind), spark.createDataFrame([("a", "1", i, None, f"{i}) слово " + "я" * 40) for i in range(1, 5)], segments.schema), split_chars=100).orderBy("ord").collect()
-    assert [r["id"] for r in split] == [f"koap_ст7_пп{i}" for i in range(1, 5)] and split[0]["meta"]["split_from"] == "koap_ст7_root"
+    made = chunks.chunks(spark.createDataFrame(articles, kind), segments).orderBy("inst", "ord").collect()
+    assert [(r["id"], r["meta"]["hier_id"], r["meta"]["hier_dup_seq"], r["meta"]["orphan_pickup"]) for r in made] == [("koap_ст7_ч1", "KOAPCH2G3ST7P1", None, None), ("koap_ст7_ч1~2", "KOAPCH2G3ST7P1~2", 2, None), ("x_ст9", "XST9", None, True)]
+    part = '<div data-type="часть"><h2>ОСОБЕННАЯ ЧАСТЬ</h2><div data-type="статья" data-number="5"><h3>Статья 5. Имя</h3><p>1. Раз</p></div></div>'
+    found = chunks.parse_articles(_nodes(spark, {"koap": part}), spark.createDataFrame([("koap", "K1")], "code string, doc_id string"))[0].collect()
+    assert [(r["article"], r["code_part"], r["unit_type"]) for r in found] == [("5", "2", "часть")]
 
 
-def test_html_round_trip_and_sinks(spark, tmp_path):
+def test_round_trip_and_heads(spark, tmp_path):
     page = '<html><head></head><body><p class="x">a &amp; b<br>c<!-- n --><a href="/q?a=1&amp;b=2">t</a><p>open</body></html>'
-    nodes = _nodes(spark, {"a": page, "empty": ""}).cache()
-    assert html.serialize(nodes).first()["html"] == page.replace("<p>open</body>", "<p>open</p></p></body>")
-    assert nodes.where("doc_key = 'empty'").count() == 0
+    nodes = _nodes(spark, {"a": page}).cache()
+    assert html.serialize(nodes).first()["html"] == page.replace("</a><p>open</body>", "</a></p><p>open</p></body>")
     assert spark.range(1).select(sinks.with_head(F.lit("<head>x<head>"), "!")).first()[0] == "<head>!x<head>"
-    folder = tmp_path / "maps"
-    folder.mkdir()
-    (folder / "article_map_x.json").write_text('{"1": "z1", "2": "z2h"}', encoding="utf-8")
-    (folder / "codes.json").write_text('{"_note": "n", "x": {"doc_id": "K1", "title": "T"}}', encoding="utf-8")
-    assert {tuple(r) for r in registry.anchor_maps(spark, str(folder / "article_map_*.json")).collect()} == {("x", "1", "z1"), ("x", "2", "z2h")}
-    assert [tuple(r) for r in registry.acts(spark, str(folder / "codes.json")).collect()] == [("x", "K1", "T")]
-    assert sinks.write_changes(spark.createDataFrame([("a", 1)], "x string, y int").limit(0), str(tmp_path / "none")) is False
+    (tmp_path / "article_map_x.json").write_text('{"1": "z1", "2": "z2h"}', encoding="utf-8")
+    assert {tuple(r) for r in registry.anchor_maps(spark, str(tmp_path / "article_map_*.json")).collect()} == {("x", "1", "z1"), ("x", "2", "z2h")}
 
 
-@pytest.mark.parametrize("name", ["link_inventory", "line_units", "first_wins"])
-def test_queries_have_stable_schemas(spark, name):
-    import __spark_entry__
+def test_stream(spark, tmp_path):
+    from lexmill.streaming.ingest import ingest
 
-    assert __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001").schema.names
-    assert name in __spark_entry__.oracle_sql()
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.html").write_text("<p>x</p>", encoding="utf-8")
+    for _ in range(2):
+        ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark")).awaitTermination(60)
+        (tmp_path / "in" / "b.html").write_text("<p>y</p>", encoding="utf-8")
+    assert {(r["doc_key"], r["text"]) for r in spark.read.parquet(str(tmp_path / "out")).where("kind = 'text'").collect()} == {("a", "x"), ("b", "y")}
