@@ -64,6 +64,12 @@ RULES: dict[str, re.Pattern] = {
     "same_point_subpoints": _p(rf"(?P<word>{SUB}\s+){_LIST}(?:\s+{PART}\s+\S+)?\s+{SELF}\s+пункт\w*"),
     "self_subpoint": _p(rf"(?P<word>{SUB}\s+){_LIST}\s+(?P<point>{PUNKT}\s+(?P<p>{NUM}))\s+{SELF}\s+(?:стат|част|пункт)\w*"),
 }
+#: Stems without which a rule cannot match: looked for before its pattern is.
+NEEDS = {
+    "chapter": ("глав", "настоящ"), "subpoint": ("подпункт", "стат"), "point_article": ("пункт", "стат"), "points_article": ("пункт", "стат"), "subpoints_article": ("подпункт", "стат"), "articles": ("стат",), "article": ("стат",),
+    "self_point": ("пункт", "настоящ"), "self_points": ("пункт", "настоящ"), "self_dashed_part": ("част",), "self_ordinal_part": ("част", "настоящ"), "self_dashed": ("настоящ",), "self_parts": ("настоящ",),
+    "same_part_subpoints": ("пункт", "настоящ"), "same_point_subpoints": ("подпункт", "настоящ"), "self_subpoint": ("подпункт", "настоящ"),
+}
 #: A bare number behind a separator that no digit precedes, where articles are spoken of.
 _BARE = re.compile(rf"(?:,\s*|;\s*|\s+и\s+)(?P<n>{NUM})(?=\s|,|;|\(| –| -|$)", re.I)
 #: What follows a number that is a date or a term (fixed values).
@@ -126,6 +132,8 @@ def matches_in(text: str | None, article: str | None, part: str | None, bare: bo
     if not any(x in low for x in ("стат", "пункт", "част", "глав", "настоящ")) and not bare:
         return out
     for rule, pattern in RULES.items():
+        if not all(x in low for x in NEEDS[rule]):
+            continue
         own, same = rule.startswith("self_"), rule.startswith("same_")
         if (own and not article) or (same and not (article and part)) or ((same or rule == "self_subpoint") and not detailed):
             continue
