@@ -29,8 +29,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
-    return bpe.bpe_digests(docs)
+    """Token ids of what is left, with counts and digests."""
+    return bpe.bpe_digests(docs, keep_ids=True)
 
 
 STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies), ("decontaminate", decontaminate), ("tokens", tokens)]

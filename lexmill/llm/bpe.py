@@ -60,7 +60,8 @@ def encode(enc: tiktoken.Encoding, text: str) -> list[int]:
 
 
 def encode_texts(df: DataFrame, text: str = "text", out: str = "ids", ranks: str = RANKS, pattern: str = PATTERN) -> DataFrame:
-    """Add ``out``: array<int> of the ids of column ``text``."""
+    """Add ``out``: array<int> of the ids of column ``text`` (null: empty), in place of a column of that name."""
+    df = df.drop(out)
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,7 +76,8 @@ def encode_texts(df: DataFrame, text: str = "text", out: str = "ids", ranks: str
 
 
 def decode_ids(df: DataFrame, ids: str = "ids", out: str = "bytes", ranks: str = RANKS, pattern: str = PATTERN) -> DataFrame:
-    """Add ``out``: the raw bytes of column ``ids``; null ids give null."""
+    """Add ``out``: the raw bytes of column ``ids``; null ids give null. A column of that name is replaced."""
+    df = df.drop(out)
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,8 +90,11 @@ def decode_ids(df: DataFrame, ids: str = "ids", out: str = "bytes", ranks: str =
     return arrow_pass(df, run, StructType([*df.schema.fields, StructField(out, BinaryType())]))
 
 
-def bpe_digests(documents: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (little-endian unsigned 32-bit ids) and decoded_sha256 of every whole text."""
+def bpe_digests(documents: DataFrame, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (little-endian unsigned 32-bit ids) and decoded_sha256 of every whole text; with ``keep_ids`` also ids.
+
+    Null texts are empty ones; null and repeated ids and repeated rows are rows like others; other columns play no part.
+    """
     coded = decode_ids(encode_texts(documents.select("doc_id", "text")).drop("text"))
     names = coded.columns
 
@@ -97,13 +102,15 @@ def bpe_digests(documents: DataFrame) -> DataFrame:
         for b in batches:
             ids = [x.values.to_numpy(zero_copy_only=False).astype("<u4") for x in b.column(names.index("ids"))]
             raw = [x.as_py() for x in b.column(names.index("bytes"))]
+            kept = {"ids": b.column(names.index("ids"))} if keep_ids else {}
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": b.column(names.index("doc_id")),
                     "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
                     "ids_sha256": pa.array([hashlib.sha256(i.tobytes()).hexdigest() for i in ids], pa.string()),
                     "decoded_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in raw], pa.string()),
+                    **kept,
                 }
             )
 
-    return arrow_pass(coded, digests, f"doc_id {dict(documents.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return arrow_pass(coded, digests, f"doc_id {dict(documents.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string{', ids array<int>' if keep_ids else ''}")

@@ -387,6 +387,32 @@ def test_paragraphs(spark, edge):
     assert paradedup.repeated_paragraphs(edge).where("doc_id = 1").count() > 0 and paradedup.repeated_paragraphs(edge.limit(0)).count() == 0
 
 
+CLASHING = "key key2 row gone fp component ids bytes media pcm codec samples features weight toxic held_out lang_pred score predicted findings n_cut h at counts".split()
+
+
+def test_clashing_columns_and_empty_tables(spark, edge):
+    """Extra columns named like the operators' own change no result and no row count; empty tables give no rows."""
+    labels = spark.createDataFrame([(1, 1), (2, 0), (6, 0), (None, 1)], "doc_id long, toxic int")
+    items = spark.createDataFrame([(1, "word7 word8")], "item_id long, text string")
+    full = edge.select(*edge.columns, *(F.lit("x").alias(c) for c in CLASHING if c not in edge.columns))
+    operators = {
+        "telephony": audio.telephony_digests, "leaks": lambda d: contamination.contaminated(d, items), "clean": lambda d: contamination.decontaminate(d, items), "toxicity": lambda d: toxicity.toxicity(d, labels), "lines": linededup.line_dedup,
+        "boilerplate": linededup.strip_boilerplate, "bpe": bpe.bpe_digests, "simhash": simhash.simhash_components, "one": simhash.keep_one, "language": langid.language_of, "known": langid.keep_known, "pii": lambda d: pii.pseudonymize(d, b"k"),
+        "repeats": paradedup.repeated_paragraphs,
+    }
+    for name, f in operators.items():
+        plain, clashing = f(edge), f(full)
+        own = [c for c in plain.columns if c in clashing.columns and (c not in edge.columns or c in ("doc_id", "text"))]
+        got = [sorted(map(str, df.select(*own).collect())) for df in (plain, clashing)]
+        assert got[0] == got[1], name
+        assert f(full.limit(0)).count() == 0, name
+
+
+def test_pipeline_gives_ids(spark, docs):
+    one = corpus_pipeline.tokens(spark, docs.limit(3), SMALL).first()
+    assert len(one["ids"]) == one["n_tokens"] and hashlib.sha256(np.array(one["ids"], "<u4").tobytes()).hexdigest() == one["ids_sha256"]
+
+
 def test_paragraph_recall(spark):
     """Lines with changed words: at least 0.9 of the pairs that all-pairs Jaccard finds at 0.8 are linked, and none below."""
     rng = np.random.default_rng(8)
