@@ -1,8 +1,8 @@
 """Toxicity: gradient-boosted trees over dense features, with isotonic calibration.
 
-Features of a whole text: densities of lexicon words, how near they stand to second-person words, shares of
-capitals and of punctuation, and rates of obfuscated spellings. The lexicon is a fixed list joined with words that
-labelled rows show to be telling: counts of distinct texts, kept where they are far commoner among toxic ones; the
+Features of a whole text: densities of lexicon words and stems, how near they stand to second-person words, shares of
+capitals and of punctuation, and rates of obfuscated spellings. The lexicon is a fixed list joined with words, and stems
+of longer words (an insult comes in many forms), that labelled rows show to be telling: counts of distinct texts, kept where they are far commoner among toxic ones; the
 floor is fixed, so a language with few toxic rows is learned as well. A row that trees or calibration learn from sees
 the lexicon as it is without that row's text. All of it is fitted on a bounded sample of labelled rows (``SAMPLE``),
 dealt by class and weighted back to the classes' sizes; a share of it is kept back for the isotonic fit. The sample is
@@ -36,6 +36,8 @@ SAMPLE, LEARNED = 20_000, 50_000
 #: Distinct toxic texts that a learned word needs, and its least log odds.
 LEAST, ODDS = 5, 2.0
 THRESHOLD = 0.7
+#: Letters of a stem; a longer word has one.
+STEM = 5
 WORD = re.compile(r"\w+")
 #: What may stand for letters in obfuscated spellings.
 LEET = str.maketrans("0134578@$!", "oieastbasi")
@@ -49,7 +51,12 @@ FIXED = frozenset(
     "dumm dummkopf trottel arschloch abschaum wertlos ekelhaft hasse idiote imbécile connard salaud débile nul ordure déteste "
     "estúpido tonto imbécil basura inútil asqueroso escoria odio payaso".split()
 )
-NAMES = ["fixed", "fixed_kinds", "learned", "learned_kinds", "near_you", "you", "capitals", "shouted", "punctuation", "marks", "masked", "mixed", "masked_hits", "log_words", "hits"]
+NAMES = ["fixed", "fixed_kinds", "learned", "learned_kinds", "stems", "stem_kinds", "near_you", "you", "capitals", "shouted", "punctuation", "marks", "masked", "mixed", "masked_hits", "log_words", "hits"]
+
+
+def stem(word: str) -> str | None:
+    """The lexicon's entry for the begin of a word; null if it has no more letters than that."""
+    return f"{word[:STEM]}*" if len(word) > STEM else None
 
 
 def features(text: str | None, learned: frozenset[str]) -> list[float]:
@@ -61,6 +68,7 @@ def features(text: str | None, learned: frozenset[str]) -> list[float]:
     at = [i for i, w in enumerate(low) if w in FIXED or w in learned]
     fixed = [low[i] for i in at if low[i] in FIXED]
     own = [low[i] for i in at if low[i] in learned]
+    stems = [x for w in low if (x := stem(w)) in learned]
     you = [i for i, w in enumerate(low) if w in SECOND_PERSON]
     near = 0.0
     if at and you:
@@ -78,7 +86,7 @@ def features(text: str | None, learned: frozenset[str]) -> list[float]:
     masked_hits += sum(1 for m in mixed if (w := m.lower().translate(LEET)) in FIXED or w in learned)
     marks = text.count("!") + text.count("?")
     return [
-        len(fixed) / n, float(len(set(fixed))), len(own) / n, float(len(set(own))), near, len(you) / n, capitals / max(letters, 1),
+        len(fixed) / n, float(len(set(fixed))), len(own) / n, float(len(set(own))), len(stems) / n, float(len(set(stems))), near, len(you) / n, capitals / max(letters, 1),
         sum(1 for w in ws if len(w) > 2 and w.isupper()) / n, (len(text) - letters - text.count(" ")) / len(text), marks / n,
         len(masked) / n, len(mixed) / n, float(masked_hits), float(np.log1p(n)), float(len(at)),
     ]
@@ -101,7 +109,7 @@ def add_features(df: DataFrame, learned: frozenset[str], without: tuple[frozense
 
 
 def learn_lexicon(labelled: DataFrame, most: int = LEARNED) -> tuple[frozenset[str], frozenset[str], frozenset[str]]:
-    """Words of labelled rows (text, toxic) that are far commoner among toxic ones: smoothed log odds of at least ``ODDS``.
+    """Words and stems (ending in a star) of labelled rows (text, toxic) that are far commoner among toxic ones: smoothed log odds of at least ``ODDS``.
 
     Distinct texts are counted (copies of one text are one), and ``LEAST`` toxic ones are needed. Also what would be
     learned with one clean text less, and with one toxic text less, that has the word.
@@ -111,7 +119,8 @@ def learn_lexicon(labelled: DataFrame, most: int = LEARNED) -> tuple[frozenset[s
         for b in batches:
             seen: dict[str, list[int]] = {}
             for text, toxic in zip(b.column(0), b.column(1), strict=True):
-                for w in set(WORD.findall((text.as_py() or "").lower())):
+                ws = set(WORD.findall((text.as_py() or "").lower()))
+                for w in ws | {x for w in ws if (x := stem(w))}:
                     seen.setdefault(w, [0, 0])[toxic.as_py()] += 1
             yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string()), "clean": pa.array([x[0] for x in seen.values()], pa.int64()), "toxic": pa.array([x[1] for x in seen.values()], pa.int64())})
 

@@ -209,6 +209,17 @@ def test_toxic_words_of_few_rows(spark):
     assert "seltenwort" in now and "seltenwort" not in less_toxic
 
 
+def test_held_out_toxicity(spark):
+    """On rows that nothing was learned from: scores order them as a plain count over the sample's words nearly does, or better."""
+    d = "/root/testdata/sf0.1"
+    documents, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    got = toxicity.toxicity(documents, labels).where("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").toPandas()
+    toxic, clean = got[got.toxic == 1], got[got.toxic == 0]
+    rank = got.score.rank()
+    auc = (rank[got.toxic == 1].sum() - len(toxic) * (len(toxic) + 1) / 2) / (len(toxic) * len(clean))
+    assert toxic.predicted.mean() >= 0.8 and clean.predicted.mean() <= 0.01 and auc >= 0.9, (toxic.predicted.mean(), clean.predicted.mean(), auc)
+
+
 def brute_lines(rows, least=10):
     sites = collections.defaultdict(set)
     for _, text, source in rows:
