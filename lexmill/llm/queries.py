@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from . import audio, bpe, contamination, langid, linededup, paradedup, pii, simhash, toxicity, warc
 
-#: Key of the pseudonym queries. Real ones are kept outside the code.
-DEMO_KEY = b"lexmill demonstration key"
+#: The session setting that holds the key of the pseudonym query; without it every call makes a key of its own.
+KEY = "spark.lexmill.pseudonym.key"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +47,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = pii.pseudonymize(_table(spark, sf_dir, "documents").select("doc_id", "text"), DEMO_KEY)
+    key = (spark.conf.get(KEY, None) or secrets.token_hex(32)).encode()
+    done = pii.pseudonymize(_table(spark, sf_dir, "documents").select("doc_id", "text"), key)
     kinds = F.array_sort(F.array_distinct(F.transform("findings", lambda x: x.kind)))
     return done.select("doc_id", "text", F.size("findings").alias("n_found"), F.array_join(kinds, ",").alias("kinds"))
 
