@@ -90,9 +90,9 @@ def part_anchors(nodes: DataFrame) -> DataFrame:
 def chapter_anchors(nodes: DataFrame) -> DataFrame:
     """(doc_key, chapter, anchor): headings with an id before bold paragraphs with a named link."""
     number = F.nullif(F.regexp_extract("text_sp", rf"{IU}^\s*глава\s+(\d+(?:-\d+)?)", 1), F.lit(""))
-    heads = element_texts(nodes, nodes.where(F.col("tag").isin("h2", "h3", "h4")).select("doc_key", "node_id", attr("id").alias("anchor")).where("anchor is not null")).select("doc_key", number.alias("chapter"), "anchor", F.lit(1).alias("source"), "node_id")
+    heads = element_texts(nodes, nodes.where(F.col("tag").isin("h2", "h3", "h4")).select("doc_key", "node_id", attr("id").alias("anchor")).where("anchor is not null"), ["h2", "h3", "h4"]).select("doc_key", number.alias("chapter"), "anchor", F.lit(1).alias("source"), "node_id")
     links = nodes.where("tag = 'a'").select("doc_key", F.explode("path").alias("node_id"), attr("name").alias("anchor"), F.col("node_id").alias("at")).where("anchor is not null").groupBy("doc_key", "node_id").agg(F.min_by("anchor", "at").alias("anchor"))
-    bold = element_texts(nodes, nodes.where("tag = 'b'").select("doc_key", "node_id").join(links, ["doc_key", "node_id"])).select("doc_key", number.alias("chapter"), "anchor", F.lit(2).alias("source"), "node_id")
+    bold = element_texts(nodes, nodes.where("tag = 'b'").select("doc_key", "node_id").join(links, ["doc_key", "node_id"]), ["b"]).select("doc_key", number.alias("chapter"), "anchor", F.lit(2).alias("source"), "node_id")
     return first_wins(heads.union(bold).where("chapter is not null"), ["doc_key", "chapter"], ["source", "node_id"]).select("doc_key", "chapter", "anchor")
 
 

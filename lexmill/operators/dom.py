@@ -50,18 +50,22 @@ def heading_texts(nodes: DataFrame) -> DataFrame:
     texts = nodes.where("kind = 'text'")
     bold = nodes.where("tag = 'b'").select("doc_key", "node_id")
     anchored = nodes.where((F.col("tag") == "a") & F.array_contains("tags", "b") & (attr("name").isNotNull() | attr("id").isNotNull())).select("doc_key", F.explode("path").alias("node_id")).distinct().withColumn("anchored", F.lit(True))
-    marks = element_texts(nodes, bold).join(anchored, ["doc_key", "node_id"], "left").where(F.col("anchored") | F.col("text_sp").rlike(ARTICLE_START))
+    marks = element_texts(nodes, bold, ["b"]).join(anchored, ["doc_key", "node_id"], "left").where(F.col("anchored") | F.col("text_sp").rlike(ARTICLE_START))
     inside = texts.where(F.array_contains("tags", "b")).select("doc_key", "node_id", "block_id", F.explode("path").alias("of")).where("of > block_id")
     inside = inside.join(marks.select("doc_key", F.col("node_id").alias("of")), ["doc_key", "of"], "left_semi").select("doc_key", "node_id")
     return texts.where(_tags_any(HEADINGS)).select("doc_key", "node_id").union(inside).distinct()
 
 
-def element_texts(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+def element_texts(nodes: DataFrame, wanted: DataFrame, tags: list[str] | None = None) -> DataFrame:
     """``wanted`` (doc_key, node_id of elements) with text_raw (all text as it is) and text_sp (stripped pieces joined by blanks).
 
-    Texts meet their ancestors by an equi-join on (doc_key, ancestor): no range join.
+    Texts meet their ancestors by an equi-join on (doc_key, ancestor): no range join. Where the elements' ``tags`` are
+    given, only texts inside such tags are looked at.
     """
-    texts = nodes.where("kind = 'text'").select("doc_key", F.explode("path").alias("of"), F.struct("node_id", "text").alias("t"))
+    texts = nodes.where("kind = 'text'")
+    if tags is not None:
+        texts = texts.where(_tags_any(tags))
+    texts = texts.select("doc_key", F.explode("path").alias("of"), F.struct("node_id", "text").alias("t"))
     w = wanted.select("doc_key", F.col("node_id").alias("of")).distinct()
     got = texts.join(w, ["doc_key", "of"]).groupBy("doc_key", "of").agg(F.array_sort(F.collect_list("t")).alias("ts"))
     raw = F.array_join(F.transform("ts", lambda t: t["text"]), "")
@@ -104,7 +108,7 @@ def in_note(nodes: DataFrame, wide: bool = True, block: int = 2000) -> DataFrame
     texts = nodes.where("kind = 'text'")
     span = (F.col("tag") == "span") & F.array_contains(F.split(F.coalesce(attr("class"), F.lit("")), r"\s+"), "note")
     red = nodes.where((F.col("tag") == "font") & (F.upper(F.ltrim(F.trim(F.coalesce(attr("color"), F.lit(""))), F.lit("#"))) == "FF0000")).select("doc_key", "node_id")
-    red = element_texts(nodes, red).where(F.col("text_raw").rlike(NOTE_RED)).select("doc_key", F.col("node_id").alias("of"))
+    red = element_texts(nodes, red, ["font"]).where(F.col("text_raw").rlike(NOTE_RED)).select("doc_key", F.col("node_id").alias("of"))
     marked = nodes.where(span).select("doc_key", F.col("node_id").alias("of")).union(red)
     below = texts.where(_tags_any(["span", "font"])).select("doc_key", "node_id", F.explode("path").alias("of"))
     narrow = below.join(marked, ["doc_key", "of"], "left_semi").select("doc_key", "node_id").distinct()
@@ -194,4 +198,4 @@ def lines(nodes: DataFrame) -> DataFrame:
 def links(nodes: DataFrame) -> DataFrame:
     """(doc_key, node_id, href, text) of the links; text is the link's own, white space collapsed."""
     a = nodes.where("tag = 'a'").select("doc_key", "node_id", attr("href").alias("href")).where("href is not null")
-    return element_texts(nodes, a).select("doc_key", "node_id", "href", collapse(F.col("text_raw")).alias("text"))
+    return element_texts(nodes, a, ["a"]).select("doc_key", "node_id", "href", collapse(F.col("text_raw")).alias("text"))

@@ -141,7 +141,7 @@ def siblings(nodes: DataFrame) -> DataFrame:
     a = nodes.where("tag = 'a'").select("doc_key", "node_id", "parent_id", attr("href").alias("href")).where("href is not null")
     held = a.select("doc_key", "parent_id").distinct()
     rows = nodes.join(held, ["doc_key", "parent_id"], "left_semi").where("kind <> 'comment'")
-    said = element_texts(nodes, a.select("doc_key", "node_id", "href")).select("doc_key", "node_id", "href", F.col("text_raw").alias("said"))
+    said = element_texts(nodes, a.select("doc_key", "node_id", "href"), ["a"]).select("doc_key", "node_id", "href", F.col("text_raw").alias("said"))
     rows = rows.join(said, ["doc_key", "node_id"], "left")
     own = F.when(F.col("kind") == "text", F.col("text")).otherwise(F.col("said"))
     letter = (
