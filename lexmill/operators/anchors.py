@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import IU, U, escape
-from .dom import attr, element_texts, host, in_note
+from .dom import attr, element_texts, first_inside, host, in_note, upcoming
 from .structure import anchor_in_text
 
 NATIVE = r"^z\d+"
@@ -28,20 +28,20 @@ def article_anchors(nodes: DataFrame) -> DataFrame:
     1: a link named zN followed by «Статья N.»; 2: such a heading with an id; 3: a paragraph or div with an id not used
     so far; 4: bold text without an anchor, which gets zNh.
     """
-    elements = nodes.where("kind = 'element'")
     w = Window.partitionBy("doc_key", "parent_id").orderBy("sib_pos")
     after = nodes.withColumn("after", F.lead(F.when(F.col("kind") == "text", F.col("text"))).over(w)).where("tag = 'a'")
     named = after.where(attr("name").rlike(NATIVE)).select("doc_key", "node_id", "parent_id", "after", attr("name").alias("anchor"))
     holder = element_texts(nodes, named.select("doc_key", F.col("parent_id").alias("node_id")).distinct()).select("doc_key", F.col("node_id").alias("parent_id"), F.col("text_raw").alias("around"))
     one = named.join(holder, ["doc_key", "parent_id"], "left").select("doc_key", F.coalesce(anchor_in_text(F.col("after")), anchor_in_text(F.col("around"))).alias("article"), "anchor", F.lit(1).alias("method"), "node_id")
-    blocks = element_texts(nodes, elements.where(F.col("tag").isin("h3", "p", "div", "b")).select("doc_key", "node_id", "tag", attr("id").alias("id"), "path"))
+    linked = (F.col("tag") == "a") & (attr("id").isNotNull() | attr("name").isNotNull())
+    elements = nodes.withColumn("anchored", first_inside(linked, F.lit(True))).where("kind = 'element'")
+    blocks = element_texts(nodes, elements.where(F.col("tag").isin("h3", "p", "div", "b")).select("doc_key", "node_id", "tag", "end_id", attr("id").alias("id"), "anchored"))
     two = blocks.where((F.col("tag") == "h3") & F.col("id").rlike(NATIVE)).select("doc_key", anchor_in_text(F.col("text_sp")).alias("article"), F.col("id").alias("anchor"), F.lit(2).alias("method"), "node_id")
     start = F.regexp_extract(F.substring("text_sp", 1, 100), rf"{U}^[Сс]татья\s+(\d+(?:-\d+)?)\s*\.", 1)
     three = blocks.where(F.col("tag").isin("p", "div") & F.col("id").isNotNull()).select("doc_key", F.nullif(start, F.lit("")).alias("article"), F.col("id").alias("anchor"), F.lit(3).alias("method"), "node_id")
     three = three.join(one.union(two).where("article is not null").select("doc_key", "anchor").distinct(), ["doc_key", "anchor"], "left_anti").select(*two.columns)
-    anchored = elements.where((F.col("tag") == "a") & (attr("id").isNotNull() | attr("name").isNotNull())).select("doc_key", F.explode("path").alias("node_id")).distinct()
     number = anchor_in_text(F.col("text_sp"))
-    four = blocks.where("tag = 'b'").join(anchored, ["doc_key", "node_id"], "left_anti").select("doc_key", number.alias("article"), F.concat(F.lit("z"), number, F.lit("h")).alias("anchor"), F.lit(4).alias("method"), "node_id")
+    four = blocks.where("tag = 'b' and anchored is null").select("doc_key", number.alias("article"), F.concat(F.lit("z"), number, F.lit("h")).alias("anchor"), F.lit(4).alias("method"), "node_id")
     found = one.union(two).union(three).union(four).where("article is not null")
     return first_wins(found, ["doc_key", "article"], ["method", "node_id"]).select("doc_key", "article", "anchor", "method", "node_id")
 
@@ -90,9 +90,9 @@ def part_anchors(nodes: DataFrame) -> DataFrame:
 def chapter_anchors(nodes: DataFrame) -> DataFrame:
     """(doc_key, chapter, anchor): headings with an id before bold paragraphs with a named link."""
     number = F.nullif(F.regexp_extract("text_sp", rf"{IU}^\s*глава\s+(\d+(?:-\d+)?)", 1), F.lit(""))
-    heads = element_texts(nodes, nodes.where(F.col("tag").isin("h2", "h3", "h4")).select("doc_key", "node_id", attr("id").alias("anchor")).where("anchor is not null"), ["h2", "h3", "h4"]).select("doc_key", number.alias("chapter"), "anchor", F.lit(1).alias("source"), "node_id")
-    links = nodes.where("tag = 'a'").select("doc_key", F.explode("path").alias("node_id"), attr("name").alias("anchor"), F.col("node_id").alias("at")).where("anchor is not null").groupBy("doc_key", "node_id").agg(F.min_by("anchor", "at").alias("anchor"))
-    bold = element_texts(nodes, nodes.where("tag = 'b'").select("doc_key", "node_id").join(links, ["doc_key", "node_id"]), ["b"]).select("doc_key", number.alias("chapter"), "anchor", F.lit(2).alias("source"), "node_id")
+    heads = element_texts(nodes, nodes.where(F.col("tag").isin("h2", "h3", "h4")).select("doc_key", "node_id", "end_id", attr("id").alias("anchor")).where("anchor is not null"), ["h2", "h3", "h4"]).select("doc_key", number.alias("chapter"), "anchor", F.lit(1).alias("source"), "node_id")
+    seen = nodes.withColumn("anchor", first_inside((F.col("tag") == "a") & attr("name").isNotNull(), attr("name")))
+    bold = element_texts(nodes, seen.where("tag = 'b' and anchor is not null").select("doc_key", "node_id", "end_id", "anchor"), ["b"]).select("doc_key", number.alias("chapter"), "anchor", F.lit(2).alias("source"), "node_id")
     return first_wins(heads.union(bold).where("chapter is not null"), ["doc_key", "chapter"], ["source", "node_id"]).select("doc_key", "chapter", "anchor")
 
 
@@ -127,30 +127,28 @@ def resolve(events: DataFrame) -> DataFrame:
     ``events`` are (doc_key, pos, kind, val): H an article's heading, B the begin of a body, A an anchor. An anchor
     before a heading with no body between belongs to that heading, else to the last heading before it.
     """
-    w = Window.partitionBy("doc_key").orderBy("pos")
-    ahead, behind = w.rowsBetween(1, Window.unboundedFollowing), w.rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy("doc_key").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     is_h, is_b = F.col("kind") == "H", F.col("kind") == "B"
-    got = events.withColumn("nh", F.first(F.when(is_h, F.struct("pos", "val")), True).over(ahead)).withColumn("nb", F.min(F.when(is_b, F.col("pos"))).over(ahead)).withColumn("lh", F.last(F.when(is_h, F.col("val")), True).over(behind))
+    got = events.withColumn("nh", upcoming(F.when(is_h, F.struct("pos", "val")), "pos")).withColumn("nb", upcoming(F.when(is_b, F.col("pos")), "pos")).withColumn("lh", F.last(F.when(is_h, F.col("val")), True).over(behind))
     target = F.when(F.col("nh").isNotNull() & (F.col("nb").isNull() | (F.col("nb") > F.col("nh.pos"))), F.col("nh.val")).otherwise(F.coalesce("lh", "nh.val"))
     return got.where("kind = 'A'").select("doc_key", "pos", F.col("val").alias("id"), target.alias("article"), F.col("nh.val").alias("next_article"))
 
 
 def boundary(nodes: DataFrame, window: int = 600) -> DataFrame:
     """(doc_key, id, number) of the article div that opens within ``window`` source characters after an anchor."""
-    w = Window.partitionBy("doc_key").orderBy("node_id").rowsBetween(1, Window.unboundedFollowing)
     opens = F.when((F.col("tag") == "div") & (attr("data-type") == "статья"), F.struct("src_pos", attr("data-number").alias("number")))
-    got = nodes.withColumn("next_div", F.first(opens, True).over(w)).select("doc_key", F.coalesce(attr("id"), attr("name")).alias("id"), "src_pos", "next_div")
+    got = nodes.withColumn("next_div", upcoming(opens)).select("doc_key", F.coalesce(attr("id"), attr("name")).alias("id"), "src_pos", "next_div")
     return got.where(F.col("id").isNotNull() & (F.col("next_div.src_pos") - F.col("src_pos") <= window)).select("doc_key", "id", "next_div.number")
 
 
 def article_headings(nodes: DataFrame) -> DataFrame:
     """(doc_key, node_id, article, anchor): paragraphs whose bold text has an anchor and is an article's heading, and h3 with an id that are."""
     start = rf"{U}^\s*Статья\s+(\d+(?:-\d+)?)\s*\."
-    a = nodes.where((F.col("tag") == "a") & (attr("name").isNotNull() | attr("id").isNotNull())).select("doc_key", F.explode("path").alias("of"), F.col("node_id").alias("at"), F.coalesce(attr("name"), attr("id")).alias("anchor"), attr("name").isNull().alias("no_name"))
-    a = a.groupBy("doc_key", "of").agg(F.min_by("anchor", F.struct("no_name", "at")).alias("anchor"))
-    bold = nodes.where((F.col("tag") == "b") & F.array_contains("tags", "p")).select("doc_key", "node_id", "block_id").join(a.withColumnRenamed("of", "node_id"), ["doc_key", "node_id"])
+    link, name, id_ = F.col("tag") == "a", attr("name"), attr("id")
+    seen = nodes.withColumn("anchor", F.coalesce(first_inside(link & name.isNotNull(), name), first_inside(link & id_.isNotNull(), id_)))
+    bold = seen.where((F.col("tag") == "b") & F.array_contains("tags", "p") & F.col("anchor").isNotNull()).select("doc_key", "node_id", "end_id", "block_id", "anchor")
     bold = element_texts(nodes, bold).select("doc_key", F.col("block_id").alias("node_id"), "text_sp", "anchor")
-    heads = element_texts(nodes, nodes.where((F.col("tag") == "h3") & attr("id").isNotNull()).select("doc_key", "node_id", attr("id").alias("anchor"))).select("doc_key", "node_id", "text_sp", "anchor")
+    heads = element_texts(nodes, nodes.where((F.col("tag") == "h3") & attr("id").isNotNull()).select("doc_key", "node_id", "end_id", attr("id").alias("anchor"))).select("doc_key", "node_id", "text_sp", "anchor")
     return bold.union(heads).select("doc_key", "node_id", F.nullif(F.regexp_extract("text_sp", start, 1), F.lit("")).alias("article"), "anchor").where("article is not null")
 
 
@@ -165,7 +163,7 @@ def with_point_ids(nodes: DataFrame, made: DataFrame) -> DataFrame:
 
 def heading_map(nodes: DataFrame) -> DataFrame:
     """(doc_key, id, number): ids of headings by their own number, other ids by the nearest article div around them."""
-    heads = element_texts(nodes, nodes.where(F.col("tag").isin("h1", "h2", "h3", "h4", "h5", "h6") & attr("id").isNotNull()).select("doc_key", "node_id", attr("id").alias("id")))
+    heads = element_texts(nodes, nodes.where(F.col("tag").isin("h1", "h2", "h3", "h4", "h5", "h6") & attr("id").isNotNull()).select("doc_key", "node_id", "end_id", attr("id").alias("id")))
     heads = heads.select("doc_key", "id", "node_id", F.nullif(F.regexp_extract("text_sp", rf"{IU}^\s*[сcϲ]тать[яиею]\s+(\d+(?:-\d+)?)\s*\.", 1), F.lit("")).alias("number"), F.lit(1).alias("source")).where("number is not null")
     rest = nodes.where("kind = 'element'").select("doc_key", "node_id", attr("id").alias("id")).where("id is not null").join(host(nodes).select("doc_key", "node_id", F.col("host_number").alias("number")), ["doc_key", "node_id"]).where("number is not null")
     both = heads.union(rest.select("doc_key", "id", "node_id", "number", F.lit(2).alias("source")))

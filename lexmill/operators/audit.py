@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.phrases import phrase_spans
 from ..functions.text import IU, U, collapse
 from .anchors import first_wins, heading_map, resolve, reverse_anchors
-from .dom import attr, element_texts, host, ids, in_scope, inside_link, lines, links, preceding
+from .dom import around, attr, element_texts, first_inside, host, ids, in_scope, inside, inside_link, lines, links, preceding
 from .references import ART, NUM
 from .spans import ODD_HREF, SITE, dangling, doc_of, fragment_of, link_kind
 
@@ -33,6 +33,7 @@ EDITORIAL = [
 #: Characters before and after a reference in which they count, by class (fixed values).
 AROUND = {"article": (45, 35), "law": (10, 45)}
 TITLE_LINE = rf"{U}^\s*[СCϹ]тать[яиею]\s+{NUM}\s*\."
+TITLE_NUMBER = rf"{U}^\s*[СCϹ]тать[яиею]\s+({NUM})\s*\."
 
 
 def coverage(nodes: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
@@ -89,7 +90,7 @@ def coverage_ratios(counts: DataFrame) -> DataFrame:
 
 def events(nodes: DataFrame) -> DataFrame:
     """(doc_key, pos, kind, val) of article headings H, bodies B and anchors A in document order."""
-    heads = element_texts(nodes, nodes.where(F.col("tag").isin("p", "h3")).select("doc_key", "node_id"))
+    heads = element_texts(nodes, nodes.where(F.col("tag").isin("p", "h3")).select("doc_key", "node_id", "end_id"))
     number = F.nullif(F.regexp_extract("text_sp", rf"{U}^\s*Статья\s+({NUM})", 1), F.lit(""))
     rows = heads.select("doc_key", F.col("node_id").alias("pos"), F.when(number.isNotNull(), "H").otherwise("B").alias("kind"), number.alias("val")).where(F.col("val").isNotNull() | (F.length("text_sp") > 0))
     marks = nodes.where("kind = 'element'").select("doc_key", F.col("node_id").alias("pos"), F.explode(F.array_distinct(F.array_compact(F.array(attr("id"), attr("name"))))).alias("val"))
@@ -109,14 +110,30 @@ def claimed(text: Column, prev: Column) -> Column:
     return F.struct(kind.alias("kind"), F.when(kind == "ARTICLE", F.coalesce(n, bare)).alias("number"))
 
 
+def own_article(nodes: DataFrame) -> DataFrame:
+    """(doc_key, node_id, host_number) of the links in content: the number of the article that they stand in, null outside articles."""
+    typed = (F.col("tag") == "div") & attr("data-type").isNotNull()
+    titles = element_texts(nodes, nodes.where(F.col("tag").isin("h2", "h3", "h4", "p")).select("doc_key", "node_id", "end_id"))
+    number = F.nullif(F.regexp_extract("text_sp", TITLE_NUMBER, 1), F.lit(""))
+    titles = titles.select("doc_key", "node_id", number.alias("title")).where("title is not null")
+    seen = nodes.join(titles, ["doc_key", "node_id"], "left").withColumn("first", first_inside(F.col("title").isNotNull(), F.col("title"))).withColumn("scope", inside(typed))
+    articles = seen.where(typed & (attr("data-type") == "статья")).select("doc_key", "node_id", "end_id", F.coalesce("first", attr("data-number")).alias("number"))
+    asked = seen.where("tag = 'a' and scope").select("doc_key", "node_id")
+    return asked.join(around(asked, articles, nearest=True).select("doc_key", "node_id", F.col("mark.number").alias("host_number")), ["doc_key", "node_id"], "left")
+
+
 def correctness(nodes: DataFrame, source: DataFrame | None = None) -> DataFrame:
-    """(doc_key, node_id, href, text, kind, claimed, article, verdict, inherited) of every internal link with a fragment.
+    """(doc_key, node_id, href, text, kind, claimed, article, verdict, inherited) of the content's internal links to a ``z`` anchor.
+
+    Links outside the divs with data-type, and those to other fragments, don't count. A link's own article is the first
+    title inside its article div, without one the div's data-number.
 
     BROKEN: no such id; SELF_OK / SELF_WRONG; OK, WRONG_TARGET or WRONG_SUB for a claimed article (a range counts by
     its start if the dashed number is no article here); NONART otherwise. ``source`` (doc_key, href) tells which came
     with the source.
     """
-    rows = links(nodes).where(link_kind(F.col("href")) == "internal").withColumn("id", fragment_of(F.col("href"))).join(preceding(nodes), ["doc_key", "node_id"], "left").join(host(nodes), ["doc_key", "node_id"], "left")
+    anchor = F.nullif(F.regexp_extract("href", r"#(z\d+[\w-]*)", 1), F.lit(""))
+    rows = links(nodes).where(link_kind(F.col("href")) == "internal").withColumn("id", anchor).where("id is not null").join(own_article(nodes), ["doc_key", "node_id"]).join(preceding(nodes), ["doc_key", "node_id"], "left")
     rows = rows.withColumn("c", claimed(F.col("text"), F.coalesce("prev_text", F.lit(""))))
     there = ids(nodes).withColumn("there", F.lit(True))
     marks = events(nodes)

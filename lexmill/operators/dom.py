@@ -1,11 +1,15 @@
 """Projections and predicates over the node table. Rows of a document are only ever joined or windowed by doc_key.
 
+What is inside what follows from the nodes' intervals, which nest: whether something is around a node is a running
+maximum of ends, what comes first inside an element is the next one if it isn't beyond the end, and the elements around
+a node are a stack that two windows carry (``around``). No row is multiplied by its depth.
+
 Null texts and attributes meet no predicate; documents without what is asked for give no rows; empty tables give none.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.text import U, blank, collapse
@@ -28,6 +32,51 @@ def _tags_any(tags: list[str]) -> Column:
     return F.arrays_overlap(F.col("tags"), F.array(*map(F.lit, tags)))
 
 
+def _earlier(order: str = "node_id") -> WindowSpec:
+    """The rows of a document in front of a row."""
+    return Window.partitionBy("doc_key").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _later(order: str = "node_id") -> WindowSpec:
+    """The rows of a document behind a row, the last one first: ``last`` over them gives the next. A frame that grows is linear, one that shrinks is not."""
+    return Window.partitionBy("doc_key").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def upcoming(value: Column, order: str = "node_id") -> Column:
+    """The next value behind a row of its document that isn't null."""
+    return F.last(value, True).over(_later(order))
+
+
+def inside(condition: Column) -> Column:
+    """Whether a row of a whole node table stands inside an element that meets ``condition``."""
+    return F.coalesce(F.max(F.when(condition, F.col("end_id"))).over(_earlier()) >= F.col("node_id"), F.lit(False))
+
+
+def first_inside(condition: Column, value: Column) -> Column:
+    """``value`` of the first node inside a row of a whole node table that meets ``condition``."""
+    following = upcoming(F.when(condition, F.struct(F.col("node_id").alias("at"), value.alias("v"))))
+    return F.when(following["at"] <= F.col("end_id"), following["v"])
+
+
+def around(asking: DataFrame, marks: DataFrame, nearest: bool = False) -> DataFrame:
+    """``asking`` (doc_key, node_id, …) with ``mark``: a row for each row of ``marks`` (doc_key, node_id, end_id, …) around a node, or the nearest one's only.
+
+    Begins and ends of marks in document order give the number of open ones; the last one that was opened at a level is
+    open wherever the level is reached again. Nodes with nothing around them have no row.
+    """
+    begin = F.struct(F.col("node_id").alias("at"), F.lit(1).alias("phase"), F.lit(1).alias("step"), F.struct("*").alias("mark"))
+    end = F.struct(F.col("end_id").alias("at"), F.lit(2).alias("phase"), F.lit(-1).alias("step"), F.lit(None).cast(marks.schema).alias("mark"))
+    asks = asking.select("doc_key", F.col("node_id").alias("at"), F.lit(0).alias("phase"), F.lit(0).alias("step"), F.lit(None).cast(marks.schema).alias("mark"), F.struct("*").alias("row"))
+    edges = marks.select("doc_key", F.explode(F.array(begin, end)).alias("e")).select("doc_key", "e.*", F.lit(None).cast(asking.schema).alias("row"))
+    w = Window.partitionBy("doc_key").orderBy("at", "phase").rowsBetween(Window.unboundedPreceding, -1)
+    events = asks.unionByName(edges).withColumn("level", F.coalesce(F.sum("step").over(w), F.lit(0)))
+    own = F.array("level") if nearest else F.sequence(F.lit(1).cast("bigint"), F.greatest("level", F.lit(1)))
+    levels = F.when(F.col("phase") == 1, F.array(F.col("level") + 1)).when((F.col("phase") == 0) & (F.col("level") > 0), own)
+    dealt = events.select("doc_key", "at", "phase", "row", "mark", F.explode(levels).alias("level"))
+    w = Window.partitionBy("doc_key", "level").orderBy("at", "phase").rowsBetween(Window.unboundedPreceding, 0)
+    return dealt.withColumn("mark", F.last("mark", True).over(w)).where("phase = 0").select("row.*", "mark")
+
+
 def without_noise(nodes: DataFrame) -> DataFrame:
     """Nodes that are no script, style, template or lock screen and are in none."""
     return nodes.where(~_tags_any(NOISE) & ~F.coalesce(F.col("tag").isin(NOISE), F.lit(False)))
@@ -48,26 +97,28 @@ def heading_texts(nodes: DataFrame) -> DataFrame:
     Bold text counts only inside the text's own block.
     """
     texts = nodes.where("kind = 'text'")
-    bold = nodes.where("tag = 'b'").select("doc_key", "node_id")
-    anchored = nodes.where((F.col("tag") == "a") & F.array_contains("tags", "b") & (attr("name").isNotNull() | attr("id").isNotNull())).select("doc_key", F.explode("path").alias("node_id")).distinct().withColumn("anchored", F.lit(True))
-    marks = element_texts(nodes, bold, ["b"]).join(anchored, ["doc_key", "node_id"], "left").where(F.col("anchored") | F.col("text_sp").rlike(ARTICLE_START))
-    inside = texts.where(F.array_contains("tags", "b")).select("doc_key", "node_id", "block_id", F.explode("path").alias("of")).where("of > block_id")
-    inside = inside.join(marks.select("doc_key", F.col("node_id").alias("of")), ["doc_key", "of"], "left_semi").select("doc_key", "node_id")
-    return texts.where(_tags_any(HEADINGS)).select("doc_key", "node_id").union(inside).distinct()
+    named = (F.col("tag") == "a") & (attr("name").isNotNull() | attr("id").isNotNull())
+    bold = nodes.withColumn("anchored", first_inside(named, F.lit(True))).where("tag = 'b'").select("doc_key", "node_id", "end_id", "anchored")
+    marks = element_texts(nodes, bold, ["b"]).where(F.col("anchored") | F.col("text_sp").rlike(ARTICLE_START)).select("doc_key", "node_id", "end_id")
+    said = around(texts.where(F.array_contains("tags", "b")).select("doc_key", "node_id", "block_id"), marks, nearest=True).where("mark.node_id > block_id").select("doc_key", "node_id")
+    return texts.where(_tags_any(HEADINGS)).select("doc_key", "node_id").union(said).distinct()
 
 
 def element_texts(nodes: DataFrame, wanted: DataFrame, tags: list[str] | None = None) -> DataFrame:
     """``wanted`` (doc_key, node_id of elements) with text_raw (all text as it is) and text_sp (stripped pieces joined by blanks).
 
-    Texts meet their ancestors by an equi-join on (doc_key, ancestor): no range join. Where the elements' ``tags`` are
-    given, only texts inside such tags are looked at.
+    Where the elements' ``tags`` are given, only texts inside such tags are looked at. ``wanted`` may have end_id; without
+    it the nodes are asked.
     """
     texts = nodes.where("kind = 'text'")
     if tags is not None:
         texts = texts.where(_tags_any(tags))
-    texts = texts.select("doc_key", F.explode("path").alias("of"), F.struct("node_id", "text").alias("t"))
-    w = wanted.select("doc_key", F.col("node_id").alias("of")).distinct()
-    got = texts.join(w, ["doc_key", "of"]).groupBy("doc_key", "of").agg(F.array_sort(F.collect_list("t")).alias("ts"))
+    if "end_id" in wanted.columns:
+        marks = wanted.select("doc_key", "node_id", "end_id").distinct()
+    else:
+        marks = nodes.where("kind = 'element'").select("doc_key", "node_id", "end_id").join(wanted.select("doc_key", "node_id"), ["doc_key", "node_id"], "left_semi")
+    met = around(texts.select("doc_key", "node_id", "text"), marks)
+    got = met.groupBy("doc_key", F.col("mark.node_id").alias("of")).agg(F.array_sort(F.collect_list(F.struct("node_id", "text"))).alias("ts"))
     raw = F.array_join(F.transform("ts", lambda t: t["text"]), "")
     sp = F.array_join(F.filter(F.transform("ts", lambda t: F.regexp_replace(t["text"], rf"{U}^\s+|\s+$", "")), lambda t: t != ""), " ")
     got = got.select("doc_key", F.col("of").alias("node_id"), raw.alias("text_raw"), sp.alias("text_sp"))
@@ -76,27 +127,22 @@ def element_texts(nodes: DataFrame, wanted: DataFrame, tags: list[str] | None =
 
 def content_root(nodes: DataFrame) -> DataFrame:
     """(doc_key, node_id, text_sp) of the article element with the longest text; the first of equals."""
-    found = element_texts(nodes, nodes.where("kind = 'element' and tag = 'article'").select("doc_key", "node_id"))
+    found = element_texts(nodes, nodes.where("kind = 'element' and tag = 'article'").select("doc_key", "node_id", "end_id"))
     best = found.groupBy("doc_key").agg(F.max(F.struct(F.length("text_raw").alias("n"), (-F.col("node_id")).alias("k"), "text_sp")).alias("b"))
     return best.select("doc_key", (-F.col("b.k")).alias("node_id"), "b.text_sp")
 
 
-def ancestors(nodes: DataFrame, condition: Column) -> DataFrame:
-    """(doc_key, node_id, of): the pairs of a node and each of its ancestor elements that meets ``condition``."""
-    marked = nodes.where((F.col("kind") == "element") & condition).select("doc_key", F.col("node_id").alias("of"), F.col("attrs").alias("of_attrs"))
-    return nodes.select("doc_key", "node_id", F.explode("path").alias("of")).join(marked, ["doc_key", "of"])
-
-
 def host(nodes: DataFrame, kind: str | None = "статья") -> DataFrame:
     """(doc_key, node_id, host, host_number) of nodes in a div with data-type: the nearest one (of that ``kind``)."""
     condition = (F.col("tag") == "div") & (attr("data-type").isNotNull() if kind is None else attr("data-type") == kind)
-    found = ancestors(nodes, condition)
-    return found.groupBy("doc_key", "node_id").agg(F.max("of").alias("host"), F.max_by(attr("data-number", "of_attrs"), "of").alias("host_number"))
+    marks = nodes.where(condition).select("doc_key", "node_id", "end_id", attr("data-number").alias("number"))
+    found = around(nodes.select("doc_key", "node_id"), marks, nearest=True)
+    return found.select("doc_key", "node_id", F.col("mark.node_id").alias("host"), F.col("mark.number").alias("host_number"))
 
 
 def in_scope(nodes: DataFrame) -> DataFrame:
     """The nodes inside some div with data-type."""
-    return nodes.join(host(nodes, None).select("doc_key", "node_id"), ["doc_key", "node_id"], "left_semi")
+    return nodes.withColumn("__in", inside((F.col("tag") == "div") & attr("data-type").isNotNull())).where("__in").drop("__in")
 
 
 def in_note(nodes: DataFrame, wide: bool = True, block: int = 2000) -> DataFrame:
@@ -107,19 +153,18 @@ def in_note(nodes: DataFrame, wide: bool = True, block: int = 2000) -> DataFrame
     """
     texts = nodes.where("kind = 'text'")
     span = (F.col("tag") == "span") & F.array_contains(F.split(F.coalesce(attr("class"), F.lit("")), r"\s+"), "note")
-    red = nodes.where((F.col("tag") == "font") & (F.upper(F.ltrim(F.trim(F.coalesce(attr("color"), F.lit(""))), F.lit("#"))) == "FF0000")).select("doc_key", "node_id")
-    red = element_texts(nodes, red, ["font"]).where(F.col("text_raw").rlike(NOTE_RED)).select("doc_key", F.col("node_id").alias("of"))
-    marked = nodes.where(span).select("doc_key", F.col("node_id").alias("of")).union(red)
-    below = texts.where(_tags_any(["span", "font"])).select("doc_key", "node_id", F.explode("path").alias("of"))
-    narrow = below.join(marked, ["doc_key", "of"], "left_semi").select("doc_key", "node_id").distinct()
+    red = nodes.where((F.col("tag") == "font") & (F.upper(F.ltrim(F.trim(F.coalesce(attr("color"), F.lit(""))), F.lit("#"))) == "FF0000")).select("doc_key", "node_id", "end_id")
+    red = element_texts(nodes, red, ["font"]).where(F.col("text_raw").rlike(NOTE_RED)).select("doc_key", "node_id", "end_id")
+    marked = nodes.where(span).select("doc_key", "node_id", "end_id").union(red)
+    narrow = around(texts.where(_tags_any(["span", "font"])).select("doc_key", "node_id"), marked, nearest=True).select("doc_key", "node_id")
     if not wide:
         return narrow
-    sign = F.col("text").rlike(NOTE) | F.left(F.trim("text"), F.lit(15)).contains(NOTE_BEGINS)
+    sign = (F.col("kind") == "text") & (F.col("text").rlike(NOTE) | F.left(F.trim("text"), F.lit(15)).contains(NOTE_BEGINS))
     signs = texts.where(sign)
-    holders = signs.select("doc_key", F.explode(F.concat("path", F.array("node_id"))).alias("node_id")).distinct()
-    first = nodes.join(holders, ["doc_key", "node_id"], "left_semi").groupBy("doc_key", "parent_id").agg(F.min("sib_pos").alias("from"))
+    holders = nodes.withColumn("__holds", sign | F.coalesce(first_inside(sign, F.lit(True)), F.lit(False))).where("__holds").drop("__holds")
+    first = holders.groupBy("doc_key", "parent_id").agg(F.min("sib_pos").alias("from"))
     after = texts.join(first, ["doc_key", "parent_id"]).where("sib_pos > from").select("doc_key", "node_id")
-    parents = nodes.join(holders, ["doc_key", "node_id"], "left_semi").where((F.col("kind") == "element") & ~F.col("tag").isin("article", "body", "div", "html")).select("doc_key", "node_id")
+    parents = holders.where((F.col("kind") == "element") & ~F.col("tag").isin("article", "body", "div", "html")).select("doc_key", "node_id", "end_id")
     said = element_texts(nodes, parents).where((F.length("text_raw") < block) & (F.col("text_raw").rlike("Сноска[. ]") | F.ltrim("text_raw").startswith("Примечание")))
     inside = texts.join(said.select("doc_key", F.col("node_id").alias("parent_id")), ["doc_key", "parent_id"], "left_semi").select("doc_key", "node_id")
     return narrow.union(signs.select("doc_key", "node_id")).union(after).union(inside).distinct()
@@ -149,7 +194,7 @@ def preceding(nodes: DataFrame, n: int = 60) -> DataFrame:
     """(doc_key, node_id, prev_text) of every link: what its siblings before say, elements included."""
     held = nodes.where("tag = 'a'").select("doc_key", "parent_id").distinct()
     rows = nodes.where("kind <> 'comment'").join(held, ["doc_key", "parent_id"], "left_semi")
-    said = element_texts(nodes, rows.where("kind = 'element'").select("doc_key", "node_id")).select("doc_key", "node_id", F.col("text_raw").alias("said"))
+    said = element_texts(nodes, rows.where("kind = 'element'").select("doc_key", "node_id", "end_id")).select("doc_key", "node_id", F.col("text_raw").alias("said"))
     return before(rows.join(said, ["doc_key", "node_id"], "left"), n).where("tag = 'a'").select("doc_key", "node_id", "prev_text")
 
 
@@ -159,20 +204,16 @@ def neighbours(nodes: DataFrame) -> DataFrame:
     significant = F.when((F.col("kind") == "element") | ((F.col("kind") == "text") & ~blank(F.col("text"))), F.struct("node_id", "kind", "tag", "text"))
     return (
         nodes.withColumn("prev_node", F.last(significant, True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn("next_node", F.first(significant, True).over(w.rowsBetween(1, Window.unboundedFollowing)))
+        .withColumn("next_node", F.last(significant, True).over(Window.partitionBy("doc_key", "parent_id").orderBy(F.desc("sib_pos")).rowsBetween(Window.unboundedPreceding, -1)))
         .withColumn("gap", F.when(blank(F.lag("text").over(w)), F.lag("text").over(w)))
     )
 
 
 def anchor_ids(nodes: DataFrame) -> DataFrame:
     """(doc_key, node_id, anchor): an element's own id, else that of its first inner link with a name, else with an id."""
-    links = nodes.where("tag = 'a'").select("doc_key", "node_id", F.explode("path").alias("of"), attr("name").alias("name"), attr("id").alias("id"))
-    inner = links.groupBy("doc_key", "of").agg(
-        F.min_by(F.coalesce("id", "name"), F.when(F.col("name").isNotNull(), F.col("node_id"))).alias("named"), F.min_by("id", F.when(F.col("id").isNotNull(), F.col("node_id"))).alias("with_id")
-    )
-    own = nodes.where("kind = 'element'").select("doc_key", "node_id", attr("id").alias("own"))
-    got = own.join(inner.withColumnRenamed("of", "node_id"), ["doc_key", "node_id"], "left")
-    return got.select("doc_key", "node_id", F.coalesce("own", "named", "with_id").alias("anchor")).where("anchor is not null")
+    link, name, id_ = F.col("tag") == "a", attr("name"), attr("id")
+    anchor = F.coalesce(id_, first_inside(link & name.isNotNull(), F.coalesce(id_, name)), first_inside(link & id_.isNotNull(), id_))
+    return nodes.select("doc_key", "node_id", "kind", anchor.alias("anchor")).where("kind = 'element' and anchor is not null").drop("kind")
 
 
 def ids(nodes: DataFrame, names_of: list[str] | None = None) -> DataFrame:
@@ -197,5 +238,5 @@ def lines(nodes: DataFrame) -> DataFrame:
 
 def links(nodes: DataFrame) -> DataFrame:
     """(doc_key, node_id, href, text) of the links; text is the link's own, white space collapsed."""
-    a = nodes.where("tag = 'a'").select("doc_key", "node_id", attr("href").alias("href")).where("href is not null")
+    a = nodes.where("tag = 'a'").select("doc_key", "node_id", "end_id", attr("href").alias("href")).where("href is not null")
     return element_texts(nodes, a, ["a"]).select("doc_key", "node_id", "href", collapse(F.col("text_raw")).alias("text"))

@@ -304,7 +304,7 @@ def linked_nodes(nodes: DataFrame, found: DataFrame, doc: str = "") -> DataFrame
 
 def trailing_units(nodes: DataFrame, maps: DataFrame) -> DataFrame:
     """Texts that end with units of an article linked after them, with links and refused; also next_id, the link that may be widened."""
-    w = Window.partitionBy("doc_key", "parent_id").orderBy("sib_pos").rowsBetween(1, Window.unboundedFollowing)
+    w = Window.partitionBy("doc_key", "parent_id").orderBy(F.desc("sib_pos")).rowsBetween(Window.unboundedPreceding, -1)
     said = links(nodes).select("doc_key", "node_id", "href", F.col("text").alias("said"))
     rows = nodes.where("kind <> 'comment'").join(said, ["doc_key", "node_id"], "left")
     is_a, is_text = F.col("said").isNotNull(), F.col("kind") == "text"
@@ -315,7 +315,7 @@ def trailing_units(nodes: DataFrame, maps: DataFrame) -> DataFrame:
     article = F.when(speaks, F.coalesce(of("said", rf"стать\w*\s+({NUM})"), of("href", rf"#z({NUM})$"))).when(is_text, F.coalesce(by_text, F.when(F.col("text").rlike(r"(?iuU)настоящей\s+стать"), F.lit("self"))))
     point = F.when(is_a & ~speaks, of("said", rf"пункт\w*\s+({NUM})")).when(is_text, of("text", rf"пункт\w*\s+({NUM})"))
     last = F.when(speaks, of("said", rf"({NUM})\s*$"))
-    at = lambda value: F.first(F.when(value.isNotNull(), F.struct(F.col("sib_pos").alias("at"), value.alias("v"))), True).over(w)
+    at = lambda value: F.last(F.when(value.isNotNull(), F.struct(F.col("sib_pos").alias("at"), value.alias("v"))), True).over(w)
     significant = F.when(is_a | (is_text & F.col("text").rlike(r"(?U)\S")), F.when(is_a, F.col("node_id")).otherwise(-1))
     rows = rows.select("doc_key", "node_id", "kind", "tags", "sib_pos", "text", at(article).alias("ahead"), at(point).alias("point"), at(last).alias("near"), at(significant).alias("next"))
     own = rows.where((F.col("kind") == "text") & ~inside_link()).join(in_note(nodes), ["doc_key", "node_id"], "left_anti").join(context(nodes).select("doc_key", "node_id", "article"), ["doc_key", "node_id"], "left")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.phrases import phrase_spans
 from ..functions.text import ENDING, IU, MARK, ORDINALS, U, collapse, escape
-from .dom import attr, element_texts, host, ids
+from .dom import attr, element_texts, host, ids, inside
 from .references import ART, NUM, PART, PNUM, PUNKT, SEP, SUB
 
 #: Where acts are published, unless the caller names another place.
@@ -46,13 +46,25 @@ def link_kind(href: Column, own: Column | None = None) -> Column:
     return F.when(inside, F.lit("internal")).when(doc.isNotNull(), F.lit("external")).otherwise(F.lit("nav"))
 
 
-def canonical(href: Column, own: Column, site: str = SITE) -> Column:
-    """Links to the act itself as ``#fragment`` (``#`` without one), to others on the one ``site`` with z fragments only; else unchanged."""
-    doc, frag = doc_of(href), fragment_of(href)
-    anchor = F.when(frag.rlike(r"^\d"), F.concat(F.lit("z"), frag)).otherwise(frag)
-    self_ = F.rtrim(doc, F.lit("_")) == F.rtrim(own, F.lit("_"))
-    elsewhere = F.concat(F.lit(site), doc, F.coalesce(F.concat(F.lit("#"), anchor), F.lit("")))
-    return F.when(href.rlike(ODD_HREF) | doc.isNull(), href).when(self_, F.concat(F.lit("#"), F.coalesce(anchor, F.lit("")))).otherwise(elsewhere)
+def canonical(rows: DataFrame, targets: DataFrame, own: Column, site: str = SITE) -> DataFrame:
+    """``rows`` (doc_key, href, …) with canonical hrefs; ``targets`` (doc_key, id) are the ids that documents have, ``own`` names a row's act.
+
+    A full link to the act itself becomes ``#z…``, ``#`` without a fragment, and for a bare number N ``#zN`` if that id is
+    there, else ``#N`` if that is, else it stays; other forms of it stay as well, relative ones too. Any link to another
+    act, archived and dated ones included (``anomalies`` reports them), becomes the ``site``'s with its z fragment, if any.
+    """
+    href = F.col("href")
+    doc, tail = (F.regexp_extract(href, rf"/docs/({DOC})(.*)$", k) for k in (1, 2))
+    self_ = (doc == own) & href.rlike(r"^https?://")
+    number = F.nullif(F.regexp_extract(tail, r"^#(\d[\w-]*)$", 1), F.lit(""))
+    asked = rows.withColumn("__n", F.when(self_, number)).withColumn("__z", F.concat(F.lit("z"), "__n"))
+    ids_ = targets.select(F.col("doc_key").alias("__d"), F.col("id").alias("__id")).distinct()
+    for name, has in (("__z", "__has_z"), ("__n", "__has_n")):
+        known = ids_.withColumn(has, F.lit(True))
+        asked = asked.join(known, (asked["doc_key"] == known["__d"]) & (asked[name] == known["__id"]), "left").drop("__d", "__id")
+    inner = F.when(tail.rlike(r"^#z[\w-]+$"), tail).when(tail == "", "#").when(F.col("__has_z"), F.concat(F.lit("#"), "__z")).when(F.col("__has_n"), F.concat(F.lit("#"), "__n")).otherwise(href)
+    outer = F.concat(F.lit(site), doc, F.regexp_extract(tail, r"#z[\w-]+", 0))
+    return asked.withColumn("href", F.when(self_, inner).when((doc != "") & (doc != own), outer).otherwise(href)).drop("__n", "__z", "__has_z", "__has_n")
 
 
 def anomalies(hrefs: DataFrame, href: str = "href") -> DataFrame:
@@ -138,10 +150,10 @@ def siblings(nodes: DataFrame) -> DataFrame:
     R is a link to a unit, B one that is only a number or an ordinal, A one to an article, C a connector or blank text,
     P a text that begins with an article, X anything else. A parent's own children are gathered, nothing more.
     """
-    a = nodes.where("tag = 'a'").select("doc_key", "node_id", "parent_id", attr("href").alias("href")).where("href is not null")
+    a = nodes.where("tag = 'a'").select("doc_key", "node_id", "end_id", "parent_id", attr("href").alias("href")).where("href is not null")
     held = a.select("doc_key", "parent_id").distinct()
     rows = nodes.join(held, ["doc_key", "parent_id"], "left_semi").where("kind <> 'comment'")
-    said = element_texts(nodes, a.select("doc_key", "node_id", "href"), ["a"]).select("doc_key", "node_id", "href", F.col("text_raw").alias("said"))
+    said = element_texts(nodes, a.select("doc_key", "node_id", "end_id", "href"), ["a"]).select("doc_key", "node_id", "href", F.col("text_raw").alias("said"))
     rows = rows.join(said, ["doc_key", "node_id"], "left")
     own = F.when(F.col("kind") == "text", F.col("text")).otherwise(F.col("said"))
     letter = (
@@ -202,11 +214,10 @@ def chain_edits(found: DataFrame) -> DataFrame:
 
 def edited(nodes: DataFrame, edits: DataFrame) -> DataFrame:
     """``nodes`` with edits applied: what is gone goes with all inside it, new text replaces a text, lead and tail stand inside an element."""
-    gone = edits.where("gone").select("doc_key", F.col("node_id").alias("of"))
-    below = nodes.where(F.array_contains("tags", "a")).select("doc_key", "node_id", F.explode("path").alias("of")).join(gone, ["doc_key", "of"], "left_semi").select("doc_key", "node_id")
-    out = gone.select("doc_key", F.col("of").alias("node_id")).union(below).distinct()
-    kept = nodes.join(out, ["doc_key", "node_id"], "left_anti").join(edits.where("not gone"), ["doc_key", "node_id"], "left")
-    return kept.withColumn("text", F.coalesce("new_text", "text")).drop("new_text", "gone")
+    joined = nodes.join(edits, ["doc_key", "node_id"], "left")
+    out = F.coalesce("gone", F.lit(False))
+    kept = joined.withColumn("__out", out | inside(out)).where("not __out")
+    return kept.withColumn("text", F.coalesce("new_text", "text")).drop("new_text", "gone", "__out")
 
 
 def merged_chains(nodes: DataFrame) -> DataFrame:

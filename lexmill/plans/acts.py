@@ -6,7 +6,7 @@ a point. One page of references a supplier: every line item is a phrase of a kin
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Articles that the reference pages' acts have.
@@ -83,10 +83,38 @@ def hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = (e % 9 + 1).cast("string")
     href = (
         F.when(e % 6 == 0, F.concat(F.lit("https://example.org/docs/"), doc, F.lit("#z"), number))
-        .when(e % 6 == 1, F.concat(F.lit("/docs/"), doc, F.lit("#"), number))
+        .when(e % 12 == 1, F.concat(F.lit("https://example.org/rus/docs/"), doc, F.lit("#"), number))
+        .when(e % 6 == 1, F.concat(F.lit("/rus/docs/"), doc, F.lit("#"), number))
         .when(e % 6 == 2, F.concat(F.lit("http://example.com/docs/"), doc))
         .when(e % 6 == 3, F.concat(F.lit("#z"), number))
         .when(e % 6 == 4, F.concat(F.lit("https://example.org/docs/"), doc, F.lit("/history")))
         .otherwise(F.concat(F.lit("/search/"), number))
     )
     return _read(spark, sf_dir, "events").select((F.col("user_id") % 3).cast("string").alias("doc_key"), e.alias("ord"), href.alias("href"), F.concat(F.lit("статьи "), (e % 4 + 1).cast("string")).alias("text"), F.lit("").alias("prev_text"))
+
+
+def known_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_key, id): ids that the documents of ``hrefs`` have: of the numbers 1 to 9 those that three doesn't divide with a z, 3 and 6 without."""
+    number = F.col("event_id") % 9 + 1
+    id_ = F.when(number % 3 != 0, F.concat(F.lit("z"), number)).when(number < 9, number.cast("string"))
+    return _read(spark, sf_dir, "events").select((F.col("user_id") % 3).cast("string").alias("doc_key"), id_.alias("id")).where("id is not null").distinct()
+
+
+def verdict_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_key, html): one act a supplier, one article a line number, in it a link for every line item; what it claims and where it points follow from the order."""
+    n, k = F.col("l_linenumber").cast("string"), F.col("l_orderkey") % 6
+    next_ = (F.col("l_linenumber") % 7 + 1).cast("string")
+
+    def link(href: Column, text: Column) -> Column:
+        return F.concat(F.lit('<p>см. <a href="#'), href, F.lit('">'), text, F.lit("</a></p>"))
+
+    own = F.concat(F.lit("z"), n)
+    said = (
+        F.when(k == 0, link(own, F.concat(F.lit("статьи "), n))).when(k == 1, link(F.concat(F.lit("z"), next_), F.concat(F.lit("статьи "), n))).when(k == 2, link(F.lit("z99"), F.lit("статьи 3")))
+        .when(k == 3, link(own, F.lit("настоящей статьи"))).when(k == 4, link(F.concat(F.lit("z"), next_), F.lit("пункта 2"))).otherwise(link(F.lit("p1"), F.lit("статьи 1")))
+    )
+    rows = _read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("doc_key"), n.alias("n"), F.struct("l_orderkey", said.alias("h")).alias("p"))
+    parts = rows.groupBy("doc_key", "n").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["h"]), "").alias("h"))
+    div = F.concat(F.lit('<div data-type="статья" data-number="0"><h3 id="z'), "n", F.lit('">Статья '), "n", F.lit(". Имя</h3>"), "h", F.lit("</div>"))
+    body = parts.groupBy("doc_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", div.alias("h")))), lambda p: p["h"]), "").alias("h"))
+    return body.select("doc_key", F.concat("h", F.lit('<p><a href="#z1">статьи 9</a></p>')).alias("html"))

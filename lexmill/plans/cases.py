@@ -367,7 +367,8 @@ _ACT2 = (
 
 
 def _verdict(name: str, body: str, *row: Any) -> Case:
-    return Case(name, _ACT2.replace("{0}", body), [row] if row else [])
+    """``body`` inside the act's content, whose anchors pN are z7N here."""
+    return Case(name, f'<div data-type="глава">{_ACT2.replace("{0}", body)}</div>'.replace('id="p', 'id="z7').replace('"#p', '"#z7'), [row] if row else [])
 
 
 VERDICTS = [  # kind, claimed, article, verdict, inherited
@@ -378,7 +379,10 @@ VERDICTS = [  # kind, claimed, article, verdict, inherited
     _verdict("wrong_sub", '<a href="#p2">статье 3-1</a>', "ARTICLE", "3-1", "2", "OK", False),
     _verdict("wrong_sub_far", '<a href="#p1">статье 3-1</a>', "ARTICLE", "3-1", "1{n}", "WRONG_SUB", False),
     _verdict("range", '<a href="#z2">статье 2-5</a>', "ARTICLE", "2-5", "2", "OK", False),
-    _verdict("broken", '<a href="#zz">статье 2</a>', "ARTICLE", "2", None, "BROKEN", False),
+    _verdict("other_anchor", '<a href="#q">статье 2</a><i id="q"></i>'),
+    Case("outside", _ACT2.replace("{0}", "") + '<p><a href="#z2">статье 2</a></p>', []),
+    Case("titled", '<div data-type="статья" data-number="8"><h3 id="z5">Статья 5{n}. Имя</h3><p><a href="#z5">настоящей статьи</a></p></div>', [("SELF", None, "5{n}", "SELF_OK", False)]),
+    _verdict("broken", '<a href="#z99">статье 2</a>', "ARTICLE", "2", None, "BROKEN", False),
     _verdict("self", '<a href="#p1">настоящей статьи</a>', "SELF", None, "1{n}", "SELF_OK", False),
     _verdict("self_wrong", '<a href="#p3">настоящей статьи</a>', "SELF", None, "3-1", "SELF_WRONG", False),
     _verdict("bare", 'по статье <a href="#z2">2</a>', "ARTICLE", "2", "2", "OK", False),

@@ -20,7 +20,7 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.kept_nodes(_t(spark, sf_dir, "pages"), "page_id", "html")
+    return html.kept_nodes(html.told_apart(_t(spark, sf_dir, "pages"), "page_id", "html"), "doc_key", "html")
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     href = dom.attr("href")
-    links = html.parse_nodes(_t(spark, sf_dir, "pages"), "page_id", "html").where((F.col("tag") == "a") & href.isNotNull())
+    links = html.parse_nodes(_t(spark, sf_dir, "pages"), "page_id", "html", texts=False).where((F.col("tag") == "a") & href.isNotNull())
     return links.groupBy("doc_key", spans.link_kind(href).alias("kind")).agg(F.count("*").alias("n"))
 
 
@@ -45,7 +45,7 @@ def raw_hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pages(spark, sf_dir).where("kind = 'element'").groupBy("doc_key", "tag").agg(F.count("*").alias("n"))
+    return html.parse_nodes(_t(spark, sf_dir, "pages"), "page_id", "html", texts=False).groupBy("doc_key", "tag").agg(F.count("*").alias("n"))
 
 
 def content_root(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +208,8 @@ def chain_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def canonical_hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.concat(F.lit("K15000"), F.lpad("doc_key", 5, "0"))
     rows = acts.hrefs(spark, sf_dir)
-    return rows.select("ord", spans.canonical(F.col("href"), own).alias("href"), spans.link_kind(F.col("href"), own).alias("kind"))
+    rows = spans.canonical(rows.withColumn("kind", spans.link_kind(F.col("href"), own)), acts.known_ids(spark, sf_dir), own)
+    return rows.select("ord", "href", "kind")
 
 
 def dangling_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -316,8 +317,8 @@ def act_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def link_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links of the chain pages have no targets: all of them are broken; the six checks count the same."""
-    nodes = html.kept_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
+    """Links of acts whose claims and targets follow from the line items, some of them outside content or to other anchors."""
+    nodes = html.kept_nodes(acts.verdict_pages(spark, sf_dir), "doc_key", "html")
     return audit.correctness(nodes).groupBy("doc_key", "kind", "verdict").agg(F.count("*").alias("n"))
 
 
@@ -723,7 +724,7 @@ def override_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def preferred_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages kept as files in one to three forms: the best form of each act."""
-    s = _t(spark, sf_dir, "supplier").where("s_suppkey <= 30")
+    s = _t(spark, sf_dir, "supplier")
     forms = F.slice(F.array(F.lit("source"), F.lit("structured"), F.lit("ready")), F.lit(1), F.col("s_suppkey") % 3 + 1)
     rows = s.select("s_suppkey", F.explode(forms).alias("form"))
     name = F.concat(F.lit("act"), "s_suppkey", F.when(F.col("form") == "source", "").otherwise(F.concat(F.lit("_"), "form")), F.lit(".html"))

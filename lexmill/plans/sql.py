@@ -7,7 +7,7 @@ from . import cases
 _HREFS = """hrefs AS (
     SELECT event_id AS ord, event_id, user_id, user_id % 3 AS own, 'K15000' || lpad((user_id % 7)::VARCHAR, 5, '0') AS doc, (event_id % 9 + 1)::VARCHAR AS num, event_id % 6 AS k,
         CASE event_id % 6 WHEN 0 THEN 'https://example.org/docs/K15000' || lpad((user_id % 7)::VARCHAR, 5, '0') || '#z' || (event_id % 9 + 1)
-            WHEN 1 THEN '/rus/docs/K15000' || lpad((user_id % 7)::VARCHAR, 5, '0') || '#' || (event_id % 9 + 1)
+            WHEN 1 THEN CASE event_id % 12 WHEN 1 THEN 'https://example.org' ELSE '' END || '/rus/docs/K15000' || lpad((user_id % 7)::VARCHAR, 5, '0') || '#' || (event_id % 9 + 1)
             WHEN 2 THEN 'http://example.com/docs/K15000' || lpad((user_id % 7)::VARCHAR, 5, '0')
             WHEN 3 THEN '#z' || (event_id % 9 + 1)
             WHEN 4 THEN 'https://example.org/docs/K15000' || lpad((user_id % 7)::VARCHAR, 5, '0') || '/history'
@@ -104,16 +104,22 @@ SQL: dict[str, str] = {
     """,
     "full_spans": f"WITH {_REFS} SELECT doc_key, 'merge' AS kind, count(*) AS n FROM refs WHERE n = 2 GROUP BY doc_key",
     "chain_gates": "SELECT gate, true AS ok, (SELECT count(DISTINCT l_suppkey) FROM lineitem) AS n FROM (VALUES ('text'), ('nested'), ('hrefs'), ('dangling')) g(gate)",
-    "link_verdicts": f"""
-        WITH {_REFS}, said AS (
-            SELECT doc_key, unnest(CASE n WHEN 1 THEN ['NONART', 'NONART', 'ARTICLE'] WHEN 2 THEN ['NONART', 'ARTICLE'] WHEN 3 THEN ['NONART', 'ARTICLE'] WHEN 4 THEN ['NONART', 'NONART'] ELSE ['ARTICLE'] END) AS kind FROM refs
-        ) SELECT doc_key, kind, 'BROKEN' AS verdict, count(*) AS n FROM said GROUP BY ALL
+    "link_verdicts": """
+        WITH r AS (SELECT l_suppkey::VARCHAR AS doc_key, l_linenumber AS n, l_orderkey % 6 AS k FROM lineitem), have AS (SELECT DISTINCT doc_key, n FROM r)
+        SELECT r.doc_key, CASE k WHEN 3 THEN 'SELF' WHEN 4 THEN 'NONART' ELSE 'ARTICLE' END AS kind,
+            CASE WHEN k = 2 OR (k IN (1, 4) AND have.n IS NULL) THEN 'BROKEN' WHEN k = 0 THEN 'OK' WHEN k = 1 THEN 'WRONG_TARGET' WHEN k = 3 THEN 'SELF_OK' ELSE 'NONART' END AS verdict, count(*) AS n
+        FROM r LEFT JOIN have ON have.doc_key = r.doc_key AND have.n = r.n % 7 + 1 WHERE k <> 5 GROUP BY ALL
     """,
     "canonical_hrefs": f"""
-        WITH {_HREFS}
-        SELECT ord, CASE WHEN k IN (3, 4, 5) THEN href
-                WHEN user_id % 7 = own THEN CASE k WHEN 2 THEN '#' ELSE '#z' || num END
-                ELSE 'https://example.org/docs/' || doc || CASE k WHEN 2 THEN '' ELSE '#z' || num END END AS href,
+        WITH {_HREFS}, known AS (
+            SELECT DISTINCT (user_id % 3)::VARCHAR AS doc_key, CASE WHEN (event_id % 9 + 1) % 3 <> 0 THEN 'z' || (event_id % 9 + 1) ELSE (event_id % 9 + 1)::VARCHAR END AS id FROM events WHERE event_id % 9 <> 8
+        )
+        SELECT ord, CASE WHEN k IN (3, 5) THEN href
+                WHEN user_id % 7 <> own THEN 'https://example.org/docs/' || doc || CASE k WHEN 0 THEN '#z' || num ELSE '' END
+                WHEN k = 0 THEN '#z' || num WHEN k = 2 THEN '#'
+                WHEN ord % 12 = 1 AND (own::VARCHAR, 'z' || num) IN (SELECT (doc_key, id) FROM known) THEN '#z' || num
+                WHEN ord % 12 = 1 AND (own::VARCHAR, num) IN (SELECT (doc_key, id) FROM known) THEN '#' || num
+                ELSE href END AS href,
             CASE WHEN k = 5 THEN 'nav' WHEN k = 3 OR (k IN (0, 1) AND user_id % 7 = own) THEN 'internal' ELSE 'external' END AS kind
         FROM hrefs
     """,
@@ -323,7 +329,7 @@ SQL: dict[str, str] = {
     "map_files": "SELECT n_regionkey::VARCHAR AS code, n_nationkey::VARCHAR AS key, n_name AS anchor FROM nation",
     "phrase_file": "SELECT phrase, 'D' || max(p_partkey) AS doc_id, length(phrase) AS size FROM (SELECT p_type || ' ' || p_brand || ' ' || p_size AS phrase, p_partkey FROM part) WHERE length(phrase) >= 16 GROUP BY phrase",
     "override_file": "SELECT s_suppkey::VARCHAR AS id, 's' || s_suppkey % 5 AS code, s_name AS find_phrase, 'anchor ' || s_suppkey AS anchor_phrase, 'K' || (1000000 + s_suppkey) AS doc_id, 'z' || s_suppkey AS anchor, CASE WHEN s_suppkey % 2 = 0 THEN 'mark' END AS context_marker FROM supplier",
-    "preferred_forms": "SELECT 'act' || s_suppkey AS doc_key, CASE s_suppkey % 3 WHEN 0 THEN 'source' WHEN 1 THEN 'structured' ELSE 'ready' END AS form, '<p>' || CASE s_suppkey % 3 WHEN 0 THEN 'source' WHEN 1 THEN 'structured' ELSE 'ready' END || ' ' || s_suppkey || '</p>' AS html FROM supplier WHERE s_suppkey <= 30",
+    "preferred_forms": "SELECT 'act' || s_suppkey AS doc_key, CASE s_suppkey % 3 WHEN 0 THEN 'source' WHEN 1 THEN 'structured' ELSE 'ready' END AS form, '<p>' || CASE s_suppkey % 3 WHEN 0 THEN 'source' WHEN 1 THEN 'structured' ELSE 'ready' END || ' ' || s_suppkey || '</p>' AS html FROM supplier",
     "page_versions": "SELECT version, page_id::VARCHAR AS doc_key, length(html) + CASE version WHEN 2 THEN 1 ELSE 0 END AS n_chars FROM pages CROSS JOIN (VALUES (1), (2)) v(version)",
     "chunk_lines": "SELECT n_nationkey::VARCHAR AS id, n_name AS text, CASE WHEN n_regionkey > 1 THEN n_regionkey::VARCHAR END AS unit_type, CASE WHEN n_regionkey > 1 THEN 4 ELSE 4 END AS n_fields FROM nation",
     "change_files": "SELECT n_nationkey::VARCHAR AS original, n_name AS article, 'z' || n_regionkey AS anchor, true AS was_written, false AS empty_written FROM nation",

@@ -3,22 +3,31 @@
 Only tokenizing a page is Python (the standard parser, in Arrow batches); what the other operators do with the
 nodes are joins, windows and aggregates over (doc_key, node_id). The tree rule: a block's start tag closes an open
 paragraph, and list items, cells, rows and options close their like (as browsers do, so unclosed paragraphs don't nest);
-otherwise an end tag closes the nearest open tag of its name or is ignored; void tags close at once.
+otherwise an end tag closes the nearest open tag of its name or is ignored; void tags close at once. Neighbouring pieces
+of text are one node.
 
-Null and empty pages have no nodes; repeated keys must be told apart by the caller; an empty table gives no nodes.
+A node is the interval from node_id to end_id, in document order, and what is inside an element is inside its interval;
+rows carry no ancestors. The parser hands a row over as soon as its interval is closed and keeps the open elements only,
+so a page takes the memory of its text and of one batch. Pages are dealt out evenly before they are parsed, and the
+kept table is bucketed and sorted by document: what is joined, grouped or windowed by document is not shuffled again.
+
+Null and empty pages have no nodes; an empty table gives no nodes. Pages of one key would be mixed: ``told_apart`` gives
+each page a key of its own.
 """
 
 from __future__ import annotations
 
+import itertools
+from array import array
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import escape
-from .shared import written
+from .shared import bucketed
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Start tags that close an open paragraph, and those that close their like up to a holder.
@@ -31,101 +40,193 @@ KIND = pa.schema(
     [
         ("doc_key", pa.string()), ("node_id", pa.int32()), ("parent_id", pa.int32()), ("end_id", pa.int32()), ("depth", pa.int32()), ("sib_pos", pa.int32()),
         ("kind", pa.string()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()),
-        ("path", pa.list_(pa.int32())), ("tags", pa.list_(pa.string())), ("block_id", pa.int32()), ("src_pos", pa.int32()),
+        ("tags", pa.list_(pa.string())), ("block_id", pa.int32()), ("src_pos", pa.int32()),
     ]
 )
 NODE = (
     "doc_key string, node_id int, parent_id int, end_id int, depth int, sib_pos int, kind string, tag string, attrs map<string,string>, "
-    "text string, path array<int>, tags array<string>, block_id int, src_pos int"
+    "text string, tags array<string>, block_id int, src_pos int"
 )
+#: Rows of one batch, and characters of text after which a batch is handed over in any case.
+BATCH_ROWS, BATCH_CHARS = 20_000, 1 << 22
+
+
+class _Open:
+    """An element whose end isn't known yet: its row, the names of it and of what is around it, its block, its children so far."""
+
+    __slots__ = ("row", "tag", "names", "block", "children")
+
+    def __init__(self, row: list, tag: str | None, names: tuple[str, ...], block: int) -> None:
+        self.row, self.tag, self.names, self.block, self.children = row, tag, names, block, 0
 
 
 class _Tree(HTMLParser):
-    """Nodes in document order, each [node_id, parent_id, end_id, depth, sib_pos, kind, tag, attrs, text, path, tags, block_id, src_pos].
+    """Rows [node_id, parent_id, end_id, depth, sib_pos, kind, tag, attrs, text, tags, block_id, src_pos], each in ``done`` once it is closed.
 
-    ``path`` are the open elements, ``tags`` their different names, ``block_id`` is the innermost of ``BLOCKS``.
+    ``tags`` are the different names of the open elements, ``block_id`` is the innermost of ``BLOCKS``.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, texts: bool = True) -> None:
         super().__init__(convert_charrefs=True)
-        self.nodes: list[list] = []
-        self.open: list[int] = []
-        self.children: dict[int, int] = {}
-
-    def add(self, kind: str, tag: str | None, attrs: list, text: str | None) -> int:
-        n, parent = len(self.nodes), self.open[-1] if self.open else -1
-        k = self.children[parent] = self.children.get(parent, -1) + 1
-        held = list(self.open)
-        names = dict.fromkeys(self.nodes[i][6] for i in held)
-        block = next((i for i in reversed(held) if self.nodes[i][6] in BLOCKS), -1)
+        self.texts, self.done, self.n, self.chars = texts, [], 0, 0
+        self.open = [_Open([-1], None, (), -1)]
+        self.said: list[str] = []
+        self.said_at = 0
+
+    def place(self) -> int:
         line, column = self.getpos()
-        self.nodes.append([n, parent, n, len(held), k, kind, tag, [(a, v or "") for a, v in dict(attrs).items()], text, held, list(names), block, self.starts[line - 1] + column])
-        return n
+        return self.starts[line - 1] + column
+
+    def add(self, kind: str, tag: str | None, attrs: list, text: str | None, at: int) -> list:
+        up = self.open[-1]
+        row = [self.n, up.row[0], self.n, len(self.open) - 1, up.children, kind, tag, [(a, v or "") for a, v in dict(attrs).items()], text, up.names, up.block, at]
+        self.n, up.children = self.n + 1, up.children + 1
+        return row
+
+    def flush(self) -> None:
+        """The pieces of text since the last tag, as one node."""
+        if self.said:
+            row = self.add("text", None, [], "".join(self.said), self.said_at)
+            if self.texts:
+                self.done.append(row)
+                self.chars += len(row[8])
+            self.said = []
 
     def close_like(self, like: set[str], stop: set[str] | frozenset[str]) -> None:
-        for k in range(len(self.open) - 1, -1, -1):
-            name = self.nodes[self.open[k]][6]
-            if name in like:
+        for k in range(len(self.open) - 1, 0, -1):
+            if self.open[k].tag in like:
                 self.close_to(k)
                 return
-            if name in stop:
+            if self.open[k].tag in stop:
                 return
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self.flush()
         if tag in CLOSES_P:
             self.close_like({"p"}, SCOPES)
         elif tag in CLOSES_LIKE:
             self.close_like(*CLOSES_LIKE[tag])
-        n = self.add("element", tag, attrs, None)
-        if tag not in VOID:
-            self.open.append(n)
+        row = self.add("element", tag, attrs, None, self.place())
+        if tag in VOID:
+            self.done.append(row)
+        else:
+            up = self.open[-1]
+            self.open.append(_Open(row, tag, up.names if tag in up.names else (*up.names, tag), row[0] if tag in BLOCKS else up.block))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.add("element", tag, attrs, None)
+        self.flush()
+        self.done.append(self.add("element", tag, attrs, None, self.place()))
 
     def handle_endtag(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.nodes[self.open[k]][6] == tag:
+        self.flush()
+        if tag not in self.open[-1].names:
+            return
+        for k in range(len(self.open) - 1, 0, -1):
+            if self.open[k].tag == tag:
                 self.close_to(k)
                 return
 
     def close_to(self, k: int) -> None:
-        for n in self.open[k:]:
-            self.nodes[n][2] = len(self.nodes) - 1
+        for x in self.open[k:]:
+            x.row[2] = self.n - 1
+            self.done.append(x.row)
         del self.open[k:]
 
     def handle_data(self, data: str) -> None:
-        self.add("text", None, [], data)
+        if not self.said:
+            self.said_at = self.place()
+        self.said.append(data)
 
     def handle_comment(self, data: str) -> None:
-        self.add("comment", None, [], data)
-
-    def parse(self, html: str) -> list[list]:
-        self.starts = [0]
-        for line in html.split("\n"):
-            self.starts.append(self.starts[-1] + len(line) + 1)
-        self.feed(html)
+        self.flush()
+        row = self.add("comment", None, [], data, self.place())
+        if self.texts:
+            self.done.append(row)
+
+    def rows(self, html: str) -> Iterator[list[list]]:
+        """The rows of a page, in batches; the page is fed in slices, so that a batch is handed over while the page is read."""
+        self.starts = array("q", [0])
+        for k, c in enumerate(html.split("\n")):
+            self.starts.append(self.starts[k] + len(c) + 1)
+        for at in range(0, len(html), BATCH_CHARS):
+            self.feed(html[at : at + BATCH_CHARS])
+            if len(self.done) >= BATCH_ROWS or self.chars >= BATCH_CHARS:
+                yield self.taken()
         self.close()
-        self.close_to(0)
-        return self.nodes
+        self.flush()
+        self.close_to(1)
+        yield self.taken()
+
+    def taken(self) -> list[list]:
+        rows, self.done, self.chars = self.done, [], 0
+        return rows
 
 
-def parse_nodes(df: DataFrame, key: str, html: str) -> DataFrame:
-    """The node table of column ``html``; ``key`` (cast to a string) names the documents. Null pages have no nodes."""
+def _few(values: list) -> pa.Array:
+    """An array of values of which there are few different ones."""
+    at: dict = {}
+    places = [at.setdefault(v, len(at)) for v in values]
+    return pa.array(list(at), pa.string() if not at or not isinstance(next(iter(at)), tuple) else pa.list_(pa.string())).take(pa.array(places, pa.int32()))
+
+
+def _batch(names: list[str | None], rows: list[list]) -> pa.RecordBatch:
+    columns = [list(c) for c in zip(*rows, strict=True)] if rows else [[] for _ in range(len(KIND) - 1)]
+    made = {f.name: c for f, c in zip(list(KIND)[1:], columns, strict=True)}
+    attrs = made["attrs"]
+    offsets = pa.array([0, *itertools.accumulate(map(len, attrs))], pa.int32())
+    pairs = [x for a in attrs for x in a]
+    made["attrs"] = pa.MapArray.from_arrays(offsets, pa.array([k for k, _ in pairs], pa.string()), pa.array([v for _, v in pairs], pa.string()))
+    made |= {n: _few(made[n]) for n in ("kind", "tag")} | {"doc_key": _few(names)}
+    made["tags"] = _few(made["tags"]) if rows else pa.array([], pa.list_(pa.string()))
+    return pa.RecordBatch.from_arrays([made[f.name] if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], f.type) for f in KIND], schema=KIND)
+
+
+def parse_nodes(df: DataFrame, key: str, html: str, texts: bool = True) -> DataFrame:
+    """The node table of column ``html``; ``key`` (cast to a string) names the documents. Null pages have no nodes.
+
+    Without ``texts`` only elements get rows, with the same ids. Pages are dealt round robin over as many tasks as a
+    shuffle has: a plan's bytes say nothing of what a page costs to parse.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, rows = [], []
+
+        def made() -> pa.RecordBatch:
+            batch = _batch(names, rows)
+            names.clear(), rows.clear()
+            return batch
+
         for b in batches:
             for doc, page in zip(b.column(0), b.column(1), strict=True):
-                rows = _Tree().parse(page.as_py() or "")
-                columns = list(zip(*rows, strict=True)) if rows else [[]] * (len(KIND) - 1)
-                yield pa.RecordBatch.from_arrays([pa.array([doc.as_py()] * len(rows), pa.string()), *(pa.array(list(c), f.type) for c, f in zip(columns, list(KIND)[1:], strict=True))], schema=KIND)
+                for some in _Tree(texts).rows(page.as_py() or ""):
+                    for at in range(0, len(some), BATCH_ROWS):
+                        part = some[at : at + BATCH_ROWS]
+                        names += [doc.as_py()] * len(part)
+                        rows += part
+                        if len(rows) >= BATCH_ROWS:
+                            yield made()
+        yield made()
 
-    return df.select(F.col(key).cast("string"), F.col(html).cast("string")).mapInArrow(run, NODE)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(F.col(key).cast("string"), F.col(html).cast("string")).repartition(n).mapInArrow(run, NODE)
 
 
 def kept_nodes(df: DataFrame, key: str, html: str) -> DataFrame:
-    """``parse_nodes``, written to the shared folder: operators read the nodes many times, the parser runs once."""
-    return written(parse_nodes(df, key, html), "nodes")
+    """``parse_nodes``, written to the shared folder by document: operators read the nodes many times, the parser and the shuffle run once."""
+    return bucketed(parse_nodes(df, key, html), "nodes", "doc_key", "node_id")
+
+
+def told_apart(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(doc_key, html): equal rows are one page; of different pages under one key (in the order of their SHA-256) the second is ``key~2`` and so on."""
+    named = pages.select(F.col(key).cast("string").alias("doc_key"), F.col(html).alias("html")).withColumn("sha", F.sha2(F.coalesce(html, F.lit("")), 256))
+    seen = named.groupBy("doc_key", "sha").agg(F.count("*").alias("n"))
+    ranked = seen.withColumn("k", F.row_number().over(Window.partitionBy("doc_key").orderBy("sha")))
+    # Pages move only if a key has several of them.
+    more = ranked.where("n > 1 or k > 1").select(F.col("doc_key").alias("of"), F.col("sha").alias("page"), "k")
+    met = named.join(more, named["doc_key"].eqNullSafe(more["of"]) & (F.col("sha") == F.col("page")), "left")
+    once = met.where("k is not null").groupBy("doc_key", "sha", "k").agg(F.first("html").alias("html"))
+    again = once.select(F.when(F.col("k") > 1, F.concat(F.coalesce("doc_key", F.lit("")), F.lit("~"), "k")).otherwise(F.col("doc_key")).alias("doc_key"), "html")
+    return met.where("k is null").select("doc_key", "html").unionByName(again)
 
 
 def read_html(spark: SparkSession, path: str) -> DataFrame:

@@ -24,3 +24,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, name: str, by: str, *order: str) -> DataFrame:
+    """``df``, written to the shared folder in buckets of ``by``, each sorted by it and ``order``, and read back.
+
+    Windows, groups and joins on ``by`` and further columns read the buckets as they are. For joins Spark asks for a
+    partitioning by all their columns unless ``spark.sql.requireAllClusterKeysForCoPartition`` is false, which this sets
+    for the session: rows of one ``by`` then stay together, as windows over them need anyway. The table has no name
+    afterwards; its files are those below the shared folder.
+    """
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
+    path = shared_folder(spark, name)
+    table = f"lexmill_{name}_{path[-32:]}"
+    df.repartition(n, by).write.bucketBy(n, by).sortBy(by, *order).option("compression", "zstd").option("path", path).saveAsTable(table, format="parquet")
+    kept = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return kept.select("*")

@@ -11,6 +11,7 @@ from lexmill.functions import phrases
 from lexmill.functions.text import ROMAN, ordinal, roman
 from lexmill.operators import anchors, audit, chunks, dom, references, spans, structure
 from lexmill.plans import cases
+from lexmill.plans.sql import SQL
 from lexmill.sources import html, registry, sinks
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
@@ -27,17 +28,7 @@ def _plain(v):
     return None if v is None or v != v else int(v) if isinstance(v, float) and v == int(v) else v
 
 
-#: Queries that run all hand-written cases of their operators, and the quick ones over the tables.
-CHECKED = (
-    "linked_acts act_sections structured_pages structured_markup span_merges merged_links chained_links span_gates note_texts content_texts broken_lines link_neighbours link_hosts element_anchors id_inventory "
-    "link_context anchor_methods synthetic_anchors article_headings point_anchors written_points part_map chapter_sources named_ids heading_numbers boundary_marks first_articles chunked_acts discrepancy_log "
-    "tree_records title_numbers unit_words unlinked_references page_coverage claimed_verdicts independent_checks hinted_mismatches named_acts external_names all_checks canon_gates retargeted_links dropped_letters "
-    "odd_hrefs meant_articles phrase_places phrase_pages partial_phrases overridden_pages strict_gates registry_files remap_file map_files phrase_file override_file preferred_forms page_versions chunk_lines "
-    "change_files report_lines link_inventory line_units first_wins dictionary_links longest_hint"
-).split()
-
-
-@pytest.mark.parametrize("name", CHECKED)
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_against_sql(spark, name):
     import __spark_entry__
 
@@ -78,7 +69,7 @@ def test_many_open_paragraphs(spark):
     """Unclosed paragraphs don't nest, so a page of many costs no more than its length."""
     n = 20_000
     nodes = _nodes(spark, {"a": "<p>x " * n, "b": "<ul>" + "<li>y" * n, "c": "<table>" + "<tr><td>1<td>2" * n}).cache()
-    assert nodes.count() == 2 * n + 2 * n + 1 + 5 * n + 1 and nodes.agg(F.max(F.size("path"))).first()[0] <= 3
+    assert nodes.count() == 2 * n + 2 * n + 1 + 5 * n + 1 and nodes.agg(F.max("depth")).first()[0] <= 3
     assert dom.before(nodes.where("doc_key = 'a'"), 20).count() == 2 * n
 
 
@@ -136,9 +127,15 @@ def test_reverse_and_canonical(spark):
     back = anchors.reverse_anchors(spark.createDataFrame([("x", "40", "z9")], kind), spark.createDataFrame([("x", "3_1", "z9"), ("x", "2_2", "z4")], kind))
     assert {r["anchor"]: r["article"] for r in back.collect()} == {"z9": "40", "z4": "2"}
     site = "https://example.net/acts/docs/"
-    want = {f"{site}K1500000011#z5": "#z5", "/docs/K1500000011_": "#", "/docs/K1400000022#12": f"{site}K1400000022#z12", "/docs/K1400000022/history": "/docs/K1400000022/history", "/x": "/x", None: None}
-    rows = spark.createDataFrame([(k,) for k in want], "href string").select("href", spans.canonical(F.col("href"), F.lit("K1500000011"), site).alias("c")).collect()
-    assert {r["href"]: r["c"] for r in rows} == want
+    own, other = "K1500000011", "K1400000022"
+    want = {
+        f"{site}{own}#z5": "#z5", f"{site}{own}#z5_1-2": "#z5_1-2", f"https://mirror.example/rus/docs/{own}#7": "#z7", f"{site}{own}#8": "#8", f"{site}{own}#9": f"{site}{own}#9", f"{site}{own}": "#",
+        f"/docs/{own}": f"/docs/{own}", f"/docs/{own}#z5": f"/docs/{own}#z5", f"{site}{own}/history": f"{site}{own}/history", f"{site}{own}_": f"{site}{own}_", f"{site}{own}#p7": f"{site}{own}#p7",
+        f"/docs/{other}#12": f"{site}{other}", f"/docs/{other}#p7": f"{site}{other}", f"/docs/{other}_/history": f"{site}{other}_", f"http://x.example/rus/docs/{other}?d=1#z4": f"{site}{other}#z4", "/x": "/x", "#5": "#5", None: None,
+    }
+    rows = spark.createDataFrame([("d", k) for k in want], "doc_key string, href string").withColumn("was", F.col("href"))
+    targets = spark.createDataFrame([("d", "z7"), ("d", "7"), ("d", "8"), ("e", "z9"), ("e", "9")], "doc_key string, id string")
+    assert {r["was"]: r["href"] for r in spans.canonical(rows, targets, F.lit(own), site).collect()} == want
 
 
 def test_chunks_of_parts(spark):
