@@ -34,7 +34,7 @@ LENGTH, WINDOW = 20, 32
 #: The words of ``words`` in the text as written.
 WORD = re.compile(r"[A-Za-z0-9_\x80-\U0010ffff]+")
 #: Wanted chance that a pair at the threshold collides in a band (lines, windows), and rows of a band.
-RECALL, RECALL_WINDOW, ROWS = 0.98, 0.85, 2
+RECALL, RECALL_WINDOW, ROWS = 0.98, 0.95, 2
 #: Distinct paragraphs of a bucket that meet in one tile.
 TILE = 512
 
@@ -139,6 +139,15 @@ def paragraphs(documents: DataFrame, bands: int | None = None) -> DataFrame:
     return arrow_pass(documents.where("doc_id is not null").select("doc_id", "text"), run, f"doc_id {kind}, start int, size int, h long, h2 long, keys array<long>")
 
 
+def _alike(x: frozenset[str], y: frozenset[str], threshold: float) -> bool:
+    """Whether the Jaccard similarity is ``threshold`` or more; sizes that cannot reach it are not intersected."""
+    a, b = len(x), len(y)
+    if min(a, b) < threshold * max(a, b):
+        return False
+    n = len(x & y)
+    return n >= threshold * (a + b - n)
+
+
 def _similar(groups: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between similar distinct paragraphs (rep, t) of a tile pair (key, p, q): a spanning forest of them.
 
@@ -152,14 +161,18 @@ def _similar(groups: DataFrame, threshold: float) -> DataFrame:
         return frozenset(" ".join(ws[i : i + SHINGLE]) for i in range(max(1, len(ws) - SHINGLE + 1)))
 
     def links(rows: list[tuple[int, int, str]], same: bool) -> Iterator[tuple[int, int]]:
-        sets = [shingles(t) for _, _, t in rows]
-        label = list(range(len(rows)))
+        # A paragraph is compared with the first of each class so far, then with the others of those classes that it isn't linked to.
+        sets, classes = [shingles(t) for _, _, t in rows], []
         for i, x in enumerate(sets):
-            for j in range(i + 1, len(rows)):
-                if label[i] != label[j] and (same or rows[i][0] != rows[j][0]) and (n := len(x & sets[j])) >= threshold * (len(x) + len(sets[j]) - n):
-                    old, new = label[j], label[i]
-                    label = [new if v == old else v for v in label]
-                    yield rows[i][1], rows[j][1]
+            joined, rest = [], []
+            for members in classes:
+                hit = next((j for j in members if (same or rows[i][0] != rows[j][0]) and _alike(x, sets[j], threshold)), None)
+                if hit is None:
+                    rest.append(members)
+                else:
+                    joined += members
+                    yield rows[hit][1], rows[i][1]
+            classes = [*rest, [*joined, i]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rows = None, []

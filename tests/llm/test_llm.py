@@ -464,3 +464,37 @@ def test_pipeline(spark, docs):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "lines", "near_copies", "decontaminate", "tokens"]
     assert all(f(spark, docs.limit(0), SMALL).columns == docs.columns for _, f in corpus_pipeline.STAGES[:-1])
     assert docs.select(F.count("*")).first()[0] == docs.count()
+
+
+def test_windows_find_every_long_passage(spark):
+    """A passage of 51 words or more that two long lines share is found, wherever it stands; lines without one are left alone."""
+    rng = np.random.default_rng(11)
+    docs, planted = [], []
+    for k in range(60):
+        own = [f"w{v}" for v in rng.integers(0, 4000, 400)]
+        other = [f"w{v}" for v in rng.integers(0, 4000, 400)]
+        passage = [f"p{v}" for v in rng.integers(0, 4000, 51 + k)]
+        a, b = rng.integers(0, 400, 2)
+        docs += [(2 * k, " ".join([*own[:a], *passage, *own[a:]])), (2 * k + 1, " ".join([*other[:b], *passage, *other[b:]]))]
+        planted.append((2 * k, a, b, len(passage)))
+    docs += [(1000 + k, " ".join(f"u{v}" for v in rng.integers(0, 4000, 300))) for k in range(40)]
+    rows = paradedup.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    places = collections.defaultdict(list)
+    for r in rows:
+        places[r["doc_id"]].append((r["start"], r["size"], r["class_id"], r["kept"]))
+    assert set(places) == set(range(120))
+    for first, a, b, n in planted:
+        for doc, at, kept in ((first, a, True), (first + 1, b, False)):
+            assert all(c == first and k is kept and at - 1 <= s and s + size <= at + n + 1 for s, size, c, k in places[doc])
+
+
+def test_paragraphs_against_all_pairs_of_a_bucket(spark):
+    """Classes of edited windows are those of exact similarity over all pairs that share a bucket."""
+    rng = np.random.default_rng(12)
+    base = [[f"w{v}" for v in rng.integers(0, 500, 20)] for _ in range(30)]
+    texts = [[*b[: 20 - cut], *(f"x{v}" for v in rng.integers(0, 500, cut))] for b in base for cut in rng.integers(0, 5, 12)]
+    groups_ = spark.createDataFrame([(k // 40, 0, 0, 0, k, " ".join(t)) for k, t in enumerate(texts)], "key long, p int, q int, side int, rep long, t string")
+    sets = [{" ".join(t[i : i + 5]) for i in range(16)} for t in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if i // 40 == j // 40 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    found = [(r["a"], r["b"]) for r in paradedup._similar(groups_, 0.8).collect()]
+    assert groups(found, range(len(texts))) == groups(pairs, range(len(texts))) and len(found) < len(texts)
