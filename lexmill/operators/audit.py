@@ -119,7 +119,7 @@ def own_article(nodes: DataFrame) -> DataFrame:
     seen = nodes.join(titles, ["doc_key", "node_id"], "left").withColumn("first", first_inside(F.col("title").isNotNull(), F.col("title"))).withColumn("scope", inside(typed))
     articles = seen.where(typed & (attr("data-type") == "статья")).select("doc_key", "node_id", "end_id", F.coalesce("first", attr("data-number")).alias("number"))
     asked = seen.where("tag = 'a' and scope").select("doc_key", "node_id")
-    return asked.join(around(asked, articles, nearest=True).select("doc_key", "node_id", F.col("mark.number").alias("host_number")), ["doc_key", "node_id"], "left")
+    return asked.join(around(nodes, asked, articles, nearest=True).select("doc_key", "node_id", F.col("mark.number").alias("host_number")), ["doc_key", "node_id"], "left")
 
 
 def correctness(nodes: DataFrame, source: DataFrame | None = None) -> DataFrame:

@@ -58,23 +58,28 @@ def first_inside(condition: Column, value: Column) -> Column:
     return F.when(following["at"] <= F.col("end_id"), following["v"])
 
 
-def around(asking: DataFrame, marks: DataFrame, nearest: bool = False) -> DataFrame:
+def around(nodes: DataFrame, asking: DataFrame, marks: DataFrame, nearest: bool = False) -> DataFrame:
     """``asking`` (doc_key, node_id, …) with ``mark``: a row for each row of ``marks`` (doc_key, node_id, end_id, …) around a node, or the nearest one's only.
 
-    Begins and ends of marks in document order give the number of open ones; the last one that was opened at a level is
-    open wherever the level is reached again. Nodes with nothing around them have no row.
+    Both name nodes of ``nodes``, each at most once. Begins and ends of marks in document order give the number of open
+    ones; the last one that was opened at a level is open wherever the level is reached again. Nodes with nothing around
+    them have no row. Both are joined to the nodes, not united: a union would forget that they are partitioned by document.
     """
-    begin = F.struct(F.col("node_id").alias("at"), F.lit(1).alias("phase"), F.lit(1).alias("step"), F.struct("*").alias("mark"))
-    end = F.struct(F.col("end_id").alias("at"), F.lit(2).alias("phase"), F.lit(-1).alias("step"), F.lit(None).cast(marks.schema).alias("mark"))
-    asks = asking.select("doc_key", F.col("node_id").alias("at"), F.lit(0).alias("phase"), F.lit(0).alias("step"), F.lit(None).cast(marks.schema).alias("mark"), F.struct("*").alias("row"))
-    edges = marks.select("doc_key", F.explode(F.array(begin, end)).alias("e")).select("doc_key", "e.*", F.lit(None).cast(asking.schema).alias("row"))
+    own = lambda df, name: df.select("doc_key", "node_id", F.struct(*(c for c in df.columns if c != "doc_key")).alias(name))
+    key = ["doc_key", "node_id"]
+    met = nodes.select(*key).join(own(asking, "row"), key, "left").join(own(marks, "mark"), key, "left").where("row is not null or mark is not null")
+    none = lambda name: F.lit(None).cast(met.schema[name].dataType).alias(name)
+    event = lambda at, phase, step, row, mark: F.struct(at.alias("at"), F.lit(phase).alias("phase"), F.lit(step).alias("step"), row, mark)
+    ask = F.when(F.col("row").isNotNull(), event(F.col("node_id"), 0, 0, F.col("row"), none("mark")))
+    begin = F.when(F.col("mark").isNotNull(), event(F.col("node_id"), 1, 1, none("row"), F.col("mark")))
+    end = F.when(F.col("mark").isNotNull(), event(F.col("mark.end_id"), 2, -1, none("row"), none("mark")))
     w = Window.partitionBy("doc_key").orderBy("at", "phase").rowsBetween(Window.unboundedPreceding, -1)
-    events = asks.unionByName(edges).withColumn("level", F.coalesce(F.sum("step").over(w), F.lit(0)))
-    own = F.array("level") if nearest else F.sequence(F.lit(1).cast("bigint"), F.greatest("level", F.lit(1)))
-    levels = F.when(F.col("phase") == 1, F.array(F.col("level") + 1)).when((F.col("phase") == 0) & (F.col("level") > 0), own)
+    events = met.select("doc_key", F.explode(F.array_compact(F.array(ask, begin, end))).alias("e")).select("doc_key", "e.*").withColumn("level", F.coalesce(F.sum("step").over(w), F.lit(0)))
+    open_ = F.array("level") if nearest else F.sequence(F.lit(1).cast("bigint"), F.greatest("level", F.lit(1)))
+    levels = F.when(F.col("phase") == 1, F.array(F.col("level") + 1)).when((F.col("phase") == 0) & (F.col("level") > 0), open_)
     dealt = events.select("doc_key", "at", "phase", "row", "mark", F.explode(levels).alias("level"))
     w = Window.partitionBy("doc_key", "level").orderBy("at", "phase").rowsBetween(Window.unboundedPreceding, 0)
-    return dealt.withColumn("mark", F.last("mark", True).over(w)).where("phase = 0").select("row.*", "mark")
+    return dealt.withColumn("mark", F.last("mark", True).over(w)).where("phase = 0").select("doc_key", "row.*", "mark")
 
 
 def without_noise(nodes: DataFrame) -> DataFrame:
@@ -100,7 +105,7 @@ def heading_texts(nodes: DataFrame) -> DataFrame:
     named = (F.col("tag") == "a") & (attr("name").isNotNull() | attr("id").isNotNull())
     bold = nodes.withColumn("anchored", first_inside(named, F.lit(True))).where("tag = 'b'").select("doc_key", "node_id", "end_id", "anchored")
     marks = element_texts(nodes, bold, ["b"]).where(F.col("anchored") | F.col("text_sp").rlike(ARTICLE_START)).select("doc_key", "node_id", "end_id")
-    said = around(texts.where(F.array_contains("tags", "b")).select("doc_key", "node_id", "block_id"), marks, nearest=True).where("mark.node_id > block_id").select("doc_key", "node_id")
+    said = around(nodes, texts.where(F.array_contains("tags", "b")).select("doc_key", "node_id", "block_id"), marks, nearest=True).where("mark.node_id > block_id").select("doc_key", "node_id")
     return texts.where(_tags_any(HEADINGS)).select("doc_key", "node_id").union(said).distinct()
 
 
@@ -117,7 +122,7 @@ def element_texts(nodes: DataFrame, wanted: DataFrame, tags: list[str] | None =
         marks = wanted.select("doc_key", "node_id", "end_id").distinct()
     else:
         marks = nodes.where("kind = 'element'").select("doc_key", "node_id", "end_id").join(wanted.select("doc_key", "node_id"), ["doc_key", "node_id"], "left_semi")
-    met = around(texts.select("doc_key", "node_id", "text"), marks)
+    met = around(nodes, texts.select("doc_key", "node_id", "text"), marks)
     got = met.groupBy("doc_key", F.col("mark.node_id").alias("of")).agg(F.array_sort(F.collect_list(F.struct("node_id", "text"))).alias("ts"))
     raw = F.array_join(F.transform("ts", lambda t: t["text"]), "")
     sp = F.array_join(F.filter(F.transform("ts", lambda t: F.regexp_replace(t["text"], rf"{U}^\s+|\s+$", "")), lambda t: t != ""), " ")
@@ -136,7 +141,7 @@ def host(nodes: DataFrame, kind: str | None = "статья") -> DataFrame:
     """(doc_key, node_id, host, host_number) of nodes in a div with data-type: the nearest one (of that ``kind``)."""
     condition = (F.col("tag") == "div") & (attr("data-type").isNotNull() if kind is None else attr("data-type") == kind)
     marks = nodes.where(condition).select("doc_key", "node_id", "end_id", attr("data-number").alias("number"))
-    found = around(nodes.select("doc_key", "node_id"), marks, nearest=True)
+    found = around(nodes, nodes.select("doc_key", "node_id"), marks, nearest=True)
     return found.select("doc_key", "node_id", F.col("mark.node_id").alias("host"), F.col("mark.number").alias("host_number"))
 
 
@@ -156,7 +161,7 @@ def in_note(nodes: DataFrame, wide: bool = True, block: int = 2000) -> DataFrame
     red = nodes.where((F.col("tag") == "font") & (F.upper(F.ltrim(F.trim(F.coalesce(attr("color"), F.lit(""))), F.lit("#"))) == "FF0000")).select("doc_key", "node_id", "end_id")
     red = element_texts(nodes, red, ["font"]).where(F.col("text_raw").rlike(NOTE_RED)).select("doc_key", "node_id", "end_id")
     marked = nodes.where(span).select("doc_key", "node_id", "end_id").union(red)
-    narrow = around(texts.where(_tags_any(["span", "font"])).select("doc_key", "node_id"), marked, nearest=True).select("doc_key", "node_id")
+    narrow = around(nodes, texts.where(_tags_any(["span", "font"])).select("doc_key", "node_id"), marked, nearest=True).select("doc_key", "node_id")
     if not wide:
         return narrow
     sign = (F.col("kind") == "text") & (F.col("text").rlike(NOTE) | F.left(F.trim("text"), F.lit(15)).contains(NOTE_BEGINS))
