@@ -229,16 +229,22 @@ def repeated_paragraphs(documents: DataFrame, threshold: float = THRESHOLD, insi
     # Equal paragraphs are one row: what is banded and compared are distinct ones, so copies cost no comparison.
     place = F.struct("doc_id", "start", "size")
     distinct = whole.groupBy("h", "h2").agg(F.min(place).alias("at"), F.max(place).alias("end"), F.first("keys").alias("keys"))
-    distinct = cut(distinct.select("h", "h2", "at.*", F.col("end.doc_id").alias("last"), (F.col("at") < F.col("end")).alias("again"), "keys").withColumn("pid", F.monotonically_increasing_id()), "distinct")
+    banded, banded_at = written(distinct.select("h", "h2", "at.*", F.col("end.doc_id").alias("last"), (F.col("at") < F.col("end")).alias("again"), "keys").withColumn("pid", F.monotonically_increasing_id()), "distinct")
     paras, paras_at = written(whole.drop("keys"), "places")
     drop(spark, whole_at)
-    keyed = distinct.select("pid", F.explode("keys").alias("key"))
+    keyed = banded.select("pid", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    hits = cut(keyed.join(shared, "key").distinct(), "colliding")
+    hits, hits_at = written(keyed.join(shared, "key").distinct(), "colliding")
+    distinct = cut(banded.drop("keys"), "unbanded")  # the keys are most of its bytes and have been used
+    drop(spark, banded_at)
     places = distinct.select("pid", "doc_id", "start", "size").join(hits.select("pid").distinct(), "pid")
-    texts = cut(_texts(documents, places), "paragraph-texts")
+    texts, texts_at = written(_texts(documents, places), "paragraph-texts")
     near = _similar(_tiles(hits.withColumnRenamed("pid", "rep")).join(texts.select(F.col("pid").alias("rep"), "t"), "rep"), threshold)
-    linked = cut(connected_components(near), "paragraph-components")
+    links, links_at = written(near, "paragraph-links")
+    drop(spark, texts_at)
+    drop(spark, hits_at)
+    linked = cut(connected_components(links), "paragraph-components")
+    drop(spark, links_at)
     own = distinct.select("h", "h2", place.alias("at"), "last", "again", "pid")
     members = own.join(linked, F.col("pid") == F.col("node"))
     spans = members.groupBy("component").agg(F.min("at").alias("first"), F.max("last").alias("final"))
