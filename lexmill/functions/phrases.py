@@ -40,22 +40,12 @@ def phrase_spans(rows: DataFrame, phrases: DataFrame, text: str = "text", words:
         held = rows.sparkSession.sparkContext.broadcast(found)
 
         def run(batches: Iterator[pa.RecordBatch], held: object = held) -> Iterator[pa.RecordBatch]:
-            import ahocorasick
-
-            automaton, by_key = ahocorasick.Automaton(), {}
-            for phrase, value in held.value:
-                key = " ".join(lowered(phrase).split()) if words else lowered(phrase)
-                if key:
-                    by_key.setdefault(key, []).append((phrase, value))
-            for key, own in by_key.items():
-                automaton.add_word(key, (len(key), own))
-            if by_key:
-                automaton.make_automaton()
+            automaton = _automaton(held.value, words)
             for b in batches:
                 made = []
                 for t, so_far in zip(b.column(at), b.column(last), strict=True):
                     found = so_far.as_py()
-                    if t.is_valid and by_key:
+                    if t.is_valid and len(automaton):
                         found = found + list(_places(automaton, t.as_py(), words))
                     made.append(found)
                 columns = [*b.columns]
@@ -66,6 +56,27 @@ def phrase_spans(rows: DataFrame, phrases: DataFrame, text: str = "text", words:
     return rows
 
 
+#: The automaton that this worker has built last, and what of: tasks of one pass share it.
+_BUILT: dict[bool, tuple[list, object]] = {}
+
+
+def _automaton(phrases: list[tuple[str, str]], words: bool) -> object:
+    if _BUILT.get(words, (None,))[0] is not phrases:
+        import ahocorasick
+
+        automaton, by_key = ahocorasick.Automaton(), {}
+        for phrase, value in phrases:
+            key = " ".join(lowered(phrase).split()) if words else lowered(phrase)
+            if key:
+                by_key.setdefault(key, []).append((phrase, value))
+        for key, own in by_key.items():
+            automaton.add_word(key, (len(key), own))
+        if by_key:
+            automaton.make_automaton()
+        _BUILT[words] = phrases, automaton
+    return _BUILT[words][1]
+
+
 def _places(automaton: object, text: str, words: bool) -> Iterator[dict]:
     if words:
         tokens = [m.span() for m in re.finditer(r"\S+", text)]

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.phrases import phrase_spans
+from ..functions.sequences import aligned
 from ..functions.text import IU, U, collapse
 from .anchors import first_wins, heading_map, resolve, reverse_anchors
 from .dom import around, attr, element_texts, first_inside, host, ids, in_scope, inside, inside_link, lines, links, preceding
@@ -309,6 +311,27 @@ def cross_verify(rows: DataFrame, registry: DataFrame, articles: DataFrame, subp
     return got.select("doc_key", "target", "anchor", "text", "article", "may_mean", verdict.alias("verdict"))
 
 
+_CHANGES = "array<struct<kind:string,old_at:int,new_at:int>>"
+
+
+def sequence_diff(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(doc_key, kind, old_ord, new_ord, old_href, new_href, text) of what differs between two forms' links (doc_key, ord, href, text).
+
+    Links that both have, in the same order, are a longest common subsequence; between its members equal texts with
+    another target are ``retarget``, the rest is ``only_old`` or ``only_new``. A document's own links are gathered once for each form.
+    """
+    own = lambda df, name: df.groupBy("doc_key").agg(F.array_sort(F.collect_list(F.struct("ord", F.coalesce("href", F.lit("")).alias("href"), F.coalesce("text", F.lit("")).alias("text")))).alias(name))
+    both = own(old, "old").join(own(new, "new"), "doc_key", "full")
+
+    def changes(old: pd.Series, new: pd.Series) -> pd.Series:
+        links = lambda own: [(x["href"], x["text"]) for x in own] if own is not None else []
+        return pd.Series([[dict(zip(("kind", "old_at", "new_at"), c, strict=True)) for c in aligned(links(a), links(b))] for a, b in zip(old, new, strict=True)])
+
+    each = both.withColumn("changes", F.pandas_udf(changes, _CHANGES)("old", "new")).select("doc_key", "old", "new", F.explode("changes").alias("c"))
+    was, is_ = F.get("old", F.col("c.old_at")), F.get("new", F.col("c.new_at"))
+    return each.select("doc_key", "c.kind", was["ord"].alias("old_ord"), is_["ord"].alias("new_ord"), was["href"].alias("old_href"), is_["href"].alias("new_href"), F.coalesce(was["text"], is_["text"]).alias("text"))
+
+
 def round_robin(rows: DataFrame, kind: str, order: list[str], n: int = 20) -> DataFrame:
     """``n`` examples that take turns over the kinds: the first of each, then the second, ..."""
     k = F.row_number().over(Window.partitionBy(kind).orderBy(*order))

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.overlaps import cut_out, with_links, without_overlaps
 from ..functions.text import ORDINALS, collapse, escape
 from ..sources.html import kept_nodes, serialize
 from ..sources.shared import written
@@ -213,10 +214,12 @@ def accepted(found: DataFrame, maps: DataFrame) -> DataFrame:
     known = keys.join(maps, ["doc_key", "key"]).groupBy("doc_key", "node_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "anchor"))).alias("known"))
     rows = found.join(known, ["doc_key", "node_id"], "left").withColumn("known", F.coalesce("known", F.create_map().cast("map<string,string>")))
 
-    def resolved(m: Column) -> Column:
+    rows = rows.withColumn("wholes", cut_out(F.col("text"), F.col("matches")))
+
+    def resolved(m: Column, i: Column) -> Column:
         def link(x: Column) -> Column:
             key = F.try_element_at(F.filter(x["keys"], lambda k: F.map_contains_key("known", k)), F.lit(1))
-            whole = F.substring(F.col("text"), m["s"] + 1, m["e"] - m["s"])
+            whole = F.get("wholes", i)
             return F.struct(x["s"].alias("s"), x["e"].alias("e"), F.element_at("known", key).alias("anchor"), key.alias("key"), m["rule"].alias("rule"), whole.alias("whole"))
 
         return F.struct(m["s"].alias("s"), m["e"].alias("e"), m["rule"].alias("rule"), m["mode"].alias("mode"), m["require"].alias("require"), F.transform(m["links"], link).alias("links"))
@@ -229,20 +232,15 @@ def accepted(found: DataFrame, maps: DataFrame) -> DataFrame:
         return good & (m["require"].isNull() | F.map_contains_key("known", F.coalesce(m["require"], F.lit(""))))
 
     good = F.filter("matches", counts)
-    free = lambda taken, m: ~F.exists(taken, lambda t: (t["s"] < m["e"]) & (t["e"] > m["s"]))
-    folded = F.aggregate(good, F.filter(good, lambda m: F.lit(False)), lambda taken, m: F.when(free(taken, m), F.concat(taken, F.array(m))).otherwise(taken))
-    pieces = F.filter(F.flatten(F.transform(folded, lambda m: m["links"])), lambda x: x["anchor"].isNotNull())
+    rows = rows.withColumn("good", good)
+    pieces = F.filter(F.flatten(F.transform(without_overlaps(F.col("good")), lambda m: m["links"])), lambda x: x["anchor"].isNotNull())
     refused = F.filter("matches", lambda m: (m["mode"] == "first") & m["links"][0]["anchor"].isNull())
-    return rows.withColumn("links", F.array_sort(pieces)).withColumn("refused", refused).drop("matches", "known")
+    return rows.withColumn("links", F.array_sort(pieces)).withColumn("refused", refused).drop("matches", "known", "good", "wholes")
 
 
 def rendered(text: Column, found: Column, doc: str = "") -> Column:
     """The markup of ``text`` with its links; everything else escaped."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    between = lambda a, b: escape(F.substring(text, a + 1, b - a))
-    link = lambda x: F.concat(F.lit(f'<a href="{doc}#'), F.replace(escape(x["anchor"]), F.lit('"'), F.lit("&quot;")), F.lit('">'), between(x["s"], x["e"]), F.lit("</a>"))
-    step = lambda acc, x: F.struct(x["e"].alias("at"), F.concat(acc["out"], between(acc["at"], x["s"]), link(x)).alias("out"))
-    return F.aggregate(found, start, step, lambda acc: F.concat(acc["out"], between(acc["at"], F.length(text))))
+    return with_links(text, found, F.transform(found, lambda x: F.concat(F.lit(f"{doc}#"), x["anchor"])))
 
 
 # Context, maps and passes
@@ -289,9 +287,10 @@ def find_references(nodes: DataFrame, maps: DataFrame, include_notes: bool = Fal
 
 def references(found: DataFrame, doc: str = "") -> DataFrame:
     """One row a link: (doc_key, node_id, ord, rule, original, whole, start, end, article, anchor, href, context)."""
-    each = found.select("doc_key", "node_id", "text", F.posexplode("links").alias("ord", "x"))
-    around = collapse(F.substring(F.col("text"), F.greatest(F.lit(1), F.col("x.s") - 39), F.col("x.e") - F.col("x.s") + 80))
-    said = F.substring(F.col("text"), F.col("x.s") + 1, F.col("x.e") - F.col("x.s"))
+    spread = found.withColumn("__around", F.transform("links", lambda x: F.struct(F.greatest(F.lit(0), x["s"] - 40).alias("s"), (x["e"] + 40).alias("e"))))
+    spread = spread.withColumn("said", cut_out(F.col("text"), F.col("links"))).withColumn("near", cut_out(F.col("text"), F.col("__around")))
+    each = spread.select("doc_key", "node_id", F.posexplode(F.arrays_zip("links", "said", "near")).alias("ord", "z")).select("doc_key", "node_id", "ord", F.col("z.links").alias("x"), F.col("z.said").alias("said"), F.col("z.near").alias("near"))
+    around, said = collapse(F.col("near")), F.col("said")
     article = F.when(~F.col("x.key").startswith("c:"), F.regexp_extract("x.key", r"^[asp]:(\d+(?:-\d+)?)", 1))
     return each.select("doc_key", "node_id", "ord", F.col("x.rule").alias("rule"), said.alias("original"), F.col("x.whole").alias("whole"), F.col("x.s").alias("start"), F.col("x.e").alias("end"), article.alias("article"), F.col("x.anchor").alias("anchor"), F.concat(F.lit(f"{doc}#"), "x.anchor").alias("href"), around.alias("context"))
 

@@ -17,8 +17,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.overlaps import cut_out, with_links, without_overlaps
 from ..functions.phrases import phrase_spans
 from ..functions.text import ENDING, IU, MARK, ORDINALS, U, collapse, escape
+from ..sources.shared import written
 from .dom import attr, element_texts, host, ids, inside
 from .references import ART, NUM, PART, PNUM, PUNKT, SEP, SUB
 
@@ -235,60 +237,104 @@ _ENDS_UNIT = re.compile(rf"(?P<unit>(?:{_QUALIFIER}\s+)?(?:{SUB}|{PUNKT})\s+\d+\
 _ENDS_QUALIFIER = re.compile(rf"(?P<unit>{_QUALIFIER})\s*$", re.I)
 
 
-def next_edit(cells: list[dict], start: int = 0) -> tuple[str, int, int, int] | None:
-    """The first merge among ``cells`` from ``start`` on: (kind, link, other cell, characters of the other that are taken).
+class _Row:
+    """The cells of a parent that have text left, as a doubly linked list: an edit costs what it takes, not what stands around it."""
+
+    def __init__(self, cells: list[dict]) -> None:
+        self.cells = cells
+        here = [i for i, c in enumerate(cells) if not c["gone"] and c["text"] != ""]
+        self.after, self.before, self.live = dict(zip(here, here[1:])), dict(zip(here[1:], here)), set(here)
+        self.first = here[0] if here else None
+        self.link_before: list[int] = []  # the last link in front of every cell, whatever became of it
+        last = -1
+        for i, c in enumerate(cells):
+            self.link_before.append(last)
+            last = i if c["kind"] == "a" and i in self.live else last
+
+    def drop(self, i: int) -> None:
+        """``i`` goes; what follows it is still found from it."""
+        self.live.discard(i)
+        a, b = self.before.get(i), self.after.get(i)
+        if a is None:
+            self.first = b
+        elif b is None:
+            self.after.pop(a, None)
+        else:
+            self.after[a] = b
+        if b is not None:
+            self.before[b] = a
+            if a is None:
+                del self.before[b]
+
+    def said_before(self, i: int) -> int | None:
+        """The nearest cell in front of ``i`` that is no blank text."""
+        j = self.before.get(i)
+        while j is not None and self.cells[j]["kind"] == "text" and not self.cells[j]["text"].strip():
+            j = self.before.get(j)
+        return j
+
+    def link_from(self, i: int | None) -> int | None:
+        """The first live link from ``i`` on."""
+        while i is not None and (i not in self.live or self.cells[i]["kind"] != "a"):
+            i = self.after.get(i)
+        return i
+
+
+def edit_at(row: _Row, i: int) -> tuple[str, int, int, int] | None:
+    """The merge that the link ``i`` calls for: (kind, link, other cell, characters of the other that are taken).
 
     forward: a unit's link takes the article after it; backward: a link takes the unit before it; merge: a unit's link and
     an article's become one; range: a number takes the dash and number (or link) after it; complex: seen, not applied.
     """
-    live = [i for i, c in enumerate(cells) if not c["gone"] and c["text"] != ""]
-    for k, i in enumerate(live):
-        if i < start or cells[i]["kind"] != "a":
-            continue
-        said = cells[i]["text"]
-        back = next((j for j in reversed(live[:k]) if cells[j]["kind"] != "text" or cells[j]["text"].strip()), None)
-        ahead = live[k + 1] if k + 1 < len(live) else None
-        unit = bool(_UNIT.match(said) and _NUMBER.search(said))
-        if _ARTICLE.match(said):
-            if back is None:
-                continue
-            if cells[back]["kind"] == "a":
-                own = cells[back]["text"]
-                if _UNIT.match(own) and _NUMBER.search(own):
-                    before = next((j for j in reversed(live[: live.index(back)]) if cells[j]["kind"] != "text" or cells[j]["text"].strip()), None)
-                    if before is not None and cells[before]["kind"] == "a" and _UNIT.match(cells[before]["text"]):
-                        return "complex", i, back, 0
-                    return "merge", back, i, 0
-            elif cells[back]["kind"] == "text" and (m := _ENDS_UNIT.search(cells[back]["text"])):
-                return "backward", i, back, len(cells[back]["text"]) - m.start("unit")
-            continue
-        if _POINT.match(said) and back is not None and cells[back]["kind"] == "text":
-            m = _ENDS_QUALIFIER.search(cells[back]["text"])
-            if m and "пункт" not in m["unit"].lower():
-                return "backward", i, back, len(cells[back]["text"]) - m.start("unit")
-        if ahead is None or cells[ahead]["kind"] != "text":
-            continue
-        after = cells[ahead]["text"]
-        if unit and (m := _TAKES_ARTICLE.match(after)):
-            return "forward", i, ahead, m.end()
-        if _NUMBER.search(said):
-            if m := _TAKES_NUMBER.match(after):
-                return "range", i, ahead, m.end()
-            following = live[k + 2] if k + 2 < len(live) else None
-            if _DASH.fullmatch(after) and following is not None and cells[following]["kind"] == "a" and _ONLY.match(cells[following]["text"]):
-                return "range", i, following, 0
+    cells, said = row.cells, row.cells[i]["text"]
+    back = row.said_before(i)
+    if _ARTICLE.match(said):
+        if back is None:
+            return None
+        own = cells[back]["text"]
+        if cells[back]["kind"] == "a" and _UNIT.match(own) and _NUMBER.search(own):
+            further = row.said_before(back)
+            if further is not None and cells[further]["kind"] == "a" and _UNIT.match(cells[further]["text"]):
+                return "complex", i, back, 0
+            return "merge", back, i, 0
+        if cells[back]["kind"] == "text" and (m := _ENDS_UNIT.search(own)):
+            return "backward", i, back, len(own) - m.start("unit")
+        return None
+    if _POINT.match(said) and back is not None and cells[back]["kind"] == "text":
+        m = _ENDS_QUALIFIER.search(cells[back]["text"])
+        if m and "пункт" not in m["unit"].lower():
+            return "backward", i, back, len(cells[back]["text"]) - m.start("unit")
+    ahead = row.after.get(i)
+    if ahead is None or cells[ahead]["kind"] != "text" or not _NUMBER.search(said):
+        return None
+    after = cells[ahead]["text"]
+    if _UNIT.match(said) and (m := _TAKES_ARTICLE.match(after)):
+        return "forward", i, ahead, m.end()
+    if m := _TAKES_NUMBER.match(after):
+        return "range", i, ahead, m.end()
+    following = row.after.get(ahead)
+    if _DASH.fullmatch(after) and following is not None and cells[following]["kind"] == "a" and _ONLY.match(cells[following]["text"]):
+        return "range", i, following, 0
     return None
 
 
 def settle(cells: list[dict]) -> list[tuple[str, str, str, str | None]]:
-    """Apply ``next_edit`` to ``cells`` in place until nothing is left; (kind, text, kept href, dropped href) of each."""
-    log, start = [], 0
-    while found := next_edit(cells, start):
+    """Merge ``cells`` in place, the first in the text first, until nothing is left; (kind, text, kept href, dropped href) of each.
+
+    After a merge only the link in front of it can have become ready for another, so the walk goes on from there.
+    """
+    log, row = [], _Row(cells)
+    at = row.link_from(row.first)
+    while at is not None:
+        found = edit_at(row, at)
+        if found is None:
+            at = row.link_from(row.after.get(at))
+            continue
         kind, i, j, n = found
         one, other = cells[i], cells[j]
         if kind == "complex":
             log.append((kind, "".join(c["text"] for c in cells[j : i + 1] if not c["gone"]), other["href"], None))
-            start = i + 1
+            at = row.link_from(row.after.get(i))
             continue
         if kind == "backward":
             cut = len(other["text"]) - n
@@ -299,10 +345,15 @@ def settle(cells: list[dict]) -> list[tuple[str, str, str, str | None]]:
         else:
             taken = "".join(c["text"] for c in cells[i + 1 : j + 1] if not c["gone"])
             one["tail"], one["text"] = one["tail"] + taken, one["text"] + taken
-            for c in cells[i + 1 : j + 1]:
-                c["gone"] = True
+            for k in range(i + 1, j + 1):
+                cells[k]["gone"] = True
+                if k in row.live:
+                    row.drop(k)
+        if not other["gone"] and other["text"] == "":
+            row.drop(j)
         log.append((kind, one["text"], one["href"], None if n else other["href"]))
-        start = max((k for k in range(i) if cells[k]["kind"] == "a"), default=0)  # what stands before that cannot have changed
+        start = row.link_before[i]
+        at = row.link_from(row.first if start < 0 else start)
     return log
 
 
@@ -355,24 +406,19 @@ def phrase_links(texts: DataFrame, phrases: DataFrame, least: int = 16, text: st
     wanted = phrases.where(F.length("phrase") >= least).select("phrase", F.col("doc_id").alias("value"))
     found = phrase_spans(texts, wanted, text)
     ordered = F.array_sort(F.transform("spans", lambda x: F.struct((-(x["e"] - x["s"])).alias("n"), x["s"].alias("s"), x["e"].alias("e"), x["phrase"].alias("phrase"), x["value"].alias("value"))))
-    free = lambda taken, x: ~F.exists(taken, lambda t: (t["s"] < x["e"]) & (t["e"] > x["s"]))
-    folded = F.aggregate(ordered, F.filter(ordered, lambda x: F.lit(False)), lambda taken, x: F.when(free(taken, x), F.concat(taken, F.array(x))).otherwise(taken))
-    return found.withColumn("links", F.array_sort(F.transform(folded, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["phrase"].alias("phrase"), x["value"].alias("value"))))).drop("spans")
+    return found.withColumn("ordered", ordered).withColumn("links", F.array_sort(F.transform(without_overlaps(F.col("ordered")), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["phrase"].alias("phrase"), x["value"].alias("value"))))).drop("spans", "ordered")
 
 
 def phrase_hits(found: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     """One row a place: ``keep``, ord, doc_id and phrase as it stands there."""
-    said = F.substring(F.col(text), F.col("x.s") + 1, F.col("x.e") - F.col("x.s"))
-    return found.select(*keep, text, F.posexplode("links").alias("ord", "x")).select(*keep, "ord", F.col("x.value").alias("doc_id"), said.alias("phrase"))
+    said = cut_out(F.col(text), F.col("links"))
+    each = found.select(*keep, F.transform("links", lambda x: x["value"]).alias("values"), said.alias("said"))
+    return each.select(*keep, F.posexplode(F.arrays_zip("values", "said")).alias("ord", "x")).select(*keep, "ord", F.col("x.values").alias("doc_id"), F.col("x.said").alias("phrase"))
 
 
 def phrase_markup(text: Column, found: Column, site: str = SITE) -> Column:
     """``text`` with links to the acts' own pages, everything else escaped."""
-    between = lambda a, b: escape(F.substring(text, a + 1, b - a))
-    link = lambda x: F.concat(F.lit(f'<a href="{site}'), x["value"], F.lit('">'), between(x["s"], x["e"]), F.lit("</a>"))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    step = lambda acc, x: F.struct(x["e"].alias("at"), F.concat(acc["out"], between(acc["at"], x["s"]), link(x)).alias("out"))
-    return F.aggregate(found, start, step, lambda acc: F.concat(acc["out"], between(acc["at"], F.length(text))))
+    return with_links(text, found, F.transform(found, lambda x: F.concat(F.lit(site), x["value"])))
 
 
 def linked_phrases(nodes: DataFrame, phrases: DataFrame, least: int = 16, site: str = SITE) -> DataFrame:
@@ -415,8 +461,37 @@ def overridden(pages: DataFrame, overrides: DataFrame, site: str = SITE) -> Data
     return joined.withColumn("html", F.when(F.col("__o").isNull(), F.col("html")).otherwise(F.aggregate("__o", F.col("html"), put))).drop("__o")
 
 
-def remapped(rows: DataFrame, remap: DataFrame, href: str = "href", site: str = SITE) -> DataFrame:
-    """Links to a deprecated act point to the one that took its place (``was`` keeps the old id); a fragment goes."""
-    doc = doc_of(F.col(href))
-    joined = rows.withColumn("old_id", doc).join(remap, "old_id", "left")
-    return joined.withColumn(href, F.when(F.col("new_id").isNotNull(), F.concat(F.lit(site), "new_id")).otherwise(F.col(href))).withColumn("was", F.when(F.col("new_id").isNotNull(), F.col("old_id"))).drop("old_id", "new_id")
+def closed_remap(remap: DataFrame) -> DataFrame:
+    """(old_id, new_id) of a remap with every act taken to the end of its chain; no new_id (null) for those that run into a cycle.
+
+    Each round joins the table with itself, so that a step spans twice as many acts; a chain of n acts takes log2(n)
+    rounds, and what still leads to a deprecated act after as many as the table could need is a cycle. Of several
+    successors of one act the least counts; an act that is its own successor is a cycle.
+    """
+    now = written(remap.where("old_id is not null and new_id is not null").groupBy("old_id").agg(F.min("new_id").alias("new_id")), "remap")
+    rounds = max(1, now.count()).bit_length()
+    for _ in range(rounds):
+        onward = now.select(F.col("old_id").alias("at"), F.col("new_id").alias("then"))
+        met = written(now.join(onward, F.col("new_id") == F.col("at"), "left"), "remap")
+        now = met.select("old_id", F.coalesce("then", "new_id").alias("new_id"))
+        if met.where("at is not null").isEmpty():
+            return now
+    olds = now.select(F.col("old_id").alias("at"), F.lit(True).alias("again"))
+    return now.join(olds, F.col("new_id") == F.col("at"), "left").select("old_id", F.when(F.col("again").isNull(), F.col("new_id")).alias("new_id"))
+
+
+def remapped(rows: DataFrame, remap: DataFrame, articles: DataFrame | None = None, href: str = "href", site: str = SITE) -> DataFrame:
+    """Links to a deprecated act point to the one at the end of its chain (``was`` keeps the old id); those of a cycle stay.
+
+    Where ``articles`` (doc_id, article, anchor) are given, a link whose text names an article goes to that article of the
+    new act; anchors of the old act mean nothing there, so other fragments go. rows: ``href`` and, for this, text.
+    """
+    joined = rows.withColumn("old_id", doc_of(F.col(href))).join(closed_remap(remap), "old_id", "left")
+    to = F.concat(F.lit(site), "new_id")
+    if articles is not None:
+        number = F.nullif(F.regexp_extract("text", rf"{IU}{ART}\s+({NUM})", 1), F.lit(""))
+        there = articles.groupBy(F.col("doc_id").alias("__of"), F.col("article").alias("__article")).agg(F.min("anchor").alias("__anchor"))
+        joined = joined.withColumn("__n", number).join(there, (F.col("new_id") == F.col("__of")) & (F.col("__n") == F.col("__article")), "left")
+        to = F.concat(to, F.coalesce(F.concat(F.lit("#"), "__anchor"), F.lit("")))
+    moved = F.col("new_id").isNotNull()
+    return joined.withColumn(href, F.when(moved, to).otherwise(F.col(href))).withColumn("was", F.when(moved, F.col("old_id"))).drop("old_id", "new_id", "__n", "__of", "__article", "__anchor")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import ORDINALS, ordinal, roman
 from ..operators import anchors, audit, chunks, dom, references, spans, structure
 from ..sources import html, registry, sinks
-from ..sources.shared import shared_folder, written
+from ..sources.shared import bucketed, shared_folder, written
 from . import acts, cases
 from .sql import SQL
 
@@ -143,7 +143,7 @@ def act_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw acts to structured pages to articles to chunks."""
     nodes = html.kept_nodes(structure.structured_html(html.kept_nodes(acts.act_pages(spark, sf_dir), "doc_key", "html")), "doc_key", "html")
     registered = _t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("doc_id"))
-    articles, segments = (written(df, "articles") for df in chunks.parse_articles(nodes, registered))
+    articles, segments = (bucketed(df, "articles", "doc_key", "inst") for df in chunks.parse_articles(nodes, registered))
     made = chunks.chunks(articles, segments)
     return made.select("id", "text", F.col("meta.hier_id").alias("hier_id"), F.col("meta.doc_id").alias("doc_id"), F.col("meta.unit_type").alias("unit_type"), F.col("meta.char_len").alias("char_len"))
 
@@ -273,6 +273,26 @@ def remapped_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.remapped(acts.hrefs(spark, sf_dir).select("ord", "href"), remap)
 
 
+def relinked_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links to deprecated acts taken to the end of their chains: one of 25 acts, one of a single step, and a cycle, which stays; articles by the new acts' maps."""
+    n = F.col("n_nationkey")
+    chain = _t(spark, sf_dir, "nation").select(F.concat(F.lit("C"), n + 1000000).alias("old_id"), F.concat(F.lit("C"), n + 1000001).alias("new_id"))
+    more = spark.createDataFrame([("K1500000001", "C1000000"), ("K1500000003", "K2500000003"), ("K1500000005", "K2500000005"), ("K2500000005", "K1500000005")], "old_id string, new_id string")
+    last = F.concat(F.lit("C"), F.max(n) + 1000001)
+    articles = _t(spark, sf_dir, "nation").agg(last.alias("doc_id")).select("doc_id", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("k")).select("doc_id", F.col("k").cast("string").alias("article"), F.concat(F.lit("z"), "k").alias("anchor"))
+    articles = articles.union(spark.createDataFrame([("K2500000003", "2", "z22")], "doc_id string, article string, anchor string"))
+    return spans.remapped(acts.hrefs(spark, sf_dir).select("ord", "href", "text"), chain.union(more), articles).select("ord", "href", "was")
+
+
+def link_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of pages against those of another form, in which some are gone, some point elsewhere and some are new."""
+    rank = F.row_number().over(Window.partitionBy("doc_key").orderBy("node_id"))
+    old = written(dom.links(_pages(spark, sf_dir)).select("doc_key", rank.alias("ord"), "href", "text"), "links")
+    kept = old.where("ord % 5 <> 3").withColumn("href", F.when(F.col("ord") % 7 == 2, F.concat("href", F.lit("#moved"))).otherwise(F.col("href"))).withColumn("ord", F.col("ord") * 2)
+    new = kept.unionByName(old.where("ord % 11 = 4").select("doc_key", (F.col("ord") * 2 + 1).alias("ord"), F.lit("/new").alias("href"), F.lit("neu").alias("text")))
+    return audit.sequence_diff(old, new)
+
+
 def cross_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
     registered = spark.createDataFrame([(str(i), f"K15000{i:05d}") for i in range(5)], "code string, doc_id string")
     articles = spark.range(5).select(F.col("id").cast("string").alias("code"), F.explode(F.sequence(F.lit(1), F.lit(6))).alias("k")).where("code <> '4'").select("code", F.col("k").cast("string").alias("key"), F.concat(F.lit("z"), "k").alias("anchor"))
@@ -501,7 +521,7 @@ def first_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _articles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     nodes = _nodes_of(spark, sf_dir, cases.CHUNKED)
     registered = nodes.select(F.col("doc_key").alias("code"), F.lit("D").alias("doc_id")).distinct()
-    return nodes, *(written(df, "articles") for df in chunks.parse_articles(nodes, registered))
+    return nodes, *(bucketed(df, "articles", "doc_key", "inst") for df in chunks.parse_articles(nodes, registered))
 
 
 def chunked_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -771,7 +791,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         link_inventory, page_links, raw_hrefs, tag_counts, content_root, noise_free_text, eligible_texts, serialized_pages, head_injection, preceding_text, duplicate_ids,
         roman_numbers, ordinal_words, line_hierarchy, act_structure, act_hierarchy, article_map, subpoint_map, chapter_map, article_map_json, first_wins, reverse_map,
         anchor_resolution, found_references, linked_pages, top_references, merged_chains, full_spans, chain_gates, canonical_hrefs, dangling_links, renamed_duplicates, href_delta,
-        text_hashes, frozen_texts, pattern_delta, dictionary_links, longest_hint, stale_links, external_inventory, remapped_links, cross_verification, coverage_ratios, page_coverage,
+        text_hashes, frozen_texts, pattern_delta, dictionary_links, longest_hint, stale_links, external_inventory, remapped_links, relinked_acts, link_sequences, cross_verification, coverage_ratios, page_coverage,
         note_texts, content_texts, broken_lines, link_neighbours, link_hosts, element_anchors, id_inventory, link_context, anchor_methods, synthetic_anchors, article_headings, point_anchors, written_points,
         part_map, chapter_sources, named_ids, heading_numbers, boundary_marks, first_articles, chunked_acts, discrepancy_log, tree_records, title_numbers, unit_words, unlinked_references, coverage_totals,
         claimed_verdicts, independent_checks, hinted_mismatches, named_acts, external_names, all_checks, canon_gates, retargeted_links, dropped_letters, odd_hrefs, meant_articles, phrase_places, phrase_pages,

@@ -132,6 +132,14 @@ SQL: dict[str, str] = {
         WITH {_HREFS} SELECT ord, CASE WHEN k NOT IN (3, 5) AND user_id % 7 IN (1, 3) THEN 'https://example.org/docs/K25000' || lpad((user_id % 7)::VARCHAR, 5, '0') ELSE href END AS href,
             CASE WHEN k NOT IN (3, 5) AND user_id % 7 IN (1, 3) THEN doc END AS was FROM hrefs
     """,
+    "relinked_acts": f"""
+        WITH {_HREFS}, last AS (SELECT 'C' || (max(n_nationkey) + 1000001) AS id FROM nation), moved AS (
+            SELECT ord, href, doc, event_id % 4 + 1 AS said, CASE WHEN k IN (3, 5) THEN NULL WHEN user_id % 7 = 1 THEN (SELECT id FROM last) WHEN user_id % 7 = 3 THEN 'K2500000003' END AS new_id FROM hrefs
+        )
+        SELECT ord, CASE WHEN new_id IS NULL THEN href ELSE 'https://example.org/docs/' || new_id || CASE WHEN new_id LIKE 'C%' AND said < 4 THEN '#z' || said WHEN new_id LIKE 'K%' AND said = 2 THEN '#z22' ELSE '' END END AS href,
+            CASE WHEN new_id IS NOT NULL THEN doc END AS was
+        FROM moved
+    """,
     "cross_verification": f"""
         WITH {_HREFS}, linked AS (
             SELECT own::VARCHAR AS doc_key, (user_id % 7)::VARCHAR AS target, CASE k WHEN 0 THEN 'z' || num ELSE num END AS anchor, (event_id % 4 + 1)::VARCHAR AS meant FROM hrefs

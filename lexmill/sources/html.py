@@ -218,7 +218,7 @@ def kept_nodes(df: DataFrame, key: str, html: str) -> DataFrame:
 
 def told_apart(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(doc_key, html): equal rows are one page; of different pages under one key (in the order of their SHA-256) the second is ``key~2`` and so on."""
-    named = pages.select(F.col(key).cast("string").alias("doc_key"), F.col(html).alias("html")).withColumn("sha", F.sha2(F.coalesce(html, F.lit("")), 256))
+    named = pages.select(F.col(key).cast("string").alias("doc_key"), F.col(html).alias("html")).withColumn("sha", F.sha2(F.coalesce("html", F.lit("")), 256))
     seen = named.groupBy("doc_key", "sha").agg(F.count("*").alias("n"))
     ranked = seen.withColumn("k", F.row_number().over(Window.partitionBy("doc_key").orderBy("sha")))
     # Pages move only if a key has several of them.

@@ -2,12 +2,13 @@
 
 import collections
 import random
+import time
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.functions import phrases
+from lexmill.functions import overlaps, phrases, sequences
 from lexmill.functions.text import ROMAN, ordinal, roman
 from lexmill.operators import anchors, audit, chunks, dom, references, spans, structure
 from lexmill.plans import cases
@@ -114,6 +115,169 @@ def test_merges_settle(spark):
         assert said(once) == said(nodes)
 
 
+def _cells(rng, n):
+    said = ["пункт 1", "2", "статьи 5", "статье 7-1", "подпункту 3)", "второй", "", " ", ", ", " и ", " – ", "–4", " статьи 9 закона", "пункт 3 ", "части второй пункта 4 ", "слово"]
+    out = []
+    for i in range(n):
+        kind = rng.choice(["a", "a", "text", "text", "other"]) if not out or out[-1]["kind"] != "text" else rng.choice(["a", "a", "a", "other"])
+        text = rng.choice(said)
+        out.append({"node_id": i, "kind": kind, "text": text, "href": f"#h{i}" if kind == "a" else None, "lead": "", "tail": "", "gone": False, "was": text})
+    return out
+
+
+def test_worklist_against_looking_again_from_the_start():
+    rng = random.Random(8)
+    for _ in range(400):
+        cells = _cells(rng, rng.randrange(2, 14))
+        plain = [dict(c) for c in cells]
+        log, seen = [], -1
+        while True:
+            row = spans._Row(plain)
+            tries = ((i, spans.edit_at(row, i)) for i in range(seen + 1, len(plain)) if i in row.live and plain[i]["kind"] == "a")
+            found = next((e for _, e in tries if e), None)
+            if found is None:
+                break
+            kind, i, j, n = found
+            if kind == "complex":
+                log.append((kind, "".join(c["text"] for c in plain[j : i + 1] if not c["gone"]), plain[j]["href"], None))
+                seen = i
+                continue
+            one = [plain[i]]
+            more = spans.settle([c for c in one])  # one cell alone is settled
+            assert more == []
+            if kind == "backward":
+                cut = len(plain[j]["text"]) - n
+                plain[i]["text"], plain[j]["text"] = plain[j]["text"][cut:] + plain[i]["text"], plain[j]["text"][:cut]
+            elif n:
+                plain[i]["text"], plain[j]["text"] = plain[i]["text"] + plain[j]["text"][:n], plain[j]["text"][n:]
+            else:
+                plain[i]["text"] += "".join(c["text"] for c in plain[i + 1 : j + 1] if not c["gone"])
+                for c in plain[i + 1 : j + 1]:
+                    c["gone"] = True
+            log.append((kind, plain[i]["text"], plain[i]["href"], None if n else plain[j]["href"]))
+            seen = max((k for k in range(i) if plain[k]["kind"] == "a"), default=0) - 1
+        assert spans.settle(cells) == log
+        assert [(c["text"], c["gone"]) for c in cells] == [(c["text"], c["gone"]) for c in plain]
+
+
+def test_many_links_of_one_parent():
+    """100,000 links under one parent are merged in a time that grows with their number."""
+    took = []
+    for n in (25_000, 100_000):
+        cells = []
+        for i in range(n // 2):
+            for kind, text in (("a", f"пункт {i}"), ("text", " "), ("a", f"статьи {i}"), ("text", ", ")):
+                cells.append({"node_id": len(cells), "kind": kind, "text": text, "href": "#" if kind == "a" else None, "lead": "", "tail": "", "gone": False, "was": text})
+        began = time.time()
+        log = spans.settle(cells)
+        took.append(time.time() - began)
+        assert len(log) == n // 2 and {x[0] for x in log} == {"merge"}
+    assert took[1] < 12 * took[0] + 2
+
+
+def test_many_places_in_one_text(spark):
+    """20,000 hits in a text of 4 million characters: found, kept apart, cut out and linked (the session of the tests has 1 GB)."""
+    rng = random.Random(3)
+    for _ in range(200):
+        places = [(s, s + rng.randrange(1, 9)) for s in (rng.randrange(40) for _ in range(rng.randrange(1, 30)))]
+        taken, want = [], []
+        for k, (s, e) in enumerate(places):
+            if not any(a < e and b > s for a, b in taken):
+                taken.append((s, e)), want.append(k)
+        import numpy as np
+
+        assert overlaps._fitting(np.array([p[0] for p in places]), np.array([p[1] for p in places])) == want
+    n = 20_000
+    text = ("слово " * 30 + "Закону о рынке труда, ") * n
+    rows = spark.createDataFrame([("big", text), ("none", None), ("empty", ""), ("small", "a < закону о рынке труда > b")], "id string, text string")
+    wanted = spark.createDataFrame([("закону о рынке труда", "D1"), ("закону о рынке", "D2"), ("рынке труда", "D3")], "phrase string, doc_id string")
+    began = time.time()
+    found = spans.phrase_links(rows, wanted, 6)
+    counts = {r["id"]: (r["n"], r["k"]) for r in spans.phrase_hits(found, "id").groupBy("id").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("k")).collect()}
+    assert counts == {"big": (n, 1), "small": (1, 1)}
+    shown = {r["id"]: (r["n"], r["t"]) for r in found.select("id", spans.phrase_markup(F.col("text"), F.col("links")).alias("m")).select("id", F.length("m").alias("n"), F.when(F.length("m") < 200, F.col("m")).alias("t")).collect()}
+    assert shown["big"][0] == len(text) + n * len('<a href="https://example.org/docs/D1"></a>') and shown["small"][1] == 'a &lt; <a href="https://example.org/docs/D1">закону о рынке труда</a> &gt; b'
+    assert shown["none"] == (None, None) and shown["empty"] == (0, "")
+    assert time.time() - began < 120
+
+
+def test_deep_nesting(spark):
+    """Elements nested 10,000 deep cost no more than their number, and every question about what is around is answered."""
+    n = 10_000
+    pages = {"deep": "<div>" * n + '<p>Сноска. <a name="z1">x</a></p>' + "</div>" * n, "typed": '<div data-type="статья" data-number="1"><span>' * 40 + '<a href="#q">y</a>' + "</span></div>" * 40}
+    nodes = _nodes(spark, pages).cache()
+    assert nodes.where("doc_key = 'deep' and depth > 9000").count() > 990
+    began = time.time()
+    assert dom.in_note(nodes).count() >= 1 and dom.heading_texts(nodes).count() == 0
+    assert {r["doc_key"]: r["host"] for r in dom.host(nodes).join(nodes.where("tag = 'a'").select("doc_key", "node_id"), ["doc_key", "node_id"]).collect()} == {"typed": 78}
+    assert dom.anchor_ids(nodes).where("doc_key = 'deep'").agg(F.count("*").alias("n"), F.min("anchor").alias("a")).first() == (n + 1, "z1")
+    pairs = dom.around(nodes, nodes.where("tag = 'a' and doc_key = 'typed'").select("doc_key", "node_id"), nodes.where("tag = 'span'").select("doc_key", "node_id", "end_id"))
+    assert pairs.select("mark.node_id").distinct().count() == 40
+    assert time.time() - began < 90
+
+
+def test_kept_nodes_are_not_shuffled_again(spark, tmp_path):
+    """Windows, groups and joins by document over a kept table have no exchange but broadcasts."""
+    nodes = html.kept_nodes(spark.createDataFrame([(str(k), f"<article><h3 id='z{k}'>Статья {k}. Имя</h3><p>1. Раз</p></article>") for k in range(40)], "doc_key string, html string"), "doc_key", "html")
+    assert nodes.count() == 40 * 5 and nodes.select("doc_key").distinct().count() == 40
+    for df in (dom.element_texts(nodes, nodes.where("tag = 'p'").select("doc_key", "node_id", "end_id")), dom.anchor_ids(nodes), dom.host(nodes), dom.in_scope(nodes), dom.links(nodes), chunks.segments_of(nodes)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert [x for x in plan.split("\n") if "Exchange" in x and "Broadcast" not in x] == []
+
+
+def test_pages_of_one_key(spark):
+    """Repeated rows are one page; other pages under the same key get keys of their own; null keys stay."""
+    rows = [("a", "<p>x</p>"), ("a", "<p>x</p>"), ("a", "<p>y</p>"), ("b", None), ("b", None), ("c", "z"), (None, "n"), (None, "n"), (None, "m")]
+    got = sorted(((r["doc_key"], r["html"]) for r in html.told_apart(spark.createDataFrame(rows, "k string, h string"), "k", "h").collect()), key=str)
+    assert len(got) == 6 and {k for k, _ in got} == {"a", "a~2", "b", "c", None, "~2"} and sorted(h or "" for _, h in got) == ["", "<p>x</p>", "<p>y</p>", "m", "n", "z"]
+
+
+def test_remap_closure(spark):
+    """Chains of any length, forks, self-references and cycles with what leads into them."""
+    pairs = [(f"D{i}", f"D{i + 1}") for i in range(700)] + [("X", "Y"), ("Y", "Z"), ("Z", "Y"), ("S", "S"), ("F", "G2"), ("F", "G1"), (None, "a"), ("b", None)]
+    got = {r["old_id"]: r["new_id"] for r in spans.closed_remap(spark.createDataFrame(pairs, "old_id string, new_id string")).collect()}
+    assert got == {**{f"D{i}": "D700" for i in range(700)}, "X": None, "Y": None, "Z": None, "S": None, "F": "G1"}
+    assert spans.closed_remap(spark.createDataFrame([], "old_id string, new_id string")).count() == 0
+
+
+def test_sequence_diff(spark):
+    """A longest common subsequence by the table of all prefixes, and what is left by text."""
+    rng = random.Random(6)
+    for _ in range(3000):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(9))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        found = sequences.common(a, b)
+        assert len(found) == best[-1][-1] and all(a[i] == b[j] for i, j in found) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(found, found[1:]))
+    kind = "doc_key string, ord int, href string, text string"
+    old = [("d", k, f"#z{k}", f"статья {k}") for k in range(50)] + [("gone", 0, "#a", None), ("same", 0, "#x", "y")]
+    new = [("d", k, f"#z{k + 1 if k == 7 else k}", f"статья {k}") for k in range(50) if k != 20] + [("d", 99, "#n", "neu"), ("fresh", 0, None, "b"), ("same", 5, "#x", "y")]
+    got = audit.sequence_diff(spark.createDataFrame(old, kind), spark.createDataFrame(new, kind))
+    assert {tuple(r) for r in got.collect()} == {
+        ("d", "retarget", 7, 7, "#z7", "#z8", "статья 7"), ("d", "only_old", 20, None, "#z20", None, "статья 20"), ("d", "only_new", None, 99, None, "#n", "neu"),
+        ("gone", "only_old", 0, None, "#a", None, ""), ("fresh", "only_new", None, 0, None, "", "b"),
+    }
+    assert audit.sequence_diff(spark.createDataFrame([], kind), spark.createDataFrame([], kind)).count() == 0
+    import __spark_entry__
+
+    pages = html.kept_nodes(spark.read.parquet(f"{SMALL}/pages.parquet"), "page_id", "html")
+    links_ = collections.defaultdict(list)
+    for r in dom.links(pages).orderBy("doc_key", "node_id").collect():
+        links_[r["doc_key"]].append((r["href"], r["text"]))
+    want = collections.Counter()
+    for key, old_ in links_.items():
+        new_ = []
+        for n, (href, text) in enumerate(old_, 1):
+            if n % 5 != 3:
+                new_.append((href + "#moved" if n % 7 == 2 else href, text))
+            if n % 11 == 4:
+                new_.append(("/new", "neu"))
+        want.update((key, kind_) for kind_, _, _ in sequences.aligned(old_, new_))
+    assert collections.Counter((r["doc_key"], r["kind"]) for r in __spark_entry__.queries()["link_sequences"](spark, SMALL).collect()) == want
+
+
 def test_numbers(spark):
     assert [k for k, v in ROMAN.items() if v in (4, 9, 14, 25, 30)] == ["IV", "IX", "XIV", "XXV", "XXX"] and len(ROMAN) == 26
     got = spark.createDataFrame([("IV",), ("xxx",), ("XXVI",), (None,)], "r string").select(roman(F.col("r"))).collect()
