@@ -20,13 +20,16 @@ from .dom import around, attr, element_texts, first_inside, host, ids, in_scope,
 from .references import ART, NUM
 from .spans import ODD_HREF, SITE, dangling, doc_of, fragment_of, link_kind
 
-#: What counts as a reference in plain text, by class.
+#: Endings of an adjective in front of «кодекс», and of «конституция» (fixed values).
+ADJECTIVE = ["им", "ым", "ого", "ому", "ом", "ой", "ий", "ый"]
+CONSTITUTION = ["я", "и", "ю", "ей", "ею", "е"]
+#: What counts as a reference in plain text, by class: an article with its number, this act, a code by its name, a law by its date or title, the constitution.
 UNLINKED = {
     "article": rf"{IU}(?<![\p{{L}}]){ART}\s+{NUM}",
     "self": rf"{IU}(?<![\p{{L}}])настоящ\p{{L}}+\s+(?:кодекс|стать|закон)\p{{L}}*",
-    "code": rf"{U}(?<![\p{{L}}])(?!Настоящ)[А-ЯЁ]\p{{L}}+(?:[иы]м|ого|ому|ом|ой|[иы]й)\s+кодекс\p{{L}}*",
+    "code": rf"{U}(?<![\p{{L}}])(?!Настоящ)[А-ЯЁ]\p{{L}}+(?:{'|'.join(ADJECTIVE)})\s+кодекс\p{{L}}*",
     "law": rf"{U}Закон\p{{L}}*\s+(?:Республики\s+Казахстан|РК)\s*(?:от\s+\d|[«\"„]\s*[А-ЯЁ])",
-    "constitution": rf"{IU}(?<![\p{{L}}])конституци(?:я|и|ю|ей|ею|е)(?![\p{{L}}])",
+    "constitution": rf"{IU}(?<![\p{{L}}])конституци(?:{'|'.join(CONSTITUTION)})(?![\p{{L}}])",
 }
 #: Words near a reference that show an editor's remark (fixed values).
 EDITORIAL = [
