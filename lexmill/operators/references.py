@@ -11,6 +11,8 @@ empty tables give empty results.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Callable, Iterator
 
@@ -19,11 +21,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.overlaps import cut_out, with_links, without_overlaps
-from ..functions.text import ORDINALS, collapse, escape
+from ..functions.text import ORDINALS, blank, collapse, escape
 from ..sources.html import kept_nodes, serialize
 from ..sources.shared import written
 from .anchors import article_anchors, chapter_anchors, ids_from_names, part_anchors, subpoint_anchors
-from .dom import eligible_text, heading_texts, in_note, inside_link, links, without_noise
+from .dom import around, attr, element_texts, eligible_text, first_inside, heading_texts, in_note, inside_link, links, without_noise
 
 NUM = r"\d+(?:-\d+)?"
 ART = r"стат(?:ья|ьи|ье|ью|ьёй|ьей|ьями|ьям|ьях|ей)"
@@ -246,16 +248,90 @@ def rendered(text: Column, found: Column, doc: str = "") -> Column:
 # Context, maps and passes
 
 
-def context(nodes: DataFrame) -> DataFrame:
-    """(doc_key, node_id, article, part, bare): the current article and point of every text, carried forward, and whether its block speaks of articles."""
-    heading = F.nullif(F.regexp_extract("text", r"(?U)^\s*Статья\s+(\d+(?:-\d+)?)", 1), F.lit(""))
-    number = F.nullif(F.regexp_extract("text", r"(?U)^\s*(\d+(?:-\d+)?)\s*\.(?!\d)", 1), F.lit(""))
-    w = Window.partitionBy("doc_key").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
-    rows = nodes.where("kind = 'text'").withColumn("h", heading).withColumn("__g", F.count("h").over(w)).withColumn("article", F.last("h", True).over(w))
-    inside = Window.partitionBy("doc_key", "__g").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("part", F.last(F.when(F.col("h").isNull(), number), True).over(inside))
+def context(nodes: DataFrame, asking: DataFrame | None = None) -> DataFrame:
+    """(doc_key, node_id, article, part, bare) of all texts (article and part only of those ``asking``, if given).
+
+    The article is that of the nearest heading before: an h3 around the text, or the last h3 or paragraph with an
+    anchored bold heading among the elder siblings of an element around it, the innermost element first; what stands
+    outside the innermost body, article or html but in front of it is not looked at. The part is that of the paragraph
+    around the text: the number it begins with, the middle one of its own id (``z5_2_1``), or else the id's or number of
+    the last elder sibling that has one; a heading in between ends the search. ``bare`` is whether the text's block
+    speaks of articles.
+    """
+    key = ["doc_key", "node_id"]
+    texts = nodes.where("kind = 'text'")
+    asking = texts if asking is None else asking
+    heard = ["h3", "p", "b"]
+    said = element_texts(nodes, nodes.where(F.col("tag").isin(heard)).select(*key, "end_id"), heard)
+    some = lambda pattern: F.nullif(F.regexp_extract("text_raw", pattern, 1), F.lit(""))
+    said = said.select(*key, some(rf"(?iuU)Статья\s+({NUM})").alias("named"), F.col("text_raw").rlike(r"(?U)^\s*Статья\s+\d").alias("heads"), some(rf"(?U)^\s*({NUM})\.\s+\S").alias("number"))
+    rows = nodes.select(*key, "parent_id", "end_id", "sib_pos", "tag", "attrs").join(said, key, "left")
+    rows = rows.withColumn("anchored", first_inside((F.col("tag") == "a") & attr("name").isNotNull(), F.lit(True)))
+    rows = rows.withColumn("bold", first_inside(F.col("tag") == "b", F.struct("named", "heads", "anchored")))
+    is_p = F.col("tag") == "p"
+    heading = F.when(F.col("tag") == "h3", F.col("named")).when(is_p & F.col("bold.anchored"), F.col("bold.named"))
+    own = F.nullif(F.regexp_extract(attr("id"), rf"^z{NUM}_({NUM})_{NUM}$", 1), F.lit(""))
+    stop = F.col("tag").isin("h1", "h2", "h3", "h4") | (is_p & F.coalesce("bold.heads", F.lit(False)))
+    part = F.when(stop, F.struct(F.lit(None).cast("string").alias("v"))).when(is_p & F.coalesce(own, F.col("number")).isNotNull(), F.struct(F.coalesce(own, F.col("number")).alias("v")))
+    w = Window.partitionBy("doc_key", "parent_id").orderBy("sib_pos").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.where("tag is not null").select(
+        *key, "end_id", "tag",
+        F.coalesce(F.when(F.col("tag") == "h3", F.col("named")), F.last(heading, True).over(w)).alias("article"),
+        F.when(is_p, F.coalesce("number", own, F.last(part, True).over(w)["v"])).alias("part"),
+    )
+    articles = rows.where(F.col("article").isNotNull() | F.col("tag").isin("body", "article", "html")).select(*key, "end_id", "article")
+    parts = rows.where(F.col("tag").isin("p", "body", "article")).select(*key, "end_id", "part")
+    asking = asking.select(*key)
+    got = [around(nodes, asking, marks, nearest=True).select(*key, F.col(f"mark.{name}").alias(name)) for name, marks in (("article", articles), ("part", parts))]
     bare = F.max(F.lower("text").contains("стать")).over(Window.partitionBy("doc_key", "block_id"))
-    return rows.withColumn("bare", bare).select("doc_key", "node_id", "article", "part", "bare")
+    return texts.withColumn("bare", bare).select(*key, "bare").join(got[0], key, "left").join(got[1], key, "left").select(*key, "article", "part", "bare")
+
+
+#: An article of the act itself, also where markup parts the words from the number.
+_SWEEP = re.compile(rf"(?<![^\W_]){ART}\s+(?P<n>{NUM})(?!\d)(?=\s+настоящ(?:его|ей|им|ему))", re.I)
+#: Stands for a text that no link may be put into: no rule matches across it.
+_CLOSED = "\ufffc"
+
+
+def swept_in(texts: list[str]) -> list[list[tuple[int, int, str]]]:
+    """For each of a block's texts, in order, what ``_SWEEP`` finds in all of them together: (start, end, article) of its share, no white space at its ends."""
+    out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
+    ends = list(itertools.accumulate(map(len, texts)))
+    for m in _SWEEP.finditer("".join(texts)):
+        for k in range(bisect.bisect_right(ends, m.start()), bisect.bisect_left(ends, m.end()) + 1):
+            begin = ends[k] - len(texts[k])
+            s, e = max(m.start(), begin), min(m.end(), ends[k])
+            share = texts[k][s - begin : e - begin]
+            if share.strip():
+                out[k].append((e - begin - len(share.lstrip()), s - begin + len(share.rstrip()), m["n"]))
+    return out
+
+
+def _swept(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc_key, node_id, swept) of the ``texts`` with a share in articles that are found in whole blocks; other texts part a block."""
+    open_ = texts.select("doc_key", "node_id", F.lit(True).alias("open"))
+    said = nodes.where("kind = 'text'").select("doc_key", "node_id", "block_id", "text", (blank(F.col("text")) & ~inside_link()).alias("gap")).join(open_, ["doc_key", "node_id"], "left")
+    rows = said.groupBy("doc_key", "block_id").agg(F.array_sort(F.collect_list(F.struct("node_id", F.when(F.coalesce("open", "gap"), F.col("text")).otherwise(_CLOSED).alias("text")))).alias("ts"))  # one block's own
+    whole = F.lower(F.array_join(F.transform("ts", lambda t: t["text"]), ""))
+    rows = rows.where(whole.contains("стат") & whole.contains("настоящ")).select("doc_key", "ts")
+    kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("n", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            docs, at, found = [], [], []
+            for doc, ts in zip(b.column(0), b.column(1), strict=True):
+                ts = ts.as_py()
+                for t, shares in zip(ts, swept_in([t["text"] for t in ts]), strict=True):
+                    if shares:
+                        docs.append(doc.as_py()), at.append(t["node_id"]), found.append([dict(zip("sen", x, strict=True)) for x in shares])
+            yield pa.RecordBatch.from_pydict({"doc_key": pa.array(docs, pa.string()), "node_id": pa.array(at, pa.int32()), "swept": pa.array(found, kind)})
+
+    return rows.mapInArrow(run, "doc_key string, node_id int, swept array<struct<s:int,e:int,n:string>>")
+
+
+def _with_swept(text: str | None, article: str | None, part: str | None, bare: bool, detailed: bool, swept: list[dict] | None) -> list[Match]:
+    more = [("sweep", x["s"], x["e"], "any", None, [(x["s"], x["e"], [f"a:{x['n']}"])]) for x in swept or []]
+    return matches_in(text, article, part, bare, detailed) + more
 
 
 def link_keys(articles: DataFrame | None = None, subpoints: DataFrame | None = None, parts: DataFrame | None = None, chapters: DataFrame | None = None) -> DataFrame:
@@ -274,15 +350,26 @@ def act_keys(nodes: DataFrame) -> DataFrame:
     return link_keys(article_anchors(nodes).select("doc_key", F.col("article").alias("key"), "anchor"), subpoint_anchors(nodes).select("doc_key", "key", "anchor"), parts, chapter_anchors(nodes).select("doc_key", F.col("chapter").alias("key"), "anchor"))
 
 
-def find_references(nodes: DataFrame, maps: DataFrame, include_notes: bool = False, bare: bool = True) -> DataFrame:
-    """Texts with references: (doc_key, node_id, text, article, part, links, …); ``maps`` is a ``link_keys`` table."""
-    texts = without_noise(nodes).where(eligible_text()).join(heading_texts(nodes), ["doc_key", "node_id"], "left_anti")
+def find_references(nodes: DataFrame, maps: DataFrame, include_notes: bool = False, bare: bool = True, sweep: bool = False) -> DataFrame:
+    """Texts with references: (doc_key, node_id, text, article, part, links, …); ``maps`` is a ``link_keys`` table.
+
+    With ``sweep`` articles of the act itself are also found across the texts of a block, so that «статьи <i>5</i>
+    настоящего Кодекса» is linked, each text its own share, where no rule before took it.
+    """
+    # A share of a phrase may be a single digit; the rules themselves look at no text under three characters.
+    texts = without_noise(nodes).where(eligible_text(1 if sweep else 3)).join(heading_texts(nodes), ["doc_key", "node_id"], "left_anti")
     if not include_notes:
         texts = texts.join(in_note(nodes), ["doc_key", "node_id"], "left_anti")
     has = maps.groupBy("doc_key").agg(F.max(F.col("key").startswith("s:")).alias("detailed"))
-    rows = texts.select("doc_key", "node_id", "text").join(context(nodes), ["doc_key", "node_id"], "left").join(has, "doc_key")
-    rows = rows.withColumn("bare", F.coalesce("bare", F.lit(False)) & F.lit(bare))
-    return accepted(_found(rows, matches_in, "text", "article", "part", "bare", "detailed"), maps).where(F.size("links") > 0)
+    low = F.lower("text")  # only rules with these stems ask for the article or the part
+    rows = texts.select("doc_key", "node_id", "text").join(context(nodes, texts.where(low.contains("настоящ") | low.contains("част"))), ["doc_key", "node_id"], "left").join(has, "doc_key")
+    rows = rows.withColumn("bare", F.coalesce("bare", F.lit(False)) & F.lit(bare) & (F.length(collapse(F.col("text"))) >= 3))
+    if sweep:
+        rows = rows.join(_swept(nodes, texts), ["doc_key", "node_id"], "left")
+        found = _found(rows, _with_swept, "text", "article", "part", "bare", "detailed", "swept").drop("swept")
+    else:
+        found = _found(rows, matches_in, "text", "article", "part", "bare", "detailed")
+    return accepted(found, maps).where(F.size("links") > 0)
 
 
 def references(found: DataFrame, doc: str = "") -> DataFrame:
@@ -317,7 +404,7 @@ def trailing_units(nodes: DataFrame, maps: DataFrame) -> DataFrame:
     at = lambda value: F.last(F.when(value.isNotNull(), F.struct(F.col("sib_pos").alias("at"), value.alias("v"))), True).over(w)
     significant = F.when(is_a | (is_text & F.col("text").rlike(r"(?U)\S")), F.when(is_a, F.col("node_id")).otherwise(-1))
     rows = rows.select("doc_key", "node_id", "kind", "tags", "sib_pos", "text", at(article).alias("ahead"), at(point).alias("point"), at(last).alias("near"), at(significant).alias("next"))
-    own = rows.where((F.col("kind") == "text") & ~inside_link()).join(in_note(nodes), ["doc_key", "node_id"], "left_anti").join(context(nodes).select("doc_key", "node_id", "article"), ["doc_key", "node_id"], "left")
+    own = rows.where((F.col("kind") == "text") & ~inside_link()).join(in_note(nodes), ["doc_key", "node_id"], "left_anti").join(context(nodes, rows.where("ahead.v = 'self'")).select("doc_key", "node_id", "article"), ["doc_key", "node_id"], "left")
     ahead = F.when(F.col("ahead.v") == "self", F.col("article")).otherwise(F.col("ahead.v"))
     close = lambda c, n: F.col(f"{c}.at") - F.col("sib_pos") <= n
     own = own.select(
@@ -336,14 +423,14 @@ def with_trailing(nodes: DataFrame, found: DataFrame, doc: str = "") -> DataFram
     return nodes.join(shown, ["doc_key", "node_id"], "left").join(lead, ["doc_key", "node_id"], "left")
 
 
-def linked_pages(pages: DataFrame, maps: DataFrame | None = None, doc: str = "", include_notes: bool = False) -> DataFrame:
+def linked_pages(pages: DataFrame, maps: DataFrame | None = None, doc: str = "", include_notes: bool = False, sweep: bool = False) -> DataFrame:
     """(doc_key, html): ``pages`` with all references linked: the rules, then units in front of links, then ids for named anchors.
 
     ``maps`` is a ``link_keys`` table; without one the documents' own anchors serve.
     """
     nodes = kept_nodes(pages, "doc_key", "html")
     maps = written(act_keys(nodes) if maps is None else maps, "link-keys")
-    once = kept_nodes(serialize(linked_nodes(nodes, find_references(nodes, maps, include_notes), doc)), "doc_key", "html")
+    once = kept_nodes(serialize(linked_nodes(nodes, find_references(nodes, maps, include_notes, sweep=sweep), doc)), "doc_key", "html")
     twice = with_trailing(once, trailing_units(once, maps), doc)
     return serialize(ids_from_names(twice))
 

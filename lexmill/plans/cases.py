@@ -116,6 +116,28 @@ LINKED = [
     _linked("ends_part", 'нормы части 3-1 <a href="#z100">статьи 5</a>', ("части 3-1", "#z100"), ("статьи 5", "#z100")),
     _linked("ends_subpoint_point", 'по подпунктам 1), 2) пункта 1 <a href="#z100">статьи 5</a>', ("подпунктам 1)", "#z102"), ("2)", "#z103"), ("пункта 1", "#z101"), ("статьи 5", "#z100")),
     _linked("ends_without_link", "нормы, пунктом 2 статьи"),
+    # The article and the part that a text stands in: what a body says behind the paragraph that ``_linked`` opens.
+    _linked("article_by_anchored_bold", 'иное</p><p><b><a name="z300"></a>Статья 30{n}. Имя</b></p><p>пунктом 2 настоящей статьи'),
+    _linked("article_by_plain_bold", "иное</p><p><b>Статья 30{n}. Имя</b></p><p>пунктом 2 настоящей статьи", ("пунктом 2", "#z104")),
+    _linked("article_inside_its_heading", "иное</p><h3><i>Статья 30{n}</i></h3><p>пунктом 2 настоящей статьи"),
+    _linked("article_of_the_inner_element", "иное</p><div><h3>Статья 30{n}. Имя</h3><p>иное</p></div><p>пунктом 2 настоящей статьи", ("пунктом 2", "#z104")),
+    _linked("article_outside_the_div", "иное</p><div><p>пунктом 2 настоящей статьи</p></div><p>", ("пунктом 2", "#z104")),
+    _linked("article_beyond_an_article", "иное</p><div><article><p>пунктом 2 настоящей статьи</p></article></div><p>"),
+    _linked("part_by_its_number", "2. Иное</p><p>1. в подпунктах 1), 2) настоящего пункта", ("подпунктах 1)", "#z102"), ("2)", "#z103")),
+    _linked("part_of_an_id", 'иное</p><p id="z5_1_7">иное</p><p>подпунктами 1) и 2) настоящего пункта', ("подпунктами 1)", "#z102"), ("2)", "#z103")),
+    _linked("part_ends_at_heading", "иное</p><h4>Заголовок</h4><p>подпунктами 1) и 2) настоящего пункта"),
+    _linked("part_ends_at_bold_heading", "иное</p><p><b>Статья 30{n}. Имя</b></p><p>подпунктами 1) и 2) настоящего пункта"),
+    _linked("part_of_no_paragraph", "иное</p>подпунктами 1) и 2) настоящего пункта<p>"),
+]
+#: The same acts where articles are looked for across the texts of a block.
+SWEPT = [
+    _linked("across_markup", "по статье <i>5</i> настоящего Кодекса", ("статье", "#z100"), ("5", "#z100")),
+    _linked("number_and_all_apart", "по <b>статье</b> <i>30{n}</i> настоящего Кодекса", ("статье", "#z300"), ("30{n}", "#z300")),
+    _linked("unknown_article", "по статье <i>88</i> настоящего Кодекса"),
+    _linked("of_another_act", "по статье <i>5</i> закона"),
+    _linked("parted_by_a_link", 'по статье <a href="#q">5</a> настоящего Кодекса', ("5", "#q")),
+    _linked("other_block", "по статье</p><p>5 настоящего Кодекса"),
+    _linked("taken_before", "по статье 5 настоящего <i>Кодекса</i>", ("статье 5", "#z100")),
 ]
 
 # Headings and structured pages: pos, kind, type, number, anchor, parent_pos

@@ -357,6 +357,12 @@ def linked_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ranked_links(html.kept_nodes(done, "doc_key", "html"))
 
 
+def swept_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw acts with all references linked, also those to the act's own articles that markup parts into several texts."""
+    done = references.linked_pages(cases.pages(spark, sf_dir, cases.SWEPT), sweep=True)
+    return _ranked_links(html.kept_nodes(done, "doc_key", "html"))
+
+
 def act_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every kind of heading, split, virtual and merged ones among them, with its place in the hierarchy."""
     return structure.structured(_nodes_of(spark, sf_dir, cases.SECTIONS)).select("doc_key", "pos", "kind", "type", "number", "anchor", "parent_pos")
@@ -796,7 +802,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         part_map, chapter_sources, named_ids, heading_numbers, boundary_marks, first_articles, chunked_acts, discrepancy_log, tree_records, title_numbers, unit_words, unlinked_references, coverage_totals,
         claimed_verdicts, independent_checks, hinted_mismatches, named_acts, external_names, all_checks, canon_gates, retargeted_links, dropped_letters, odd_hrefs, meant_articles, phrase_places, phrase_pages,
         partial_phrases, overridden_pages, stale_phrases, strict_gates, registry_files, remap_file, map_files, phrase_file, override_file, preferred_forms, page_versions, chunk_lines, change_files, report_lines,
-        linked_acts, act_sections, structured_pages, structured_markup, span_merges, merged_links, chained_links, span_gates, act_chunks,
+        linked_acts, swept_acts, act_sections, structured_pages, structured_markup, span_merges, merged_links, chained_links, span_gates, act_chunks,
         line_units, line_chunks, chunk_stats, sample_examples, act_events, link_verdicts,
     )
 }

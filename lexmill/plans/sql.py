@@ -237,6 +237,7 @@ SQL: dict[str, str] = {
         SELECT id, text, hier_id, (SELECT c_name FROM customer WHERE c_custkey = o_custkey) AS doc_id, unit_type, length(text) AS char_len FROM made
     """,
     "linked_acts": cases.sql(cases.LINKED, "ord INT, text VARCHAR, href VARCHAR"),
+    "swept_acts": cases.sql(cases.SWEPT, "ord INT, text VARCHAR, href VARCHAR"),
     "act_sections": cases.sql(cases.SECTIONS, "pos INT, kind VARCHAR, type VARCHAR, number VARCHAR, anchor VARCHAR, parent_pos INT"),
     "structured_pages": cases.sql(cases.WRAPPERS, "ord INT, type VARCHAR, number VARCHAR, id VARCHAR, around VARCHAR"),
     "structured_markup": cases.sql(cases.KEPT, "tag VARCHAR, name VARCHAR, n BIGINT"),

@@ -302,6 +302,32 @@ def test_reverse_and_canonical(spark):
     assert {r["was"]: r["href"] for r in spans.canonical(rows, targets, F.lit(own), site).collect()} == want
 
 
+def test_swept_shares():
+    """Shares of an article that several texts of a block name together; a closed text parts them."""
+    found = references.swept_in
+    assert found(["по ", "статье", " ", "30", " настоящего Кодекса"]) == [[], [(0, 6, "30")], [], [(0, 2, "30")], []]
+    assert found(["по статье ", "5", " настоящего"]) == [[(3, 9, "5")], [(0, 1, "5")], []]
+    assert found(["по статье 5 настоящего"]) == [[(3, 11, "5")]] and found([]) == [] and found(["", ""]) == [[], []]
+    assert found(["статье ", "\ufffc", " 5 настоящего"]) == [[], [], []] and found(["надстатье 5", " настоящего"]) == [[], []]
+
+
+def test_context_of_texts(spark):
+    """Article and part of every text of odd pages; texts at the top of a page have neither."""
+    pages = {
+        "top": "вне<h3>Статья 4. Имя</h3>вне",
+        "nested": '<div><h3>Статья 4. Имя</h3><p id="z4_2_1">а</p><ul><li><p>б</p></li></ul></div><p>в</p>',
+        "heading": "<h3>Статья 4. Имя</h3><p>3. а</p><p>б</p><h2>Глава</h2><p>в</p>",
+        "dashes": "<h3>СТАТЬЯ 4-1. Имя</h3><p><b>2-1.</b> а</p><p>1.5 б</p>",
+        "anchored": '<p><b><a name="z9"></a>Статья 9. Имя</b></p><p>а</p>',
+    }
+    got = {(r["doc_key"], r["text"].strip()): (r["article"], r["part"]) for r in references.context(_nodes(spark, pages)).join(_nodes(spark, pages).select("doc_key", "node_id", "text"), ["doc_key", "node_id"]).collect()}
+    want = {
+        ("top", "вне"): (None, None), ("nested", "а"): ("4", "2"), ("nested", "б"): ("4", None), ("nested", "в"): (None, None), ("heading", "3. а"): ("4", "3"), ("heading", "б"): ("4", "3"), ("heading", "в"): ("4", None),
+        ("dashes", "а"): ("4-1", "2-1"), ("dashes", "1.5 б"): ("4-1", "2-1"), ("anchored", "а"): ("9", None),
+    }
+    assert {k: got[k] for k in want} == want
+
+
 def test_chunks_of_parts(spark):
     kind = "doc_key string, inst string, code string, doc_id string, article string, title string, unit_type string, status string, code_part string, section string, chapter string, paragraph string, partial boolean, orphan boolean"
     articles = [("a", "1", "koap", "K1", "7", "Т", "часть", "active", "2", None, "3", None, False, False), ("a", "3", "x", "K1", "9", "Б", "пункт", "active", None, None, None, None, True, True)]
