@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.phrases import phrase_spans
 from ..functions.sequences import aligned
 from ..functions.text import IU, U, collapse
+from ..sources import html
 from .anchors import first_wins, heading_map, resolve, reverse_anchors
 from .dom import around, attr, element_texts, first_inside, host, ids, in_scope, inside, inside_link, lines, links, preceding
 from .references import ART, NUM
@@ -341,25 +342,81 @@ def round_robin(rows: DataFrame, kind: str, order: list[str], n: int = 20) -> Da
     return rows.withColumn("turn", k).where(F.col("turn") <= n).orderBy("turn", kind).limit(n)
 
 
-def gates(before_: DataFrame, after: DataFrame, dropped: DataFrame | None = None) -> DataFrame:
-    """(doc_key, gate, ok) of an edit of node tables: text kept, no nested link, no new dangling link, hrefs differ by ``dropped`` only."""
-    from .spans import href_delta, text_hash
-
-    def said(nodes: DataFrame) -> DataFrame:
-        texts = nodes.where("kind = 'text'").groupBy("doc_key").agg(F.array_sort(F.collect_list(F.struct("node_id", "text"))).alias("ts"))
-        return text_hash(texts.select("doc_key", collapse(F.array_join(F.transform("ts", lambda t: t["text"]), "")).alias("text")))
-
-    def lost(nodes: DataFrame, name: str) -> DataFrame:
-        return dangling(links(nodes), ids(nodes)).groupBy("doc_key").agg(F.count("*").alias(name))
-
-    text = frozen(said(before_), said(after)).select("doc_key", F.lit("text").alias("gate"), F.col("same").alias("ok"))
-    docs = after.select("doc_key").distinct()
-    nested = after.groupBy("doc_key").agg((F.count(F.when((F.col("tag") == "a") & inside_link(), 1)) == 0).alias("ok")).select("doc_key", F.lit("nested").alias("gate"), "ok")
-    hung = docs.join(lost(before_, "old"), "doc_key", "left").join(lost(after, "new"), "doc_key", "left").select("doc_key", F.lit("dangling").alias("gate"), (F.coalesce("new", F.lit(0)) <= F.coalesce("old", F.lit(0))).alias("ok"))
-    delta = href_delta(links(before_), links(after)).withColumn("lost", F.col("old_n") - F.col("new_n"))
-    if dropped is not None:
-        logged = dropped.select("doc_key", F.explode("dropped").alias("href")).groupBy("doc_key", "href").agg(F.count("*").alias("logged"))
-        delta = delta.join(logged, ["doc_key", "href"], "left").where("lost <> coalesce(logged, 0)")
-    bad = delta.select("doc_key").distinct().withColumn("bad", F.lit(True))
-    hrefs = docs.join(bad, "doc_key", "left").select("doc_key", F.lit("hrefs").alias("gate"), F.col("bad").isNull().alias("ok"))
-    return text.unionByName(nested).unionByName(hung).unionByName(hrefs)
+_SUM = "decimal(38,0)"
+
+
+def _hashes(hrefs: Column, seed: int) -> Column:
+    return F.aggregate(hrefs, F.lit(0).cast(_SUM), lambda acc, h: (acc + F.xxhash64(F.lit(seed), h)).cast(_SUM))
+
+
+def _hung(marks: Column) -> Column:
+    """How many own links of a document have no target; marks: (id, asks), sorted, so that a target stands in front of the links to it."""
+    state = lambda id_, n: F.named_struct(F.lit("id"), id_.cast("string"), F.lit("n"), n.cast("bigint"))
+    step = lambda acc, m: F.when(m["asks"], state(acc["id"], acc["n"] + F.when(acc["id"].eqNullSafe(m["id"]), 0).otherwise(1))).otherwise(state(m["id"], acc["n"]))
+    return F.aggregate(marks, state(F.lit(None), F.lit(0)), step, lambda acc: acc["n"])
+
+
+def profiled(nodes: DataFrame, pages: bool = False) -> DataFrame:
+    """What ``gates`` compare, one row a document: (doc_key, sha, nested, hung, n, sum1, sum2), with ``pages`` also html, the page.
+
+    It is gathered from the pieces that make the page, in one pass and with the page itself, from nodes as they are or
+    with columns ``render``, ``lead`` and ``tail``: what is written needn't be parsed to be judged. sha is that of the
+    text (white space collapsed), nested the links inside links, hung the own links without a target; the multiset of
+    hrefs is told by its size and two sums of different 64-bit hashes.
+    """
+    here = lambda a, href, id_, name: F.named_struct(F.lit("a"), a, F.lit("href"), href, F.lit("id"), id_, F.lit("name"), name)
+    own = F.when(F.col("kind") == "element", F.array(here(F.col("tag") == "a", attr("href"), attr("id"), attr("name"))))
+    if "render" in nodes.columns:
+        starts = F.filter(F.regexp_extract_all("render", F.lit("<[^>]*>"), F.lit(0)), lambda t: ~t.startswith("</"))
+        value = lambda t, name: F.when(t.rlike(rf'\s{name}="'), html.unescape(F.regexp_extract(t, rf'\s{name}="([^"]*)"', 1)))
+        own = F.coalesce(F.transform(starts, lambda t: here(t.rlike(r"^<a[\s>]"), value(t, "href"), value(t, "id"), value(t, "name"))), own)
+    # What an element's start says counts once, with its first piece.
+    each = nodes.select("doc_key", inside_link().alias("in_a"), own.alias("own"), F.explode(html.pieces(nodes)).alias("p")).withColumn("own", F.when(F.col("p.b") == 0, F.col("own")))
+    each = each.withColumn("hrefs", F.array_compact(F.transform("own", lambda x: F.when(x["a"], x["href"]))))
+    mark = lambda id_, asks: F.named_struct(F.lit("id"), id_, F.lit("asks"), F.lit(asks))
+    targets = F.transform(F.array_compact(F.flatten(F.transform("own", lambda x: F.array(x["id"], x["name"])))), lambda i: mark(i, False))
+    asked = F.transform(F.filter("hrefs", lambda h: h.startswith("#") & (F.length(h) > 1)), lambda h: mark(F.substring(h, 2, 1 << 20), True))
+    marks = F.concat(targets, asked)
+    page = [html.in_order("p", "s").alias("html")] if pages else []
+    return each.groupBy("doc_key").agg(
+        F.sha2(collapse(html.in_order("p", "t")), 256).alias("sha"), F.coalesce(F.sum(F.when(F.col("in_a"), F.size(F.filter("own", lambda x: x["a"])))), F.lit(0)).alias("nested"),
+        _hung(F.array_sort(F.flatten(F.collect_list(F.when(F.size(marks) > 0, marks))))).alias("hung"), F.coalesce(F.sum(F.size("hrefs")), F.lit(0)).alias("n"),
+        *(F.coalesce(F.sum(_hashes(F.col("hrefs"), k)), F.lit(0)).cast(_SUM).alias(f"sum{k}") for k in (1, 2)), *page,
+    )
+
+
+def compared(old: DataFrame, new: DataFrame, dropped: DataFrame | None = None, added: DataFrame | None = None) -> DataFrame:
+    """(doc_key, gate, ok) of two forms' ``profiled`` rows, one row a document each: nothing but these narrow rows is joined.
+
+    text: the same text; nested: no link inside a link; dangling: no more own links without a target; hrefs: the new
+    hrefs are the old ones without ``dropped`` and with ``added`` (doc_key and an array of that name), as multisets. A
+    document that only one form has counts as one without text and links in the other.
+    """
+    counts = ["n", "sum1", "sum2"]
+
+    def logged(log: DataFrame | None, name: str) -> DataFrame | None:
+        if log is None:
+            return None
+        own = F.array_compact(F.col(name))
+        rows = log.select("doc_key", F.size(own).cast(_SUM).alias("n"), _hashes(own, 1).alias("sum1"), _hashes(own, 2).alias("sum2"))
+        return rows.groupBy("doc_key").agg(F.struct(*(F.sum(c).cast(_SUM).alias(c) for c in counts)).alias(name))
+
+    of = lambda df, name: df.select("doc_key", F.struct(*(c for c in df.columns if c not in ("doc_key", "html"))).alias(name))
+    both = of(old, "old").join(of(new, "new"), "doc_key", "full")
+    for log, name in ((dropped, "dropped"), (added, "added")):
+        log = logged(log, name)
+        both = both.withColumn(name, F.lit(None).cast(f"struct<n:{_SUM},sum1:{_SUM},sum2:{_SUM}>")) if log is None else both.join(log, "doc_key", "left")
+    zero = lambda c: F.coalesce(F.col(c).cast(_SUM), F.lit(0).cast(_SUM))
+    same = [zero(f"old.{c}") + zero(f"added.{c}") == zero(f"new.{c}") + zero(f"dropped.{c}") for c in counts]
+    none = F.sha2(F.lit(""), 256)
+    told = {
+        "text": F.coalesce("old.sha", none) == F.coalesce("new.sha", none), "nested": zero("new.nested") == 0,
+        "dangling": zero("new.hung") <= zero("old.hung"), "hrefs": reduce(lambda a, b: a & b, same),
+    }
+    each = F.array(*(F.struct(F.lit(gate).alias("gate"), ok.alias("ok")) for gate, ok in told.items()))
+    return both.select("doc_key", F.explode(each).alias("g")).select("doc_key", "g.gate", "g.ok")
+
+
+def gates(before_: DataFrame, after: DataFrame, dropped: DataFrame | None = None, added: DataFrame | None = None) -> DataFrame:
+    """``compared`` of two node tables: an edit keeps the text, nests no link, leaves none dangling, and its hrefs are as logged."""
+    return compared(profiled(before_), profiled(after), dropped, added)

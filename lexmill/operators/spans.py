@@ -222,9 +222,10 @@ def edited(nodes: DataFrame, edits: DataFrame) -> DataFrame:
     return kept.withColumn("text", F.coalesce("new_text", "text")).drop("new_text", "gone", "__out")
 
 
-def merged_chains(nodes: DataFrame) -> DataFrame:
+def merged_chains(nodes: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """``nodes`` with every chain as one link: the first keeps its href and gets the whole text, the others go."""
-    return edited(nodes, chain_edits(chains(siblings(nodes))))
+    found = chains(siblings(nodes)) if found is None else found
+    return edited(nodes, chain_edits(found))
 
 
 _WORDS = rf"(?:{SUB}|{PUNKT}|{PART}|абзац\w*)"

@@ -198,11 +198,12 @@ def full_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chain_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merging chains keeps every page's text and drops just the logged hrefs."""
+    """Merging chains keeps every page's text and drops just the logged hrefs; what tells is gathered while the pages are written."""
     nodes = html.kept_nodes(acts.chain_pages(spark, sf_dir), "doc_key", "html")
-    dropped = spans.chains(spans.siblings(nodes)).select("doc_key", "dropped")
-    again = html.kept_nodes(html.serialize(spans.merged_chains(nodes)), "doc_key", "html")
-    return audit.gates(nodes, again, dropped).groupBy("gate", "ok").agg(F.count("*").alias("n"))
+    found = written(spans.chains(spans.siblings(nodes)), "chains")
+    pages = written(audit.profiled(spans.merged_chains(nodes, found), pages=True), "pages")
+    told = audit.compared(audit.profiled(nodes), pages, found.select("doc_key", "dropped"))
+    return told.groupBy("gate", "ok").agg(F.count("*").alias("n"))
 
 
 def canonical_hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -248,28 +248,44 @@ def opening(tag: Column, attrs: Column) -> Column:
     return F.concat(F.lit("<"), tag, F.array_join(written, ""), F.lit(">"))
 
 
+def unescape(c: Column) -> Column:
+    """Text of what ``escape`` and ``opening`` wrote."""
+    for sign, written in (("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("&", "&amp;")):
+        c = F.replace(c, F.lit(written), F.lit(sign))
+    return c
+
+
 def pieces(nodes: DataFrame) -> Column:
-    """Markup of a node as an array of (a, b, c, s): its opening and closing piece, in order by a, b, c.
+    """Markup of a node as an array of (a, b, c, s, t): its opening and closing piece, in order by a, b, c, and the text in each.
 
     Where a column ``render`` is set it stands for a text's markup, ``lead`` and ``tail`` (texts) go in front of and
     behind what an element holds.
     """
+    none = F.lit(None).cast("string")
+    said, lead, tail = F.when(F.col("kind") == "text", F.col("text")), none, none
     raw = F.exists("tags", lambda t: t.isin("script", "style"))
     text = F.when(raw, F.col("text")).otherwise(escape(F.col("text")))
     if "render" in nodes.columns:
         text = F.coalesce("render", text)
+        said = F.coalesce(unescape(F.regexp_replace("render", "<[^>]*>", "")), said)
     opened, closed = opening(F.col("tag"), F.col("attrs")), F.concat(F.lit("</"), "tag", F.lit(">"))
     if "lead" in nodes.columns:
-        opened = F.concat(opened, F.coalesce(escape(F.col("lead")), F.lit("")))
+        opened, lead = F.concat(opened, F.coalesce(escape(F.col("lead")), F.lit(""))), F.col("lead")
     if "tail" in nodes.columns:
-        closed = F.concat(F.coalesce(escape(F.col("tail")), F.lit("")), closed)
+        closed, tail = F.concat(F.coalesce(escape(F.col("tail")), F.lit("")), closed), F.col("tail")
     first = F.when(F.col("kind") == "element", opened).when(F.col("kind") == "comment", F.concat(F.lit("<!--"), "text", F.lit("-->"))).otherwise(text)
-    begin = F.struct(F.col("node_id").alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c"), first.alias("s"))
-    end = F.struct(F.col("end_id").alias("a"), F.lit(1).alias("b"), (-F.col("node_id")).alias("c"), closed.alias("s"))
+    begin = F.struct(F.col("node_id").alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c"), first.alias("s"), F.coalesce(said, lead).alias("t"))
+    end = F.struct(F.col("end_id").alias("a"), F.lit(1).alias("b"), (-F.col("node_id")).alias("c"), closed.alias("s"), tail.alias("t"))
     return F.when((F.col("kind") == "element") & ~F.col("tag").isin(*VOID), F.array(begin, end)).otherwise(F.array(begin))
 
 
 def serialize(nodes: DataFrame) -> DataFrame:
     """(doc_key, html) of a node table, with what ``pieces`` says of added columns. Only a document's own pieces are gathered."""
     each = nodes.select("doc_key", F.explode(pieces(nodes)).alias("p"))
-    return each.groupBy("doc_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["s"]), "").alias("html"))
+    return each.groupBy("doc_key").agg(in_order("p", "s").alias("html"))
+
+
+def in_order(piece: str, what: str) -> Column:
+    """Field ``what`` of a document's pieces, one behind another; an aggregate that gathers this field only."""
+    own = F.collect_list(F.when(F.col(f"{piece}.{what}").isNotNull(), F.struct(f"{piece}.a", f"{piece}.b", f"{piece}.c", f"{piece}.{what}")))
+    return F.array_join(F.transform(F.array_sort(own), lambda p: p[what]), "")

@@ -13,7 +13,7 @@ from lexmill.functions.text import ROMAN, ordinal, roman
 from lexmill.operators import anchors, audit, chunks, dom, references, spans, structure
 from lexmill.plans import cases
 from lexmill.plans.sql import SQL
-from lexmill.sources import html, registry, sinks
+from lexmill.sources import html, registry, shared, sinks
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
 SMALL = "/root/testdata/sf0.001"
@@ -115,6 +115,28 @@ def test_merges_settle(spark):
         assert said(once) == said(nodes)
 
 
+def test_profile_of_what_is_written(spark):
+    """What is gathered while pages are written is what a parse of them tells, for edits, renders, odd signs and nested links."""
+    pages = {c.name: c.html.replace("{n}", "3") for c in cases.MERGES + cases.CHAINED + cases.LINKED}
+    pages |= {"odd": "<p id='q' name=\"a&quot;b\">1 &lt; 2 &amp;amp; id=\"z9\" <a href='#q'>x <a href='#none'>y</a></a><a href='#none'>z</a> <a href=''>e</a><a>n</a><br id='z4'>по статье 5<!-- c --></p><h3 id='z5'>Статья 5. Имя</h3><script>a<b</script>", "bare": "nur Text", "void": "<br>"}
+    nodes = html.kept_nodes(spark.createDataFrame(list(pages.items()), "doc_key string, html string"), "doc_key", "html")
+    rows = lambda df: {r["doc_key"]: tuple(r) for r in df.drop("html").collect()}
+    found = shared.written(references.find_references(nodes, references.act_keys(nodes)), "found")
+    made = [shared.written(audit.profiled(form, pages=True), "made") for form in (nodes, spans.merged_spans(nodes), spans.merged_chains(nodes), references.linked_nodes(nodes, found))]
+    for form in made:
+        assert rows(form) == rows(audit.profiled(html.parse_nodes(form, "doc_key", "html")))
+    old, new = made[0].drop("html"), made[-1].drop("html")
+    own = old.where("doc_key = 'odd'").first()
+    assert (own["nested"], own["hung"], own["n"]) == (1, 2, 4)
+    added = references.references(found).groupBy("doc_key").agg(F.collect_list(F.concat(F.lit("#"), "anchor")).alias("added"))
+    bad = lambda df: {(r["doc_key"], r["gate"]) for r in df.where("not ok").collect()}
+    assert added.count() > 1 and bad(audit.compared(old, new, added=added)) == {("odd", "nested")}
+    assert bad(audit.compared(old, new)) == {("odd", "nested")} | {(r["doc_key"], "hrefs") for r in added.collect()}
+    # A document that one form lacks has lost its text and its links; one without either is the same.
+    lost = bad(audit.compared(old, new.where("doc_key not in ('odd', 'bare', 'void')"), added=added.where("doc_key <> 'odd'")))
+    assert lost == {("odd", "text"), ("odd", "hrefs"), ("bare", "text")}
+
+
 def _cells(rng, n):
     said = ["пункт 1", "2", "статьи 5", "статье 7-1", "подпункту 3)", "второй", "", " ", ", ", " и ", " – ", "–4", " статьи 9 закона", "пункт 3 ", "части второй пункта 4 ", "слово"]
     out = []
