@@ -3,8 +3,9 @@
 ``write_warc`` packs each partition's rows into archive files in a shared folder, one gzip member a record, and
 returns the index: file, offset, length, url, digest, kind and referred record. An archive's name is new for each
 attempt of a task and only files of finished tasks are in the index (it is written out at once), so a lost
-executor leaves unused files at most. ``read_warc`` sorts the selected index rows by file and offset, coalesces
-neighbouring ranges and parses the records.
+executor leaves unused files at most. Pages in many small partitions are gathered in fewer tasks, so that they don't make
+as many small archives. ``read_warc`` sorts the selected index rows by file and offset, coalesces neighbouring ranges and
+parses the records, in batches bounded by their unpacked bytes.
 
 Of records with equal payloads of at least ``least`` bytes, the one with the smallest id is a response and the
 others revisit it. Only ids and digests are grouped, after partial aggregation, so a payload that a third of all
@@ -22,19 +23,21 @@ import hashlib
 import os
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_pass, cut, shared_folder
+from .common import BATCH_BYTES, arrow_pass, cut, shared_folder
 
 #: Ranges this close together are fetched by one read, up to so many bytes.
 GAP, READ = 64 << 10, 8 << 20
 #: An archive is closed when it has so many bytes.
 ARCHIVE = 256 << 20
+#: Tasks that write: so many a core, and so many at least where few cores are there yet.
+TASKS, LEAST_TASKS = 4, 32
 INDEX = "id long, file string, offset long, length long, url string, digest string, record_type string, refers_to long, payload_bytes long"
 
 
@@ -48,6 +51,11 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + os.path.abspath(uri.removeprefix("file:")))
 
 
+def writers(spark: SparkSession) -> int:
+    """How many tasks write at most."""
+    return max(TASKS * spark.sparkContext.defaultParallelism, LEAST_TASKS)
+
+
 def revisits(rows: DataFrame, least: int = 0) -> DataFrame:
     """(id, sha, n, refers_to) of the rows that revisit another, once each; ``rows`` has id, sha and n (digest and bytes of the payload)."""
     keyed = rows.where(F.col("n") >= least).select("id", "sha", "n")
@@ -83,8 +91,9 @@ def write_warc(pages: DataFrame, folder: str, id_: str = "page_id", url: str = "
     """Write every row as a record below ``folder`` (a URI that all executors reach) and return the index."""
     rows = pages.select(F.col(id_).cast("long").alias("id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(payload), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload")).withColumn("n", F.length("payload"))
-    again = cut(revisits(rows, least), "revisits")
-    dealt = rows.join(again, ["id", "sha", "n"], "left").select("id", "url", "payload", "refers_to")
+    most = writers(pages.sparkSession)
+    again = cut(revisits(rows, least).coalesce(most), "revisits")
+    dealt = rows.join(again, ["id", "sha", "n"], "left").select("id", "url", "payload", "refers_to").coalesce(most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = filesystem(folder)
@@ -150,8 +159,23 @@ def coalesced(ranges: list[tuple[int, int]], gap: int = GAP, most: int = READ) -
         yield start, end, inside
 
 
-def read_warc(index: DataFrame, folder: str, partitions: int | None = None) -> DataFrame:
-    """Records of the index rows given (select any): id, url, record_type, refers_to, stored_digest, payload, payload_bytes.
+def parsed(file: pa.NativeFile, ranges: list[tuple[int, int]], most: int = BATCH_BYTES) -> Iterator[list[dict]]:
+    """Records at the sorted (offset, length) of an archive, in lists that are closed at ``most`` unpacked bytes."""
+    for start, stop, members in coalesced(ranges):
+        raw, found, held = file.read_at(stop - start, start), [], 0
+        for at, n in members:
+            record = zlib.decompress(raw[at - start : at - start + n], 31)
+            found.append(parse_record(record))
+            held += len(record)
+            if held >= most:
+                yield found
+                found, held = [], 0
+        if found:
+            yield found
+
+
+def _over_records(index: DataFrame, folder: str, made: Callable[[list[dict]], pa.RecordBatch], schema: str, partitions: int | None = None) -> DataFrame:
+    """``made`` of the parsed records of the index rows given, in the pass that reads them.
 
     Rows are dealt by ranges of (file, offset), so one large archive is read by several tasks.
     """
@@ -169,37 +193,38 @@ def read_warc(index: DataFrame, folder: str, partitions: int | None = None) -> D
                 while end < len(files) and files[end] == files[k]:
                     end += 1
                 with store.open_input_file(f"{base}/{files[k]}") as f:
-                    for start, stop, members in coalesced(list(zip(offsets[k:end], lengths[k:end], strict=True))):
-                        raw = f.read_at(stop - start, start)
-                        found = [parse_record(zlib.decompress(raw[a - start : a - start + n], 31)) for a, n in members]
-                        yield pa.RecordBatch.from_pylist(found, schema=kind)
+                    for found in parsed(f, list(zip(offsets[k:end], lengths[k:end], strict=True))):
+                        yield made(found)
                 k = end
 
+    return arrow_pass(ordered, run, schema)
+
+
+def read_warc(index: DataFrame, folder: str, partitions: int | None = None) -> DataFrame:
+    """Records of the index rows given (select any): id, url, record_type, refers_to, stored_digest, payload, payload_bytes."""
     kind = pa.schema([("id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("stored_digest", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64())])
-    return arrow_pass(ordered, run, "id long, url string, record_type string, refers_to long, stored_digest string, payload binary, payload_bytes long")
+    made = lambda found: pa.RecordBatch.from_pylist(found, schema=kind)
+    return _over_records(index, folder, made, "id long, url string, record_type string, refers_to long, stored_digest string, payload binary, payload_bytes long", partitions)
 
 
 def warc_round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     """Write all pages, read all records back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     A response's digest and length are computed from the bytes read back; a revisit's are those it was archived with.
+    Digests are taken in the pass that reads, so payloads don't go through the JVM once more.
     """
     folder = shared_folder(pages.sparkSession, "warc")
-    read = read_warc(write_warc(pages, folder, least=least), folder)
-    names = read.columns
 
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            col = {n: b.column(i) for i, n in enumerate(names)}
-            payloads = [p.as_py() for p in col["payload"]]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "page_id": col["id"],
-                    "payload_bytes": pa.array([n if p is None else len(p) for p, n in zip(payloads, col["payload_bytes"].to_pylist(), strict=True)], pa.int64()),
-                    "payload_digest": pa.array([d if p is None else digest_of(p) for p, d in zip(payloads, col["stored_digest"].to_pylist(), strict=True)], pa.string()),
-                    "record_type": col["record_type"],
-                    "refers_to": col["refers_to"],
-                }
-            )
-
-    return arrow_pass(read, digests, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    def digests(found: list[dict]) -> pa.RecordBatch:
+        payloads = [r["payload"] for r in found]
+        return pa.RecordBatch.from_pydict(
+            {
+                "page_id": pa.array([r["id"] for r in found], pa.int64()),
+                "payload_bytes": pa.array([r["payload_bytes"] if p is None else len(p) for p, r in zip(payloads, found, strict=True)], pa.int64()),
+                "payload_digest": pa.array([r["stored_digest"] if p is None else digest_of(p) for p, r in zip(payloads, found, strict=True)], pa.string()),
+                "record_type": pa.array([r["record_type"] for r in found], pa.string()),
+                "refers_to": pa.array([r["refers_to"] for r in found], pa.int64()),
+            }
+        )
+
+    return _over_records(write_warc(pages, folder, least=least), folder, digests, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")

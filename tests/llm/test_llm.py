@@ -12,6 +12,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -284,6 +285,24 @@ def test_warc(spark):
     assert list(warc.coalesced([(0, 10), (12, 5), (1000, 5)], gap=10)) == [(0, 17, [(0, 10), (12, 5)]), (1000, 1005, [(1000, 5)])]
 
 
+def test_warc_bounds(spark):
+    # Pages that shrink a thousandfold: one read holds them all, a batch holds no more than its bound and one record.
+    page, n = b"a" * 300_000, 40
+    members = [warc.gzip_member(warc._record(i, "u", page, None)[0]) for i in range(n)]
+    ends = np.cumsum([len(m) for m in members]).tolist()
+    lists = list(warc.parsed(pa.BufferReader(b"".join(members)), list(zip([0, *ends[:-1]], map(len, members), strict=True)), 1 << 20))
+    assert [r["id"] for x in lists for r in x] == list(range(n)) and all(r["payload"] == page for x in lists for r in x)
+    assert len(lists) > 1 and max(sum(len(r["payload"]) for r in x) for x in lists) <= (1 << 20) + len(page)
+    # Many small partitions are written by few tasks; nothing is lost, also where copies cross partitions.
+    pages = spark.range(3000).selectExpr("id AS page_id", "'u' AS url", "CAST(id % 1000 AS STRING) AS html").repartition(200)
+    index = warc.write_warc(pages, shared_folder(spark, "warc-test"))
+    assert index.count() == 3000 and index.where("record_type = 'revisit' AND refers_to = id % 1000").count() == 2000
+    assert index.select("file").distinct().count() <= warc.writers(spark)
+    # Digests are taken by the pass that reads.
+    plan = warc.warc_round_trip(pages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def brute_fingerprint(text):
     ws = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
     if not ws:
