@@ -3,8 +3,12 @@
 Paragraphs of a text are its lines of at least ``LENGTH`` words (the whole text if no line has so many), and, as a
 repeated passage may stand anywhere in a longer line, ``LENGTH`` words from every anchor on: of every ``WINDOW``
 neighbouring 5-word shingles the one with the least hash is an anchor, so any passage of ``LENGTH + WINDOW - 1`` words
-(51) gives the same paragraph in every document that has it. Bands of ``ROWS`` MinHash values are tuned for recall at the
-threshold, for lines one by one, for windows as a passage with several of them. Equal paragraphs (by 128 bits of hash) are one; distinct ones that collide in a band are joined in tiles, each
+(51) gives the same paragraph in every document that has it. Lines get bands of ``ROWS`` MinHash values, tuned for recall at
+the threshold. Windows that repeat three words in themselves (a few hundredths) get bands as well. All others get runs of words
+instead, which miss nothing at 0.8 and collide with little that isn't similar: of such a window's 16 shingles a similar
+paragraph lacks one at most (three, if it is a text of under 20 words), what it has stands in one piece, so two windows share
+their first or last 19 words (``runs``), and a line has the window's words 3 to 16 (``core``). Only lines that repeat three
+words can have the pieces in another order; they are given all orders (``spliced``). Below 0.8 all windows get bands. Equal paragraphs (by 128 bits of hash) are one; distinct ones that collide in a band are joined in tiles, each
 pair is verified by the exact Jaccard similarity of the shingle sets, and components of verified links are classes.
 What the smallest doc_id of a class has stays and the rest is to be removed.
 
@@ -35,6 +39,8 @@ LENGTH, WINDOW = 20, 32
 WORD = re.compile(r"[A-Za-z0-9_\x80-\U0010ffff]+")
 #: Wanted chance that a pair at the threshold collides in a band (lines, windows), and rows of a band.
 RECALL, RECALL_WINDOW, ROWS = 0.98, 0.95, 2
+#: Words of a run and of a core, where a core begins in its window, and how many shingles a paragraph similar to a window may have.
+RUN, CORE, CORE_AT, FEWEST, MOST = LENGTH - 1, 14, 3, 13, 20
 #: Distinct paragraphs of a bucket that meet in one tile.
 TILE = 512
 
@@ -86,8 +92,65 @@ def least_of(y: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarra
     return np.minimum.reduceat(np.append(y, y[-1]), np.stack((starts, starts + counts), axis=1).ravel())[::2]
 
 
-def paragraphs(documents: DataFrame, bands: int | None = None) -> DataFrame:
-    """doc_id, start (word), size (words), h and h2 (128 bits of a hash of its words), keys (of bands) of every paragraph."""
+def repeating(ws: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the windows at ``at`` have the same three words twice."""
+    g = shingle_hashes(ws, 3)
+    order = np.argsort(g, kind="stable")
+    same = np.flatnonzero(g[order[1:]] == g[order[:-1]])
+    first, second = order[same], order[same + 1]
+    near = second - first <= LENGTH - 3
+    marks = np.zeros(len(g) + 1, np.int64)  # each repeat spoils the windows that begin from second - 17 to first
+    np.add.at(marks, np.maximum(second[near] - (LENGTH - 3), 0), 1)
+    np.add.at(marks, first[near] + 1, -1)
+    return np.cumsum(marks)[at] > 0
+
+
+def spliced(ws: list[int]) -> set[tuple[int, ...]]:
+    """All runs of ``CORE`` words, no three of them twice, whose shingles are among those of ``ws``, but for one at most."""
+    k = SHINGLE - 1
+    nodes = {tuple(ws[i : i + k]) for i in range(len(ws) - k + 1)}
+    there = {tuple(ws[i : i + SHINGLE]) for i in range(len(ws) - k)}
+    after: dict[tuple[int, ...], list[tuple[int, ...]]] = {}
+    for v in nodes:
+        after.setdefault(v[:-1], []).append(v)
+    out, open_ = set(), [(v, 1) for v in nodes if v[:3] != v[1:4]]
+    while open_:
+        path, spare = open_.pop()
+        if len(path) == CORE:
+            out.add(path)
+            continue
+        had = {path[i : i + 3] for i in range(len(path) - 2)}
+        for v in after.get(path[-k + 1 :], []):
+            left = spare - ((*path[-k:], v[-1]) not in there)
+            if left >= 0 and (*path[-2:], v[-1]) not in had:
+                open_.append(((*path, v[-1]), left))
+    return out
+
+
+class _Ragged:
+    """Keys of rows, gathered as (row, key) and handed over as a list column."""
+
+    def __init__(self) -> None:
+        self.rows, self.keys = [], []
+
+    def add(self, rows: np.ndarray, keys: np.ndarray) -> None:
+        """``keys`` has a row of keys for each of ``rows``, or one key."""
+        self.rows.append(np.repeat(rows, keys.size // max(1, len(rows))))
+        self.keys.append(keys.ravel())
+
+    def column(self, n: int) -> pa.Array:
+        if not self.rows:
+            return pa.array([[]] * n, pa.list_(pa.int64()))
+        rows = np.concatenate(self.rows)
+        flat = np.concatenate(self.keys)[np.argsort(rows, kind="stable")].view(np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=n)))), pa.int32()), pa.array(flat))
+
+
+def paragraphs(documents: DataFrame, bands: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, start (word), size (words), h and h2 (128 bits of a hash of its words) of every paragraph, and its keys.
+
+    keys: bands and runs; core: of a window, met by cores of lines. A line of a window's size has the keys of the window too.
+    """
     count = bands or bands_for()
     few = min(count, bands_for(recall=RECALL_WINDOW))
     a, b = permutations(count * ROWS, seed=3)
@@ -96,35 +159,55 @@ def paragraphs(documents: DataFrame, bands: int | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, starts, sizes, hashes, keys, counts = [], [], [], [], [], []
+            ids, starts, sizes, hashes, middles, total = [], [], [], [], [], 0
+            keys, cores = _Ragged(), _Ragged()
             for k, text in enumerate(batch.column(1)):
                 ws, lines = words_by_line(text.as_py())
                 if len(ws) == 0:
                     continue
                 h = shingle_hashes(ws, SHINGLE)
-                at, size, lines_n = places_of(len(ws), h, lines)
+                at, size, n = places_of(len(ws), h, lines)
                 shingles = np.maximum(size - SHINGLE + 1, 1)
-                least: tuple[list, list] = ([], [])  # of lines and of windows, one array a permutation
+                windows = np.arange(n, len(at))
+                odd = windows[repeating(ws, at[n:])] if threshold >= THRESHOLD and len(windows) else windows
+                least: tuple[list, list] = ([], [])  # of lines and of windows with bands, one array a permutation
                 for i in range(count * ROWS):
                     y = h * a[i] + b[i]
                     y ^= y >> np.uint64(29)
-                    least[0].append(least_of(y, at[:lines_n], shingles[:lines_n]))
+                    least[0].append(least_of(y, at[:n], shingles[:n]))
                     if i < few * ROWS:
-                        least[1].append(least_of(y, at[lines_n:], shingles[lines_n:]))
+                        least[1].append(least_of(y, at[odd], shingles[odd]))
+                for rows, mins, of in ((np.arange(n), least[0], count), (odd, least[1], few)):
+                    values = np.stack(mins, axis=1).reshape(-1, of, ROWS)
+                    keys.add(rows + total, mix(values.sum(axis=2, dtype=np.uint64) + np.arange(of, dtype=np.uint64)))
                 # Polynomials over the words by differences of running sums, as for the words themselves.
-                pair = []
+                pair, first = [], None
                 for base in up:
                     powers, back = powers_of(int(base), len(ws))
                     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(ws * powers, dtype=np.uint64)))
+                    of_runs = lambda x, m, sums=sums, back=back: mix((sums[x + m] - sums[x]) * back[x] + np.uint64(m))
+                    first = first or of_runs
                     pair.append(mix((sums[at + size] - sums[at]) * back[at] + size.astype(np.uint64)))
-                for mins, n in zip(least, (count, few), strict=True):
-                    runs = np.stack(mins, axis=1).reshape(-1, n, ROWS)
-                    keys.append(mix(runs.sum(axis=2, dtype=np.uint64) + np.arange(n, dtype=np.uint64)).ravel())
-                    counts.append(np.full(len(runs), n))
+                both = np.concatenate((np.flatnonzero(size[:n] == LENGTH), windows))
+                keys.add(both + total, np.stack((first(at[both], RUN), first(at[both] + 1, RUN)), axis=1))
+                middle = np.zeros(len(at), np.uint64)
+                middle[n:] = first(at[n:] + CORE_AT, CORE)
+                repeats = n and size[:n].max() > MOST + SHINGLE - 1 and len(np.unique(h)) < len(h)
+                for i in np.flatnonzero((size[:n] >= FEWEST + SHINGLE - 1) & (repeats | (size[:n] <= MOST + SHINGLE - 1))):
+                    p, m = int(at[i]), int(shingles[i])
+                    if not FEWEST <= (distinct := len(np.unique(h[p : p + m]))) <= MOST:
+                        continue
+                    found = np.unique(first(np.arange(p, p + int(size[i]) - CORE + 1), CORE))
+                    own = ws[p : p + int(size[i])]
+                    if distinct > FEWEST + 2 and len(np.unique(shingle_hashes(own, 3))) < len(own) - 2 and (more := spliced(own.tolist())):
+                        found = np.union1d(found, mix((np.array(list(more), np.uint64) * powers_of(int(up[0]), CORE)[0]).sum(axis=1, dtype=np.uint64) + np.uint64(CORE)))
+                    cores.add(np.full(len(found), i + total), found)
                 ids.append(np.full(len(at), k)), starts.append(at), sizes.append(size), hashes.append(np.stack(pair, axis=1))
+                middles.append(pa.array(middle.view(np.int64), mask=np.arange(len(at)) < n))
+                total += len(at)
             if not ids:
                 continue
-            flat, both = np.concatenate(keys).view(np.int64), np.concatenate(hashes).view(np.int64)
+            both = np.concatenate(hashes).view(np.int64)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column(0).take(pa.array(np.concatenate(ids))),
@@ -132,11 +215,13 @@ def paragraphs(documents: DataFrame, bands: int | None = None) -> DataFrame:
                     "size": pa.array(np.concatenate(sizes), pa.int32()),
                     "h": pa.array(np.ascontiguousarray(both[:, 0])),
                     "h2": pa.array(np.ascontiguousarray(both[:, 1])),
-                    "keys": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.concatenate(counts)))), pa.int32()), pa.array(flat)),
+                    "keys": keys.column(total),
+                    "core": pa.concat_arrays(middles),
+                    "cores": cores.column(total),
                 }
             )
 
-    return arrow_pass(documents.where("doc_id is not null").select("doc_id", "text"), run, f"doc_id {kind}, start int, size int, h long, h2 long, keys array<long>")
+    return arrow_pass(documents.where("doc_id is not null").select("doc_id", "text"), run, f"doc_id {kind}, start int, size int, h long, h2 long, keys array<long>, core long, cores array<long>")
 
 
 def _alike(x: frozenset[str], y: frozenset[str], threshold: float) -> bool:
@@ -225,17 +310,22 @@ def repeated_paragraphs(documents: DataFrame, threshold: float = THRESHOLD, insi
     in it, and then only the first place of the smallest document is kept. Rows of a repeated document repeat.
     """
     spark = documents.sparkSession
-    whole, whole_at = written(paragraphs(documents), "paragraphs")
+    whole, whole_at = written(paragraphs(documents, threshold=threshold), "paragraphs")
     # Equal paragraphs are one row: what is banded and compared are distinct ones, so copies cost no comparison.
     place = F.struct("doc_id", "start", "size")
-    distinct = whole.groupBy("h", "h2").agg(F.min(place).alias("at"), F.max(place).alias("end"), F.first("keys").alias("keys"))
-    banded, banded_at = written(distinct.select("h", "h2", "at.*", F.col("end.doc_id").alias("last"), (F.col("at") < F.col("end")).alias("again"), "keys").withColumn("pid", F.monotonically_increasing_id()), "distinct")
-    paras, paras_at = written(whole.drop("keys"), "places")
+    distinct = whole.groupBy("h", "h2").agg(F.min(place).alias("at"), F.max(place).alias("end"), F.max_by(F.struct("keys", "core", "cores"), F.size("keys")).alias("by"))
+    banded, banded_at = written(distinct.select("h", "h2", "at.*", F.col("end.doc_id").alias("last"), (F.col("at") < F.col("end")).alias("again"), "by.*").withColumn("pid", F.monotonically_increasing_id()), "distinct")
+    paras, paras_at = written(whole.drop("keys", "core", "cores"), "places")
     drop(spark, whole_at)
     keyed = banded.select("pid", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    hits, hits_at = written(keyed.join(shared, "key").distinct(), "colliding")
-    distinct = cut(banded.drop("keys"), "unbanded")  # the keys are most of its bytes and have been used
+    # Cores of windows are only of use where a line has them, and are few then: no need to count all of them.
+    lines, windows = banded.select("pid", F.explode("cores").alias("key")), banded.where("core is not null").select("pid", F.col("core").alias("key"))
+    met, met_at = written(windows.join(lines.select("key").distinct(), "key", "left_semi").select("pid", "key"), "cores")
+    by_core = met.unionByName(lines.join(met.select("key").distinct(), "key", "left_semi").select("pid", "key"))
+    hits, hits_at = written(keyed.join(shared, "key").select("pid", "key").unionByName(by_core).distinct(), "colliding")
+    drop(spark, met_at)
+    distinct = cut(banded.drop("keys", "core", "cores"), "unbanded")  # the keys are most of its bytes and have been used
     drop(spark, banded_at)
     places = distinct.select("pid", "doc_id", "start", "size").join(hits.select("pid").distinct(), "pid")
     texts, texts_at = written(_texts(documents, places), "paragraph-texts")

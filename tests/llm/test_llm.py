@@ -6,6 +6,7 @@ import datetime as dt
 import fractions
 import hashlib
 import math
+import random
 import re
 import struct
 import zlib
@@ -517,3 +518,57 @@ def test_paragraphs_against_all_pairs_of_a_bucket(spark):
     pairs = [(i, j) for i in range(len(texts)) for j in range(i) if i // 40 == j // 40 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     found = [(r["a"], r["b"]) for r in paradedup._similar(groups_, 0.8).collect()]
     assert groups(found, range(len(texts))) == groups(pairs, range(len(texts))) and len(found) < len(texts)
+
+
+def test_run_keys_miss_no_similar_paragraph():
+    # Windows without a repeat of three words against all sorts of similar paragraphs: shifted, turned, with stretches repeated or inserted.
+    rng = random.Random(5)
+    sets = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    repeats = lambda w: len({tuple(w[i : i + 3]) for i in range(len(w) - 2)}) < len(w) - 2
+    seen = turned = 0
+    for _ in range(60_000):
+        v = rng.choice([5, 6, 8, 12, 30])
+        a = [rng.randrange(v) for _ in range(20)]
+        if repeats(a):
+            continue
+        c, q, x = rng.randrange(1, 20), rng.randrange(5), rng.randrange(2)
+        cut = rng.randrange(-4, 5)
+        shifted = [rng.randrange(v) for _ in range(rng.randrange(4))] + a[max(0, cut) : 20 + min(0, cut)] + [rng.randrange(v) for _ in range(rng.randrange(4))]
+        b = rng.choice([a[c + x :] + a[: c + q], a[: c + q] + a[c:], shifted, a[:c] + a[c - min(c, q) : c] * 2 + a[c:]])
+        if a == b or len(b) < 5 or 10 * len(sets(a) & sets(b)) < 8 * len(sets(a) | sets(b)):
+            continue
+        seen += 1
+        assert paradedup.FEWEST <= len(sets(b)) <= paradedup.MOST
+        if tuple(a[3:17]) not in {tuple(b[i : i + 14]) for i in range(len(b) - 13)}:
+            turned += 1
+            assert repeats(b) and len(sets(b)) > paradedup.FEWEST + 2 and tuple(a[3:17]) in paradedup.spliced(b)
+        assert len(b) != 20 or {tuple(a[:19]), tuple(a[1:])} & {tuple(b[:19]), tuple(b[1:])}
+    assert seen > 5000 and turned > 1000
+
+
+def test_similar_windows_meet(spark):
+    # Windows that differ in an end word, and lines that hold a window's middle or turn it: every pair meets in a bucket.
+    rng = random.Random(6)
+    rows, pairs = [], []
+    for k in range(60):
+        text = [f"w{k}x{rng.randrange(10**6)}" for _ in range(80)]
+        rows.append((2 * k, " ".join(text)))
+        rows.append((2 * k + 1, ""))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    windows = [r for r in paradedup.paragraphs(table).where("core is not null").collect() if r["doc_id"] % 2 == 0]
+    at = {r["doc_id"]: r for r in windows}
+    words_of = dict(rows)
+    lines = []
+    for d, r in at.items():
+        ws = words_of[d].split()[r["start"] : r["start"] + 20]
+        lines.append((d + 1, " ".join([ws[2:] + ws[:6], ws[1:18], ["new", *ws, "other"]][d // 2 % 3])))
+        pairs.append((r, d + 1))
+    keys = {r["doc_id"]: set(r["cores"]) for r in paradedup.paragraphs(spark.createDataFrame(lines, "doc_id long, text string")).where("core is null").collect()}
+    assert len(pairs) == 60 and all(r["core"] in keys[d] for r, d in pairs)
+    got = {r["doc_id"]: r["class_id"] for r in paradedup.repeated_paragraphs(spark.createDataFrame([x for x in rows if x[1]] + lines, "doc_id long, text string")).where("start = 0").collect()}
+    assert all(got.get(d) == d - 1 for d, _ in lines)
+    # The runs of one window shifted by a word, and of one with another word at its end.
+    base = [f"a{i}" for i in range(20)]
+    texts = [base, [*base[1:], "z"], [*base[:-1], "y"]]
+    runs = [set(r["keys"]) for r in paradedup.paragraphs(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert all(runs[i] & runs[j] for i in range(3) for j in range(i))
