@@ -83,23 +83,22 @@ def places_of(n: int, h: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate((starts, at)), np.concatenate((sizes, np.full(len(at), LENGTH))), len(starts)
 
 
-def least_of(y: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Least values of the runs of ``counts`` values from ``starts`` on: windows of one size, or lines behind one another."""
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    if (counts == counts[0]).all():
-        return _sliding(y, int(counts[0]), True)[starts]
-    return np.minimum.reduceat(np.append(y, y[-1]), np.stack((starts, starts + counts), axis=1).ravel())[::2]
-
-
-def repeating(ws: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether the windows at ``at`` have the same three words twice."""
-    g = shingle_hashes(ws, 3)
-    order = np.argsort(g, kind="stable")
-    same = np.flatnonzero(g[order[1:]] == g[order[:-1]])
+def repeats(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of equal values, each with the next one, that are up to ``most`` apart."""
+    order = np.argsort(x, kind="stable")
+    sorted_ = x[order]
+    same = np.flatnonzero(sorted_[1:] == sorted_[:-1])
     first, second = order[same], order[same + 1]
+    near = second - first <= most
+    return first[near], second[near]
+
+
+def repeating(first: np.ndarray, second: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Whether the windows at ``at`` of ``n`` words have the same three words twice, by the places of repeats."""
     near = second - first <= LENGTH - 3
-    marks = np.zeros(len(g) + 1, np.int64)  # each repeat spoils the windows that begin from second - 17 to first
+    if not near.any():
+        return np.zeros(len(at), bool)
+    marks = np.zeros(n, np.int64)  # each repeat spoils the windows that begin from second - 17 to first
     np.add.at(marks, np.maximum(second[near] - (LENGTH - 3), 0), 1)
     np.add.at(marks, first[near] + 1, -1)
     return np.cumsum(marks)[at] > 0
@@ -128,7 +127,7 @@ def spliced(ws: list[int]) -> set[tuple[int, ...]]:
 
 
 class _Ragged:
-    """Keys of rows, gathered as (row, key) and handed over as a list column."""
+    """Keys of rows, gathered as (row, key), mixed and handed over as a list column."""
 
     def __init__(self) -> None:
         self.rows, self.keys = [], []
@@ -142,7 +141,7 @@ class _Ragged:
         if not self.rows:
             return pa.array([[]] * n, pa.list_(pa.int64()))
         rows = np.concatenate(self.rows)
-        flat = np.concatenate(self.keys)[np.argsort(rows, kind="stable")].view(np.int64)
+        flat = mix(np.concatenate(self.keys)[np.argsort(rows, kind="stable")]).view(np.int64)
         return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=n)))), pa.int32()), pa.array(flat))
 
 
@@ -169,45 +168,47 @@ def paragraphs(documents: DataFrame, bands: int | None = None, threshold: float
                 at, size, n = places_of(len(ws), h, lines)
                 shingles = np.maximum(size - SHINGLE + 1, 1)
                 windows = np.arange(n, len(at))
-                odd = windows[repeating(ws, at[n:])] if threshold >= THRESHOLD and len(windows) else windows
-                least: tuple[list, list] = ([], [])  # of lines and of windows with bands, one array a permutation
-                for i in range(count * ROWS):
-                    y = h * a[i] + b[i]
-                    y ^= y >> np.uint64(29)
-                    least[0].append(least_of(y, at[:n], shingles[:n]))
-                    if i < few * ROWS:
-                        least[1].append(least_of(y, at[odd], shingles[odd]))
-                for rows, mins, of in ((np.arange(n), least[0], count), (odd, least[1], few)):
-                    values = np.stack(mins, axis=1).reshape(-1, of, ROWS)
-                    keys.add(rows + total, mix(values.sum(axis=2, dtype=np.uint64) + np.arange(of, dtype=np.uint64)))
+                threes = repeats(shingle_hashes(ws, 3), MOST + SHINGLE - 4)
+                odd = windows[repeating(*threes, at[n:], len(ws))] if threshold >= THRESHOLD else windows
+                y = h * a[:, None] + b[:, None]
+                y ^= y >> np.uint64(29)
+                edges = np.stack((at[:n], at[:n] + shingles[:n]), axis=1).ravel()
+                of_lines = np.minimum.reduceat(np.concatenate((y, y[:, -1:]), axis=1), edges, axis=1)[:, ::2]
+                keys.add(np.arange(total, total + n), of_lines.T.reshape(-1, count, ROWS).sum(axis=2, dtype=np.uint64) + np.arange(count, dtype=np.uint64))
+                if len(odd):
+                    of_odd = y[: few * ROWS, at[odd][:, None] + np.arange(LENGTH - SHINGLE + 1)].min(axis=2)
+                    keys.add(odd + total, of_odd.T.reshape(-1, few, ROWS).sum(axis=2, dtype=np.uint64) + np.arange(few, dtype=np.uint64))
                 # Polynomials over the words by differences of running sums, as for the words themselves.
                 pair, first = [], None
                 for base in up:
                     powers, back = powers_of(int(base), len(ws))
                     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(ws * powers, dtype=np.uint64)))
-                    of_runs = lambda x, m, sums=sums, back=back: mix((sums[x + m] - sums[x]) * back[x] + np.uint64(m))
+                    of_runs = lambda x, m, sums=sums, back=back: (sums[x + m] - sums[x]) * back[x] + np.uint64(m)
                     first = first or of_runs
-                    pair.append(mix((sums[at + size] - sums[at]) * back[at] + size.astype(np.uint64)))
+                    pair.append((sums[at + size] - sums[at]) * back[at] + size.astype(np.uint64))
                 both = np.concatenate((np.flatnonzero(size[:n] == LENGTH), windows))
                 keys.add(both + total, np.stack((first(at[both], RUN), first(at[both] + 1, RUN)), axis=1))
                 middle = np.zeros(len(at), np.uint64)
                 middle[n:] = first(at[n:] + CORE_AT, CORE)
-                repeats = n and size[:n].max() > MOST + SHINGLE - 1 and len(np.unique(h)) < len(h)
-                for i in np.flatnonzero((size[:n] >= FEWEST + SHINGLE - 1) & (repeats | (size[:n] <= MOST + SHINGLE - 1))):
-                    p, m = int(at[i]), int(shingles[i])
-                    if not FEWEST <= (distinct := len(np.unique(h[p : p + m]))) <= MOST:
+                # Lines of few shingles, by size, or, where shingles repeat, by count: of 21 in a line of 20 different ones two are equal.
+                few_words = size[:n] <= MOST + SHINGLE - 1
+                again = len(repeats(h, MOST)[0]) > 0
+                for i in np.flatnonzero((size[:n] >= FEWEST + SHINGLE - 1) & (few_words | again)):
+                    p, m, words_n = int(at[i]), int(shingles[i]), int(size[i])
+                    distinct = len(np.unique(h[p : p + m])) if again else m
+                    if not FEWEST <= distinct <= MOST:
                         continue
-                    found = np.unique(first(np.arange(p, p + int(size[i]) - CORE + 1), CORE))
-                    own = ws[p : p + int(size[i])]
-                    if distinct > FEWEST + 2 and len(np.unique(shingle_hashes(own, 3))) < len(own) - 2 and (more := spliced(own.tolist())):
-                        found = np.union1d(found, mix((np.array(list(more), np.uint64) * powers_of(int(up[0]), CORE)[0]).sum(axis=1, dtype=np.uint64) + np.uint64(CORE)))
+                    found = first(np.arange(p, p + words_n - CORE + 1), CORE)
+                    if distinct > FEWEST + 2 and (not few_words[i] or ((threes[0] >= p) & (threes[1] <= p + words_n - 3)).any()):
+                        more = np.array(list(spliced(ws[p : p + words_n].tolist())), np.uint64).reshape(-1, CORE)
+                        found = np.unique(np.concatenate((found, (more * powers_of(int(up[0]), CORE)[0]).sum(axis=1, dtype=np.uint64) + np.uint64(CORE))))
                     cores.add(np.full(len(found), i + total), found)
                 ids.append(np.full(len(at), k)), starts.append(at), sizes.append(size), hashes.append(np.stack(pair, axis=1))
-                middles.append(pa.array(middle.view(np.int64), mask=np.arange(len(at)) < n))
+                middles.append(pa.array(mix(middle).view(np.int64), mask=np.arange(len(at)) < n))
                 total += len(at)
             if not ids:
                 continue
-            both = np.concatenate(hashes).view(np.int64)
+            both = mix(np.concatenate(hashes)).view(np.int64)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column(0).take(pa.array(np.concatenate(ids))),
