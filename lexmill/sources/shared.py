@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -19,11 +20,26 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _kept(writer: DataFrameWriter, spark: SparkSession, name: str) -> DataFrame:
+    """What ``writer`` writes to the shared folder, read back by a table that has its row count and no name afterwards.
+
+    Spark takes a table's file size for its size in memory, and joins what looks small by sending it whole through the
+    driver. Repetitive rows take a few bytes each in files, so sizes are told by row counts, which
+    ``spark.sql.cbo.planStats.enabled`` (set here for the session) makes the plans use.
+    """
+    spark.conf.set("spark.sql.cbo.planStats.enabled", "true")
+    path = shared_folder(spark, name)
+    table = f"lexmill_{re.sub('[^0-9a-z]', '_', name)}_{path[-32:]}"
+    writer.option("compression", "zstd").option("path", path).saveAsTable(table, format="parquet")
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+    kept = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return kept.select("*")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df``, written to the shared folder and read back: a lost executor recomputes nothing before it."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _kept(df.write, df.sparkSession, name)
 
 
 def bucketed(df: DataFrame, name: str, by: str, *order: str) -> DataFrame:
@@ -31,15 +47,12 @@ def bucketed(df: DataFrame, name: str, by: str, *order: str) -> DataFrame:
 
     Windows, groups and joins on ``by`` and further columns read the buckets as they are. For joins Spark asks for a
     partitioning by all their columns unless ``spark.sql.requireAllClusterKeysForCoPartition`` is false, which this sets
-    for the session: rows of one ``by`` then stay together, as windows over them need anyway. The table has no name
-    afterwards; its files are those below the shared folder.
+    for the session: rows of one ``by`` then stay together, as windows over them need anyway. A bucket is one file, and
+    that it is sorted is used only with ``spark.sql.legacy.bucketedTableScan.outputOrdering``, which this sets as well:
+    every window and join in that order would sort it again, and all sorts of a task hold memory at once.
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
     n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
-    path = shared_folder(spark, name)
-    table = f"lexmill_{name}_{path[-32:]}"
-    df.repartition(n, by).write.bucketBy(n, by).sortBy(by, *order).option("compression", "zstd").option("path", path).saveAsTable(table, format="parquet")
-    kept = spark.table(table)
-    spark.sql(f"DROP TABLE {table}")
-    return kept.select("*")
+    return _kept(df.repartition(n, by).write.bucketBy(n, by).sortBy(by, *order), spark, name)

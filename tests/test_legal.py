@@ -6,6 +6,7 @@ import time
 
 import duckdb
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import overlaps, phrases, sequences
@@ -77,6 +78,20 @@ def test_references_without_semicolon(spark):
     assert rows["b"] == ["x" * html.BATCH_CHARS + "&amp", "y&"]
 
 
+def test_kept_tables_have_their_size_and_order(spark):
+    """Rows that take next to nothing in a file are not joined through the driver for that, and buckets aren't sorted again."""
+    n = 300_000
+    rows = spark.range(n).select((F.col("id") % 50).cast("string").alias("doc_key"), F.col("id").cast("int").alias("node_id"), F.lit("p").alias("tag"))
+    plain, sorted_ = shared.written(rows, "rows"), shared.bucketed(rows, "rows", "doc_key", "node_id")
+    for kept in (plain, sorted_):
+        own = kept.where("tag = 'p'").select("doc_key", "node_id")
+        assert own._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() >= 20 * n
+        assert kept.dtypes == rows.dtypes and kept.count() == n
+    met = sorted_.join(sorted_.where("node_id % 2 = 0").select("doc_key", "node_id", F.lit(1).alias("even")), ["doc_key", "node_id"], "left")
+    plan = met.withColumn("k", F.count("even").over(Window.partitionBy("doc_key").orderBy("node_id")))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Window" in plan and not any(x in plan for x in ("Sort [", "Exchange"))
+
+
 def test_many_open_paragraphs(spark):
     """Unclosed paragraphs don't nest, so a page of many costs no more than its length."""
     n = 20_000
