@@ -92,6 +92,17 @@ def test_kept_tables_have_their_size_and_order(spark):
     assert "SortMergeJoin" in plan and "Window" in plan and not any(x in plan for x in ("Sort [", "Exchange"))
 
 
+def test_what_is_read_several_times_is_kept(spark):
+    """Sections are read as they were written, and the content root is chosen without gathering any text."""
+    pages = {"a": "<article><p>x</p></article><article><h3>Статья 1. Имя</h3><p>y</p></article><article></article>", "b": "<article></article>", "c": "<p>x</p>"}
+    nodes = html.kept_nodes(spark.createDataFrame(list(pages.items()), "k string, h string"), "k", "h")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    rows, root = structure.structured(nodes), dom.content_root(nodes)
+    assert "Window" not in plan(rows) and "Join" not in plan(rows) and "collect_list" not in plan(root)
+    assert {tuple(r) for r in root.collect()} == {("a", 3), ("b", 0)}
+    assert [(r["doc_key"], r["type"], r["number"]) for r in rows.orderBy("doc_key", "pos").collect()] == [("a", "article", "1"), ("a", None, None)]
+
+
 def test_many_open_paragraphs(spark):
     """Unclosed paragraphs don't nest, so a page of many costs no more than its length."""
     n = 20_000
